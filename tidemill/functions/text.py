@@ -79,7 +79,7 @@ def bigrams(tokens: Column) -> Column:
 
 def clean_social(c: Column) -> Column:
     """Mentions followed by a space, URLs up to the line end, punctuation, case and digits, in this order."""
-    c = F.regexp_replace(c, r"@[^ \n]+ ", "")
+    c = F.regexp_replace(c, r"@[^ \n]* ", "")
     c = F.regexp_replace(c, r"https?://.+$", "")
     c = F.regexp_replace(c, r"[^\w\s]", " ")
     return F.regexp_replace(F.lower(c), "[0-9]", "")

@@ -30,7 +30,7 @@ def sum_items(df: DataFrame, group: Sequence[str], items: str, item: str = "item
               .agg(F.sum(f"_e.{qty}").alias("qty")))
 
 
-def share_pct(df: DataFrame, part: Column, whole: Column, digits: int = 2) -> Column:
+def share_pct(part: Column, whole: Column, digits: int = 2) -> Column:
     """100 * part / whole over all rows as one aggregate expression."""
     return F.round(F.try_divide(F.sum(part) * 100.0, F.sum(whole)), digits)
 
@@ -48,8 +48,7 @@ def mode_value(df: DataFrame, value: str, by: Sequence[str] = (), ignore: str |
 def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), t: float = 1.5) -> DataFrame:
     """Quartiles and the fences ``q1 - t*iqr`` and ``q3 + t*iqr``."""
     iqr = F.col("q3") - F.col("q1")
-    return (quantiles(df, value, [0.25, 0.75], by)
-            .withColumnsRenamed({"q0": "q1", "q1": "q3"})
+    return (quantiles(df, value, [0.25, 0.75], by, ["q1", "q3"])
             .withColumn("lower", F.col("q1") - t * iqr)
             .withColumn("upper", F.col("q3") + t * iqr))
 
@@ -67,8 +66,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     basic = long.groupBy("variable").agg(
         F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("minimum"), F.max("value").alias("maximum"))
-    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"]).withColumnsRenamed(
-        {"q0": "q1", "q1": "median", "q2": "q3"})
+    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], ["q1", "median", "q3"])
     return basic.join(top, "variable").join(quart, "variable")
 
 

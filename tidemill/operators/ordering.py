@@ -105,19 +105,29 @@ def top_terms(df: DataFrame, term: str, n: int = 10, count: str = "n") -> DataFr
               .orderBy(F.desc(count), F.asc(term)).limit(n))
 
 
+def top_per_key(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
+    """The ``n`` best rows of every key. ``rank <= n`` is applied before the shuffle as well as after it,
+
+    so a hot key reaches its final task as at most ``n`` rows per map task.
+    """
+    window = Window.partitionBy(*by).orderBy(*order)
+    return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
+
+
 def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 104729) -> DataFrame:
     """Exactly ``n`` rows without replacement, drawn by a scrambled key instead of a random number."""
     scrambled = (F.col(key) * multiplier) % modulus
     return df.orderBy(scrambled.asc(), F.col(key).asc()).limit(n)
 
 
-def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column ``q0, q1, ...`` per requested level.
+def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
+              names: Sequence[str] | None = None) -> DataFrame:
+    """Exact quantiles with linear interpolation, one column (``p0, p1, ...``) per requested level.
 
     The values are sorted by (group, value) across the cluster; only the two
     neighbours of every wanted position are then picked up by their index.
     """
-    by = list(by)
+    by, names = list(by), names or [f"p{i}" for i in range(len(qs))]
     kept = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     indexed = global_index(kept, [*by, "_v"], name="_idx")
     groups = indexed.groupBy(*by).agg(F.min("_idx").alias("_lo"), F.count("*").alias("_n"))
@@ -133,11 +143,11 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
                                       F.col("_frac").alias("w")))).alias("_p"))
     picked = need.join(indexed.select(F.col("_idx").alias("_at"), "_v"), F.col("_p.idx") == F.col("_at"))
     return picked.groupBy(*by).agg(*[
-        F.sum(F.when(F.col("_i") == i, F.col("_p.w") * F.col("_v"))).alias(f"q{i}") for i in range(len(qs))])
+        F.sum(F.when(F.col("_i") == i, F.col("_p.w") * F.col("_v"))).alias(n) for i, n in enumerate(names)])
 
 
 def medians(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return quantiles(df, value, [0.5], by).withColumnRenamed("q0", name)
+    return quantiles(df, value, [0.5], by, [name])
 
 
 def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, n: int,

@@ -20,7 +20,7 @@ def melt(df: DataFrame, ids: Sequence[str], values: Sequence[str]) -> DataFrame:
 
 def invert_map(df: DataFrame, key: str, values: str) -> DataFrame:
     """(key, array of values) to one row (value, key), values upper-cased."""
-    return df.select(F.upper(F.explode(values)).alias("value"), F.col(key).alias("key"))
+    return df.select(F.explode(F.transform(values, F.upper)).alias("value"), F.col(key).alias("key"))
 
 
 def complete_axis(df: DataFrame, day: str, value: str, low: str, high: str) -> DataFrame:

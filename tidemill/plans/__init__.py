@@ -1,2 +1,2 @@
-from . import sources, joins  # noqa
+from . import aggregates, ordering, expressions  # noqa
 from .registry import CHECK_SQL, QUERIES  # noqa: F401
