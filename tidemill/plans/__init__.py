@@ -1,2 +1,2 @@
-from . import aggregates, ordering, expressions  # noqa
+from . import cleansing  # noqa
 from .registry import CHECK_SQL, QUERIES  # noqa: F401

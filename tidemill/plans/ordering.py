@@ -105,7 +105,7 @@ def melt_long(spark, sf):
 
 
 @query("invert_map", """
-    SELECT upper(unnest(regexp_extract_all(html, '<li><a href="/([^"]*)"', 1))) AS value, page_id AS key FROM pages""")
+    SELECT upper(replace(unnest(regexp_extract_all(html, '<li><a href="/([^"]*)"', 1)), 'ß', 'ss')) AS value, page_id AS key FROM pages""")
 def invert_map(spark, sf):
     lists = table(spark, sf, "pages").select(
         "page_id", F.regexp_extract_all("html", F.lit('<li><a href="/([^"]*)"'), F.lit(1)).alias("paths"))
