@@ -1,2 +1,2 @@
-from . import cleansing  # noqa
+from . import spatial, textual  # noqa
 from .registry import CHECK_SQL, QUERIES  # noqa: F401
