@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .neighbors import _matrix, distances
@@ -106,23 +106,25 @@ def representatives(df: DataFrame, id_col: str, vec: str, k: int = 4, dims: int
 
 
 def em_multinomial(counts: DataFrame, doc: str, term: str, n: str, k: int = 4, epochs: int = 10, mode: str = "soft",
-                   eps: float = 1e-10, tolerance: float = 0.0) -> tuple[DataFrame, DataFrame, list[float]]:
+                   eps: float = 1e-10, tolerance: float = 0.0, start: list[Column] | None = None) -> tuple[DataFrame, DataFrame, list[float]]:
     """Mixture of k multinomials over long counts: (posteriors, term weights, log-likelihood per epoch).
 
     Everything stays in long form. The E-step joins the counts with one k-vector of
     log weights per term and adds up per document; the M-step is one aggregation per
     term. Both are partial aggregates, so frequent terms and long documents shrink
-    before they are shuffled. Cluster start weights are drawn from term hashes.
+    before they are shuffled. The start weights per cluster are expressions over
+    ``term``, by default drawn from its hash.
     """
     counts = cut_lineage(counts.select(F.col(doc).alias("doc"), F.col(term).alias("term"), F.col(n).cast("double").alias("n")))
-    start = F.array(*[(F.pmod(F.xxhash64("term", F.lit(c)), F.lit(1000)) + 1) / 1000.0 for c in range(k)])
-    weights = counts.select("term").distinct().select("term", start.alias("mu"))
+    start = start or [(F.pmod(F.xxhash64("term", F.lit(c)), F.lit(1000)) + 1) / 1000.0 for c in range(k)]
+    weights = counts.select("term").distinct().select("term", F.array(*start).alias("mu"))
     prior, likelihoods = [1.0 / k] * k, []
     posterior = None
 
     def normalised(w: DataFrame) -> DataFrame:
+        w = cut_lineage(w)
         sums = w.agg(*[F.sum(F.col("mu")[c] + eps).alias(f"s{c}") for c in range(k)]).first()
-        return cut_lineage(w.select("term", F.array(*[F.log((F.col("mu")[c] + eps) / sums[c]) for c in range(k)]).alias("log_mu")))
+        return w.select("term", F.array(*[F.log((F.col("mu")[c] + eps) / sums[c]) for c in range(k)]).alias("log_mu"))
 
     log_mu = normalised(weights)
     for _ in range(epochs):

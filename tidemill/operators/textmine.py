@@ -55,16 +55,26 @@ def merge_bigrams(df: DataFrame, tokens: Column, pairs: Sequence[tuple[str, str]
     return df.withColumn(name, merged(tokens))
 
 
-def prune_vocab(df: DataFrame, doc: str, term: str, min_df: float | int = .03, max_df: float = .95) -> DataFrame:
-    """Terms with ``min_df <= df < max_df`` and their document frequency.
+def document_count(docs: DataFrame) -> Column:
+    """Number of documents as a scalar subquery; on a plain table this needs no column at all."""
+    return docs.agg(F.count("*").cast("double")).scalar()
 
-    ``min_df`` is a share of the documents present, or an absolute count if it is an
-    integer; ``max_df`` is a share. ``df`` has one row per occurrence.
+
+def term_counts(df: DataFrame, doc: str, term: str) -> DataFrame:
+    """(doc, term, n): occurrences per document, the common base of vocabulary and weights."""
+    return df.groupBy(doc, term).agg(F.count("*").alias("n"))
+
+
+def prune_vocab(counts: DataFrame, term: str, n_docs: Column, min_df: float | int = .03, max_df: float = .95) -> DataFrame:
+    """Terms of (doc, term, n) rows with ``min_df <= df < max_df``, and their document frequency.
+
+    ``min_df`` is a share of the documents, or an absolute count if it is an integer; ``max_df``
+    is a share. The frequency is counted over ``n`` so that a plan which also uses the counts
+    shuffles them once.
     """
-    n_docs = df.select(doc).distinct().agg(F.count("*").cast("double")).scalar()
     low = F.lit(min_df) if isinstance(min_df, int) else F.lit(min_df) * n_docs
-    return (df.select(doc, term).distinct().groupBy(term).agg(F.count("*").alias("df"))
-              .where((F.col("df") >= low) & (F.col("df") < F.lit(max_df) * n_docs)))
+    return (counts.groupBy(term).agg(F.count_if(F.col("n") > 0).alias("df"))
+                  .where((F.col("df") >= low) & (F.col("df") < F.lit(max_df) * n_docs)))
 
 
 def vocab_index(vocab: DataFrame, term: str, name: str = "term_index") -> DataFrame:
@@ -84,18 +94,15 @@ def stem_vocab(df: DataFrame, term: str, stemmer: Callable[[Column], Column], mi
     return distinct.select(stemmed.alias(term)).distinct().where(F.length(term) >= min_length)
 
 
-def doc_term_counts(df: DataFrame, doc: str, term: str, vocab: DataFrame, index: str = "term_index") -> DataFrame:
-    """(doc, index, n) for terms of the vocabulary; occurrences are counted before they meet it."""
-    counts = df.groupBy(doc, term).agg(F.count("*").alias("n"))
+def doc_term_counts(counts: DataFrame, doc: str, term: str, vocab: DataFrame, index: str = "term_index") -> DataFrame:
+    """(doc, index, n) for the terms of the vocabulary."""
     return counts.join(vocab.select(term, index), term).select(doc, index, "n")
 
 
-def tfidf(df: DataFrame, doc: str, term: str, min_df: int = 8, max_df: float = .95) -> DataFrame:
+def tfidf(counts: DataFrame, doc: str, term: str, n_docs: Column, min_df: float | int = 8, max_df: float = .95) -> DataFrame:
     """Sublinear tf times smooth idf, L2-normalised per document, in long form (doc, term, weight)."""
-    n_docs = df.select(doc).distinct().agg(F.count("*").cast("double")).scalar()
-    vocab = prune_vocab(df, doc, term, min_df, max_df)
+    vocab = prune_vocab(counts, term, n_docs, min_df, max_df)
     idf = vocab.select(term, (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    counts = df.groupBy(doc, term).agg(F.count("*").alias("n"))
     raw = counts.join(idf, term).select(doc, term, ((F.log("n") + 1) * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
     return raw.select(doc, term, (F.col("w") / norm).alias("weight"))

@@ -7,6 +7,7 @@ from ..functions import numeric as N, text as X
 from ..operators import clustering as K, metrics as M, models as L, neighbors as NN, scaling as S, textmine as T
 from ..sources.tables import table
 from .registry import query
+from .textual import doc_term_counts, document_tfidf
 
 _SPLIT = "(vec_id * 7919 + 104729) % 100"
 _L1 = "list_sum(list_transform(list_zip(a.e, b.e), lambda x: abs(x[1] - x[2])))"
@@ -300,10 +301,21 @@ def kmeans_one_step(spark, sf):
     return spark.createDataFrame(rows, "cluster bigint, pos bigint, centre double").withColumn("centre", F.round("centre", 6))
 
 
-@query("kmeans_clusters")
+def _kmeans_sql(rounds):
+    """L1 assignment and mean update, written out per round from the first ten vectors."""
+    ctes = [f"WITH v AS ({_VEC})", "c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, e FROM v ORDER BY vec_id LIMIT 10)"]
+    for r in range(rounds + 1):
+        ctes.append(f"""k{r} AS (SELECT a.vec_id, a.e, b.cluster, {_L1} AS dist FROM v a, c{r} b
+            QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY dist, b.cluster) = 1)""")
+        ctes.append(f"""c{r + 1} AS (SELECT cluster, list(m ORDER BY pos) AS e FROM (SELECT cluster, pos, avg(x) AS m FROM (
+            SELECT cluster, unnest(e) AS x, generate_subscripts(e, 1) AS pos FROM k{r}) GROUP BY 1, 2) GROUP BY 1)""")
+    return ", ".join(ctes[:-1]) + f" SELECT vec_id, cluster, round(dist, 6) AS dist FROM k{rounds}"
+
+
+@query("kmeans_clusters", _kmeans_sql(3))
 def kmeans_clusters(spark, sf):
     vectors = table(spark, sf, "embeddings")
-    centroids, _ = K.kmeans(vectors, "vec_id", "embedding", 10, "l1", max_iter=10, shift=1.0)
+    centroids, _ = K.kmeans(vectors, "vec_id", "embedding", 10, "l1", max_iter=3)
     return K.assign(vectors, "vec_id", "embedding", centroids, "l1").select("vec_id", "cluster", F.round("dist", 6).alias("dist"))
 
 
@@ -320,9 +332,34 @@ def cluster_representatives(spark, sf):
     return K.representatives(table(spark, sf, "embeddings"), "vec_id", "embedding", k=4)
 
 
+def _em_sql(epochs, k=3):
+    """Soft EM written out per epoch, on events per user (document) and value bucket (term)."""
+    ctes = ["""WITH n AS (SELECT user_id AS doc, CAST(floor(value / 5) AS BIGINT) AS term, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2)""",
+            f"ks AS (SELECT unnest(range(0, {k})) AS c)",
+            "w0 AS (SELECT term, c, ((term + 1) * (c + 3) * 7919 % 1000 + 1) / 1000.0::DOUBLE AS mu FROM (SELECT DISTINCT term FROM n), ks)",
+            f"p0 AS (SELECT c, 1.0::DOUBLE / {k} AS prior FROM ks)"]
+    for r in range(epochs):
+        ctes.append(f"m{r} AS (SELECT term, c, ln((mu + 1e-10) / sum(mu + 1e-10) OVER (PARTITION BY c)) AS lm FROM w{r})")
+        ctes.append(f"j{r} AS (SELECT doc, c, sum(n * lm) + ln(any_value(prior) + 1e-10) AS j FROM n JOIN m{r} USING (term) JOIN p{r} USING (c) GROUP BY 1, 2)")
+        ctes.append(f"t{r} AS (SELECT doc, c, exp(j - max(j) OVER (PARTITION BY doc)) AS x FROM j{r})")
+        ctes.append(f"g{r} AS (SELECT doc, c, x / sum(x) OVER (PARTITION BY doc) AS gamma FROM t{r})")
+        ctes.append(f"p{r + 1} AS (SELECT c, avg(gamma) AS prior FROM g{r} GROUP BY 1)")
+        ctes.append(f"w{r + 1} AS (SELECT term, c, sum(n * gamma) AS mu FROM n JOIN g{r} USING (doc) GROUP BY 1, 2)")
+    return ", ".join(ctes) + f" SELECT doc, c AS cluster, round(gamma, 5) AS share FROM g{epochs - 1}"
+
+
+@query("em_mixture", _em_sql(3))
+def em_mixture(spark, sf):
+    counts = table(spark, sf, "events").groupBy(F.col("user_id").alias("doc"), F.floor(F.col("value") / 5).cast("bigint").alias("term")) \
+        .agg(F.count("*").alias("n"))
+    start = [((F.col("term") + 1) * (c + 3) * 7919 % 1000 + 1) / 1000.0 for c in range(3)]
+    posterior, _, _ = K.em_multinomial(counts, "doc", "term", "n", k=3, epochs=3, start=start)
+    out = posterior.select("doc", F.posexplode("gamma").alias("cluster", "share"))
+    return out.select("doc", F.col("cluster").cast("bigint").alias("cluster"), F.round("share", 5).alias("share"))
+
+
 @query("em_documents")
 def em_documents(spark, sf):
-    from .textual import doc_term_counts
     posterior, _, _ = K.em_multinomial(doc_term_counts(spark, sf), "doc_id", "term_index", "n", k=4, epochs=5)
     best = F.array_position("gamma", F.array_max("gamma")) - 1
     return posterior.select(F.col("doc").alias("doc_id"), best.alias("cluster"), F.round(F.array_max("gamma"), 6).alias("share"))
@@ -334,11 +371,11 @@ def em_documents(spark, sf):
     WITH i AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS idx FROM orders GROUP BY 1),
          s AS (SELECT o_orderstatus, row_number() OVER (ORDER BY count(*) DESC, o_orderstatus) - 1 AS idx FROM orders GROUP BY 1)
     SELECT o_orderkey, CAST(s.idx AS DOUBLE) AS status_index, CAST(i.idx AS DOUBLE) AS priority_index,
-           concat_ws(',', CAST(o_totalprice AS BIGINT), array_to_string(list_transform(range(0, 3), lambda x: (x = s.idx)::INT), ','),
+           concat_ws(',', CAST(floor(o_totalprice) AS BIGINT), array_to_string(list_transform(range(0, 3), lambda x: (x = s.idx)::INT), ','),
                      array_to_string(list_transform(range(0, 5), lambda x: (x = i.idx)::INT), ',')) AS features
     FROM orders JOIN i USING (o_orderpriority) JOIN s USING (o_orderstatus)""")
 def feature_vectors(spark, sf):
-    orders = table(spark, sf, "orders").select("o_orderkey", F.round("o_totalprice").alias("price"),
+    orders = table(spark, sf, "orders").select("o_orderkey", F.floor("o_totalprice").cast("double").alias("price"),
                                                F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"))
     ready = L.feature_pipeline(["status", "priority"], ["price"]).fit(orders).transform(orders)
     flat = F.transform(vector_to_array("features"), lambda v: v.cast("bigint").cast("string"))
@@ -389,25 +426,27 @@ def self_taught(spark, sf):
     return L.compare_classifiers(few, test, {"raw": plain, "self_taught": plain.copy({plain.featuresCol: "taught"})})
 
 
+def _charges(spark, sf):
+    charge = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
+    return table(spark, sf, "lineitem").withColumn("charge", charge)
+
+
 @query("backward_aic")
 def backward_aic(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    path = L.backward_aic(lines, ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+    path = L.backward_aic(_charges(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "charge")
     return spark.createDataFrame([(s, f, round(a, 3)) for s, f, a in path], "step int, features string, aic double")
 
 
 @query("significant_coefs")
 def significant_coefs(spark, sf):
-    found = L.significant_coefs(table(spark, sf, "lineitem"), ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "l_extendedprice")
+    found = L.significant_coefs(_charges(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "charge")
     return spark.createDataFrame(found, "feature string, coefficient double, p_value double, sign string")
 
 
 @query("text_classifier")
 def text_classifier(spark, sf):
     from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-    tokens = table(spark, sf, "documents").select(
-        "doc_id", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
-    weights = T.tfidf(tokens, "doc_id", "term", min_df=.05)
+    weights = document_tfidf(spark, sf, min_df=.05)
     vocab = T.vocab_index(weights.select("term").distinct(), "term")
     size = vocab.count()
     labelled = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))

@@ -20,8 +20,8 @@ _TOKEN_SQL = "regexp_extract_all(text, '([A-Za-z]\\w+(?:[-''?]\\w+)?)', 1)"
 _TFIDF_TOKENS = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '(\\w\\w+)', 1)) AS term FROM documents"
 _VOCAB_SQL = f"""
     SELECT w AS term, count(DISTINCT doc_id) AS df FROM ({_WORDS}) WHERE w <> '' GROUP BY 1
-    HAVING count(DISTINCT doc_id) >= 0.03 * (SELECT count(*) FROM documents WHERE regexp_matches(text, '[A-Za-z]'))
-       AND count(DISTINCT doc_id) < 0.95 * (SELECT count(*) FROM documents WHERE regexp_matches(text, '[A-Za-z]'))"""
+    HAVING count(DISTINCT doc_id) >= 0.03 * (SELECT count(*) FROM documents)
+       AND count(DISTINCT doc_id) < 0.95 * (SELECT count(*) FROM documents)"""
 
 
 @query("word_count", f"SELECT w AS word, count(*) AS n FROM ({_WORDS}) WHERE w <> '' GROUP BY 1")
@@ -104,7 +104,11 @@ def merge_bigrams(spark, sf):
 
 @query("df_pruned_vocab", _VOCAB_SQL)
 def df_pruned_vocab(spark, sf):
-    return T.prune_vocab(document_words(spark, sf, "doc_id").withColumnRenamed("w", "term"), "doc_id", "term")
+    return T.prune_vocab(_word_counts(spark, sf), "term", T.document_count(table(spark, sf, "documents")))
+
+
+def _word_counts(spark, sf):
+    return T.term_counts(document_words(spark, sf, "doc_id").withColumnRenamed("w", "term"), "doc_id", "term")
 
 
 def _indexed_vocab(spark, sf):
@@ -123,8 +127,7 @@ _COUNTS_SQL = f"""
 
 @query("doc_term_counts", _COUNTS_SQL)
 def doc_term_counts(spark, sf):
-    words = document_words(spark, sf, "doc_id").withColumnRenamed("w", "term")
-    return T.doc_term_counts(words, "doc_id", "term", _indexed_vocab(spark, sf))
+    return T.doc_term_counts(_word_counts(spark, sf), "doc_id", "term", _indexed_vocab(spark, sf))
 
 
 @query("sparse_vector_text", f"""
@@ -151,16 +154,20 @@ def stemmed_vocab(spark, sf):
 
 
 @query("tfidf_weights", f"""
-    WITH tok AS ({_TFIDF_TOKENS}), n AS (SELECT CAST(count(DISTINCT doc_id) AS DOUBLE) AS n FROM tok),
+    WITH tok AS ({_TFIDF_TOKENS}), n AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM documents),
          v AS (SELECT term, ln((1 + n.n) / (1 + df)) + 1 AS idf FROM (
              SELECT term, count(DISTINCT doc_id) AS df FROM tok GROUP BY 1), n WHERE df >= 8 AND df < 0.95 * n.n),
          raw AS (SELECT doc_id, term, (1 + ln(c)) * idf AS w FROM (SELECT doc_id, term, count(*) AS c FROM tok GROUP BY 1, 2)
                  JOIN v USING (term))
     SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""")
 def tfidf_weights(spark, sf):
-    tokens = table(spark, sf, "documents").select(
-        "doc_id", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
-    return T.tfidf(tokens, "doc_id", "term").withColumn("weight", F.round("weight", 6))
+    return document_tfidf(spark, sf).withColumn("weight", F.round("weight", 6))
+
+
+def document_tfidf(spark, sf, min_df=8):
+    docs = table(spark, sf, "documents")
+    tokens = docs.select("doc_id", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
+    return T.tfidf(T.term_counts(tokens, "doc_id", "term"), "doc_id", "term", T.document_count(docs), min_df)
 
 
 @query("social_clean", """
