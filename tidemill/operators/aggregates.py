@@ -7,6 +7,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
 from .ordering import index_within, quantiles
 
 
@@ -54,20 +55,24 @@ def iqr_bounds(df: DataFrame, value: str, by: Sequence[str] = (), t: float = 1.5
 
 
 def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Count, distinct, mean, deviation, extremes, quartiles, most frequent value and its frequency per column."""
+    """Count, distinct, mean, deviation, extremes, quartiles, most frequent value and its frequency per column.
+
+    The moments come from one wide aggregation; everything that needs order or
+    frequency works on the value counts, which are taken once.
+    """
+    moments = df.agg(*[F.struct(F.lit(c).alias("variable"), F.count(c).alias("n"), F.avg(c).alias("mean"),
+                                F.stddev_samp(c).alias("std"), F.min(F.col(c).cast("double")).alias("minimum"),
+                                F.max(F.col(c).cast("double")).alias("maximum")).alias(f"s{i}") for i, c in enumerate(cols)])
+    basic = moments.select(F.explode(F.array(*[F.col(f"s{i}") for i in range(len(cols))])).alias("e")).select("e.*")
     long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols])).alias("_e")) \
-        .select("_e.*").where(F.col("value").isNotNull())
-    counts = long.groupBy("variable", "value").agg(F.count("*").alias("n"))
+        F.struct(F.lit(c).alias("variable"), F.col(c).cast("double").alias("value")) for c in cols])).alias("e")).select("e.*")
+    counts = cut_lineage(long.where(F.col("value").isNotNull()).groupBy("variable", "value").agg(F.count("*").alias("freq")))
     top = (counts.groupBy("variable")
                  .agg(F.count("*").alias("n_distinct"),
-                      F.min(F.struct((-F.col("n")).alias("neg"), F.col("value").alias("v"))).alias("_b"))
+                      F.min(F.struct((-F.col("freq")).alias("neg"), F.col("value").alias("v"))).alias("_b"))
                  .select("variable", "n_distinct", F.col("_b.v").alias("top"), (-F.col("_b.neg")).alias("freq")))
-    basic = long.groupBy("variable").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("minimum"), F.max("value").alias("maximum"))
-    quart = quantiles(long, "value", [0.25, 0.5, 0.75], ["variable"], ["q1", "median", "q3"])
-    return basic.join(top, "variable").join(quart, "variable")
+    quart = quantiles(counts, "value", [0.25, 0.5, 0.75], ["variable"], ["q1", "median", "q3"], weight="freq")
+    return basic.join(top, "variable", "left").join(quart, "variable", "left")
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:

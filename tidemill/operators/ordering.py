@@ -23,7 +23,8 @@ def global_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
 
     Rows are range-partitioned and sorted, kept in reliable storage together with
     their place in the partition, and shifted by the sizes of the partitions before
-    them. The driver sees one count per partition.
+    them. The driver sees one count per partition. ``order`` should end in a unique key:
+    equal sort keys cannot be spread over several partitions.
     """
     order = _columns(order)
     placed = (df.repartitionByRange(shuffle_width(df.sparkSession), *order)
@@ -31,12 +32,7 @@ def global_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
                 .withColumn("_slot", F.monotonically_increasing_id()))
     placed = cut_lineage(placed)
     part = F.shiftright("_slot", 33).cast("int")
-    sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
-    offsets, total = [], 0
-    for p in range(max(sizes, default=0) + 1):
-        offsets.append(total)
-        total += sizes.get(p, 0)
-    before = F.expr("array(" + ",".join(f"{o}L" for o in offsets) + ")")
+    before = _offsets(placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect())
     position = F.element_at(before, part + 1) + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
     return placed.withColumn(name, (position * step + start).cast("bigint")).drop("_slot")
 
@@ -121,29 +117,58 @@ def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus
 
 
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
     """Exact quantiles with linear interpolation, one column (``p0, p1, ...``) per requested level.
 
-    The values are sorted by (group, value) across the cluster; only the two
-    neighbours of every wanted position are then picked up by their index.
+    Equal values are counted before anything moves, so a value that fills a third of the
+    table is one row. The distinct (group, value) pairs are range-sorted across the
+    cluster, given the index range their copies cover, and the pair covering each wanted
+    position is picked by an ordinary aggregate: no group is gathered in one task. With ``weight``
+    each row stands for that many copies of its value.
     """
     by, names = list(by), names or [f"p{i}" for i in range(len(qs))]
-    kept = df.where(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    indexed = global_index(kept, [*by, "_v"], name="_idx")
-    groups = indexed.groupBy(*by).agg(F.min("_idx").alias("_lo"), F.count("*").alias("_n"))
-    levels = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
-    at = F.col("_lo") + (F.col("_n") - 1) * F.col("_level.q")
-    wanted = (groups.withColumn("_level", F.explode(levels))
-                    .withColumn("_below", F.floor(at).cast("bigint"))
-                    .withColumn("_frac", at - F.floor(at)))
-    need = wanted.select(*by, F.col("_level.i").alias("_i"), "_frac",
-                         F.explode(F.array(
-                             F.struct(F.col("_below").alias("idx"), (F.lit(1.0) - F.col("_frac")).alias("w")),
-                             F.struct((F.col("_below") + F.when(F.col("_frac") > 0, 1).otherwise(0)).alias("idx"),
-                                      F.col("_frac").alias("w")))).alias("_p"))
-    picked = need.join(indexed.select(F.col("_idx").alias("_at"), "_v"), F.col("_p.idx") == F.col("_at"))
-    return picked.groupBy(*by).agg(*[
-        F.sum(F.when(F.col("_i") == i, F.col("_p.w") * F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    counts = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v"))
+                .agg((F.count("*") if weight is None else F.sum(weight)).alias("_n")))
+    ranges = _running_ranges(counts, [*by, "_v"], "_n")
+    groups = ranges.groupBy(*by).agg(F.min("_from").alias("_lo"), F.sum("_n").alias("_total"))
+    if by:
+        placed = _join_null_safe(ranges, groups, by)
+    else:
+        one = groups.select(F.struct("*")).scalar()
+        placed = ranges.withColumns({"_lo": one["_lo"], "_total": one["_total"]})
+    low, high = [], []
+    for q in qs:
+        at = (F.col("_total") - 1) * float(q)
+        covers = lambda pos: (F.col("_from") <= F.col("_lo") + pos) & (F.col("_lo") + pos < F.col("_from") + F.col("_n"))
+        low.append(F.max(F.when(covers(F.floor(at)), F.col("_v"))))
+        high.append(F.max(F.when(covers(F.ceil(at)), F.col("_v"))))
+    picked = placed.groupBy(*by).agg(
+        F.max("_total").alias("_total"), *[x.alias(f"_l{i}") for i, x in enumerate(low)],
+        *[x.alias(f"_h{i}") for i, x in enumerate(high)])
+    part = lambda q: (F.col("_total") - 1) * float(q) - F.floor((F.col("_total") - 1) * float(q))
+    return picked.select(*by, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * part(q)).alias(n)
+                                for i, (q, n) in enumerate(zip(qs, names))])
+
+
+def _running_ranges(df: DataFrame, order: Sequence[str], weight: str) -> DataFrame:
+    """Add ``_from``, the total weight of all rows before each row along ``order``."""
+    placed = (df.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order)
+                .withColumn("_slot", F.monotonically_increasing_id()))
+    placed = cut_lineage(placed).withColumn("_part", F.shiftright("_slot", 33).cast("int"))
+    before = _offsets(placed.groupBy("_part").agg(F.sum(weight).alias("n")).collect())
+    running = F.sum(weight).over(Window.partitionBy("_part").orderBy("_slot"))
+    return (placed.withColumn("_from", F.element_at(before, F.col("_part") + 1) + running - F.col(weight))
+                  .drop("_slot", "_part"))
+
+
+def _offsets(sizes: list) -> Column:
+    """Literal array of the running totals before each partition, from (_part, n) rows."""
+    by_part = {r["_part"]: r["n"] for r in sizes}
+    offsets, total = [], 0
+    for p in range(max(by_part, default=0) + 1):
+        offsets.append(total)
+        total += by_part.get(p, 0)
+    return F.expr("array(" + ",".join(f"{o}L" for o in offsets) + ")")
 
 
 def medians(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:

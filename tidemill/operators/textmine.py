@@ -14,8 +14,8 @@ MAX_LITERAL_WORDS = 1000
 
 
 def count_words(df: DataFrame, tokens: Column, keep: Sequence[str] = ()) -> DataFrame:
-    """Word counts of an array-of-words expression."""
-    return df.select(*keep, F.explode(tokens).alias("word")).groupBy(*keep, "word").agg(F.count("*").alias("n"))
+    """Word counts of an array-of-words expression; empty words are dropped."""
+    return df.select(*keep, F.explode(tokens).alias("word")).where("word <> ''").groupBy(*keep, "word").agg(F.count("*").alias("n"))
 
 
 def drop_words(df: DataFrame, word: str, stop: Sequence[str] | DataFrame) -> DataFrame:

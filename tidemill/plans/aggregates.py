@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.text import words
 from ..operators import aggregates as A
 from ..operators.ordering import medians
 from ..sources.tables import table
+from .ordering import document_words
 from .registry import query
 
 # Lower edges of the score bands.
@@ -101,7 +101,7 @@ def share_pct(spark, sf):
           FROM (SELECT lang, unnest(string_split(lower(regexp_replace(regexp_replace(text, '[\\r\\n]', ' ', 'g'), '[^A-Za-z ]', '', 'g')), ' ')) AS w FROM documents)
           WHERE w <> '' GROUP BY 1, 2) GROUP BY 1""")
 def avg_occurrence(spark, sf):
-    tokens = table(spark, sf, "documents").select("lang", F.explode(words(F.translate("text", "\r\n", "  "))).alias("w"))
+    tokens = document_words(spark, sf, "lang")
     counts = tokens.groupBy("lang", "w").agg(F.count("*").alias("n"))
     return counts.groupBy("lang").agg(F.sum("n").alias("total"), F.count("*").alias("n_distinct"),
                                       F.round(F.sum("n") / F.count("*"), 4).alias("avg_occurrence"))

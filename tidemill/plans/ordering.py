@@ -2,9 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from ..functions.text import words
+from ..functions.text import clean_line
 from ..operators import aggregates as A, ordering as O, reshape as R
-from ..sources.tables import table
+from ..sources.tables import documents, table
 from .registry import query
 
 _WORDS = """SELECT doc_id, lang, unnest(string_split(lower(regexp_replace(regexp_replace(text, '[\\r\\n]', ' ', 'g'),
@@ -12,7 +12,8 @@ _WORDS = """SELECT doc_id, lang, unnest(string_split(lower(regexp_replace(regexp
 
 
 def document_words(spark, sf, *keep):
-    return table(spark, sf, "documents").select(*keep, F.explode(words(F.translate("text", "\r\n", "  "))).alias("w"))
+    line = clean_line(F.translate("text", "\r\n", "  "))
+    return documents(spark, sf).select(*keep, F.explode(F.split(line, " ")).alias("w")).where("w <> ''")
 
 
 @query("argsort_rank", """

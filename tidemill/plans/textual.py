@@ -7,7 +7,7 @@ from ..functions.stem import stem
 from ..operators import textmine as T
 from ..session import scratch_path
 from ..sources import readers, sinks
-from ..sources.tables import table
+from ..sources.tables import documents, table
 from .ordering import _WORDS, document_words
 from .registry import query
 
@@ -26,7 +26,7 @@ _VOCAB_SQL = f"""
 
 @query("word_count", f"SELECT w AS word, count(*) AS n FROM ({_WORDS}) WHERE w <> '' GROUP BY 1")
 def word_count(spark, sf):
-    return T.count_words(table(spark, sf, "documents"), X.words(F.translate("text", "\r\n", "  ")))
+    return T.count_words(documents(spark, sf), F.split(X.clean_line(F.translate("text", "\r\n", "  ")), " "))
 
 
 @query("word_count_nostop", f"""
@@ -39,7 +39,7 @@ def word_count_nostop(spark, sf):
     SELECT doc_id, CAST(len({_TOKEN_SQL}) AS BIGINT) AS n_tokens, md5(array_to_string({_TOKEN_SQL}, ' ')) AS tokens
     FROM documents""")
 def regex_tokens(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", X.regex_tokens(F.col("text")).alias("t"))
+    docs = documents(spark, sf).select("doc_id", X.regex_tokens(F.col("text")).alias("t"))
     return docs.select("doc_id", F.size("t").cast("bigint").alias("n_tokens"), F.md5(F.array_join("t", " ")).alias("tokens"))
 
 
@@ -57,7 +57,7 @@ def section_slice(spark, sf):
     FROM documents""")
 def dehyphenate(spark, sf):
     broken = F.replace("text", F.lit("tion"), F.lit("ti- on"))
-    return table(spark, sf, "documents").select("doc_id", F.md5(X.dehyphenate(broken)).alias("joined"))
+    return documents(spark, sf).select("doc_id", F.md5(X.dehyphenate(broken)).alias("joined"))
 
 
 @query("sentence_split", """
@@ -65,7 +65,7 @@ def dehyphenate(spark, sf):
     FROM (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\\s+([A-Z])', '\\1' || chr(31) || '\\2', 'g'), chr(31)) AS parts
           FROM documents), unnest(generate_series(1, len(parts))) AS u(i)""")
 def sentence_split(spark, sf):
-    out = table(spark, sf, "documents").select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("pos", "s"))
+    out = documents(spark, sf).select("doc_id", F.posexplode(X.sentences(F.col("text"))).alias("pos", "s"))
     return out.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.md5("s").alias("sentence"))
 
 
@@ -82,7 +82,7 @@ def _lower_tokens():
 
 @query("top_bigrams", f"{_BIGRAM_SQL} SELECT a, b, n FROM top")
 def top_bigrams(spark, sf):
-    return T.top_bigrams(table(spark, sf, "documents"), _lower_tokens(), STOP_WORDS)
+    return T.top_bigrams(documents(spark, sf), _lower_tokens(), STOP_WORDS)
 
 
 @query("merge_bigrams", f"""{_BIGRAM_SQL},
@@ -95,7 +95,7 @@ def top_bigrams(spark, sf):
     SELECT doc_id, count(*) AS n_tokens, md5(string_agg(CASE WHEN starts THEN w || '__' || nxt ELSE w END, ' ' ORDER BY i)) AS tokens
     FROM outs WHERE NOT eaten GROUP BY 1""")
 def merge_bigrams(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     pairs = [(r["a"], r["b"]) for r in T.top_bigrams(docs, _lower_tokens(), STOP_WORDS).collect()]
     merged = T.merge_bigrams(docs.select("doc_id", _lower_tokens().alias("t")), F.col("t"), pairs, "t")
     return merged.where(F.size("t") > 0).select(
@@ -149,7 +149,7 @@ def vocabulary_text(spark, sf):
 
 @query("stemmed_vocab")
 def stemmed_vocab(spark, sf):
-    words = table(spark, sf, "documents").select(F.explode(_lower_tokens()).alias("term"))
+    words = documents(spark, sf).select(F.explode(_lower_tokens()).alias("term"))
     return T.stem_vocab(words, "term", stem)
 
 
@@ -165,7 +165,7 @@ def tfidf_weights(spark, sf):
 
 
 def document_tfidf(spark, sf, min_df=8):
-    docs = table(spark, sf, "documents")
+    docs = documents(spark, sf)
     tokens = docs.select("doc_id", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
     return T.tfidf(T.term_counts(tokens, "doc_id", "term"), "doc_id", "term", T.document_count(docs), min_df)
 
@@ -193,5 +193,5 @@ def concat_by_owner(spark, sf):
     SELECT d.doc_id, count(DISTINCT w) AS n_words FROM documents d
     LEFT JOIN (SELECT doc_id, w FROM ({_WORDS}) WHERE w <> '') x ON d.doc_id = x.doc_id GROUP BY 1""")
 def vocab_size(spark, sf):
-    return table(spark, sf, "documents").select(
+    return documents(spark, sf).select(
         "doc_id", X.vocab_size(F.translate("text", "\r\n", "  ")).cast("bigint").alias("n_words"))
