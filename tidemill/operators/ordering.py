@@ -122,43 +122,33 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
 
     Equal values are counted before anything moves, so a value that fills a third of the
     table is one row. The distinct (group, value) pairs are range-sorted across the
-    cluster, given the index range their copies cover, and the pair covering each wanted
-    position is picked by an ordinary aggregate: no group is gathered in one task. With ``weight``
+    cluster and given the positions their copies cover within the group; the pair covering
+    each wanted position is picked by an ordinary aggregate. A hot group is many partitions. With ``weight``
     each row stands for that many copies of its value.
     """
     by, names = list(by), names or [f"p{i}" for i in range(len(qs))]
     counts = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v"))
                 .agg((F.count("*") if weight is None else F.sum(weight)).alias("_n")))
-    ranges = _running_ranges(counts, [*by, "_v"], "_n")
-    groups = ranges.groupBy(*by).agg(F.min("_from").alias("_lo"), F.sum("_n").alias("_total"))
-    if by:
-        placed = _join_null_safe(ranges, groups, by)
-    else:
-        one = groups.select(F.struct("*")).scalar()
-        placed = ranges.withColumns({"_lo": one["_lo"], "_total": one["_total"]})
-    low, high = [], []
-    for q in qs:
-        at = (F.col("_total") - 1) * float(q)
-        covers = lambda pos: (F.col("_from") <= F.col("_lo") + pos) & (F.col("_lo") + pos < F.col("_from") + F.col("_n"))
-        low.append(F.max(F.when(covers(F.floor(at)), F.col("_v"))))
-        high.append(F.max(F.when(covers(F.ceil(at)), F.col("_v"))))
-    picked = placed.groupBy(*by).agg(
-        F.max("_total").alias("_total"), *[x.alias(f"_l{i}") for i, x in enumerate(low)],
-        *[x.alias(f"_h{i}") for i, x in enumerate(high)])
-    part = lambda q: (F.col("_total") - 1) * float(q) - F.floor((F.col("_total") - 1) * float(q))
-    return picked.select(*by, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * part(q)).alias(n)
-                                for i, (q, n) in enumerate(zip(qs, names))])
-
-
-def _running_ranges(df: DataFrame, order: Sequence[str], weight: str) -> DataFrame:
-    """Add ``_from``, the total weight of all rows before each row along ``order``."""
-    placed = (df.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order)
-                .withColumn("_slot", F.monotonically_increasing_id()))
+    order = [*by, "_v"]
+    placed = (counts.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order)
+                    .withColumn("_slot", F.monotonically_increasing_id()))
     placed = cut_lineage(placed).withColumn("_part", F.shiftright("_slot", 33).cast("int"))
-    before = _offsets(placed.groupBy("_part").agg(F.sum(weight).alias("n")).collect())
-    running = F.sum(weight).over(Window.partitionBy("_part").orderBy("_slot"))
-    return (placed.withColumn("_from", F.element_at(before, F.col("_part") + 1) + running - F.col(weight))
-                  .drop("_slot", "_part"))
+    # a group's share of each partition: at most one row per group and partition it touches
+    shares = placed.groupBy("_part", *by).agg(F.sum("_n").alias("_s"))
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    shares = shares.select("_part", *by, F.sum("_s").over(group).alias("_total"),
+                           (F.sum("_s").over(group.orderBy("_part")) - F.col("_s")).alias("_before"))
+    running = F.sum("_n").over(Window.partitionBy("_part", *by).orderBy("_slot"))
+    spots = (_join_null_safe(placed, shares, ["_part", *by])
+             .withColumn("_from", F.col("_before") + running - F.col("_n")))
+    covers = lambda pos: (F.col("_from") <= pos) & (pos < F.col("_from") + F.col("_n"))
+    at = [(F.col("_total") - 1) * float(q) for q in qs]
+    picked = spots.groupBy(*by).agg(
+        F.max("_total").alias("_total"),
+        *[F.max(F.when(covers(F.floor(p)), F.col("_v"))).alias(f"_l{i}") for i, p in enumerate(at)],
+        *[F.max(F.when(covers(F.ceil(p)), F.col("_v"))).alias(f"_h{i}") for i, p in enumerate(at)])
+    return picked.select(*by, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * (p - F.floor(p))).alias(n)
+                                for i, (p, n) in enumerate(zip(at, names))])
 
 
 def _offsets(sizes: list) -> Column:

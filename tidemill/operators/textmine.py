@@ -103,9 +103,9 @@ def tfidf(counts: DataFrame, doc: str, term: str, n_docs: Column, min_df: float
     """Sublinear tf times smooth idf, L2-normalised per document, in long form (doc, term, weight)."""
     vocab = prune_vocab(counts, term, n_docs, min_df, max_df)
     idf = vocab.select(term, (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    raw = counts.join(idf, term).select(doc, term, ((F.log("n") + 1) * F.col("idf")).alias("w"))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(doc)))
-    return raw.select(doc, term, (F.col("w") / norm).alias("weight"))
+    raw = counts.join(idf, term).select(doc, term, ((F.log("n") + 1) * F.col("idf")).alias("_w"))
+    norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))
+    return raw.select(doc, term, (F.col("_w") / norm).alias("weight"))
 
 
 def concat_by(df: DataFrame, owner: str, order: str, text: str, separator: str = " ",
