@@ -1 +1,8 @@
 """tidemill: data operators for Spark, each a plain function from DataFrames to a DataFrame."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The small helpers that run inside tasks travel with the job, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -22,6 +22,8 @@ from ..session import cut_lineage, shuffle_width
 SMALL_SIDE_NUMBERS = 4_000_000   # vector components one task may hold of a shared side
 BLOCK_ROWS = 20_000              # rows of one cell slice
 TILE_NUMBERS = 4_000_000         # components of one distance tile
+LOW_DIM = 8                      # up to here most cells can be ruled out
+LOW_DIM_ROWS = 20_000
 
 
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
@@ -82,6 +84,8 @@ def knn_join(queries: DataFrame, rows: DataFrame, k: int, metric: str = "l2", ex
     if first is None:
         raise ValueError("there are no rows to search")
     limit = max(1, small_side // max(1, first[0]))
+    if first[0] <= LOW_DIM:
+        limit = min(limit, LOW_DIM_ROWS)     # beyond this, ruling out cells beats comparing everything
     if rows.limit(limit + 1).count() <= limit:
         found = _search_small_rows(queries, rows, k, metric, exclude_self, out)
     elif queries.limit(limit // max(1, k) + 1).count() <= limit // max(1, k):
@@ -126,18 +130,36 @@ def _search_small_queries(queries, rows, k, metric, exclude_self, out):
     return rows.mapInPandas(search, out)
 
 
+def _pivots(rows: DataFrame, block: int, count: int | None) -> np.ndarray:
+    """Cell centres, drawn by id hash.
+
+    In few dimensions bounds rule out most cells, so many small ones pay (about the square
+    root of the rows). In many dimensions a query visits most cells, so there are only as many as blocks.
+    """
+    if count is None:
+        n, dim = rows.agg(F.count("*"), F.max(F.size("rvec"))).first()
+        count = int(min(4096, max(8, n ** 0.5 if dim <= LOW_DIM else n / block)))
+    return _matrix(rows.orderBy(F.xxhash64("rid"), "rid").limit(count).toPandas()["rvec"])
+
+
+def _slabs(batches: Iterator[pd.DataFrame], width: int) -> Iterator[pd.DataFrame]:
+    """Cut Arrow batches so that a slab times ``width`` numbers stays bounded."""
+    step = max(1, TILE_NUMBERS // max(1, width))
+    for pdf in batches:
+        for i in range(0, len(pdf), step):
+            yield pdf.iloc[i:i + step].reset_index(drop=True)
+
+
 def _search_cells(queries, rows, k, metric, exclude_self, out, block, pivots):
     qtype, rtype = (f.dataType.simpleString() for f in (queries.schema["qid"], rows.schema["rid"]))
     need = k + 1 if exclude_self else k
-    count = pivots or int(min(1024, max(8, np.sqrt(rows.count() / 1000))))
-    centres = _matrix(rows.orderBy(F.xxhash64("rid"), "rid").limit(count).toPandas()["rvec"])
+    centres = _pivots(rows, block, pivots)
 
     def to_cells(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = distances(_matrix(pdf["rvec"]), centres, metric)
-                cell = d.argmin(axis=1)
-                yield pdf.assign(cell=cell, reach=d[np.arange(len(d)), cell])
+        for pdf in _slabs(batches, len(centres)):
+            d = distances(_matrix(pdf["rvec"]), centres, metric)
+            cell = d.argmin(axis=1)
+            yield pdf.assign(cell=cell, reach=d[np.arange(len(d)), cell])
 
     placed = cut_lineage(rows.mapInPandas(to_cells, f"rid {rtype}, rvec array<double>, cell bigint, reach double"))
     sizes = {r["cell"]: (r["n"], r["r"]) for r in
@@ -155,9 +177,7 @@ def _search_cells(queries, rows, k, metric, exclude_self, out, block, pivots):
     kept = centres[cells]
 
     def route(batches):
-        for pdf in batches:
-            if not len(pdf):
-                continue
+        for pdf in _slabs(batches, len(cells) * need):
             d = distances(_matrix(pdf["qvec"]), kept, metric)
             # the need-th smallest upper bound over all cells is a bound on the k-th distance
             upper = (d[:, :, None] + close[None, :, :]).reshape(len(d), -1)
