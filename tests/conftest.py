@@ -13,6 +13,8 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "tests", memory="4g")
+    # small test tables stay in several partitions, as large ones would
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield session
     session.stop()
 

@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import cut_lineage, shuffle_width
+from ..session import cut_lineage, spread
 
 SMALL_SIDE_NUMBERS = 4_000_000   # vector components one task may hold of a shared side
 BLOCK_ROWS = 20_000              # rows of one cell slice
@@ -106,9 +106,7 @@ def _search_small_rows(queries, rows, k, metric, exclude_self, out):
             if len(pdf):
                 yield _nearest(pdf["qid"].to_numpy(), _matrix(pdf["qvec"]), rid, rmat, k, metric, exclude_self)
 
-    # the comparisons outweigh the shuffle by far, so they are spread over all tasks
-    width = shuffle_width(queries.sparkSession)
-    return queries.repartition(width, "qid").mapInPandas(search, out)
+    return spread(queries, "qid").mapInPandas(search, out)
 
 
 def _search_small_queries(queries, rows, k, metric, exclude_self, out):

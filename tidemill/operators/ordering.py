@@ -10,41 +10,64 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..session import cut_lineage, shuffle_width
+from ..session import cut_lineage
 
 
 def _columns(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
 
+def _range_sorted(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """Rows sorted across the cluster and kept in reliable storage, with their partition and place in it.
+
+    The number of partitions is left to adaptive execution, which merges neighbours only, so
+    partitions stay in sort order.
+    """
+    placed = (df.repartitionByRange(*order).sortWithinPartitions(*order)
+                .withColumn("_slot", F.monotonically_increasing_id()))
+    return cut_lineage(placed).withColumns({"_part": F.shiftright("_slot", 33).cast("int"),
+                                            "_slot": F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))})
+
+
 def global_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx", start: int = 0,
                  step: int = 1) -> DataFrame:
     """Number all rows ``start, start+step, ...`` along ``order`` without a one-partition sort.
 
-    Rows are range-partitioned and sorted, kept in reliable storage together with
-    their place in the partition, and shifted by the sizes of the partitions before
-    them. The driver sees one count per partition. ``order`` should end in a unique key:
-    equal sort keys cannot be spread over several partitions.
+    Every row is shifted by the sizes of the partitions before its own; the driver
+    sees one count per partition. ``order`` should end in a unique key: equal sort keys
+    cannot be spread over several partitions.
     """
-    order = _columns(order)
-    placed = (df.repartitionByRange(shuffle_width(df.sparkSession), *order)
-                .sortWithinPartitions(*order)
-                .withColumn("_slot", F.monotonically_increasing_id()))
-    placed = cut_lineage(placed)
-    part = F.shiftright("_slot", 33).cast("int")
-    before = _offsets(placed.groupBy(part.alias("_part")).agg(F.count("*").alias("n")).collect())
-    position = F.element_at(before, part + 1) + F.col("_slot").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.withColumn(name, (position * step + start).cast("bigint")).drop("_slot")
+    placed = _range_sorted(df, _columns(order))
+    before = _offsets(placed.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    position = F.element_at(before, F.col("_part") + 1) + F.col("_slot")
+    return placed.withColumn(name, (position * step + start).cast("bigint")).drop("_slot", "_part")
 
 
 def index_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "pos") -> DataFrame:
-    """0-based position of every row inside its group; a hot group is still sorted by many tasks."""
-    indexed = global_index(df, [*_columns(by), *_columns(order)], name="_idx")
-    if not by:
-        return indexed.withColumnRenamed("_idx", name)
-    first = indexed.groupBy(*by).agg(F.min("_idx").alias("_first"))
-    return (_join_null_safe(indexed, first, by)
-            .withColumn(name, F.col("_idx") - F.col("_first")).drop("_idx", "_first"))
+    """0-based position of every row inside its group; a hot group is many partitions throughout."""
+    by = list(by)
+    placed = _range_sorted(df, [*_columns(by), *_columns(order)])
+    shares = _group_shares(placed.groupBy("_part", *by).agg(F.count("*").alias("_s"), F.min("_slot").alias("_at")), by, "_at")
+    return (_join_null_safe(placed, shares.drop("_total"), ["_part", *by])
+            .withColumn(name, (F.col("_before") + F.col("_slot") - F.col("_at")).cast("bigint"))
+            .drop("_before", "_at", "_slot", "_part"))
+
+
+def _group_shares(shares: DataFrame, by: Sequence[str], *keep: str) -> DataFrame:
+    """From each group's size ``_s`` per partition: its ``_total``, and how much of it lies in partitions before."""
+    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    return shares.select("_part", *by, *keep, F.sum("_s").over(group).alias("_total"),
+                         (F.sum("_s").over(group.orderBy("_part")) - F.col("_s")).alias("_before"))
+
+
+def _offsets(sizes: list) -> Column:
+    """Literal array of the running totals before each partition, from (_part, n) rows."""
+    by_part = {r["_part"]: r["n"] for r in sizes}
+    offsets, total = [], 0
+    for p in range(max(by_part, default=0) + 1):
+        offsets.append(total)
+        total += by_part.get(p, 0)
+    return F.expr("array(" + ",".join(f"{o}L" for o in offsets) + ")")
 
 
 def _join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -129,15 +152,9 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
     by, names = list(by), names or [f"p{i}" for i in range(len(qs))]
     counts = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v"))
                 .agg((F.count("*") if weight is None else F.sum(weight)).alias("_n")))
-    order = [*by, "_v"]
-    placed = (counts.repartitionByRange(shuffle_width(df.sparkSession), *order).sortWithinPartitions(*order)
-                    .withColumn("_slot", F.monotonically_increasing_id()))
-    placed = cut_lineage(placed).withColumn("_part", F.shiftright("_slot", 33).cast("int"))
-    # a group's share of each partition: at most one row per group and partition it touches
-    shares = placed.groupBy("_part", *by).agg(F.sum("_n").alias("_s"))
-    group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    shares = shares.select("_part", *by, F.sum("_s").over(group).alias("_total"),
-                           (F.sum("_s").over(group.orderBy("_part")) - F.col("_s")).alias("_before"))
+    placed = _range_sorted(counts, _columns([*by, "_v"]))
+    # at most one row per group and partition it touches
+    shares = _group_shares(placed.groupBy("_part", *by).agg(F.sum("_n").alias("_s")), by)
     running = F.sum("_n").over(Window.partitionBy("_part", *by).orderBy("_slot"))
     spots = (_join_null_safe(placed, shares, ["_part", *by])
              .withColumn("_from", F.col("_before") + running - F.col("_n")))
@@ -151,16 +168,6 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
                                 for i, (p, n) in enumerate(zip(at, names))])
 
 
-def _offsets(sizes: list) -> Column:
-    """Literal array of the running totals before each partition, from (_part, n) rows."""
-    by_part = {r["_part"]: r["n"] for r in sizes}
-    offsets, total = [], 0
-    for p in range(max(by_part, default=0) + 1):
-        offsets.append(total)
-        total += by_part.get(p, 0)
-    return F.expr("array(" + ",".join(f"{o}L" for o in offsets) + ")")
-
-
 def medians(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
     return quantiles(df, value, [0.5], by, [name])
 

@@ -63,5 +63,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shuffle_width(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal a small table out by ``key`` for CPU-heavy work when it has fewer partitions than there are cores.
+
+    A table that already fills the cluster is returned unchanged, so large inputs are never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df

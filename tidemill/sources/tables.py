@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import spread
+
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
     "nation": "n_nationkey int, n_name string, n_regionkey int",
@@ -29,14 +31,5 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Deal a small table out by ``key`` for CPU-heavy work when its scan has fewer splits than there are cores.
-
-    A scan that already fills the cluster is returned unchanged, so large inputs are never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(table(spark, folder, "documents"), "doc_id")
