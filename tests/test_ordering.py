@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -28,31 +29,46 @@ def test_global_index_of_nothing(spark):
     assert O.global_index(df.where("false"), ["id"]).count() == 0
 
 
-def test_index_within_groups(spark):
+both_plans = pytest.mark.parametrize("group_rows", [O.GROUP_ROWS, 5])
+
+
+@both_plans
+def test_index_within_groups(spark, group_rows):
     pdf, df = skewed(spark)
-    out = O.index_within(df, ["k"], ["v", "id"]).toPandas().set_index("id")["pos"]
+    out = O.index_within(df, ["k"], ["v", "id"], group_rows=group_rows).toPandas().set_index("id")["pos"]
     want = pdf.sort_values(["k", "v", "id"]).groupby("k").cumcount()
     want.index = pdf.sort_values(["k", "v", "id"])["id"]
     assert (out.sort_index() == want.sort_index()).all()
 
 
-def test_quantiles_match_numpy(spark):
+@both_plans
+def test_quantiles_match_numpy(spark, group_rows):
     pdf, df = skewed(spark)
     qs = [0, .1, .25, .5, .9, 1]
-    for r in O.quantiles(df, "v", qs, ["k"]).collect():
+    for r in O.quantiles(df, "v", qs, ["k"], group_rows=group_rows).collect():
         want = np.quantile(pdf.loc[pdf["k"] == r["k"], "v"], qs)
         assert np.allclose([r[f"p{i}"] for i in range(len(qs))], want)
     assert np.allclose(list(O.quantiles(df, "v", qs).first()), np.quantile(pdf["v"], qs))
 
 
-def test_quantiles_keep_null_groups_and_skip_null_values(spark):
+@both_plans
+def test_weighted_quantiles(spark, group_rows):
+    pdf, df = skewed(spark)
+    counts = df.groupBy("k", "v").agg(F.count("*").alias("n"))
+    for r in O.quantiles(counts, "v", [.25, .5], ["k"], weight="n", group_rows=group_rows).collect():
+        assert np.allclose([r["p0"], r["p1"]], np.quantile(pdf.loc[pdf["k"] == r["k"], "v"], [.25, .5]))
+
+
+@pytest.mark.parametrize("group_rows", [O.GROUP_ROWS, 1])
+def test_quantiles_keep_null_groups_and_skip_null_values(spark, group_rows):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", None), ("a", 5.0)], "k string, v double")
-    assert rows(O.medians(df, "v", ["k"]), "k") == [(None, 2.0), ("a", 5.0)]
+    assert rows(O.medians(df, "v", ["k"], group_rows=group_rows), "k") == [(None, 2.0), ("a", 5.0)]
 
 
-def test_rolling_mean_over_block_borders(spark):
+@both_plans
+def test_rolling_mean_over_block_borders(spark, group_rows):
     pdf, df = skewed(spark)
-    out = O.rolling_mean(df, ["k"], ["id"], "v", 7, block=10).toPandas().set_index("id")["rolling_mean"].sort_index()
+    out = O.rolling_mean(df, ["k"], ["id"], "v", 7, block=10, group_rows=group_rows).toPandas().set_index("id")["rolling_mean"].sort_index()
     want = pdf.sort_values("id").groupby("k")["v"].transform(lambda s: s.rolling(7, center=True, min_periods=1).mean())
     assert len(out) == len(pdf) and np.allclose(out, want)
 

@@ -13,6 +13,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..session import cut_lineage
 
 
+GROUP_ROWS = 1_000_000   # a group up to this size may be sorted by one task
+
+
+def _groups_fit(df: DataFrame, by: Sequence[str], limit: int) -> bool:
+    """Whether every group has at most ``limit`` rows; only the keys are read."""
+    if not by:
+        return False
+    biggest = df.groupBy(*by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    return (biggest or 0) <= limit
+
+
 def _columns(names: Sequence[str | Column]) -> list[Column]:
     return [F.col(n) if isinstance(n, str) else n for n in names]
 
@@ -43,9 +54,17 @@ def global_index(df: DataFrame, order: Sequence[str | Column], name: str = "idx"
     return placed.withColumn(name, (position * step + start).cast("bigint")).drop("_slot", "_part")
 
 
-def index_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "pos") -> DataFrame:
-    """0-based position of every row inside its group; a hot group is many partitions throughout."""
+def index_within(df: DataFrame, by: Sequence[str], order: Sequence[str | Column], name: str = "pos",
+                 group_rows: int = GROUP_ROWS) -> DataFrame:
+    """0-based position of every row inside its group.
+
+    Groups of checked size are numbered by a window. If one is larger, all rows are
+    range-sorted and a hot group is many partitions throughout.
+    """
     by = list(by)
+    if _groups_fit(df, by, group_rows):
+        window = Window.partitionBy(*by).orderBy(*_columns(order))
+        return df.withColumn(name, (F.row_number().over(window) - 1).cast("bigint"))
     placed = _range_sorted(df, [*_columns(by), *_columns(order)])
     shares = _group_shares(placed.groupBy("_part", *by).agg(F.count("*").alias("_s"), F.min("_slot").alias("_at")), by, "_at")
     return (_join_null_safe(placed, shares.drop("_total"), ["_part", *by])
@@ -140,18 +159,24 @@ def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus
 
 
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),
-              names: Sequence[str] | None = None, weight: str | None = None) -> DataFrame:
+              names: Sequence[str] | None = None, weight: str | None = None,
+              group_rows: int = GROUP_ROWS) -> DataFrame:
     """Exact quantiles with linear interpolation, one column (``p0, p1, ...``) per requested level.
 
-    Equal values are counted before anything moves, so a value that fills a third of the
+    Groups of checked size use the built-in exact percentile. If one is larger, equal values are counted before anything moves, so a value that fills a third of the
     table is one row. The distinct (group, value) pairs are range-sorted across the
     cluster and given the positions their copies cover within the group; the pair covering
     each wanted position is picked by an ordinary aggregate. A hot group is many partitions. With ``weight``
     each row stands for that many copies of its value.
     """
     by, names = list(by), names or [f"p{i}" for i in range(len(qs))]
-    counts = (df.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).cast("double").alias("_v"))
-                .agg((F.count("*") if weight is None else F.sum(weight)).alias("_n")))
+    kept = df.where(F.col(value).isNotNull()).select(
+        *by, F.col(value).cast("double").alias("_v"), (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("_n"))
+    if _groups_fit(kept, by, group_rows):
+        levels = F.percentile("_v", [float(q) for q in qs], F.col("_n")) if weight else F.percentile("_v", [float(q) for q in qs])
+        return (kept.groupBy(*by).agg(levels.alias("_q"))
+                    .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
+    counts = kept.groupBy(*by, "_v").agg(F.sum("_n").alias("_n"))
     placed = _range_sorted(counts, _columns([*by, "_v"]))
     # at most one row per group and partition it touches
     shares = _group_shares(placed.groupBy("_part", *by).agg(F.sum("_n").alias("_s")), by)
@@ -168,21 +193,23 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
                                 for i, (p, n) in enumerate(zip(at, names))])
 
 
-def medians(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median") -> DataFrame:
-    return quantiles(df, value, [0.5], by, [name])
+def medians(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "median", **plan) -> DataFrame:
+    return quantiles(df, value, [0.5], by, [name], **plan)
 
 
 def rolling_mean(df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, n: int,
-                 name: str = "rolling_mean", block: int = 100_000) -> DataFrame:
+                 name: str = "rolling_mean", block: int = 100_000, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Centred mean of width ``n`` (odd), truncated at both ends of each series.
 
-    A long series is cut in blocks; the ``n // 2`` rows next to a cut are sent to the
+    Series of checked length use one window. If one is longer, series are cut in blocks; the ``n // 2`` rows next to a cut are sent to the
     neighbouring block too, so each window runs over a bounded block and is still exact.
     """
     half = n // 2
     if half >= block:
         raise ValueError("the block must be longer than half the window")
-    placed = index_within(df, by, order, name="_pos")
+    if _groups_fit(df, by, group_rows):
+        return df.withColumn(name, F.avg(value).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(-half, half)))
+    placed = index_within(df, by, order, name="_pos", group_rows=group_rows)
     home = F.floor(F.col("_pos") / block).cast("bigint")
     reach = F.array_distinct(F.array(F.floor((F.col("_pos") - half) / block).cast("bigint"), home,
                                      F.floor((F.col("_pos") + half) / block).cast("bigint")))

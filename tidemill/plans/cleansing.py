@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates as D, numeric as N
 from ..operators import cleansing as C, modify as M, ordering as O
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import query
 
@@ -161,7 +162,8 @@ _FEATURES = ["l_quantity", "l_discount", "l_linenumber"]
 
 
 def _fit(spark, sf):
-    return C.group_linear_fit(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], _FEATURES, "l_extendedprice")
+    fit = C.group_linear_fit(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], _FEATURES, "l_extendedprice")
+    return cut_lineage(fit)     # one row per group, used by several branches
 
 
 @query("group_linear_fit", f"""{_FIT_SQL}
@@ -216,7 +218,6 @@ def impute_by_rule(spark, sf):
         F.expr("if(o_orderkey % 5 = 2, null, element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)))").alias("code"),
         F.when(F.col("o_orderkey") % 7 != 1, km).alias("km"), (F.col("o_orderkey") % 4 == 0).alias("loyal"),
         F.when(F.col("o_orderkey") % 13 != 6, F.col("o_totalprice")).alias("fee"))
-    # distances are learned per customer from the orders that have one, as from a path table
     whole = C.impute_by_rule(C.repair_code(gaps, "order_id", "code", BRANCH_PREFIX), {"km": km})
     model = C.group_linear_fit(whole.where(F.col("fee").isNotNull()), ["code"], ["km"], "fee")
     scored = C.predict_linear(whole, model, ["code"], ["km"])
