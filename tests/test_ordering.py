@@ -117,3 +117,11 @@ def test_top_per_key_keeps_ties_apart(spark):
     df = spark.createDataFrame([("a", i, 1) for i in range(5)], "k string, id int, n int")
     out = O.top_per_key(df, ["k"], [F.desc("n"), F.asc("id")], 2)
     assert sorted(r["id"] for r in out.collect()) == [0, 1]
+
+
+def test_many_columns_correlate_like_few(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(200, 3)), columns=list("abc")))
+    few = rows(A.correlation_matrix(df, ["a", "b", "c"]), "a", "b")
+    monkeypatch.setattr(A, "MANY_COLUMNS", 2)
+    assert rows(A.correlation_matrix(df, ["a", "b", "c"]), "a", "b") == few

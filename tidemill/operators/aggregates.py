@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .ordering import index_within, quantiles
 
 
+MANY_COLUMNS = 30
+
+
 def daily_stats(df: DataFrame, ts: str, value: str, digits: int = 3) -> DataFrame:
     """Sum, mean, sample standard deviation, maximum and minimum per calendar day."""
     stats = {"total": F.sum, "mean": F.avg, "std": F.stddev_samp, "maximum": F.max, "minimum": F.min}
@@ -76,7 +81,15 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """All pairwise Pearson correlations in one pass, as rows (a, b, corr) for both orders."""
+    """All pairwise Pearson correlations in one pass, as rows (a, b, corr) for both orders.
+
+    Above ``MANY_COLUMNS`` the matrix comes from Spark ML, which skips rows with a NULL.
+    """
+    if len(cols) > MANY_COLUMNS:
+        vectors = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df).select("_v")
+        m = Correlation.corr(vectors, "_v").first()[0].toArray()
+        rows = [(a, b, round(float(m[i, j]), digits)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
+        return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
     pairs = list(combinations(cols, 2))
     wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     entries = [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.round(f"`{a}|{b}`", digits).alias("corr"))

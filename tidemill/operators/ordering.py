@@ -173,7 +173,7 @@ def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str]
     kept = df.where(F.col(value).isNotNull()).select(
         *by, F.col(value).cast("double").alias("_v"), (F.lit(1) if weight is None else F.col(weight)).cast("bigint").alias("_n"))
     if _groups_fit(kept, by, group_rows):
-        levels = F.percentile("_v", [float(q) for q in qs], F.col("_n")) if weight else F.percentile("_v", [float(q) for q in qs])
+        levels = F.percentile("_v", [float(q) for q in qs], F.col("_n"))
         return (kept.groupBy(*by).agg(levels.alias("_q"))
                     .select(*by, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)]))
     counts = kept.groupBy(*by, "_v").agg(F.sum("_n").alias("_n"))

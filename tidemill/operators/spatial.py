@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numeric import EARTH_KM, unit_sphere
+from ..session import cut_lineage
 from .neighbors import knn_join
 
 
@@ -20,8 +21,8 @@ def nearest_join(left: DataFrame, right: DataFrame, left_xy: tuple[str, str], ri
     place = F.concat_ws("|", *[F.col(c).cast("double").cast("string") for c in left_xy])
     spots = left.where(F.col(left_xy[0]).isNotNull() & F.col(left_xy[1]).isNotNull()) \
         .select(place.alias("_spot"), unit_sphere(*[F.col(c) for c in left_xy]).alias("_v")).dropDuplicates(["_spot"])
-    sites = right.groupBy(*right_xy).agg(F.min(right_id).alias("_id")) \
-        .select("_id", unit_sphere(*[F.col(c) for c in right_xy]).alias("_v"))
+    sites = cut_lineage(right.groupBy(*right_xy).agg(F.min(right_id).alias("_id"))
+                        .select("_id", unit_sphere(*[F.col(c) for c in right_xy]).alias("_v")))
     chord = F.least(F.col("dist") / 2, F.lit(1.0))
     found = knn_join(spots, sites, 1, "l2", **plan).select(
         F.col("qid").alias("_spot"), F.col("rid").alias(name),

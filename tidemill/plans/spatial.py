@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ..functions.dates import seconds_of_day
-from ..operators import graph as G, joins as J, spatial as S
+from ..operators import graph as G, joins as J, ordering as O, spatial as S
 from ..sources.tables import table
 from .registry import query
 
@@ -123,12 +123,11 @@ def travel_time_to_hub(spark, sf):
     LEFT JOIN first_kind f ON f.user_id = c.c_custkey LEFT JOIN ride ON ride.event_type = f.event_type
     LEFT JOIN before ON before.c_nationkey = c.c_nationkey LEFT JOIN nation ON c.c_nationkey = n_nationkey""")
 def integrated_table(spark, sf):
-    from ..operators.ordering import first_per_key
     points = customer_points(spark, sf)
     out = S.point_in_polygon(points, nation_polygons(spark, sf), ("lon", "lat"), "n_nationkey", "ring", "n_name")
     out = S.nearest_join(out, supplier_points(spark, sf), ("lon", "lat"), ("s_lon", "s_lat"), "s_suppkey")
     stops = table(spark, sf, "events").select("user_id", "event_type", "ts", "event_id")
-    kinds = first_per_key(stops, ["user_id"], ["ts", "event_id"]).select("user_id", "event_type")
+    kinds = O.first_per_key(stops, ["user_id"], ["ts", "event_id"]).select("user_id", "event_type")
     minutes = kinds.join(_travel(spark, sf), "event_type").select(F.col("user_id").alias("c_custkey"), "minutes")
     out = out.join(minutes, "c_custkey", "left")
     out = J.above_group_median(out, ["c_mktsegment", "c_nationkey"], "c_acctbal")

@@ -167,7 +167,8 @@ def tfidf_weights(spark, sf):
 def document_tfidf(spark, sf, min_df=8):
     docs = documents(spark, sf)
     tokens = docs.select("doc_id", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
-    return T.tfidf(T.term_counts(tokens, "doc_id", "term"), "doc_id", "term", T.document_count(docs), min_df)
+    n_docs = T.document_count(table(spark, sf, "documents"))
+    return T.tfidf(T.term_counts(tokens, "doc_id", "term"), "doc_id", "term", n_docs, min_df)
 
 
 @query("social_clean", """
