@@ -152,6 +152,17 @@ def top_per_key(df: DataFrame, by: Sequence[str], order: Sequence[Column], n: in
     return df.withColumn("_rn", F.row_number().over(window)).where(F.col("_rn") <= n).drop("_rn")
 
 
+def side_by_side(tops: dict[str, DataFrame], term: str, order: Sequence[Column], n: int = 10) -> DataFrame:
+    """Top lists next to each other, aligned by rank: (rank, one column per list); a short list leaves NULLs."""
+    out = None
+    for name, top in tops.items():
+        best = top.orderBy(*order).limit(n)                 # n rows, so one task may number them
+        ranked = best.select(F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order)).alias("rank"),
+                             F.col(term).alias(name))
+        out = ranked if out is None else out.join(ranked, "rank", "full")
+    return out
+
+
 def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 104729) -> DataFrame:
     """Exactly ``n`` rows without replacement, drawn by a scrambled key instead of a random number."""
     scrambled = (F.col(key) * multiplier) % modulus

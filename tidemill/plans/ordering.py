@@ -75,6 +75,25 @@ def top10_terms(spark, sf):
     return O.top_per_key(counts, ["lang"], [F.desc("n"), F.asc("term")], 10)
 
 
+def _word_sql(table_name, column):
+    return f"""SELECT w, row_number() OVER (ORDER BY count(*) DESC, w) AS rank FROM (SELECT unnest(string_split(lower(
+        regexp_replace(regexp_replace({column}, '[\\r\\n]', ' ', 'g'), '[^A-Za-z ]', '', 'g')), ' ')) AS w FROM {table_name})
+        WHERE length(w) > 2 GROUP BY 1"""
+
+
+@query("top10_side_by_side", f"""
+    SELECT CAST(rank AS INT) AS rank, d.w AS documents, c.w AS conversations, b.w AS benchmark
+    FROM ({_word_sql('documents', 'text')}) d JOIN ({_word_sql('conversations', 'text')}) c USING (rank)
+    JOIN ({_word_sql('benchmark', 'text')}) b USING (rank) WHERE rank <= 10""")
+def top10_side_by_side(spark, sf):
+    tops = {}
+    for name in ("documents", "conversations", "benchmark"):
+        line = clean_line(F.translate("text", "\r\n", "  "))
+        tokens = table(spark, sf, name).select(F.explode(F.split(line, " ")).alias("w")).where(F.length("w") > 2)
+        tops[name] = tokens.groupBy("w").agg(F.count("*").alias("n"))
+    return O.side_by_side(tops, "w", [F.desc("n"), F.asc("w")])
+
+
 @query("argbest_row", """
     SELECT p_brand, p_type, mean_price FROM (
         SELECT p_brand, p_type, round(avg(CAST(p_retailprice AS DECIMAL(18,2))), 4) AS mean_price FROM part GROUP BY 1, 2)
