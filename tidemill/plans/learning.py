@@ -64,6 +64,17 @@ def knn_k_sweep(spark, sf):
     return both.groupBy("k").agg(F.round(F.avg(F.pow(F.col("pred") - F.col("label"), 2)), 6).alias("mse"), F.count("*").alias("n"))
 
 
+@query("knn_vote_sweep", f"""WITH {_KNN_SQL}, votes AS (SELECT q, any_value(truth) AS truth, k, label, count(*) AS n FROM ranked JOIN (SELECT unnest(range(1, 31)) AS k) ON rn <= k GROUP BY q, k, label
+    QUALIFY row_number() OVER (PARTITION BY q, k ORDER BY count(*) DESC, label) = 1)
+    SELECT k, round(avg((label <> truth)::INT), 6) AS error, count(*) AS n FROM votes GROUP BY 1""")
+def knn_vote_sweep(spark, sf):
+    train, test, found = _neighbours(spark, sf, 30)
+    preds = NN.knn_predictions(found, train, "vec_id", "label", list(range(1, 31)), vote="mode")
+    both = preds.join(test.select(F.col("vec_id").alias("qid"), "label"), "qid")
+    wrong = F.when(F.col("pred") == F.col("label"), 0.0).otherwise(1.0)
+    return both.groupBy("k").agg(F.round(F.avg(wrong), 6).alias("error"), F.count("*").alias("n"))
+
+
 def _cv_sql(excluded, extra=""):
     return f"""WITH v AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS i, count(*) OVER () AS n FROM ({_VEC})),
     r AS (SELECT a.vec_id AS q, a.label AS truth, b.label, row_number() OVER (PARTITION BY a.vec_id ORDER BY {_L1}, b.vec_id) AS rn

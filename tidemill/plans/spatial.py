@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import seconds_of_day
 from ..operators import graph as G, joins as J, ordering as O, spatial as S
 from ..sources.tables import table
+from .joins import ABBREVIATIONS
 from .registry import query
 
 
@@ -109,6 +110,18 @@ def travel_time_to_hub(spark, sf):
     return _travel(spark, sf)
 
 
+def _school_ranks(spark, sf):
+    """(nation, school_rank): a ranking whose names are spelled out, matched to abbreviated school names."""
+    nation = table(spark, sf, "nation")
+    schools = nation.select(F.col("n_name").alias("nation"), F.concat("n_name", F.lit(" Sec Coll")).alias("name"))
+    ranking = table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.count("*").alias("school_rank")) \
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey")) \
+        .select(F.concat("n_name", F.lit(" Secondary College")).alias("name"), "school_rank")
+    matched = J.reconcile_names(schools, ranking, "name", ABBREVIATIONS).select("name", "match")
+    found = matched.join(ranking.withColumnRenamed("name", "match"), "match").select("name", "school_rank")
+    return schools.join(found, "name").select("nation", "school_rank")
+
+
 @query("integrated_table", f"""WITH {_NEAREST_SQL}, {_AREA_SQL}, {_TRAVEL_SQL},
     first_kind AS (SELECT user_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1),
     yearly AS (SELECT c_nationkey, CAST(year(o_orderdate) AS INT) AS y, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2),
@@ -117,11 +130,13 @@ def travel_time_to_hub(spark, sf):
     med AS (SELECT c_mktsegment, c_nationkey, median(c_acctbal) AS med FROM customer GROUP BY 1, 2)
     SELECT c.c_custkey, coalesce(area, 'not available') AS area, nearest, round(m, 2) AS nearest_m,
            coalesce(ride.minutes, -1) AS minutes, CASE WHEN c_acctbal > med THEN 1 ELSE 0 END AS above_median,
-           coalesce(crime_mean, -1) AS crime_mean, coalesce(n_name, 'not available') AS nation
+           coalesce(crime_mean, -1) AS crime_mean, coalesce(n_name, 'not available') AS nation,
+           coalesce(school_rank, -1) AS school_rank
     FROM c LEFT JOIN area ON c.c_custkey = area.c_custkey JOIN near ON c.c_custkey = near.c_custkey
     JOIN med ON c.c_mktsegment = med.c_mktsegment AND c.c_nationkey = med.c_nationkey
     LEFT JOIN first_kind f ON f.user_id = c.c_custkey LEFT JOIN ride ON ride.event_type = f.event_type
-    LEFT JOIN before ON before.c_nationkey = c.c_nationkey LEFT JOIN nation ON c.c_nationkey = n_nationkey""")
+    LEFT JOIN before ON before.c_nationkey = c.c_nationkey LEFT JOIN nation ON c.c_nationkey = n_nationkey
+    LEFT JOIN (SELECT s_nationkey, count(*) AS school_rank FROM supplier GROUP BY 1) k ON k.s_nationkey = c.c_nationkey""")
 def integrated_table(spark, sf):
     points = customer_points(spark, sf)
     out = S.point_in_polygon(points, nation_polygons(spark, sf), ("lon", "lat"), "n_nationkey", "ring", "n_name")
@@ -137,6 +152,7 @@ def integrated_table(spark, sf):
         .select("c_nationkey", F.round("crime_mean", 6).alias("crime_mean"))
     out = out.join(before, "c_nationkey", "left")
     out = J.lookup(out, "c_nationkey", table(spark, sf, "nation"), "n_nationkey", "n_name", "nation", F.lit("not available"))
+    out = out.join(_school_ranks(spark, sf), "nation", "left")
     return out.select("c_custkey", "area", "nearest", F.round("nearest_m", 2).alias("nearest_m"),
-                      F.coalesce("minutes", F.lit(-1.0)).alias("minutes"), "above_median",
+                      F.coalesce("school_rank", F.lit(-1)).alias("school_rank"), F.coalesce("minutes", F.lit(-1.0)).alias("minutes"), "above_median",
                       F.coalesce("crime_mean", F.lit(-1.0)).alias("crime_mean"), "nation")
