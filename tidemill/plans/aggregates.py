@@ -161,12 +161,12 @@ def mode_value(spark, sf):
 
 
 @query("iqr_bounds", """
-    SELECT event_type, round(q1, 4) AS q1, round(q3, 4) AS q3, round(q1 - 1.5 * (q3 - q1), 4) AS lower,
-           round(q3 + 1.5 * (q3 - q1), 4) AS upper
+    SELECT event_type, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS lower,
+           round(q3 + 1.5 * (q3 - q1), 6) AS upper
     FROM (SELECT event_type, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events GROUP BY 1)""")
 def iqr_bounds(spark, sf):
     out = A.iqr_bounds(table(spark, sf, "events"), "value", by=["event_type"])
-    return out.select("event_type", *[F.round(c, 4).alias(c) for c in ("q1", "q3", "lower", "upper")])
+    return out.select("event_type", *[F.round(c, 6).alias(c) for c in ("q1", "q3", "lower", "upper")])
 
 
 _DESCRIBE = ["l_quantity", "l_extendedprice", "l_discount"]
