@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import shared_dir
 
 SPACES = r"[\x20\x09-\x0D]+"
+WORD = r"[^\x20\x09-\x0D]+"
 HOT_CLASSES = 1000
 
 
@@ -19,8 +20,20 @@ def packed(docs: DataFrame) -> Column:
 
 def n_words(text: Column) -> Column:
     """Number of words between ASCII white space; 0 for null."""
-    stripped = F.regexp_replace(text, f"^{SPACES}|{SPACES}$", "")
-    return F.when(F.coalesce(stripped, F.lit("")) == "", 0).otherwise(F.size(F.split(stripped, SPACES))).cast("long")
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def count_upto(values: Column, x: Column) -> Column:
+    """How many entries of the sorted array ``values`` are at most ``x``, by halving steps over its index."""
+    steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+    steps = F.filter(steps, lambda s: s <= F.size(values))
+    return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
+        (at + s <= F.size(values)) & (F.get(values, at + s - 1) <= x), at + s).otherwise(at))
+
+
+def uniform(*keys: Column | str) -> Column:
+    """A number from 0 up to 1 that depends on ``keys`` alone."""
+    return F.call_function("shiftrightunsigned", F.xxhash64(*keys), F.lit(11)) / float(1 << 53)
 
 
 def bucketed_stage(df: DataFrame, key: str) -> DataFrame:

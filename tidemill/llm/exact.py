@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import SPACES, bucketed_stage, join_classes, packed
+from .common import SPACES, bucketed_stage, count_upto, join_classes, packed
 
 ROWS_PER_OWNER = 20_000     # an owner is worth a task
 HASHES_PER_LIST = 64        # and a list should hold as many hashes on average
@@ -115,15 +115,6 @@ def _suspects(owners: int):
     return decode
 
 
-def _holds(values: Column, x: Column) -> Column:
-    """Whether the sorted array ``values`` holds ``x``, by halving steps over its index."""
-    steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
-    steps = F.filter(steps, lambda s: s <= F.size(values))
-    place = F.aggregate(steps, F.lit(0), lambda at, s: F.when(
-        (at + s <= F.size(values)) & (F.get(values, at + s - 1) <= x), at + s).otherwise(at))
-    return F.coalesce(F.get(values, place - 1) == x, F.lit(False))
-
-
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
     """The rows with ``id, sha, fp, rid, row`` and ``suspect``, and their number."""
     norm = F.regexp_replace(F.coalesce(F.col(text_col), F.lit("")), SPACES, " ")
@@ -140,7 +131,9 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     suspects = (lists.join(answers, ["run", "chunk", "owner"]).groupBy("run")
                 .applyInPandas(_suspects(owners), "run long, suspects array<long>"))
     marked = staged.join(suspects.hint("shuffle_hash"), "run", "left")
-    return marked.withColumn("suspect", _holds("suspects", F.col("fp"))).drop("suspects", "run"), total
+    place = count_upto(F.col("suspects"), F.col("fp")) - 1
+    suspect = F.coalesce(F.get("suspects", place) == F.col("fp"), F.lit(False))
+    return marked.withColumn("suspect", suspect).drop("suspects", "run"), total
 
 
 def _classes(suspects: DataFrame, text_col: str, *keep: str) -> DataFrame:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact
+from . import exact, mixing, secrets, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -34,3 +34,61 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
 def op8_exact_dedup(spark, folder):
     """Every document with the row that stays of its exact copies."""
     return exact.exact_duplicates(documents(spark, folder))
+
+
+@query("op1_sampled_shards")
+def op1_sampled_shards(spark, folder):
+    """Every document with its shard and slot; shards hold nearly equal bytes."""
+    placed = sharding.shard_documents(documents(spark, folder), shards=16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op3_pivotal_mix")
+def op3_pivotal_mix(spark, folder):
+    """Every document with the words the mix takes of it."""
+    units = mixing.mix(documents(spark, folder))
+    return units.select(F.col("id").alias("doc_id"), "size", "source_size", "target",
+                        (F.col("copies") * F.col("size")).alias("taken"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), "n")).alias("member")).drop("member")
+
+
+def _secrets_sql() -> str:
+    """The same spans in SQL: matches by position, then a correlated search of each weak one's scope."""
+    kinds = ", ".join("({}, '{}', '{}', {}, '{}')".format(i, k[0], k[1].replace("'", "''"), k[3], k[4])
+                      for i, k in enumerate(secrets.KINDS))
+    return f"""
+    with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
+    kinds(kind_no, kind, pattern, least, role) as (values {kinds}),
+    lists as (select rid, kind_no, kind, least, role, regexp_extract_all(t, pattern) as found,
+                     regexp_extract_all(t, pattern, 1) as vals, string_split_regex(t, pattern) as gaps
+              from d, kinds where regexp_matches(t, pattern)),
+    one as (select rid, kind_no, kind, least, role, unnest(range(1, len(found) + 1)) as i, found, vals, gaps from lists),
+    ends as (select rid, kind_no, kind, role, length(vals[i]) >= least as valid, length(found[i]) as n,
+                    sum(length(gaps[i]) + length(found[i])) over (partition by rid, kind_no order by i)::bigint as e from one),
+    parts as (select rid, kind_no, kind, role, e - n as s, e from ends where valid),
+    kept as (select * from parts p where kind_no < {secrets.SURE} or (
+        not exists (select 1 from parts q where q.rid = p.rid and q.kind_no < {secrets.SURE} and q.s < p.e and q.e > p.s)
+        and (role = 'secret' or exists (select 1 from parts q where q.rid = p.rid and q.role = 'secret'
+             and q.e >= p.s - {secrets.SCOPE} and q.s <= p.e + {secrets.SCOPE}))
+        and (role = 'identifier' or exists (select 1 from parts q where q.rid = p.rid and q.role = 'identifier'
+             and q.e >= p.s - {secrets.SCOPE} and q.s <= p.e + {secrets.SCOPE})))),
+    digest as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
+        count(*) filter (kind = 'hex') as n_hex,
+        string_agg(kind || ':' || s || ':' || e, ',' order by s, kind_no) filter (kind_no < {secrets.SURE}) as base,
+        string_agg(kind || ':' || s || ':' || e, ',' order by s, kind_no) as spans from kept group by rid)
+    select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+           sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+    from d left join digest using (rid)"""
+
+
+@query("op4_linked_secrets", _secrets_sql())
+def op4_linked_secrets(spark, folder):
+    """Every document with its secrets."""
+    found = secrets.find_secrets(documents(spark, folder))
+    kinds = F.transform("spans", lambda s: s["kind"])
+    count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
+             for k in ("assign", "access", "hex")]
+    base = secrets.written(F.filter("spans", lambda s: s["kind_no"] < secrets.SURE))
+    return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"),
+                        secrets.written(F.col("spans")).alias("spans"))
