@@ -65,7 +65,8 @@ def targets(units: DataFrame, weights: tuple[float, ...], cap: float) -> DataFra
 def _pivot(last: bool):
     """mapInArrow over rows sorted by (key, chunk): decide all but one document of each chunk.
 
-    ``coin`` is a uniform number per row, ``mass`` its words. With ``last`` the remaining one is drawn as well.
+    ``coin`` is a uniform number per row, ``mass`` its words. A coin that has decided a pair is stretched back
+    to a uniform number. With ``last`` the remaining one is drawn as well.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held = None, None          # held: [row, probability, mass, coin] of the open document
@@ -94,10 +95,11 @@ def _pivot(last: bool):
                 other, q, weight, its_coin = held
                 gain = min(weight * (1 - q), mass * p)       # words the held one could take over
                 loss = min(weight * q, mass * (1 - p))       # words it could give away
-                if coin * (gain + loss) < loss:
-                    q, p = q + gain / weight, p - gain / mass
+                odds = loss / (gain + loss)
+                if coin < odds:
+                    q, p, coin = q + gain / weight, p - gain / mass, coin / odds
                 else:
-                    q, p = q - loss / weight, p + loss / mass
+                    q, p, coin = q - loss / weight, p + loss / mass, (coin - odds) / (1 - odds)
                 if EDGE < q < 1 - EDGE:
                     out.append(done(row, float(round(p)), False))
                     held = [other, q, weight, its_coin]
@@ -139,7 +141,8 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
     width, level, decided = math.ceil(widest / ROWS_PER_CHUNK), 0, []
     while True:
         coins = rows.withColumn("coin", uniform("id", "h", "size", F.lit(f"{SEED} {level}")))
-        coins = coins.repartition("key", "chunk").sortWithinPartitions("key", "chunk", "coin", "id", "h", "size")
+        coins = coins.repartition("key", "chunk").sortWithinPartitions(
+            "key", "chunk", F.xxhash64("id", "h", "size", F.lit(f"{SEED} order {level}")), "id", "h", "size")
         rounded = cut_lineage(coins.mapInArrow(_pivot(last=width <= 1), _ROW))
         decided.append(rounded.filter(~F.col("open")))
         if width <= 1:
