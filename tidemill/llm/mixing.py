@@ -142,7 +142,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
     while True:
         coins = rows.withColumn("coin", uniform("id", "h", "size", F.lit(f"{SEED} {level}")))
         coins = coins.repartition("key", "chunk").sortWithinPartitions(
-            "key", "chunk", F.xxhash64("id", "h", "size", F.lit(f"{SEED} order {level}")), "id", "h", "size")
+            "key", "chunk", F.col("mass").desc(), F.xxhash64("id", "h", F.lit(SEED)), "id", "h")
         rounded = cut_lineage(coins.mapInArrow(_pivot(last=width <= 1), _ROW))
         decided.append(rounded.filter(~F.col("open")))
         if width <= 1:

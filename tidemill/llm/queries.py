@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import exact, mixing, secrets, sharding
+from . import bpe, exact, mixing, secrets, sharding, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -92,3 +92,22 @@ def op4_linked_secrets(spark, folder):
     base = secrets.written(F.filter("spans", lambda s: s["kind_no"] < secrets.SURE))
     return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"),
                         secrets.written(F.col("spans")).alias("spans"))
+
+
+def vocabulary(spark: SparkSession):
+    """The public byte-level vocabulary and its pattern."""
+    import public_tokenizers
+
+    return bpe.load_ranks(spark, public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+@query("op7_bpe_transducer")
+def op7_bpe_transducer(spark, folder):
+    """Every document encoded and decoded again, as digests."""
+    return bpe.round_trip(documents(spark, folder), *vocabulary(spark))
+
+
+@query("op2_simhash_vantage")
+def op2_simhash_vantage(spark, folder):
+    """Every document with its fingerprint and the component of its near duplicates."""
+    return simhash.simhash_groups(documents(spark, folder), shingle=4, max_bits=4)
