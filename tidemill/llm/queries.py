@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, mixing, secrets, sharding, simhash
+from . import bpe, exact, mixing, secrets, sharding, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -111,3 +111,17 @@ def op7_bpe_transducer(spark, folder):
 def op2_simhash_vantage(spark, folder):
     """Every document with its fingerprint and the component of its near duplicates."""
     return simhash.simhash_groups(documents(spark, folder), shingle=4, max_bits=4)
+
+
+@query("op9_norm_sorted_topk", """
+    with v as (select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from embeddings
+               where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    p as (select a.vec_id as query_id, b.vec_id,
+                 list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+          from v a join v b on a.vec_id % 20 = 0 and a.vec_id <> b.vec_id),
+    r as (select query_id, vec_id, score, row_number() over (partition by query_id order by score desc, vec_id) as k from p)
+    select query_id, k::int as rank, vec_id, score from r where k <= 20""")
+def op9_norm_sorted_topk(spark, folder):
+    """The 20 best inner products of every twentieth vector with all others."""
+    vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
+    return topk.top_inner_products(vectors, F.col("vec_id") % 20 == 0, k=20)
