@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, exact, mixing, secrets, sharding, simhash, topk
+from . import bpe, credentials, exact, language, mixing, sharding, simhash, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -56,7 +56,7 @@ def op3_pivotal_mix(spark, folder):
 def _secrets_sql() -> str:
     """The same spans in SQL: matches by position, then a correlated search of each weak one's scope."""
     kinds = ", ".join("({}, '{}', '{}', {}, '{}')".format(i, k[0], k[1].replace("'", "''"), k[3], k[4])
-                      for i, k in enumerate(secrets.KINDS))
+                      for i, k in enumerate(credentials.KINDS))
     return f"""
     with d as (select row_number() over () as rid, doc_id, coalesce(text, '') as t from documents),
     kinds(kind_no, kind, pattern, least, role) as (values {kinds}),
@@ -67,15 +67,15 @@ def _secrets_sql() -> str:
     ends as (select rid, kind_no, kind, role, length(vals[i]) >= least as valid, length(found[i]) as n,
                     sum(length(gaps[i]) + length(found[i])) over (partition by rid, kind_no order by i)::bigint as e from one),
     parts as (select rid, kind_no, kind, role, e - n as s, e from ends where valid),
-    kept as (select * from parts p where kind_no < {secrets.SURE} or (
-        not exists (select 1 from parts q where q.rid = p.rid and q.kind_no < {secrets.SURE} and q.s < p.e and q.e > p.s)
+    kept as (select * from parts p where kind_no < {credentials.SURE} or (
+        not exists (select 1 from parts q where q.rid = p.rid and q.kind_no < {credentials.SURE} and q.s < p.e and q.e > p.s)
         and (role = 'secret' or exists (select 1 from parts q where q.rid = p.rid and q.role = 'secret'
-             and q.e >= p.s - {secrets.SCOPE} and q.s <= p.e + {secrets.SCOPE}))
+             and q.e >= p.s - {credentials.SCOPE} and q.s <= p.e + {credentials.SCOPE}))
         and (role = 'identifier' or exists (select 1 from parts q where q.rid = p.rid and q.role = 'identifier'
-             and q.e >= p.s - {secrets.SCOPE} and q.s <= p.e + {secrets.SCOPE})))),
+             and q.e >= p.s - {credentials.SCOPE} and q.s <= p.e + {credentials.SCOPE})))),
     digest as (select rid, count(*) filter (kind = 'assign') as n_assign, count(*) filter (kind = 'access') as n_access,
         count(*) filter (kind = 'hex') as n_hex,
-        string_agg(kind || ':' || s || ':' || e, ',' order by s, kind_no) filter (kind_no < {secrets.SURE}) as base,
+        string_agg(kind || ':' || s || ':' || e, ',' order by s, kind_no) filter (kind_no < {credentials.SURE}) as base,
         string_agg(kind || ':' || s || ':' || e, ',' order by s, kind_no) as spans from kept group by rid)
     select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
            sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
@@ -85,13 +85,13 @@ def _secrets_sql() -> str:
 @query("op4_linked_secrets", _secrets_sql())
 def op4_linked_secrets(spark, folder):
     """Every document with its secrets."""
-    found = secrets.find_secrets(documents(spark, folder))
+    found = credentials.find_secrets(documents(spark, folder))
     kinds = F.transform("spans", lambda s: s["kind"])
     count = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}")
              for k in ("assign", "access", "hex")]
-    base = secrets.written(F.filter("spans", lambda s: s["kind_no"] < secrets.SURE))
+    base = credentials.written(F.filter("spans", lambda s: s["kind_no"] < credentials.SURE))
     return found.select("doc_id", *count, F.sha2(base, 256).alias("base_sha256"),
-                        secrets.written(F.col("spans")).alias("spans"))
+                        credentials.written(F.col("spans")).alias("spans"))
 
 
 def vocabulary(spark: SparkSession):
@@ -125,3 +125,13 @@ def op9_norm_sorted_topk(spark, folder):
     """The 20 best inner products of every twentieth vector with all others."""
     vectors = spark.read.parquet(f"{folder}/embeddings.parquet")
     return topk.top_inner_products(vectors, F.col("vec_id") % 20 == 0, k=20)
+
+
+@query("op10_language_centroids")
+def op10_language_centroids(spark, folder):
+    """Every document with its predicted language, learned from two thirds of the labelled ones."""
+    docs = documents(spark, folder)
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    model = language.fit(docs.filter(~held_out))
+    return docs.select("doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model, spark).alias("p")
+                       ).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
