@@ -23,10 +23,17 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def count_upto(values: Column, x: Column) -> Column:
-    """How many entries of the sorted array ``values`` are at most ``x``, by halving steps over its index."""
-    steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
-    steps = F.filter(steps, lambda s: s <= F.size(values))
+def count_upto(values: Column, x: Column, size: int | None = None) -> Column:
+    """How many entries of the sorted array ``values`` are at most ``x``, by halving steps over its index.
+
+    ``values`` should be a column or a constant that the optimizer can fold, as it is read at every step.
+    ``size``: its length, if that is known.
+    """
+    if size is None:
+        steps = F.transform(F.sequence(F.lit(30), F.lit(0)), lambda i: F.call_function("shiftleft", F.lit(1), i))
+        steps = F.filter(steps, lambda s: s <= F.size(values))
+    else:
+        steps = F.array(*[F.lit(1 << i) for i in reversed(range(size.bit_length()))]).cast("array<int>")
     return F.aggregate(steps, F.lit(0), lambda at, s: F.when(
         (at + s <= F.size(values)) & (F.get(values, at + s - 1) <= x), at + s).otherwise(at))
 

@@ -20,13 +20,13 @@ SAMPLES_PER_RANGE = 32
 
 
 def _splitters(light: DataFrame, load: float, ranges: int) -> list[int]:
-    """Upper bounds of all ranges but the last: quantiles of a sample in which a row's chance grows with its load."""
+    """First values of all ranges but the first: quantiles of a sample in which a row's chance grows with its load."""
     step = load / (ranges * SAMPLES_PER_RANGE)
     sample = light.filter(uniform("h", "id", "rid", F.lit("sample")) * step < F.col("load"))
     sample = sample.select("h", F.greatest(F.col("load"), F.lit(step)).alias("weight"))
     share = F.sum("weight").over(Window.orderBy("h")) / sample_total(sample)
     cells = sample.select("h", F.ceil(share * ranges - 1e-9).alias("cell")).filter(F.col("cell") < ranges)
-    return sorted(r[0] for r in cells.groupBy("cell").agg(F.max("h")).select("max(h)").collect())
+    return sorted(r[0] for r in cells.groupBy("cell").agg(F.max("h")).select(F.col("max(h)") + 1).collect())
 
 
 def sample_total(sample: DataFrame):
@@ -36,9 +36,9 @@ def sample_total(sample: DataFrame):
 def _cells(light: DataFrame, n: int, ranges: int) -> DataFrame:
     """``light`` with ``cell = (range, hot text or null, piece)``, none much larger than a range should be."""
     load = 2.0 * n
-    splitters = ",".join(map(str, _splitters(light, load, ranges)))
-    bounds = F.filter(F.split(F.lit(splitters), ","), lambda s: s != "").cast("array<bigint>")
-    ranged = light.withColumn("range", count_upto(bounds, F.col("h") - 1))
+    splitters = _splitters(light, load, ranges)
+    bounds = F.split(F.lit(",".join(map(str, splitters or [0]))), ",").cast("array<bigint>")   # a constant
+    ranged = light.withColumn("range", count_upto(bounds, F.col("h"), len(splitters)))
     most = load / ranges
     texts = cut_lineage(ranged.groupBy("range", "h").agg(F.sum("load").alias("load")))
     pieces = F.ceil(F.col("load") / most).cast("int")
