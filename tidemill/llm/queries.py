@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, credentials, exact, language, mixing, sharding, simhash, topk
+from . import bpe, credentials, exact, language, mixing, sharding, simhash, topk, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -135,3 +135,10 @@ def op10_language_centroids(spark, folder):
     model = language.fit(docs.filter(~held_out))
     return docs.select("doc_id", held_out.alias("held_out"), language.predict(F.col("text"), model, spark).alias("p")
                        ).select("doc_id", "held_out", "p.lang_pred", "p.score", "p.rejected")
+
+
+@query("op5_wrapper_induction")
+def op5_wrapper_induction(spark, folder):
+    """The main text of every page."""
+    texts = wrapper.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
