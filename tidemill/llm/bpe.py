@@ -17,6 +17,7 @@ import gc
 import hashlib
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -226,10 +227,17 @@ def encode(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cut, pieces, _ = _tools(vocabulary, pattern)
         for batch in batches:
-            yield pd.Series([[int(i) for i in _encoded(t, cut, pieces).split()] for t in batch])
+            yield pd.Series([np.fromstring(_encoded(t, cut, pieces), dtype=np.int32, sep=" ") for t in batch])
     return ids(text)
 
 
+def with_ids(docs: DataFrame, vocabulary: Broadcast, pattern: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with the text replaced by ``n_tokens`` and ``ids``, which hide columns of these names."""
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in (text_col, "n_tokens", "ids")]
+    ids = docs.select(*kept, encode(F.col(text_col), vocabulary, pattern).alias("ids"))
+    return ids.select(*kept, F.size("ids").cast("long").alias("n_tokens"), "ids")
+
+
 def decode(ids: Column, vocabulary: Broadcast, pattern: str, block: int = 4096) -> Column:
     """The text behind an array of token ids, decoded block by block; null for null.
 

@@ -13,106 +13,13 @@ empty. Of equal texts the row with the smallest id stays (a null id comes last;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 from .common import SPACES, bucketed_stage, count_upto, join_classes, packed
+from .exchange import exchanged
 
 ROWS_PER_OWNER = 20_000     # an owner is worth a task
-HASHES_PER_LIST = 64        # and a list should hold as many hashes on average
-FLUSH_ROWS = 2_000_000      # fingerprints a task holds before it sends lists
-
-
-def rice_code(values: np.ndarray) -> tuple[int, bytes]:
-    """Golomb-Rice code of sorted distinct uint64 values: the parameter k, and the packed bits.
-
-    The first value and then the gaps are written as quotient (unary, closed by a 0) and k low bits.
-    """
-    gaps = np.diff(values, prepend=np.uint64(0))
-    mean = float(values[-1]) / len(values)
-    k = min(63, max(0, int(np.log2(max(mean, 1.0)))))
-    quotients = (gaps >> np.uint64(k)).astype(np.int64)
-    ends = np.cumsum(quotients + 1)
-    unary = np.ones(int(ends[-1]), dtype=np.uint8)
-    unary[ends - 1] = 0
-    shifts = np.arange(k, dtype=np.uint64)
-    low = ((gaps[:, None] >> shifts) & np.uint64(1)).astype(np.uint8)
-    return k, np.packbits(np.concatenate([unary, low.ravel()])).tobytes()
-
-
-def rice_decode(n: int, k: int, code: bytes) -> np.ndarray:
-    """The ``n`` sorted values behind ``rice_code``."""
-    bits = np.unpackbits(np.frombuffer(code, dtype=np.uint8))
-    ends = np.flatnonzero(bits == 0)[:n]
-    quotients = np.diff(ends, prepend=-1) - 1
-    low = bits[ends[-1] + 1: ends[-1] + 1 + n * k].reshape(n, k).astype(np.uint64)
-    rest = (low << np.arange(k, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-    return np.cumsum((quotients.astype(np.uint64) << np.uint64(k)) + rest, dtype=np.uint64)
-
-
-def _bounds(owners: int) -> np.ndarray:
-    """First fingerprint of each owner's range."""
-    return np.array([(i << 64) // owners for i in range(owners)], dtype=np.uint64)
-
-
-def _lists(owners: int):
-    """mapInPandas: rows of (run, fp) to coded lists for the owners."""
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, chunk, held, rows = TaskContext.get().partitionId(), 0, {}, 0
-
-        def flush():
-            out, starts = [], _bounds(owners)
-            for run, pieces in held.items():
-                values, counts = np.unique(np.concatenate(pieces), return_counts=True)
-                cuts = [*np.searchsorted(values, starts), len(values)]
-                for owner, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if b > a:
-                        base = starts[owner]
-                        k, code = rice_code(values[a:b] - base)
-                        out.append((run, f"{part}.{chunk}", owner, b - a, k, code,
-                                    np.packbits(counts[a:b] > 1).tobytes()))
-            return pd.DataFrame(out, columns=["run", "chunk", "owner", "n", "k", "code", "local"])
-
-        for batch in batches:
-            for run, group in batch.groupby("run")["fp"]:
-                held.setdefault(run, []).append(group.to_numpy(np.int64).view(np.uint64))
-            rows += len(batch)
-            if rows >= FLUSH_ROWS:
-                yield flush()
-                chunk, held, rows = chunk + 1, {}, 0
-        if held:
-            yield flush()
-    return encode
-
-
-def _answers(group: pd.DataFrame) -> pd.DataFrame:
-    """applyInPandas by owner: for every list a bitmap of the fingerprints that occur more than once."""
-    lists = [rice_decode(n, k, code) for n, k, code in zip(group["n"], group["k"], group["code"], strict=True)]
-    local = [np.unpackbits(np.frombuffer(b, dtype=np.uint8))[:n].astype(bool)
-             for b, n in zip(group["local"], group["n"], strict=True)]
-    values, place, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
-    twice = (counts > 1)[place] | np.concatenate(local)
-    cuts = np.cumsum([len(x) for x in lists])[:-1]
-    return pd.DataFrame({"run": group["run"], "chunk": group["chunk"], "owner": group["owner"],
-                         "bits": [np.packbits(x).tobytes() for x in np.split(twice, cuts)]})
-
-
-def _suspects(owners: int):
-    """applyInPandas by run: its lists and the answers to the sorted fingerprints that are suspects."""
-    def decode(group: pd.DataFrame) -> pd.DataFrame:
-        starts, found = _bounds(owners), []
-        for owner, n, k, code, bits in zip(*(group[c] for c in ("owner", "n", "k", "code", "bits")), strict=True):
-            marked = np.unpackbits(np.frombuffer(bits, dtype=np.uint8))[:n].astype(bool)
-            if marked.any():
-                found.append((rice_decode(n, k, code) + starts[owner])[marked])
-        values = np.sort(np.unique(np.concatenate(found)).view(np.int64)) if found else np.empty(0, np.int64)
-        return pd.DataFrame({"run": [group["run"].iloc[0]], "suspects": [values]})
-    return decode
 
 
 def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
@@ -123,17 +30,11 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
                            F.monotonically_increasing_id().alias("rid"))
     staged = bucketed_stage(staged.withColumn("run", F.shiftright("rid", 33)), "run")
     total, runs = staged.agg(F.count("*"), F.count_distinct("run")).first()
-    owners = max(1, min(total // ROWS_PER_OWNER, total // (HASHES_PER_LIST * max(1, runs))))
-    lists = cut_lineage(staged.select("run", "fp").mapInPandas(
-        _lists(owners), "run long, chunk string, owner int, n int, k int, code binary, local binary"))
-    answers = (lists.repartition(owners, "owner").groupBy("owner")
-               .applyInPandas(_answers, "run long, chunk string, owner int, bits binary"))
-    suspects = (lists.join(answers, ["run", "chunk", "owner"]).groupBy("run")
-                .applyInPandas(_suspects(owners), "run long, suspects array<long>"))
+    suspects = exchanged(staged.select("run", "fp", F.lit(False).alias("mark")), total, runs, ROWS_PER_OWNER)
     marked = staged.join(suspects.hint("shuffle_hash"), "run", "left")
-    place = count_upto(F.col("suspects"), F.col("fp")) - 1
-    suspect = F.coalesce(F.get("suspects", place) == F.col("fp"), F.lit(False))
-    return marked.withColumn("suspect", suspect).drop("suspects", "run"), total
+    place = count_upto(F.col("found"), F.col("fp")) - 1
+    suspect = F.coalesce(F.get("found", place) == F.col("fp"), F.lit(False))
+    return marked.withColumn("suspect", suspect).drop("found", "run"), total
 
 
 def _classes(suspects: DataFrame, text_col: str, *keep: str) -> DataFrame:

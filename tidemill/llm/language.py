@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import uniform
+from .common import packed, uniform
 
 FEATURES = 1 << 14
 CLUSTERS = 4
@@ -147,6 +147,7 @@ def predict(text: Column, model: dict, spark) -> Column:
     return nearest(text)
 
 
-def identify(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
-    """``docs`` with a struct ``language`` as the last column, in place of any column of that name."""
-    return docs.withColumn("language", predict(F.col(text_col), model, docs.sparkSession))
+def drop_rejected(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is close enough to a learned language, with all their columns."""
+    judged = docs.select(packed(docs), predict(F.col(text_col), model, docs.sparkSession).alias("language"))
+    return judged.filter(~F.col("language.rejected")).select("row.*")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, credentials, exact, language, mixing, sharding, simhash, topk, wrapper
+from . import bpe, credentials, exact, language, mixing, repeats, sharding, simhash, topk, wrapper
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -142,3 +142,10 @@ def op5_wrapper_induction(spark, folder):
     """The main text of every page."""
     texts = wrapper.main_texts(spark.read.parquet(f"{folder}/pages.parquet"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query("op6_repeated_passages")
+def op6_repeated_passages(spark, folder):
+    """What is left of every document without its repeated passages."""
+    left = repeats.repeated_passages(documents(spark, folder), length=400, keep_bytes=False)
+    return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
