@@ -22,7 +22,8 @@ CLUSTERS = 4
 SAMPLE = 1000           # labelled documents per language the centroids are fitted on
 ROUNDS = 8
 CHUNK = 1 << 20         # bytes of a text that are counted at once
-QUANTILE, SLACK = 0.01, 0.35    # texts below this share of the lowest hundredth are rejected
+NEAREST = 200           # sample texts of about the same size that set its limit:
+QUANTILE, SLACK = 0.01, 0.35    # texts below this share of their lowest hundredth are rejected
 UNKNOWN = "und"
 
 _BLANKED = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -84,11 +85,15 @@ def _cluster(idf: np.ndarray, clusters: int):
 
 
 def _limits(cosines: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The least cosine accepted for each power of two of distinct trigrams."""
-    level, limits = np.log2(np.maximum(sizes, 1)).astype(int), np.zeros(32)
+    """The least cosine accepted for each power of two of distinct trigrams.
+
+    It follows from the sample texts nearest in size; what larger texts reach is scaled down by the square root.
+    """
+    limits, level = np.zeros(32), np.log2(np.maximum(sizes, 1))
     for i in range(32):
-        here = cosines[level == i]
-        limits[i] = SLACK * np.quantile(here, QUANTILE) if len(here) >= 50 else limits[i - 1] if i else 0.0
+        near = np.argsort(np.abs(level - i), kind="stable")[:NEAREST]
+        scaled = cosines[near] * np.minimum(1.0, np.sqrt(2.0 ** (i - level[near])))
+        limits[i] = SLACK * np.quantile(scaled, QUANTILE)
     return limits
 
 

@@ -4,7 +4,8 @@ Every document of a source should appear ``target / source size`` times. The who
 fraction is a probability. The pivotal method takes two documents with fractional probabilities and moves
 words from one to the other, in a random direction whose odds keep both expectations, until one probability
 is 0 or 1. So the words taken stay the same but for one last document. Chunks of a source are rounded in
-parallel, each leaves one document open, and these residuals are combined in a tree of further rounds.
+parallel, the longest documents first and each against all shorter ones as a pool. Each chunk leaves one, usually its
+shortest, open, and these residuals are combined in a tree of further rounds.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from ..operators.ordering import global_index
 from ..session import cut_lineage
 from .common import join_classes, n_words, packed, uniform
 
-ROWS_PER_CHUNK = 20_000
+ROWS_PER_CHUNK = 1_000
 FAN_IN = 64
 SEED = "mix"
 EDGE = 1e-12
@@ -62,53 +63,70 @@ def targets(units: DataFrame, weights: tuple[float, ...], cap: float) -> DataFra
                           F.least(limit, F.col("weight") * level).alias("target"))
 
 
-def _pivot(last: bool):
-    """mapInArrow over rows sorted by (key, chunk): decide all but one document of each chunk.
+def _transfer(p: float, mass: float, q: float, weight: float, coin: float) -> tuple[float, float, float]:
+    """Move words between two open shares, ``p`` of ``mass`` words and ``q`` of ``weight``, until one is integral.
 
-    ``coin`` is a uniform number per row, ``mass`` its words. A coin that has decided a pair is stretched back
-    to a uniform number. With ``last`` the remaining one is drawn as well.
+    The odds of the direction keep both expectations. The coin that decides is stretched back to a uniform number.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, held = None, None          # held: [row, probability, mass, coin] of the open document
+    gain = min(mass * (1 - p), weight * q)      # words the first can take over
+    loss = min(mass * p, weight * (1 - q))      # words it can give away
+    odds = loss / (gain + loss)
+    if coin < odds:
+        return p + gain / mass, q - gain / weight, coin / odds
+    return p - loss / mass, q + loss / weight, (coin - odds) / (1 - odds)
+
+
+def _open(p: float) -> bool:
+    return EDGE < p < 1 - EDGE
+
+
+def _round_pool(rows: list[dict]) -> None:
+    """Rows by descending mass with one common probability: each is paired with the pool of all lighter ones.
+
+    The pool keeps a common probability, so its state is two numbers, and the last open row is the lightest,
+    unless a row outweighs all that follow.
+    """
+    left, p = float(sum(r["mass"] for r in rows)), rows[0]["p"] if rows else 0.0
+    for row in rows:
+        row["p"], left = p, left - row["mass"]
+        if row["mass"] and left > 0 and _open(p):
+            row["p"], p, row["coin"] = _transfer(p, row["mass"], p, left, row["coin"])
+
 
-        def done(row: dict, p: float, is_open: bool) -> dict:
-            return row | {"p": p, "open": is_open}
+def _round_pairs(rows: list[dict]) -> None:
+    """Rows with different probabilities: the open one is paired with the next."""
+    held = None
+    for row in rows:
+        if held and row["mass"] and _open(row["p"]):
+            row["p"], held["p"], row["coin"] = _transfer(row["p"], row["mass"], held["p"], held["mass"], row["coin"])
+        if row["mass"] and _open(row["p"]):
+            held = row
 
-        def close() -> dict:
-            row, p, _, coin = held
-            return done(row, float(coin < p), False) if last else done(row, p, True)
 
+def _pivot(first: bool, last: bool):
+    """mapInArrow over rows sorted by (key, chunk): decide all but one document of each chunk.
+
+    ``coin`` is a uniform number per row, ``mass`` its words. With ``last`` the remaining one is drawn as well.
+    """
+    def rounded(rows: list[dict]) -> list[dict]:
+        (_round_pool if first else _round_pairs)(rows)
+        for row in rows:
+            row["open"] = bool(row["mass"]) and _open(row["p"]) and not last
+            if not row["open"]:
+                row["p"] = float(row["coin"] < row["p"]) if row["mass"] and _open(row["p"]) else float(round(row["p"]))
+        return rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[dict] = []       # of the chunk that may go on: chunks are small
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                if (row["key"], row["chunk"]) != group:
-                    if held:
-                        out.append(close())
-                    group, held = (row["key"], row["chunk"]), None
-                p, mass, coin = row["p"], row["mass"], row["coin"]
-                if mass == 0 or p < EDGE or p > 1 - EDGE:
-                    out.append(done(row, float(round(p)), False))
-                    continue
-                if held is None:
-                    held = [row, p, mass, coin]
-                    continue
-                other, q, weight, its_coin = held
-                gain = min(weight * (1 - q), mass * p)       # words the held one could take over
-                loss = min(weight * q, mass * (1 - p))       # words it could give away
-                odds = loss / (gain + loss)
-                if coin < odds:
-                    q, p, coin = q + gain / weight, p - gain / mass, coin / odds
-                else:
-                    q, p, coin = q - loss / weight, p + loss / mass, (coin - odds) / (1 - odds)
-                if EDGE < q < 1 - EDGE:
-                    out.append(done(row, float(round(p)), False))
-                    held = [other, q, weight, its_coin]
-                else:
-                    out.append(done(other, float(round(q)), False))
-                    held = [row, p, mass, coin]
+                if held and (row["key"], row["chunk"]) != (held[0]["key"], held[0]["chunk"]):
+                    out += rounded(held)
+                    held = []
+                held.append(row)
             yield pa.RecordBatch.from_pylist(out, schema)
-        if held:
-            yield pa.RecordBatch.from_pylist([close()], schema)
+        yield pa.RecordBatch.from_pylist(rounded(held), schema)
 
     schema = pa.schema([("key", pa.string()), ("chunk", pa.int64()), ("id", pa.int64()), ("source", pa.string()),
                         ("size", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("sure", pa.int64()),
@@ -143,7 +161,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
         coins = rows.withColumn("coin", uniform("id", "h", "size", F.lit(f"{SEED} {level}")))
         coins = coins.repartition("key", "chunk").sortWithinPartitions(
             "key", "chunk", F.col("mass").desc(), F.xxhash64("id", "h", F.lit(SEED)), "id", "h")
-        rounded = cut_lineage(coins.mapInArrow(_pivot(last=width <= 1), _ROW))
+        rounded = cut_lineage(coins.mapInArrow(_pivot(first=level == 0, last=width <= 1), _ROW))
         decided.append(rounded.filter(~F.col("open")))
         if width <= 1:
             break
