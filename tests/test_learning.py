@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -80,12 +81,24 @@ def test_split_covers_all_rows_once(spark):
     assert sum(parts.values()) == 1000 and abs(parts["test"] - 300) < 60
 
 
+@pytest.mark.parametrize("scale", [100, 2**50])
+def test_split_scrambles_any_key(spark, scale):
+    df = spark.range(1000).selectExpr(f"id * {scale} as id")
+    assert abs(M.hash_split(df, "id").where("part = 'test'").count() - 300) < 60
+
+
 def test_bootstrap_is_repeatable(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(50)], "id long, v double").repartition(3)
     a, b = (rows(M.bootstrap(df, "id", "v", 50, 8), "replicate") for _ in range(2))
     assert a == b and len(a) == 8 and all(n < 50 for _, _, n in a)
 
 
+def test_bootstrap_draws_are_independent(spark):
+    df = spark.createDataFrame([(i, float(i)) for i in range(42)], "id long, v double")
+    distinct = [n for _, _, n in rows(M.bootstrap(df, "id", "v", 20, 50), "replicate")]
+    assert len(set(distinct)) > 4 and abs(np.mean(distinct) - 42 * (1 - (41 / 42) ** 20)) < 1
+
+
 def test_yeo_johnson_straightens_skew(spark):
     x = np.exp(np.random.default_rng(0).normal(size=500))
     df = spark.createDataFrame(pd.DataFrame({"x": x}))

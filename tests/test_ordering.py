@@ -95,7 +95,7 @@ def test_concat_splits_big_owners_without_loss(spark):
     data = [(1, i, f"w{i}") for i in range(25)] + [(2, 0, "x"), (2, 1, "y")]
     df = spark.createDataFrame(data, "o long, t long, s string").repartition(3)
     out = rows(T.concat_by(df, "o", "t", "s", rows_per_part=10), "o", "part")
-    assert [(o, p) for o, p, _ in out] == [(1, 0), (1, 1), (1, 2), (2, 0)]
+    assert [(o, p) for o, p, _ in out] == [(1, 0), (1, 1_000_000), (1, 2_000_000), (2, 0)]
     assert " ".join(s for o, _, s in out if o == 1) == " ".join(f"w{i}" for i in range(25)) and out[-1][2] == "x y"
 
 
@@ -119,9 +119,25 @@ def test_top_per_key_keeps_ties_apart(spark):
     assert sorted(r["id"] for r in out.collect()) == [0, 1]
 
 
+def test_concat_cuts_by_characters(spark):
+    data = [(1, i, "abcd") for i in range(7)] + [(2, 0, None), (2, 1, "z" * 50), (2, 2, "y")]
+    df = spark.createDataFrame(data, "o long, t long, s string").repartition(3)
+    out = rows(T.concat_by(df, "o", "t", "s", chars_per_part=10), "o", "part")
+    assert out == [(1, 0, "abcd abcd"), (1, 1, "abcd abcd"), (1, 2, "abcd abcd"), (1, 3, "abcd"), (2, 0, "z" * 50), (2, 5, "y")]
+
+
+def test_sample_takes_any_key(spark):
+    df = spark.createDataFrame([(2**62 + i,) for i in range(500)], "k long")
+    few = rows(O.sample_rows(df, "k", 20), "k")
+    assert len(set(few)) == 20 and few == rows(O.sample_rows(df.repartition(3), "k", 20), "k") != rows(O.sample_rows(df, "k", 20, seed=2), "k")
+
+
 def test_many_columns_correlate_like_few(spark, monkeypatch):
     rng = np.random.default_rng(1)
-    df = spark.createDataFrame(pd.DataFrame(rng.normal(size=(200, 3)), columns=list("abc")))
-    few = rows(A.correlation_matrix(df, ["a", "b", "c"]), "a", "b")
-    monkeypatch.setattr(A, "MANY_COLUMNS", 2)
-    assert rows(A.correlation_matrix(df, ["a", "b", "c"]), "a", "b") == few
+    pdf = pd.DataFrame(rng.normal(size=(200, 4)), columns=list("abcd"))
+    df = spark.createDataFrame(pdf).withColumn("b", F.expr("if(a > 0.5, null, b)"))
+    few = rows(A.correlation_matrix(df, list("abcd")), "a", "b")
+    monkeypatch.setattr(A, "PAIRS_PER_PASS", 2)
+    assert rows(A.correlation_matrix(df, list("abcd")), "a", "b") == few
+    pdf.loc[pdf["a"] > 0.5, "b"] = None
+    assert all(abs(pdf[a].corr(pdf[b]) - c) < 1e-5 for a, b, c in few)

@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
 from .ordering import index_within, quantiles
 
 
-MANY_COLUMNS = 30
+PAIRS_PER_PASS = 500
 
 
 def daily_stats(df: DataFrame, ts: str, value: str, digits: int = 3) -> DataFrame:
@@ -81,20 +80,21 @@ def describe_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str], digits: int = 6) -> DataFrame:
-    """All pairwise Pearson correlations in one pass, as rows (a, b, corr) for both orders.
+    """All pairwise Pearson correlations, as rows (a, b, corr) for both orders.
 
-    Above ``MANY_COLUMNS`` the matrix comes from Spark ML, which skips rows with a NULL.
+    Each pair uses the rows where both of its columns are present, for any number of columns. A pass
+    over the table covers ``PAIRS_PER_PASS`` pairs.
     """
-    if len(cols) > MANY_COLUMNS:
-        vectors = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(df).select("_v")
-        m = Correlation.corr(vectors, "_v").first()[0].toArray()
-        rows = [(a, b, round(float(m[i, j]), digits)) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-        return df.sparkSession.createDataFrame(rows, "a string, b string, corr double")
     pairs = list(combinations(cols, 2))
+    parts = [_correlations(df, pairs[i:i + PAIRS_PER_PASS], digits) for i in range(0, len(pairs), PAIRS_PER_PASS)]
+    itself = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "a string, b string, corr double")
+    return reduce(DataFrame.unionByName, parts, itself)
+
+
+def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int) -> DataFrame:
     wide = df.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
     entries = [F.struct(F.lit(x).alias("a"), F.lit(y).alias("b"), F.round(f"`{a}|{b}`", digits).alias("corr"))
                for a, b in pairs for x, y in ((a, b), (b, a))]
-    entries += [F.struct(F.lit(c).alias("a"), F.lit(c).alias("b"), F.lit(1.0).alias("corr")) for c in cols]
     return wide.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..functions.numeric import draw
 from .ordering import best_row, global_index
 
 
@@ -70,22 +71,22 @@ def weighted_score(df: DataFrame, weights: Mapping[str, float], name: str = "sco
 
 
 def hash_split(df: DataFrame, key: str, test_pct: int = 30, name: str = "part") -> DataFrame:
-    """Repeatable split by a scrambled key: tag ``test`` or ``train``."""
-    slot = F.pmod(F.col(key) * 7919 + 104729, F.lit(100))
+    """Repeatable split by a hash of the key, of any type: tag ``test`` or ``train``."""
+    slot = draw(F.lit("split"), F.col(key)) % 100
     return df.withColumn(name, F.when(slot < test_pct, "test").otherwise("train"))
 
 
 def bootstrap(df: DataFrame, key: str, value: str, size: int, times: int, seed: int = 1) -> DataFrame:
     """Mean of ``times`` resamples of ``size`` rows with replacement, as (replicate, mean, n_distinct).
 
-    Draw i of replicate r picks row ``(r * 1103515245 + i * 12345 + i * i * 7 + seed) mod 2147483647 mod rows`` in
-    key order. The draws are generated by the cluster, reduced to one count per
+    Draw i of replicate r picks row ``draw("boot", seed, r, i) mod rows`` in key order, so draws are independent for
+    any number of rows. They are generated by the cluster, reduced to one count per
     picked row, and joined with the numbered rows.
     """
     rows = global_index(df.select(key, value), [key], "_row")
     n = rows.count()
     r, i = F.floor(F.col("id") / size), F.col("id") % size
-    state = F.pmod(r * 1103515245 + i * 12345 + i * i * 7 + seed, F.lit(2147483647))
+    state = draw(F.lit("boot"), F.lit(seed), r, i)
     draws = (df.sparkSession.range(size * times).select(r.cast("bigint").alias("replicate"), (state % n).alias("_row"))
              .groupBy("replicate", "_row").agg(F.count("*").alias("_times")))
     picked = draws.join(rows, "_row")

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..functions.numeric import draw
 from ..session import cut_lineage
 
 
@@ -163,10 +164,9 @@ def side_by_side(tops: dict[str, DataFrame], term: str, order: Sequence[Column],
     return out
 
 
-def sample_rows(df: DataFrame, key: str, n: int, multiplier: int = 7919, modulus: int = 104729) -> DataFrame:
-    """Exactly ``n`` rows without replacement, drawn by a scrambled key instead of a random number."""
-    scrambled = (F.col(key) * multiplier) % modulus
-    return df.orderBy(scrambled.asc(), F.col(key).asc()).limit(n)
+def sample_rows(df: DataFrame, key: str, n: int, seed: int = 1) -> DataFrame:
+    """Exactly ``n`` rows without replacement: the smallest hashes of the key, of any type."""
+    return df.orderBy(draw(F.lit("sample"), F.lit(seed), F.col(key)), F.col(key).asc()).limit(n)
 
 
 def quantiles(df: DataFrame, value: str, qs: Sequence[float], by: Sequence[str] = (),

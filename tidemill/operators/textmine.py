@@ -23,7 +23,7 @@ def drop_words(df: DataFrame, word: str, stop: Sequence[str] | DataFrame) -> Dat
     if isinstance(stop, DataFrame):
         return df.join(stop.toDF("_stop").distinct(), F.lower(word) == F.col("_stop"), "left_anti")
     if len(stop) > MAX_LITERAL_WORDS:
-        raise ValueError("pass long stop lists as a DataFrame")
+        return drop_words(df, word, df.sparkSession.createDataFrame([(w,) for w in stop], "_stop string"))
     return df.where(~F.lower(word).isin(*stop))
 
 
@@ -109,21 +109,18 @@ def tfidf(counts: DataFrame, doc: str, term: str, n_docs: Column, min_df: float
 
 
 def concat_by(df: DataFrame, owner: str, order: str, text: str, separator: str = " ",
-              rows_per_part: int = 10_000) -> DataFrame:
+              rows_per_part: int = 10_000, chars_per_part: int = 50_000_000) -> DataFrame:
     """All texts of an owner joined in order, as (owner, part, text).
 
-    An owner with more than ``rows_per_part`` rows is returned in consecutive parts,
-    numbered from 0, so no task ever gathers an unbounded group; nothing is left out.
+    One rule holds for every owner: its rows are cut into blocks of ``rows_per_part``, and a block into pieces
+    whose texts start within the same ``chars_per_part`` characters. ``part`` is
+    ``block * 1000000 + piece``, so parts of an owner are in order, and no task gathers more than
+    one block; nothing is left out.
     """
-    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda e: e[text]), separator)
-
-    def join_up(rows: DataFrame, part: Column) -> DataFrame:
-        return rows.groupBy(owner, part.alias("part")).agg(texts.alias(text))
-
-    big = df.groupBy(owner).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_part).select(owner)
-    if big.isEmpty():
-        return join_up(df, F.lit(0).cast("bigint"))
-    small_rows = df.join(big, owner, "left_anti")
-    big_rows = index_within(df.join(big, owner, "left_semi"), [owner], [order], name="_pos")
-    return (join_up(small_rows, F.lit(0).cast("bigint"))
-            .unionByName(join_up(big_rows, F.floor(F.col("_pos") / rows_per_part).cast("bigint"))))
+    placed = index_within(df.select(owner, order, text), [owner], [order, text], name="_pos")
+    placed = placed.withColumn("_block", F.floor(F.col("_pos") / rows_per_part).cast("bigint"))
+    length = F.coalesce(F.length(text), F.lit(0)) + len(separator)
+    before = F.sum(length).over(Window.partitionBy(owner, "_block").orderBy("_pos")) - length
+    placed = placed.withColumn("part", F.col("_block") * 1_000_000 + F.floor(before / chars_per_part).cast("bigint"))
+    texts = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", text))), lambda e: e[text]), separator)
+    return placed.groupBy(owner, "part").agg(texts.alias(text))

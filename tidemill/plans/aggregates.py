@@ -188,10 +188,13 @@ def describe_numeric(spark, sf):
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
-@query("correlation_matrix", " UNION ALL ".join(
-    f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM lineitem" for a in _CORR for b in _CORR))
+@query("correlation_matrix", "WITH d AS (SELECT * REPLACE (CASE WHEN l_partkey % 7 > 0 THEN l_quantity END AS l_quantity, "
+       "CASE WHEN l_suppkey % 5 > 0 THEN l_discount END AS l_discount) FROM lineitem) " + " UNION ALL ".join(
+           f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS corr FROM d" for a in _CORR for b in _CORR))
 def correlation_matrix(spark, sf):
-    return A.correlation_matrix(table(spark, sf, "lineitem"), _CORR)
+    dirty = table(spark, sf, "lineitem").withColumns({
+        "l_quantity": F.expr("if(l_partkey % 7 > 0, l_quantity, null)"), "l_discount": F.expr("if(l_suppkey % 5 > 0, l_discount, null)")})
+    return A.correlation_matrix(dirty, _CORR)
 
 
 @query("histogram_overflow", """

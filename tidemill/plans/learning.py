@@ -10,7 +10,12 @@ from ..sources.tables import table
 from .registry import query
 from .textual import doc_term_counts, document_tfidf
 
-_SPLIT = "(vec_id * 7919 + 104729) % 100"
+def _split_sql(key):
+    """The split's slot, from 0 to 99, of a key in SQL."""
+    return f"('0x' || substr(md5('split ' || {key}), 1, 15))::BIGINT % 100"
+
+
+_SPLIT = _split_sql("vec_id")
 _L1 = "list_sum(list_transform(list_zip(a.e, b.e), lambda x: abs(x[1] - x[2])))"
 _L2 = "sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))"
 _VEC = "SELECT vec_id, embedding::DOUBLE[] AS e, label FROM embeddings"
@@ -21,8 +26,8 @@ def _split(df, key):
     return tagged.where("part = 'train'").drop("part"), tagged.where("part = 'test'").drop("part")
 
 
-@query("hash_split", """
-    SELECT o_orderkey, CASE WHEN (o_orderkey * 7919 + 104729) % 100 < 30 THEN 'test' ELSE 'train' END AS part FROM orders""")
+@query("hash_split", f"""
+    SELECT o_orderkey, CASE WHEN {_split_sql('o_orderkey')} < 30 THEN 'test' ELSE 'train' END AS part FROM orders""")
 def hash_split(spark, sf):
     return M.hash_split(table(spark, sf, "orders"), "o_orderkey").select("o_orderkey", "part")
 
@@ -99,7 +104,7 @@ def fold_cv_knn(spark, sf):
 
 @query("bootstrap_mean", """
     WITH r AS (SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS i, o_totalprice, count(*) OVER () AS n FROM orders),
-    d AS (SELECT d // 2000 AS replicate, ((d // 2000) * 1103515245 + (d % 2000) * 12345 + (d % 2000) * (d % 2000) * 7 + 1) % 2147483647 AS s
+    d AS (SELECT d // 2000 AS replicate, ('0x' || substr(md5('boot 1 ' || (d // 2000) || ' ' || (d % 2000)), 1, 15))::BIGINT AS s
           FROM (SELECT unnest(range(0, 40000)) AS d))
     SELECT replicate, round(avg(o_totalprice), 6) AS mean, count(DISTINCT i) AS n_distinct FROM d JOIN r ON i = s % n GROUP BY 1""")
 def bootstrap_mean(spark, sf):
@@ -203,8 +208,8 @@ def yeo_johnson(spark, sf):
 
 # ---- linear and Gaussian models -----------------------------------------------------------------------
 
-_RIDGE_SQL = """
-    WITH x AS (SELECT l_quantity AS a, l_discount * 100 AS b, l_extendedprice / 1000 AS y, (l_orderkey * 7919 + 104729) % 100 < 30 AS test FROM lineitem),
+_RIDGE_SQL = f"""
+    WITH x AS (SELECT l_quantity AS a, l_discount * 100 AS b, l_extendedprice / 1000 AS y, {_split_sql('l_orderkey')} < 30 AS test FROM lineitem),
     s AS (SELECT var_pop(a) AS aa, var_pop(b) AS bb, covar_pop(a, b) AS ab, covar_pop(a, y) AS ay, covar_pop(b, y) AS by_, avg(a) AS ma, avg(b) AS mb, avg(y) AS my
           FROM x WHERE NOT test),
     w AS (SELECT lam, ((bb + lam) * ay - ab * by_) / ((aa + lam) * (bb + lam) - ab * ab) AS wa,
@@ -239,8 +244,8 @@ def elastic_net_grid(spark, sf):
     return spark.createDataFrame(grid, "regularization double, alpha double, mse double")
 
 
-@query("log_target", """
-    WITH x AS (SELECT l_quantity AS a, l_extendedprice AS y, (l_orderkey * 7919 + 104729) % 100 < 30 AS test FROM lineitem),
+@query("log_target", f"""
+    WITH x AS (SELECT l_quantity AS a, l_extendedprice AS y, {_split_sql('l_orderkey')} < 30 AS test FROM lineitem),
     g AS (SELECT unnest([1.0, 100.0, 10000.0])::DOUBLE AS bias),
     f AS (SELECT bias, regr_slope(ln(y + bias), a) AS w, regr_intercept(ln(y + bias), a) AS c FROM x, g WHERE NOT test GROUP BY 1)
     SELECT bias, round(sqrt(avg(pow(exp(c + w * a) - bias - y, 2))), 3) AS rmse, round(avg(abs(exp(c + w * a) - bias - y)), 3) AS mae
@@ -251,9 +256,9 @@ def log_target(spark, sf):
     return out.withColumns({"rmse": F.round("rmse", 3), "mae": F.round("mae", 3)})
 
 
-_DOC_FEATURES = """
+_DOC_FEATURES = f"""
     x AS (SELECT doc_id, quality, ln(n_chars + 1) AS a, 100.0::DOUBLE * (len(string_split(text, ' ')) - 1) / (n_chars + 1) AS b,
-                 (doc_id * 7919 + 104729) % 100 < 30 AS test FROM documents JOIN labels USING (doc_id))"""
+                 {_split_sql('doc_id')} < 30 AS test FROM documents JOIN labels USING (doc_id))"""
 
 
 def _gauss_sql(train, by):

@@ -143,7 +143,7 @@ def complete_axis(spark, sf):
 
 
 @query("sample_rows", """
-    SELECT event_id, user_id, value FROM events ORDER BY (event_id * 7919) % 104729, event_id LIMIT 100""")
+    SELECT event_id, user_id, value FROM events ORDER BY ('0x' || substr(md5('sample 1 ' || event_id), 1, 15))::BIGINT, event_id LIMIT 100""")
 def sample_rows(spark, sf):
     return O.sample_rows(table(spark, sf, "events").select("event_id", "user_id", "value"), "event_id", 100)
 
