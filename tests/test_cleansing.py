@@ -100,3 +100,56 @@ def test_names_match_by_the_strongest_form(spark):
     out = {r["n"]: (r["match"], r["rule"]) for r in J.reconcile_names(left, right, "n", {"Coll": "College"}).collect()}
     assert out == {"St Mary's Coll": ("St Mary Coll", 1), "O'Neil": ("ONeil", 2), "Hill View": ("HillView", 3),
                    "A & B": ("A &amp; B", 0), "None": (None, None)}
+
+
+def test_fits_use_complete_rows_only(spark):
+    data = [("a", float(i), float(i)) for i in range(10)] + [("a", 50.0, None), ("a", None, 7.0), (None, 1.0, 5.0), (None, 2.0, 7.0)]
+    df = spark.createDataFrame(data, "g string, x double, y double")
+    fit = {r["g"]: r for r in C.group_linear_fit(df, ["g"], ["x"], "y").collect()}
+    assert np.isclose(fit["a"]["coefs"][0], 1) and np.isclose(fit["a"]["intercept"], 0) and fit["a"]["n"] == 10
+    scored = C.predict_linear(df.unionByName(spark.createDataFrame([("new", 1.0, 1.0)], df.schema)), C.group_linear_fit(df, ["g"], ["x"], "y"), ["g"], ["x"])
+    got = sorted((str(r["g"]), str(r["x"]), r["pred"] if r["pred"] is None else round(r["pred"], 6)) for r in scored.collect())
+    assert len(got) == 15 and ("None", "2.0", 7.0) in got and ("new", "1.0", None) in got and ("a", "None", None) in got
+
+
+def test_missing_residuals_are_no_outliers(spark):
+    df = spark.createDataFrame([("g", float(i)) for i in range(20)] + [("g", 999.0), ("g", None), (None, 1.0)], "k string, r double")
+    flags = {(r["k"], r["r"]): r["is_outlier"] for r in C.mark_outliers(df, "r", ["k"]).collect()}
+    assert flags[("g", 999.0)] == 1 and flags[("g", None)] is None and flags[(None, 1.0)] == 0
+    assert C.drop_outliers(df, "r", ["k"]).count() == 22
+
+
+def test_audit_counts_rows_of_one_version(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
+    new = spark.createDataFrame([(2, "b"), (3, None), (None, "d")], "k long, v string")
+    assert rows(C.audit(old, new, ["k"], ["v"])) == [("v", 3)]
+
+
+def test_prefix_wins_over_a_known_code(spark):
+    df = spark.createDataFrame([("ORDA1", "TP"), ("ORDB1", "tp"), ("ZZZZ1", "bk"), ("ZZZZ2", "??"), ("ORDC1", None)], "id string, c string")
+    assert [c for _, c in rows(C.repair_code(df, "id", "c", P.BRANCH_PREFIX), "id")] == ["NK", "TP", "BK", "BK", None]
+
+
+def test_dates_that_are_none(spark):
+    from tidemill.functions.dates import repair_date
+    df = spark.createDataFrame([("31-12-2020",), ("2020-31-12",), ("2020-12-31",), ("2020/12/31",), ("",), (None,)], "d string")
+    assert [r[0] for r in df.select(repair_date(F.col("d"))).collect()] == ["2020-12-31"] * 3 + ["2020/12/31", "", None]
+
+
+def test_snapshot_lists_empty_rows_that_come_and_go(spark):
+    old = spark.createDataFrame([(1, None), (2, None)], "k long, v string")
+    new = spark.createDataFrame([(2, None), (3, None)], "k long, v string")
+    assert rows(M.snapshot_diff(old, new, "k", ["v"]), "k") == [(1, "v", None, None), (3, "v", None, None)]
+
+
+def test_group_median_keeps_all_rows(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 2.0), (None, 5.0), ("a", None)], "k string, v double")
+    got = sorted((str(r["k"]), str(r["v"]), r["above_median"]) for r in J.above_group_median(df, ["k"], "v").collect())
+    assert got == [("None", "2.0", 0), ("None", "5.0", 1), ("a", "1.0", 0), ("a", "3.0", 1), ("a", "None", 0)]
+
+
+def test_bins_below_and_missing(spark):
+    from tidemill.operators import aggregates as A
+    df = spark.createDataFrame([(-5.0,), (3.0,), (None,), (500.0,)], "v double")
+    assert {r["bin"]: r["n"] for r in A.histogram(df, "v", bins=3).collect()} == {-1: 1, 0: 1, 1: 0, 2: 1, None: 1}
+    assert {r["band"]: r["n"] for r in A.band_counts(df, "v", [0, 100]).collect()} == {-1: 1, 0: 1, 1: 1, None: 1}

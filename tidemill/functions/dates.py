@@ -24,16 +24,18 @@ def time_band(c: Column, bands: Sequence[tuple[str, int, int]] = tuple(MEAL_BAND
 
 
 def repair_date(c: Column) -> Column:
-    """``dd-mm-YYYY`` and ``YYYY-dd-mm`` (recognised by a middle part above 12) to ``YYYY-mm-dd``."""
-    parts = F.split(c, "-")
-    year_last = F.length(parts[0]) == 2
-    year = F.when(year_last, parts[2]).otherwise(parts[0])
-    day_part = F.when(year_last, parts[0]).otherwise(parts[2])
-    month_part = parts[1]
+    """``dd-mm-YYYY`` and ``YYYY-dd-mm`` (recognised by a middle part above 12) to ``YYYY-mm-dd``.
+
+    NULL stays NULL, and text that has not three parts stays as it is.
+    """
+    first, month_part, last = (F.get(F.split(c, "-"), i) for i in range(3))
+    year_last = F.length(first) == 2
+    year = F.when(year_last, last).otherwise(first)
+    day_part = F.when(year_last, first).otherwise(last)
     swapped = F.try_to_number(month_part, F.lit("99")) > 12
     month = F.when(swapped, day_part).otherwise(month_part)
     day = F.when(swapped, month_part).otherwise(day_part)
-    return F.concat_ws("-", year, month, day)
+    return F.when(F.size(F.split(c, "-")) == 3, F.concat_ws("-", year, month, day)).otherwise(c)
 
 
 def quarter_label(c: Column) -> Column:

@@ -98,22 +98,32 @@ def _correlations(df: DataFrame, pairs: Sequence[tuple[str, str]], digits: int)
     return wide.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*")
 
 
+def _on_axis(df: DataFrame, place: Column, axis: DataFrame, name: str) -> DataFrame:
+    """Counts per place; places of the axis that are empty count 0, and others appear when they occur."""
+    counted = df.groupBy(place.cast("bigint").alias(name)).agg(F.count("*").alias("n"))
+    empty = axis.select(F.col("id").alias(name), F.lit(0).cast("bigint").alias("n"))
+    return counted.unionByName(empty).groupBy(name).agg(F.sum("n").alias("n"))
+
+
 def histogram(df: DataFrame, value: str, width: float = 10, bins: int = 11) -> DataFrame:
-    """Counts per ``min(value div width, bins - 1)``; empty bins are kept with count 0."""
-    binned = df.groupBy(F.least(F.floor(F.col(value) / width), F.lit(bins - 1)).cast("bigint").alias("bin")) \
-               .agg(F.count("*").alias("n"))
-    axis = df.sparkSession.range(bins).withColumnRenamed("id", "bin")
-    return axis.join(binned, "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    """Counts per ``min(value div width, bins - 1)``; empty bins are kept with count 0.
+
+    If there are any, values below 0 are counted in bin -1 and missing ones in bin NULL.
+    """
+    place = F.greatest(F.least(F.floor(F.col(value) / width), F.lit(bins - 1)), F.lit(-1))
+    return _on_axis(df, F.when(F.col(value).isNotNull(), place), df.sparkSession.range(bins), "bin")
 
 
 def band_counts(df: DataFrame, value: str, edges: Sequence[float]) -> DataFrame:
-    """Counts per half-open band ``[edge, next edge)``, the last one unbounded; empty bands count 0."""
-    band = F.lit(None).cast("int")
+    """Counts per half-open band ``[edge, next edge)``, the last one unbounded; empty bands count 0.
+
+    If there are any, values below the first edge are counted in band -1 and missing ones in band NULL.
+    """
+    band = F.when(F.col(value).isNotNull(), F.lit(-1))
     for i, low in enumerate(edges):
         band = F.when(F.col(value) >= low, F.lit(i)).otherwise(band)
-    counted = df.groupBy(band.cast("bigint").alias("band")).agg(F.count("*").alias("n"))
-    axis = df.sparkSession.range(len(edges)).withColumnRenamed("id", "band")
-    return axis.join(counted, "band", "left").select("band", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))
+    return _on_axis(df, band, df.sparkSession.range(len(edges)), "band")
+
 
 
 def missing_counts(df: DataFrame, cols: Sequence[str] | None = None, sentinel: str = "NA") -> DataFrame:

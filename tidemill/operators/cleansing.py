@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .aggregates import iqr_bounds
+from .joins import attach_groups
+from .ordering import index_within
 
 
 def impute(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], sentinel: str = "NA",
@@ -40,10 +42,19 @@ def repair(df: DataFrame, steps: Sequence[Callable[[DataFrame], DataFrame]]) ->
 
 
 def audit(raw: DataFrame, fixed: DataFrame, key: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """How many rows each column changed on, NULL-safe, in one pass over the joined versions."""
-    old = raw.select(*key, *[F.col(c).alias(f"_old_{c}") for c in cols])
-    both = fixed.select(*key, *cols).join(old, list(key))
-    return audit_columns(both, [(c, f"_old_{c}", c) for c in cols])
+    """How many rows each column changed on, in one pass over the joined versions.
+
+    Keys and values compare NULL-safe. A row that only one version has counts as a change of every column.
+    """
+    old = raw.select(*[F.col(c).alias(f"_key_{c}") for c in key],
+                     F.struct(*[F.col(c).alias(c) for c in cols]).alias("_old"))
+    new = fixed.select(*key, F.struct(*[F.col(c).alias(c) for c in cols]).alias("_new"))
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in key])
+    both = new.join(old, same, "full")
+    alone = F.col("_old").isNull() | F.col("_new").isNull()
+    wide = both.agg(*[F.count_if(alone | ~F.col(f"_old.{c}").eqNullSafe(F.col(f"_new.{c}"))).alias(c) for c in cols])
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_changed")) for c in cols])
+    return wide.select(F.explode(rows).alias("e")).select("e.*")
 
 
 def audit_columns(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> DataFrame:
@@ -54,12 +65,12 @@ def audit_columns(df: DataFrame, triples: Sequence[tuple[str, str, str]]) -> Dat
 
 
 def repair_code(df: DataFrame, id_col: str, code: str, prefix_map: Mapping[str, str], prefix_length: int = 4) -> DataFrame:
-    """Upper-case a code, and derive a missing or unknown one from the prefix of the id."""
+    """The code that the prefix of the id stands for; for unknown prefixes the given code in upper case, if known."""
     known = list(dict.fromkeys(prefix_map.values()))
     lookup = F.create_map(*[F.lit(x) for kv in prefix_map.items() for x in kv])
     upper = F.upper(code)
     derived = F.try_element_at(lookup, F.substring(id_col, 1, prefix_length))
-    return df.withColumn(code, F.when(upper.isin(*known), upper).otherwise(derived))
+    return df.withColumn(code, F.coalesce(derived, F.when(upper.isin(*known), upper)))
 
 
 # ---- items and prices -------------------------------------------------------------------------
@@ -70,9 +81,30 @@ def infer_unit_prices(df: DataFrame, group: str, quantities: Sequence[str], tota
     Only the normal-equation sums are aggregated, so each group reaches the solver
     as one row of k*k + k numbers; items a group never orders get no price.
     """
+    return _solved_prices(df, [group], quantities, total, digits)
+
+
+def infer_modal_prices(df: DataFrame, group: str, quantities: Sequence[str], total: str, order: Sequence[str],
+                       block_rows: int = 8, digits: int = 2) -> DataFrame:
+    """Unit prices per group when some totals are wrong, as rows (group, item, price).
+
+    In the given order, a group is cut into blocks of ``block_rows`` rows, each block that determines its prices is
+    solved, and the most frequent solution of an item is its price (the smallest on ties).
+    """
+    placed = index_within(df.dropna(subset=[*quantities, total]), [group], order, name="_pos")
+    blocks = placed.withColumn("_block", F.floor(F.col("_pos") / block_rows))
+    solved = _solved_prices(blocks, [group, "_block"], quantities, total, digits, determined=True)
+    votes = solved.groupBy(group, "item", "price").agg(F.count("*").alias("n"))
+    best = votes.groupBy(group, "item").agg(F.min(F.struct((-F.col("n")).alias("votes"), "price")).alias("b"))
+    return best.select(group, "item", F.col("b.price").alias("price"))
+
+
+def _solved_prices(df: DataFrame, by: Sequence[str], quantities: Sequence[str], total: str, digits: int,
+                   determined: bool = False) -> DataFrame:
+    """Least-squares prices per group; with ``determined`` only of groups whose rows leave no choice."""
     k = len(quantities)
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = df.groupBy(group).agg(
+    sums = df.groupBy(*by).agg(
         F.array(*[F.sum(F.col(quantities[i]).cast("double") * F.col(quantities[j])) for i, j in pairs]).alias("qq"),
         F.array(*[F.sum(F.col(q).cast("double") * F.col(total)) for q in quantities]).alias("qt"))
 
@@ -86,55 +118,77 @@ def infer_unit_prices(df: DataFrame, group: str, quantities: Sequence[str], tota
                 used = np.flatnonzero(np.diag(a) > 0)
                 x = np.full(k, np.nan)
                 if len(used):
-                    x[used] = np.linalg.lstsq(a[np.ix_(used, used)], np.asarray(qt)[used], rcond=None)[0]
+                    found, _, rank, _ = np.linalg.lstsq(a[np.ix_(used, used)], np.asarray(qt)[used], rcond=None)
+                    if rank == len(used) or not determined:
+                        x[used] = found
                 prices.append([None if np.isnan(v) else float(v) for v in x])
-            yield pd.DataFrame({group: pdf[group], "prices": prices})
+            yield pd.DataFrame({**{b: pdf[b] for b in by}, "prices": prices})
 
-    kind = sums.schema[group].dataType.simpleString()
-    solved = sums.mapInPandas(solve, f"{group} {kind}, prices array<double>")
+    kinds = ", ".join(f"{b} {sums.schema[b].dataType.simpleString()}" for b in by)
+    solved = sums.mapInPandas(solve, f"{kinds}, prices array<double>")
     names = F.array(*[F.lit(q) for q in quantities])
-    return (solved.select(group, F.explode(F.arrays_zip(names.alias("item"), F.col("prices").alias("price"))).alias("e"))
-            .select(group, F.col("e.item").alias("item"), F.round("e.price", digits).alias("price"))
+    return (solved.select(*by, F.explode(F.arrays_zip(names.alias("item"), F.col("prices").alias("price"))).alias("e"))
+            .select(*by, F.col("e.item").alias("item"), F.round("e.price", digits).alias("price"))
             .where(F.col("price").isNotNull()))
 
 
-def _priced_items(df: DataFrame, key: Sequence[str], items: str, prices: DataFrame) -> DataFrame:
-    """One row per item with its price (NULL when it is not on the menu); ``prices`` is (item, price)."""
-    menu = prices.select(F.col("item").alias("_dish"), F.col("price").cast("decimal(12,2)").alias("_price"))
-    flat = df.select(*key, F.posexplode(items).alias("_pos", "_e")).select(
-        *key, "_pos", F.col("_e.item").alias("_item"), F.col("_e.qty").alias("_qty"))
-    return flat.join(menu, F.col("_item") == F.col("_dish"), "left").drop("_dish")
+def _with_menu(df: DataFrame, prices: DataFrame, group: str | None) -> DataFrame:
+    """Each row with the menu of its group as two maps: ``_menu`` from dish to price, ``_dishes`` back to the first dish.
 
+    A menu is one row; how all of them travel depends on the number of prices, see ``attach_groups``.
+    """
+    by = [group] if group else []
+    slim = prices.select(*by, "item", F.col("price").cast("decimal(12,2)").alias("price")).dropna(subset=["item", "price"])
+    of_item = slim.groupBy(*by, "item").agg(F.min("price").alias("price"))
+    of_price = slim.groupBy(*by, "price").agg(F.min("item").alias("item"))
+    entries = lambda d, k, v: d.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct(k, v))).alias("_m"))
+    menus = entries(of_item, "item", "price").withColumnRenamed("_m", "_menu")
+    back = entries(of_price, "price", "item").withColumnRenamed("_m", "_dishes")
+    if not group:
+        return df.withColumns({"_menu": menus.scalar(), "_dishes": back.scalar()})
+    return attach_groups(df, attach_groups(menus, back, by), by, size=prices.count())
 
-def recompute_total(df: DataFrame, key: Sequence[str], items: str, prices: DataFrame, name: str = "total") -> DataFrame:
-    """``sum(price * qty)`` over the nested items in decimals; NULL when an item has no price."""
-    priced = _priced_items(df, key, items, prices)
-    totals = priced.groupBy(*key).agg(F.when(F.count_if(F.col("_price").isNull()) == 0,
-                                             F.sum(F.col("_price") * F.col("_qty")).cast("decimal(20,2)")).alias(name))
-    return df.drop(name).join(totals, list(key), "left")
 
+def _paid(items: str) -> Column:
+    """What the items on the menu cost, in decimals."""
+    zero = F.lit(0).cast("decimal(20,2)")
+    cost = lambda e: F.coalesce(F.try_element_at("_menu", e["item"]) * e["qty"], zero)
+    return F.aggregate(items, zero, lambda sum_, e: (sum_ + cost(e)).cast("decimal(20,2)"))
 
-def repair_items(df: DataFrame, key: Sequence[str], items: str, total: str, prices: DataFrame) -> DataFrame:
+
+def _unknown(items: str) -> Column:
+    return F.filter(items, lambda e: F.try_element_at("_menu", e["item"]).isNull())
+
+
+def recompute_total(df: DataFrame, key: Sequence[str], items: str, prices: DataFrame, name: str = "total",
+                    group: str | None = None) -> DataFrame:
+    """``sum(price * qty)`` over the nested items in decimals; NULL without items or when one has no price.
+
+    ``prices`` is (item, price), or (group, item, price) with the menu of every group of rows, as
+    ``infer_unit_prices`` returns it. Rows are priced where they are; ``key`` may repeat.
+    """
+    whole = (F.size(items) > 0) & (F.size(_unknown(items)) == 0)
+    return _with_menu(df.drop(name), prices, group).withColumn(name, F.when(whole, _paid(items))).drop("_menu", "_dishes")
+
+
+def repair_items(df: DataFrame, key: Sequence[str], items: str, total: str, prices: DataFrame,
+                 group: str | None = None) -> DataFrame:
     """Replace the one item that is not on the menu by the dish whose price closes the gap to the total.
 
-    Rows without exactly one unknown item, or without a dish of exactly that price,
-    keep their items. Of dishes with equal prices the first by name is taken.
+    With ``group``, ``prices`` has a menu for every group of rows, and a dish of another group's menu is as wrong
+    as an unknown one. Rows without exactly one such item, or without a dish of exactly that price,
+    keep their items. Of dishes with equal prices the first by name is taken. ``key`` may repeat.
     """
-    priced = _priced_items(df.select(*key, items), key, items, prices)
-    wrong = F.when(F.col("_price").isNull(), F.struct("_pos", "_qty"))
-    per_row = priced.groupBy(*key).agg(
-        F.coalesce(F.sum(F.col("_price") * F.col("_qty")), F.lit(0)).cast("decimal(20,2)").alias("_paid"),
-        F.count_if(F.col("_price").isNull()).alias("_n"), F.max(wrong).alias("_w")).where("_n = 1")
-    gaps = df.select(*key, F.col(total).cast("decimal(20,2)").alias("_total")).join(per_row, list(key)) \
-        .withColumn("_gap", F.col("_total") - F.col("_paid")) \
-        .withColumn("_unit", F.round(F.try_divide(F.col("_gap"), F.col("_w._qty")), 2).cast("decimal(12,2)"))
-    dishes = prices.groupBy(F.col("price").cast("decimal(12,2)").alias("_price")).agg(F.min("item").alias("_dish"))
-    found = gaps.join(dishes, F.col("_unit") == F.col("_price")).where(F.col("_price") * F.col("_w._qty") == F.col("_gap")) \
-        .select(*key, F.col("_w._pos").alias("_at"), "_dish")
-    swapped = F.transform(F.col(items), lambda e, i: F.struct(
-        F.when(i == F.col("_at"), F.col("_dish")).otherwise(e["item"]).alias("item"), e["qty"].alias("qty")))
-    return df.join(found, list(key), "left").withColumn(
-        items, F.when(F.col("_dish").isNotNull(), swapped).otherwise(F.col(items))).drop("_at", "_dish")
+    wrong = _unknown(items)
+    gap = F.col(total).cast("decimal(20,2)") - _paid(items)
+    qty = F.get(wrong, 0)["qty"]
+    unit = F.round(F.try_divide(gap, qty), 2).cast("decimal(12,2)")
+    dish = F.when((F.size(wrong) == 1) & (unit * qty == gap), F.try_element_at("_dishes", unit))
+    found = _with_menu(df, prices, group).withColumn("_dish", dish)
+    swapped = F.transform(items, lambda e: F.struct(
+        F.when(F.try_element_at("_menu", e["item"]).isNull(), F.col("_dish")).otherwise(e["item"]).alias("item"), e["qty"].alias("qty")))
+    return found.withColumn(items, F.when(F.col("_dish").isNotNull(), swapped).otherwise(F.col(items))) \
+        .drop("_menu", "_dishes", "_dish")
 
 
 # ---- linear models and outliers ----------------------------------------------------------------
@@ -142,10 +196,11 @@ def repair_items(df: DataFrame, key: Sequence[str], items: str, total: str, pric
 def group_linear_fit(df: DataFrame, by: Sequence[str], features: Sequence[str], target: str) -> DataFrame:
     """Least squares per group, as (by, n, coefs array, intercept).
 
-    One aggregation of means and centred co-moments; a hot group is reduced map-side
-    and the solver sees one row per group.
+    One aggregation of means and centred co-moments over the rows that have all features and the target; a
+    hot group is reduced map-side and the solver sees one row per group. NULL is a group.
     """
     k, by = len(features), list(by)
+    df = df.dropna(subset=[*features, target])
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     moments = df.groupBy(*by).agg(
         F.count(target).alias("n"), F.avg(target).alias("my"),
@@ -170,22 +225,26 @@ def group_linear_fit(df: DataFrame, by: Sequence[str], features: Sequence[str],
 
 
 def predict_linear(df: DataFrame, model: DataFrame, by: Sequence[str], features: Sequence[str], name: str = "pred") -> DataFrame:
-    """Attach each group's prediction."""
+    """Attach each group's prediction; rows of a group without a model, or with a missing feature, get NULL."""
     pred = F.col("intercept")
     for i, f in enumerate(features):
         pred = pred + F.col("coefs")[i] * F.col(f)
-    return df.join(model.drop("n"), list(by)).withColumn(name, pred).drop("coefs", "intercept")
+    return attach_groups(df, model.drop("n"), by).withColumn(name, pred).drop("coefs", "intercept")
 
 
 def mark_outliers(df: DataFrame, residual: str, by: Sequence[str], t: float = 3.0, name: str = "is_outlier") -> DataFrame:
-    """Flag residuals outside the IQR fences of their group; the fences are taken with the outliers in."""
+    """Flag residuals outside the IQR fences of their group; the fences are taken with the outliers in.
+
+    A NULL residual has a NULL flag.
+    """
     bounds = iqr_bounds(df, residual, by, t).select(*by, "lower", "upper")
     inside = F.col(residual).between(F.col("lower"), F.col("upper"))
-    return df.join(bounds, list(by)).withColumn(name, F.when(inside, 0).otherwise(1)).drop("lower", "upper")
+    return attach_groups(df, bounds, by).withColumn(name, (~inside).cast("int")).drop("lower", "upper")
 
 
 def drop_outliers(df: DataFrame, residual: str, by: Sequence[str], t: float = 3.0) -> DataFrame:
-    return mark_outliers(df, residual, by, t, "_out").where("_out = 0").drop("_out")
+    """Rows whose residual is no outlier; those without a residual stay."""
+    return mark_outliers(df, residual, by, t, "_out").where("coalesce(_out, 0) = 0").drop("_out")
 
 
 def impute_by_rule(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:

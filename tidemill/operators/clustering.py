@@ -106,20 +106,24 @@ def representatives(df: DataFrame, id_col: str, vec: str, k: int = 4, dims: int
 
 
 def em_multinomial(counts: DataFrame, doc: str, term: str, n: str, k: int = 4, epochs: int = 10, mode: str = "soft",
-                   eps: float = 1e-10, tolerance: float = 0.0, start: list[Column] | None = None) -> tuple[DataFrame, DataFrame, list[float]]:
+                   eps: float = 1e-10, tolerance: float = 0.0, start: list[Column] | None = None,
+                   docs: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[float]]:
     """Mixture of k multinomials over long counts: (posteriors, term weights, log-likelihood per epoch).
 
     Everything stays in long form. The E-step joins the counts with one k-vector of
     log weights per term and adds up per document; the M-step is one aggregation per
     term. Both are partial aggregates, so frequent terms and long documents shrink
     before they are shuffled. The start weights per cluster are expressions over
-    ``term``, by default drawn from its hash.
+    ``term``, by default drawn from its hash. ``docs`` may list all documents: those without any term get the prior.
     """
     counts = cut_lineage(counts.select(F.col(doc).alias("doc"), F.col(term).alias("term"), F.col(n).cast("double").alias("n")))
     start = start or [(F.pmod(F.xxhash64("term", F.lit(c)), F.lit(1000)) + 1) / 1000.0 for c in range(k)]
     weights = counts.select("term").distinct().select("term", F.array(*start).alias("mu"))
     prior, likelihoods = [1.0 / k] * k, []
-    posterior = None
+    posterior = without = None
+    if docs is not None:
+        without = cut_lineage(docs.select(F.col(doc).alias("doc")).distinct().join(counts, "doc", "left_anti")).select(
+            "doc", *[F.lit(0.0).alias(f"g{c}") for c in range(k)])
 
     def normalised(w: DataFrame) -> DataFrame:
         w = cut_lineage(w)
@@ -130,6 +134,7 @@ def em_multinomial(counts: DataFrame, doc: str, term: str, n: str, k: int = 4, e
     for _ in range(epochs):
         scores = (counts.join(log_mu, "term").groupBy("doc")
                   .agg(*[F.sum(F.col("n") * F.col("log_mu")[c]).alias(f"g{c}") for c in range(k)]))
+        scores = scores if without is None else scores.unionByName(without)
         joint = [F.col(f"g{c}") + float(np.log(prior[c] + eps)) for c in range(k)]
         top = F.greatest(*joint) if k > 1 else joint[0]
         total = sum((F.exp(j - top) for j in joint[1:]), F.exp(joint[0] - top))

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.text import name_rules
+from ..session import cut_lineage
 from .ordering import medians
 
+BROADCAST_GROUPS = 10_000
+
 
 def lookup(df: DataFrame, key: str, mapping: DataFrame, map_key: str, map_value: str, name: str,
            default: Column | None = None) -> DataFrame:
@@ -45,9 +49,22 @@ def unmatched_keys(left: DataFrame, right: DataFrame, left_key: str, right_key:
             .unionByName(b.join(a, "key", "left_anti").withColumn("side", F.lit("right"))))
 
 
+def attach_groups(df: DataFrame, groups: DataFrame, by: Sequence[str], size: int | None = None) -> DataFrame:
+    """Left join with a table of one row per group, NULL keys included, so that no row is lost.
+
+    The groups are written out first and counted: up to ``BROADCAST_GROUPS`` they are sent to all tasks and the rows
+    stay where they are, hot groups too. More groups are joined by a shuffle. ``size`` is given for groups
+    that hold lists: the length of all of them.
+    """
+    groups = cut_lineage(groups.select(*[F.col(c).alias(f"_by_{c}") for c in by], *[c for c in groups.columns if c not in by]))
+    side = F.broadcast(groups) if (groups.count() if size is None else size) <= BROADCAST_GROUPS else groups
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+    return df.join(side, same, "left").drop(*[f"_by_{c}" for c in by])
+
+
 def above_group_median(df: DataFrame, keys: Sequence[str], value: str, name: str = "above_median") -> DataFrame:
-    """1 where the value exceeds the exact median of its group."""
-    return (df.join(medians(df, value, keys, name="group_median"), list(keys))
+    """1 where the value exceeds the exact median of its group, else 0, also for a NULL value; NULL is a group."""
+    return (attach_groups(df, medians(df, value, keys, name="group_median"), keys)
             .withColumn(name, F.when(F.col(value) > F.col("group_median"), 1).otherwise(0)))
 
 

@@ -44,8 +44,9 @@ def sparse_features(weights: DataFrame, doc: str, index: str, weight: str, size:
 # ---- closed forms --------------------------------------------------------------------------------
 
 def _moments(df: DataFrame, features: Sequence[str], y: str):
-    """Means and centred co-moments of features and target from one aggregation."""
+    """Means and centred co-moments of features and target from one aggregation over the rows that have them all."""
     cols = [*features, y]
+    df = df.dropna(subset=cols)
     pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
     row = df.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
                  *[F.covar_pop(cols[i], cols[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
@@ -81,8 +82,12 @@ def ridge_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], y: s
 
 
 def log_target_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], y: str, biases: Sequence[float]) -> DataFrame:
-    """Fit ``log(y + bias)`` linearly for every bias and score ``exp(prediction) - bias``: (bias, rmse, mae)."""
+    """Fit ``log(y + bias)`` linearly for every bias and score ``exp(prediction) - bias``: (bias, rmse, mae).
+
+    Rows with a missing feature or target are left out of the fit and of the errors.
+    """
     k = len(features)
+    train = train.dropna(subset=[*features, y])
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     logs = [F.log(F.col(y) + float(b)) for b in biases]
     row = train.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
@@ -149,7 +154,7 @@ def _class_sums(df: DataFrame, keys: Sequence[Column], features: Sequence[str]):
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     aggs = [F.count("*").alias("n"), *[F.sum(f).alias(f"s{i}") for i, f in enumerate(features)],
             *[F.sum(F.col(features[i]) * F.col(features[j])).alias(f"q{i}_{j}") for i, j in pairs]]
-    rows = df.groupBy(*keys).agg(*aggs).collect()      # one row per class is the size of the model
+    rows = df.dropna(subset=list(features)).groupBy(*keys).agg(*aggs).collect()      # one row per class is the size of the model
 
     def unpack(r):
         q = np.zeros((k, k))

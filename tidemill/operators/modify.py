@@ -69,14 +69,16 @@ def reject_rows(df: DataFrame, bad: Column) -> tuple[DataFrame, DataFrame]:
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """Changed values between two versions as (key, column_name, old_value, new_value) text rows.
 
-    Inserted and deleted keys appear with NULL on the missing side.
+    Inserted and deleted keys appear with all columns, NULL on the missing side. Keys compare NULL-safe.
     """
     pack = lambda df, alias: df.select(key, F.struct(*[F.col(c).cast("string").alias(c) for c in cols]).alias(alias))
-    both = pack(old, "o").join(pack(new, "n"), key, "full")
+    before, after = pack(old, "o").withColumnRenamed(key, "_key"), pack(new, "n")
+    both = (before.join(after, F.col("_key").eqNullSafe(F.col(key)), "full")
+            .select(F.coalesce(key, "_key").alias(key), "o", "n", (F.col("o").isNull() | F.col("n").isNull()).alias("_alone")))
     changes = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"o.{c}").alias("old_value"),
                                  F.col(f"n.{c}").alias("new_value")) for c in cols])
-    return (both.select(key, F.explode(changes).alias("e")).select(key, "e.*")
-                .where(~F.col("old_value").eqNullSafe(F.col("new_value"))))
+    return (both.select(key, "_alone", F.explode(changes).alias("e")).select(key, "_alone", "e.*")
+                .where(F.col("_alone") | ~F.col("old_value").eqNullSafe(F.col("new_value"))).drop("_alone"))
 
 
 def stock_after_usage(stock: DataFrame, usage: DataFrame, key: str, level: str, usage_key: str, used: str,

@@ -64,12 +64,12 @@ def avg_difference(spark, sf):
 @query("left_join_max_default", """
     SELECT p_type, p_brand, coalesce(s_name, '---') AS supplier,
            coalesce(CAST(CAST(max(l_quantity) AS INT) AS VARCHAR), '---') AS max_qty
-    FROM part LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity > 48) l ON p_partkey = l_partkey
+    FROM part LEFT JOIN lineitem l ON p_partkey = l_partkey * 2
     LEFT JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3""")
 def left_join_max_default(spark, sf):
-    top = (table(spark, sf, "lineitem").where("l_quantity > 48").groupBy("l_partkey", "l_suppkey")
+    top = (table(spark, sf, "lineitem").groupBy("l_partkey", "l_suppkey")
            .agg(F.max("l_quantity").alias("q")))
-    return (table(spark, sf, "part").join(top, F.col("p_partkey") == F.col("l_partkey"), "left")
+    return (table(spark, sf, "part").join(top, F.col("p_partkey") == F.col("l_partkey") * 2, "left")
             .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
             .groupBy("p_type", "p_brand", F.coalesce("s_name", F.lit("---")).alias("supplier"))
             .agg(F.coalesce(F.max("q").cast("int").cast("string"), F.lit("---")).alias("max_qty")))
@@ -198,19 +198,24 @@ def correlation_matrix(spark, sf):
 
 
 @query("histogram_overflow", """
-    SELECT b.bin, count(d.n_chars) AS n FROM (SELECT unnest(range(0, 11)) AS bin) b
-    LEFT JOIN documents d ON least(d.n_chars // 250, 10) = b.bin GROUP BY 1""")
+    WITH d AS (SELECT CASE WHEN doc_id % 7 > 0 THEN n_chars - 400 END AS x FROM documents)
+    SELECT b.bin, count(d.x) AS n FROM (SELECT unnest(range(0, 11)) AS bin) b
+    LEFT JOIN d ON x >= 0 AND least(x // 250, 10) = b.bin GROUP BY 1
+    UNION ALL SELECT -1, count(*) FROM d WHERE x < 0 UNION ALL SELECT NULL, count(*) FROM d WHERE x IS NULL""")
 def histogram_overflow(spark, sf):
-    return A.histogram(table(spark, sf, "documents"), "n_chars", width=250, bins=11)
+    shifted = table(spark, sf, "documents").select(F.expr("if(doc_id % 7 > 0, n_chars - 400, null)").alias("x"))
+    return A.histogram(shifted, "x", width=250, bins=11)
 
 
 @query("score_bands", """
     SELECT b.band, count(s.score) AS n FROM (SELECT unnest(range(0, 7)) AS band) b LEFT JOIN (
-        SELECT value * value / 10 AS score FROM events) s
-    ON b.band = CASE WHEN score < 1 THEN 0 WHEN score < 10 THEN 1 WHEN score < 100 THEN 2 WHEN score < 500 THEN 3
-                     WHEN score < 1000 THEN 4 WHEN score < 2000 THEN 5 ELSE 6 END GROUP BY 1""")
+        SELECT value * value / 10 AS score FROM events WHERE event_id % 6 > 0) s
+    ON b.band = CASE WHEN score IS NULL THEN NULL WHEN score < 1 THEN 0 WHEN score < 10 THEN 1 WHEN score < 100 THEN 2 WHEN score < 500 THEN 3
+                     WHEN score < 1000 THEN 4 WHEN score < 2000 THEN 5 ELSE 6 END GROUP BY 1
+    UNION ALL SELECT CASE WHEN event_id % 6 > 0 THEN NULL ELSE -1 END, count(*) FROM events WHERE event_id % 6 = 0 GROUP BY 1""")
 def score_bands(spark, sf):
-    scored = table(spark, sf, "events").select((F.col("value") * F.col("value") / 10).alias("score"))
+    score = F.col("value") * F.col("value") / 10
+    scored = table(spark, sf, "events").select(F.when(F.col("event_id") % 6 > 0, score).otherwise(-1.0).alias("score"))
     return A.band_counts(scored, "score", SCORE_EDGES)
 
 

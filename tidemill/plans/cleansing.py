@@ -34,13 +34,13 @@ def impute_mean_mode(spark, sf):
 
 
 def _dirty_orders(spark, sf):
-    """Orders with lower-cased or missing branch codes, garbled dates and flipped coordinates."""
+    """Orders with lower-cased, missing or wrong branch codes, garbled or missing dates and flipped coordinates."""
     return table(spark, sf, "orders").selectExpr(
         "o_orderkey",
         "concat('ORD', element_at(array('A', 'B', 'C'), cast(o_orderkey % 3 + 1 as int)), o_orderkey) as order_id",
         "case when o_orderkey % 10 = 1 then null when o_orderkey % 10 = 2 then element_at(array('nk', 'tp', 'bk'), cast(o_orderkey % 3 + 1 as int)) "
-        "else element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)) end as branch_code",
-        "case when o_orderkey % 8 = 3 then date_format(o_orderdate, 'dd-MM-yyyy') "
+        "when o_orderkey % 10 = 3 then 'TP' else element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)) end as branch_code",
+        "case when o_orderkey % 16 = 5 then null when o_orderkey % 16 = 6 then 'soon' when o_orderkey % 8 = 3 then date_format(o_orderdate, 'dd-MM-yyyy') "
         "     when o_orderkey % 8 = 4 and day(o_orderdate) > 12 then date_format(o_orderdate, 'yyyy-dd-MM') "
         "     else date_format(o_orderdate, 'yyyy-MM-dd') end as day",
         "if(o_orderkey % 11 = 5, 1, -1) * (37 + (o_custkey % 90) / 100.0) as lat",
@@ -62,7 +62,7 @@ def _fix_places(df):
 
 _CLEAN_ORDERS_SQL = """
     SELECT o_orderkey, list_value('NK', 'TP', 'BK')[CAST(o_orderkey % 3 + 1 AS INT)] AS branch_code,
-           CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day, round(-(37 + (o_custkey % 90) / 100.0), 4)::DOUBLE AS lat,
+           CASE o_orderkey % 16 WHEN 5 THEN NULL WHEN 6 THEN 'soon' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS day, round(-(37 + (o_custkey % 90) / 100.0), 4)::DOUBLE AS lat,
            round(144 + (o_custkey % 97) / 100.0, 4)::DOUBLE AS lon FROM orders"""
 
 
@@ -80,7 +80,7 @@ def repair_steps(spark, sf):
 
 
 @query("repair_audit", """
-    SELECT 'branch_code' AS column_name, count(*) FILTER (WHERE o_orderkey % 10 IN (1, 2)) AS n_changed FROM orders
+    SELECT 'branch_code' AS column_name, count(*) FILTER (WHERE o_orderkey % 10 IN (1, 2) OR (o_orderkey % 10 = 3 AND o_orderkey % 3 <> 1)) AS n_changed FROM orders
     UNION ALL SELECT 'day', count(*) FILTER (WHERE o_orderkey % 8 = 3 OR (o_orderkey % 8 = 4 AND day(o_orderdate) > 12)) FROM orders
     UNION ALL SELECT 'lat', count(*) FILTER (WHERE o_orderkey % 11 = 5) FROM orders
     UNION ALL SELECT 'lon', 0 FROM orders GROUP BY 1""")
@@ -146,13 +146,82 @@ def recompute_total(spark, sf):
     return _meals(spark, sf).select("o_orderkey", F.col("total").cast("double").alias("total"))
 
 
-_FIT_SQL = """
-    WITH s AS (SELECT l_returnflag, l_linestatus, count(*) AS n, avg(l_extendedprice) AS my, avg(l_quantity) AS m1,
+# lines with missing prices, quantities and flags
+_LINES_SQL = """
+    SELECT * REPLACE (CASE WHEN l_partkey % 11 > 0 THEN l_extendedprice END AS l_extendedprice,
+        CASE WHEN l_suppkey % 13 > 0 THEN l_quantity END AS l_quantity,
+        CASE WHEN l_orderkey % 17 > 0 THEN l_returnflag END AS l_returnflag) FROM lineitem"""
+
+
+def _gappy_lines(spark, sf):
+    gap = {"l_extendedprice": "l_partkey % 11", "l_quantity": "l_suppkey % 13", "l_returnflag": "l_orderkey % 17"}
+    return table(spark, sf, "lineitem").withColumns({c: F.expr(f"if({key} > 0, {c}, null)") for c, key in gap.items()})
+
+
+@query("infer_modal_prices", """
+    WITH m AS (SELECT l_returnflag, (count(*) % 1000) / 100.0 + 1 AS rice, (sum(l_linenumber) % 1000) / 100.0 + 1 AS fish FROM lineitem GROUP BY 1)
+    SELECT l_returnflag, item, round(CAST(price AS DOUBLE), 2) AS price FROM (
+        SELECT l_returnflag, 'rice' AS item, rice AS price FROM m UNION ALL SELECT l_returnflag, 'fish', fish FROM m)""")
+def infer_modal_prices(spark, sf):
+    """Every ninth bill has a wrong total, every eleventh none."""
+    lines = table(spark, sf, "lineitem").selectExpr("l_returnflag", "cast(l_quantity as int) as rice", "l_linenumber as fish",
+                                                    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+    menu = lines.groupBy("l_returnflag").agg((F.count("*") % 1000 / 100.0 + 1).alias("p_rice"),
+                                             (F.sum("l_linenumber") % 1000 / 100.0 + 1).alias("p_fish"))
+    bills = lines.join(menu, "l_returnflag").withColumn("total", F.expr(
+        "case when l_partkey % 11 = 0 then null else rice * p_rice + fish * p_fish + if(l_orderkey % 9 = 4, 25, 0) end"))
+    return C.infer_modal_prices(bills, "l_returnflag", ["rice", "fish"], "total",
+                                ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], block_rows=6)
+
+
+# The dish that the menu of each order status lacks.
+MISSING_DISH = {"F": "ECONOMY", "O": "LARGE", "P": "PROMO"}
+
+
+def _meals_by_status(spark, sf):
+    """Menus and prices per status; on some orders the second dish is one that only other menus have."""
+    menu = table(spark, sf, "part").select(F.explode(F.array(*map(F.lit, MISSING_DISH))).alias("o_orderstatus"), "p_type", "p_retailprice")
+    lacks = F.element_at(F.create_map(*[F.lit(x) for kv in MISSING_DISH.items() for x in kv]), F.col("o_orderstatus"))
+    more = F.element_at(F.create_map(*[F.lit(x) for i, k in enumerate(MISSING_DISH) for x in (k, i)]), F.col("o_orderstatus"))
+    price = F.round(F.avg(F.col("p_retailprice").cast("decimal(12,2)")), 2) + more
+    menu = menu.where(F.col("p_type") != lacks).groupBy("o_orderstatus", F.col("p_type").alias("item")).agg(price.alias("price"))
+    dishes = F.filter(F.array(*map(F.lit, DISHES)), lambda d: d != lacks)
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", dishes.alias("d"), lacks.alias("lacks"))
+    first = F.element_at("d", (F.col("o_orderkey") % 5 + 1).cast("int"))
+    second = F.element_at("d", ((F.col("o_orderkey") + 1 + F.col("o_custkey") % 4) % 5 + 1).cast("int"))
+    pair = lambda b: F.array(
+        F.struct(first.alias("item"), (F.col("o_custkey") % 7 + 1).cast("int").alias("qty")),
+        F.struct(b.alias("item"), (F.col("o_orderkey") % 4 + 1).cast("int").alias("qty")))
+    dirty = F.when(F.col("o_custkey") % 4 == 0, F.col("lacks")).otherwise(second)
+    meals = orders.select("o_orderkey", "o_orderstatus", pair(second).alias("clean"), pair(dirty).alias("items"))
+    return C.recompute_total(meals, ["o_orderkey"], "clean", menu, "total", group="o_orderstatus"), menu
+
+
+@query("repair_items_by_menu", f"""
+    WITH s AS (SELECT * FROM (VALUES {', '.join(f"('{k}', '{v}', {i})" for i, (k, v) in enumerate(MISSING_DISH.items()))}) AS v(status, lacks, more)),
+    menu AS (SELECT status, p_type, CAST(round(avg(CAST(p_retailprice AS DECIMAL(12,2))), 2) AS DECIMAL(12,2)) + any_value(more) AS price
+             FROM part, s WHERE p_type <> lacks GROUP BY 1, 2),
+    d AS (SELECT o_orderkey, status, o_custkey % 7 + 1 AS qa, o_orderkey % 4 + 1 AS qb, list_filter({_DISH_SQL}, lambda x: x <> lacks) AS l, o_custkey
+          FROM orders JOIN s ON o_orderstatus = status),
+    m AS (SELECT *, l[CAST(o_orderkey % 5 + 1 AS INT)] AS a, l[CAST((o_orderkey + 1 + o_custkey % 4) % 5 + 1 AS INT)] AS b FROM d)
+    SELECT o_orderkey, a || ':' || qa || ',' || b || ':' || qb AS items, CAST(x.price * qa + y.price * qb AS DOUBLE) AS total
+    FROM m JOIN menu x ON x.status = m.status AND a = x.p_type JOIN menu y ON y.status = m.status AND b = y.p_type""")
+def repair_items_by_menu(spark, sf):
+    meals, menu = _meals_by_status(spark, sf)
+    fixed = C.repair_items(meals, ["o_orderkey"], "items", "total", menu, group="o_orderstatus")
+    text = F.array_join(F.transform("items", lambda e: F.concat_ws(":", e["item"], e["qty"].cast("string"))), ",")
+    return fixed.select("o_orderkey", text.alias("items"), F.col("total").cast("double").alias("total"))
+
+
+_FIT_SQL = f"""
+    WITH lines AS ({_LINES_SQL}),
+         s AS (SELECT l_returnflag, l_linestatus, count(*) AS n, avg(l_extendedprice) AS my, avg(l_quantity) AS m1,
                       avg(l_discount) AS m2, avg(l_linenumber) AS m3, var_pop(l_quantity) AS a11, var_pop(l_discount) AS a22,
                       var_pop(l_linenumber) AS a33, covar_pop(l_quantity, l_discount) AS a12,
                       covar_pop(l_quantity, l_linenumber) AS a13, covar_pop(l_discount, l_linenumber) AS a23,
                       covar_pop(l_quantity, l_extendedprice) AS b1, covar_pop(l_discount, l_extendedprice) AS b2,
-                      covar_pop(l_linenumber, l_extendedprice) AS b3 FROM lineitem GROUP BY 1, 2),
+                      covar_pop(l_linenumber, l_extendedprice) AS b3 FROM lines
+               WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL GROUP BY 1, 2),
          d AS (SELECT *, a11 * (a22 * a33 - a23 * a23) - a12 * (a12 * a33 - a23 * a13) + a13 * (a12 * a23 - a22 * a13) AS det FROM s),
          c AS (SELECT *, (b1 * (a22 * a33 - a23 * a23) - a12 * (b2 * a33 - a23 * b3) + a13 * (b2 * a23 - a22 * b3)) / det AS c1,
                       (a11 * (b2 * a33 - a23 * b3) - b1 * (a12 * a33 - a23 * a13) + a13 * (a12 * b3 - b2 * a13)) / det AS c2,
@@ -162,7 +231,7 @@ _FEATURES = ["l_quantity", "l_discount", "l_linenumber"]
 
 
 def _fit(spark, sf):
-    fit = C.group_linear_fit(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], _FEATURES, "l_extendedprice")
+    fit = C.group_linear_fit(_gappy_lines(spark, sf), ["l_returnflag", "l_linestatus"], _FEATURES, "l_extendedprice")
     return cut_lineage(fit)     # one row per group, used by several branches
 
 
@@ -174,25 +243,26 @@ def group_linear_fit(spark, sf):
 
 
 _RESIDUAL_SQL = f"""{_FIT_SQL},
-    r AS (SELECT l_returnflag, l_linestatus, l_orderkey, l_partkey, l_suppkey, l.l_linenumber, l.l_extendedprice,
+    r AS (SELECT l.l_returnflag, l_linestatus, l_orderkey, l_partkey, l_suppkey, l.l_linenumber, l.l_extendedprice,
                  c0 + c1 * l_quantity + c2 * l_discount + c3 * l_linenumber AS pred
-          FROM lineitem l JOIN fit USING (l_returnflag, l_linestatus))"""
+          FROM lines l LEFT JOIN fit f USING (l_linestatus) WHERE l.l_returnflag IS NOT DISTINCT FROM f.l_returnflag)"""
 
 
 def _scored_lines(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    return C.predict_linear(lines, _fit(spark, sf), ["l_returnflag", "l_linestatus"], _FEATURES)
+    return C.predict_linear(_gappy_lines(spark, sf), _fit(spark, sf), ["l_returnflag", "l_linestatus"], _FEATURES)
 
 
 @query("residual_outliers", f"""{_RESIDUAL_SQL},
     e AS (SELECT *, l_extendedprice - pred AS res FROM r),
     q AS (SELECT l_returnflag, l_linestatus, quantile_cont(res, 0.25) AS q1, quantile_cont(res, 0.75) AS q3 FROM e GROUP BY 1, 2)
-    SELECT l_returnflag, l_linestatus, count(*) AS n, count(*) FILTER (WHERE res < q1 - 0.5 * (q3 - q1) OR res > q3 + 0.5 * (q3 - q1)) AS n_outliers
-    FROM e JOIN q USING (l_returnflag, l_linestatus) GROUP BY 1, 2""")
+    SELECT e.l_returnflag, e.l_linestatus, count(*) AS n, count(*) FILTER (WHERE res IS NULL) AS n_unknown,
+           count(*) FILTER (WHERE res < q1 - 0.5 * (q3 - q1) OR res > q3 + 0.5 * (q3 - q1)) AS n_outliers
+    FROM e JOIN q ON e.l_linestatus = q.l_linestatus AND e.l_returnflag IS NOT DISTINCT FROM q.l_returnflag GROUP BY 1, 2""")
 def residual_outliers(spark, sf):
     scored = _scored_lines(spark, sf).withColumn("res", F.col("l_extendedprice") - F.col("pred"))
     marked = C.mark_outliers(scored.select("l_returnflag", "l_linestatus", "res"), "res", ["l_returnflag", "l_linestatus"], t=0.5)
-    return marked.groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n"), F.sum("is_outlier").alias("n_outliers"))
+    return marked.groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"), F.count_if(F.col("is_outlier").isNull()).alias("n_unknown"), F.sum("is_outlier").alias("n_outliers"))
 
 
 @query("ratio_flag", f"""{_RESIDUAL_SQL}
@@ -204,22 +274,22 @@ def ratio_flag(spark, sf):
 
 
 @query("impute_by_rule", """
-    WITH d AS (SELECT o_orderkey, o_custkey, list_value('NK', 'TP', 'BK')[CAST(o_orderkey % 3 + 1 AS INT)] AS code,
-                      round((o_custkey % 977) / 7.0, 3) AS km, o_orderkey % 4 = 0 AS loyal, o_totalprice AS fee FROM orders),
+    WITH d AS (SELECT o_orderkey, CASE WHEN o_orderkey % 29 > 0 THEN list_value('NK', 'TP', 'BK')[CAST(o_orderkey % 3 + 1 AS INT)] END AS code,
+                      CASE WHEN o_custkey % 31 > 0 THEN round((o_custkey % 977) / 7.0, 3) END AS km, o_orderkey % 4 = 0 AS loyal, o_totalprice AS fee FROM orders),
          m AS (SELECT code, regr_slope(fee, km) AS a, regr_intercept(fee, km) AS b FROM d
                WHERE o_orderkey % 13 <> 6 GROUP BY 1)
-    SELECT o_orderkey, code, km, CASE WHEN o_orderkey % 13 <> 6 THEN fee
-        ELSE round((a * km + b) / CASE WHEN loyal THEN 2 ELSE 1 END, 4) END AS fee FROM d JOIN m USING (code)""")
+    SELECT o_orderkey, d.code, km, CASE WHEN o_orderkey % 13 <> 6 THEN fee
+        ELSE round((a * km + b) / CASE WHEN loyal THEN 2 ELSE 1 END, 4) END AS fee FROM d JOIN m ON d.code IS NOT DISTINCT FROM m.code""")
 def impute_by_rule(spark, sf):
-    km = F.round((F.col("o_custkey") % 977) / F.lit(7.0), 3)
+    km = F.when(F.col("o_custkey") % 31 > 0, F.round((F.col("o_custkey") % 977) / F.lit(7.0), 3))
     gaps = table(spark, sf, "orders").select(
         "o_orderkey", "o_custkey",
-        F.expr("concat('ORD', element_at(array('A', 'B', 'C'), cast(o_orderkey % 3 + 1 as int)), o_orderkey)").alias("order_id"),
-        F.expr("if(o_orderkey % 5 = 2, null, element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)))").alias("code"),
+        F.expr("concat(if(o_orderkey % 29 > 0, 'ORD', 'ODD'), element_at(array('A', 'B', 'C'), cast(o_orderkey % 3 + 1 as int)), o_orderkey)").alias("order_id"),
+        F.expr("if(o_orderkey % 5 = 2 or o_orderkey % 29 = 0, null, element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)))").alias("code"),
         F.when(F.col("o_orderkey") % 7 != 1, km).alias("km"), (F.col("o_orderkey") % 4 == 0).alias("loyal"),
         F.when(F.col("o_orderkey") % 13 != 6, F.col("o_totalprice")).alias("fee"))
     whole = C.impute_by_rule(C.repair_code(gaps, "order_id", "code", BRANCH_PREFIX), {"km": km})
-    model = C.group_linear_fit(whole.where(F.col("fee").isNotNull()), ["code"], ["km"], "fee")
+    model = C.group_linear_fit(whole, ["code"], ["km"], "fee")
     scored = C.predict_linear(whole, model, ["code"], ["km"])
     fee = F.round(F.col("pred") / F.when(F.col("loyal"), 2).otherwise(1), 4)
     return C.impute_by_rule(scored, {"fee": fee}).select("o_orderkey", "code", "km", "fee")
@@ -307,13 +377,29 @@ def reject_rows(spark, sf):
 
 
 @query("snapshot_diff", """
-    SELECT p_partkey, 'p_brand' AS column_name, p_brand AS old_value, p_brand || '-new' AS new_value FROM part WHERE p_partkey % 13 = 0
-    UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR), CAST(p_size + 1 AS VARCHAR) FROM part WHERE p_partkey % 17 = 0""")
+    WITH old AS (SELECT p_partkey, CASE WHEN p_partkey % 23 > 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 23 > 0 THEN p_size END AS p_size
+                 FROM part WHERE p_partkey % 19 > 0),
+         new AS (SELECT p_partkey, CASE WHEN p_partkey % 23 > 0 THEN p_brand || CASE WHEN p_partkey % 13 = 0 THEN '-new' ELSE '' END END AS p_brand,
+                        CASE WHEN p_partkey % 23 > 0 THEN p_size + CASE WHEN p_partkey % 17 = 0 THEN 1 ELSE 0 END END AS p_size FROM part WHERE p_partkey % 11 > 0),
+         b AS (SELECT coalesce(o.p_partkey, n.p_partkey) AS p_partkey, o.p_partkey IS NULL OR n.p_partkey IS NULL AS alone, o.p_brand AS ob, n.p_brand AS nb,
+                      CAST(o.p_size AS VARCHAR) AS os, CAST(n.p_size AS VARCHAR) AS ns FROM old o FULL JOIN new n ON o.p_partkey = n.p_partkey)
+    SELECT p_partkey, 'p_brand' AS column_name, ob AS old_value, nb AS new_value FROM b WHERE alone OR ob IS DISTINCT FROM nb
+    UNION ALL SELECT p_partkey, 'p_size', os, ns FROM b WHERE alone OR os IS DISTINCT FROM ns""")
 def snapshot_diff(spark, sf):
-    old = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
-    new = old.withColumns({"p_brand": F.expr("if(p_partkey % 13 = 0, concat(p_brand, '-new'), p_brand)"),
-                           "p_size": F.expr("if(p_partkey % 17 = 0, p_size + 1, p_size)")})
-    return M.snapshot_diff(old, new, "p_partkey", ["p_brand", "p_size"])
+    part = table(spark, sf, "part").select("p_partkey", F.expr("if(p_partkey % 23 > 0, p_brand, null)").alias("p_brand"),
+                                           F.expr("if(p_partkey % 23 > 0, p_size, null)").alias("p_size"))
+    new = part.withColumns({"p_brand": F.expr("if(p_partkey % 13 = 0, concat(p_brand, '-new'), p_brand)"),
+                            "p_size": F.expr("if(p_partkey % 17 = 0, p_size + 1, p_size)")})
+    return M.snapshot_diff(part.where("p_partkey % 19 > 0"), new.where("p_partkey % 11 > 0"), "p_partkey", ["p_brand", "p_size"])
+
+
+@query("audit_versions", """
+    SELECT 'p_brand' AS column_name, count(*) FILTER (WHERE p_partkey % 19 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0) AS n_changed FROM part
+    WHERE p_partkey % 19 > 0 OR p_partkey % 11 > 0""")
+def audit_versions(spark, sf):
+    part = table(spark, sf, "part").select("p_partkey", "p_brand")
+    new = part.withColumn("p_brand", F.expr("if(p_partkey % 13 = 0, null, p_brand)"))
+    return C.audit(part.where("p_partkey % 19 > 0"), new.where("p_partkey % 11 > 0"), ["p_partkey"], ["p_brand"])
 
 
 @query("stock_after_usage", """

@@ -101,12 +101,12 @@ def join_inner_3way(spark, sf):
 @query("left_join_chain", """
     SELECT p.p_partkey, p.p_name, coalesce(l.l_orderkey, -1) AS l_orderkey, coalesce(l.l_linenumber, -1) AS l_linenumber,
            coalesce(s.s_name, 'not available') AS s_name, n.n_name
-    FROM part p LEFT JOIN (SELECT * FROM lineitem WHERE l_quantity >= 49) l ON p.p_partkey = l.l_partkey
-    LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""")
+    FROM part p LEFT JOIN lineitem l ON p.p_partkey = l.l_partkey * 2
+    LEFT JOIN supplier s ON l.l_suppkey * 2 = s.s_suppkey LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey""")
 def left_join_chain(spark, sf):
-    lines = table(spark, sf, "lineitem").where("l_quantity >= 49")
-    return (table(spark, sf, "part").join(lines, F.col("p_partkey") == F.col("l_partkey"), "left")
-            .join(table(spark, sf, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "left")
+    lines = table(spark, sf, "lineitem")
+    return (table(spark, sf, "part").join(lines, F.col("p_partkey") == F.col("l_partkey") * 2, "left")
+            .join(table(spark, sf, "supplier"), F.col("l_suppkey") * 2 == F.col("s_suppkey"), "left")
             .join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"), "left")
             .select("p_partkey", "p_name", F.coalesce("l_orderkey", F.lit(-1)).alias("l_orderkey"),
                     F.coalesce("l_linenumber", F.lit(-1)).alias("l_linenumber"),
@@ -152,13 +152,14 @@ def semi_join_chain(spark, sf):
 
 
 @query("unmatched_keys", """
-    WITH a AS (SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity = 50),
-         b AS (SELECT p_partkey AS key FROM part WHERE p_size < 25)
+    WITH a AS (SELECT DISTINCT l_partkey * 3 AS key FROM lineitem),
+         b AS (SELECT p_partkey * 2 AS key FROM part)
     SELECT key, 'left' AS side FROM a WHERE key NOT IN (SELECT key FROM b)
     UNION ALL SELECT key, 'right' FROM b WHERE key NOT IN (SELECT key FROM a)""")
 def unmatched_keys(spark, sf):
-    return J.unmatched_keys(table(spark, sf, "lineitem").where("l_quantity = 50"),
-                            table(spark, sf, "part").where("p_size < 25"), "l_partkey", "p_partkey")
+    lines = table(spark, sf, "lineitem").select((F.col("l_partkey") * 3).alias("l_partkey"))
+    parts = table(spark, sf, "part").select((F.col("p_partkey") * 2).alias("p_partkey"))
+    return J.unmatched_keys(lines, parts, "l_partkey", "p_partkey")
 
 
 @query("scalar_subquery_eq", """
@@ -182,9 +183,9 @@ def below_average(spark, sf):
 @query("lookup_with_default", """
     SELECT e.event_id, coalesce(c.c_name, 'user ' || e.user_id) AS owner,
            coalesce(c.c_mktsegment, 'not available') AS segment
-    FROM events e LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) c ON e.user_id = c.c_custkey""")
+    FROM events e LEFT JOIN customer c ON e.user_id = c.c_custkey * 2""")
 def lookup_with_default(spark, sf):
-    known = table(spark, sf, "customer").where("c_acctbal > 0")
+    known = table(spark, sf, "customer").withColumn("c_custkey", F.col("c_custkey") * 2)
     named = J.lookup(table(spark, sf, "events"), "user_id", known, "c_custkey", "c_name", "owner",
                      F.concat(F.lit("user "), F.col("user_id").cast("string")))
     return (J.lookup(named, "user_id", known, "c_custkey", "c_mktsegment", "segment", F.lit("not available"))
@@ -252,11 +253,15 @@ def name_reconcile(spark, sf):
 
 
 @query("above_group_median", """
+    WITH d AS (SELECT * REPLACE (CASE WHEN o_custkey % 9 > 0 THEN o_orderpriority END AS o_orderpriority,
+                                 CASE WHEN o_custkey % 14 > 0 THEN o_totalprice END AS o_totalprice) FROM orders)
     SELECT o_orderkey, CAST(CASE WHEN o_totalprice > median(o_totalprice) OVER (
                PARTITION BY o_orderstatus, o_orderpriority, year(o_orderdate)) THEN 1 ELSE 0 END AS INT) AS above_median
-    FROM orders""")
+    FROM d""")
 def above_group_median(spark, sf):
-    orders = table(spark, sf, "orders").withColumn("y", F.year("o_orderdate"))
+    orders = table(spark, sf, "orders").withColumns({
+        "y": F.year("o_orderdate"), "o_orderpriority": F.expr("if(o_custkey % 9 > 0, o_orderpriority, null)"),
+        "o_totalprice": F.expr("if(o_custkey % 14 > 0, o_totalprice, null)")})
     return (J.above_group_median(orders, ["o_orderstatus", "o_orderpriority", "y"], "o_totalprice")
             .select("o_orderkey", "above_median"))
 

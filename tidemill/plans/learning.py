@@ -378,7 +378,8 @@ def em_mixture(spark, sf):
 
 @query("em_documents")
 def em_documents(spark, sf):
-    posterior, _, _ = K.em_multinomial(doc_term_counts(spark, sf), "doc_id", "term_index", "n", k=4, epochs=5)
+    posterior, _, _ = K.em_multinomial(doc_term_counts(spark, sf), "doc_id", "term_index", "n", k=4, epochs=5,
+                                       docs=table(spark, sf, "documents"))
     best = F.array_position("gamma", F.array_max("gamma")) - 1
     return posterior.select(F.col("doc").alias("doc_id"), best.alias("cluster"), F.round(F.array_max("gamma"), 6).alias("share"))
 

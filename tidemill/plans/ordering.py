@@ -106,14 +106,14 @@ def argbest_row(spark, sf):
 
 
 @query("set_ops", """
-    WITH a AS (SELECT l_suppkey AS key FROM lineitem WHERE l_quantity = 50 AND l_discount > 0.05),
-         b AS (SELECT s_suppkey AS key FROM supplier WHERE s_acctbal > 2000)
+    WITH a AS (SELECT l_suppkey * 3 AS key FROM lineitem),
+         b AS (SELECT s_suppkey * 2 AS key FROM supplier)
     SELECT key, 'both' AS side FROM (SELECT key FROM a INTERSECT SELECT key FROM b)
     UNION ALL SELECT key, 'left' FROM (SELECT key FROM a EXCEPT SELECT key FROM b)
     UNION ALL SELECT key, 'right' FROM (SELECT key FROM b EXCEPT SELECT key FROM a)""")
 def set_ops(spark, sf):
-    return R.set_split(table(spark, sf, "lineitem").where("l_quantity = 50 and l_discount > 0.05").select("l_suppkey"),
-                       table(spark, sf, "supplier").where("s_acctbal > 2000").select("s_suppkey"))
+    return R.set_split(table(spark, sf, "lineitem").select((F.col("l_suppkey") * 3).alias("l_suppkey")),
+                       table(spark, sf, "supplier").select((F.col("s_suppkey") * 2).alias("s_suppkey")))
 
 
 @query("melt_long", """

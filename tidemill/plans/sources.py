@@ -16,6 +16,18 @@ def csv_roundtrip(spark, sf):
     return readers.read_csv(spark, path, SCHEMAS["customer"])
 
 
+@query("append_rows", """
+    SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer
+    UNION ALL SELECT -1, 'walk-in', 0, 0.0, 'NONE' UNION ALL SELECT -2, 'staff', 0, 0.0, 'NONE'""")
+def append_rows(spark, sf):
+    path, customer = scratch_path(spark, "append"), table(spark, sf, "customer")
+    customer.where("c_custkey % 3 > 0").write.parquet(path)
+    sinks.append_rows(customer.where("c_custkey % 3 = 0"), path, ["c_custkey"])
+    constant = spark.createDataFrame([(-1, "walk-in", 0, 0.0, "NONE"), (-2, "staff", 0, 0.0, "NONE")], "k long, n string, a int, b double, m string")
+    sinks.append_rows(constant.toDF(*customer.columns), path, ["c_custkey"])
+    return spark.read.schema(SCHEMAS["customer"]).parquet(path)
+
+
 @query("text_line_scan", """
     SELECT CAST(length(line) AS BIGINT) AS n_chars, count(*) AS n_lines
     FROM (SELECT unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line FROM documents) GROUP BY 1""")
@@ -27,12 +39,11 @@ def text_line_scan(spark, sf):
 
 
 @query("union_dedup", """
-    SELECT DISTINCT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events
-    WHERE event_type IN ('click', 'view', 'error')""")
+    SELECT DISTINCT user_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day FROM events""")
 def union_dedup(spark, sf):
     base = table(spark, sf, "events").select("user_id", "event_type", F.col("ts").cast("date").cast("string").alias("day"))
     paths = []
-    for kinds in (("click", "view"), ("view", "error")):
+    for kinds in (("click", "view", "purchase"), ("view", "error", "signup")):
         paths.append(scratch_path(spark, "feed"))
         sinks.write_csv(base.where(F.col("event_type").isin(*kinds)), paths[-1])
     return readers.union_sources(spark, paths, "user_id bigint, event_type string, day string")

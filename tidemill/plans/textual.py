@@ -131,11 +131,11 @@ def doc_term_counts(spark, sf):
 
 
 @query("sparse_vector_text", f"""
-    SELECT doc_id || ',' || string_agg(term_index || ':' || n, ',' ORDER BY term_index) AS value
-    FROM ({_COUNTS_SQL}) GROUP BY doc_id""")
+    SELECT doc_id || coalesce(',' || pairs, '') AS value FROM documents LEFT JOIN (
+        SELECT doc_id, string_agg(term_index || ':' || n, ',' ORDER BY term_index) AS pairs FROM ({_COUNTS_SQL}) GROUP BY doc_id) USING (doc_id)""")
 def sparse_vector_text(spark, sf):
     path = scratch_path(spark, "vectors")
-    sinks.write_lines(sinks.sparse_vector_lines(doc_term_counts(spark, sf), "doc_id"), path)
+    sinks.write_lines(sinks.sparse_vector_lines(doc_term_counts(spark, sf), "doc_id", docs=documents(spark, sf)), path)
     return readers.read_lines(spark, path)
 
 
