@@ -26,3 +26,16 @@ def test_travel_time(spark):
     df = spark.createDataFrame(data, "trip string, stop string, sec int, seq int")
     out = G.travel_time(df, ["trip"], "stop", ["seq"], "sec", "sec", ["HUB"])
     assert rows(out, "stop") == [("A", 45.0, 2), ("HUB", 0.0, 1)]
+
+
+def test_loops_keep_few_stages(spark):
+    import os
+    from tidemill.session import shared_dir
+
+    def stages():
+        return {f for f in os.listdir(shared_dir(spark)) if f.startswith("stage")}
+    before = stages()
+    edges = spark.createDataFrame([(i, i + 1, 1.0) for i in range(12)], "u long, v long, w double")
+    far = G.shortest_paths(edges, spark.createDataFrame([(0,)], "s long"))
+    assert {r["node"]: r["distance"] for r in far.collect()} == {i: float(i) for i in range(13)}
+    assert len(stages() - before) == 2

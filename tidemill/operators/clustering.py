@@ -10,7 +10,7 @@ from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stage
 from .neighbors import _matrix, distances
 from .ordering import first_per_key
 
@@ -121,12 +121,15 @@ def em_multinomial(counts: DataFrame, doc: str, term: str, n: str, k: int = 4, e
     weights = counts.select("term").distinct().select("term", F.array(*start).alias("mu"))
     prior, likelihoods = [1.0 / k] * k, []
     posterior = without = None
+    stages: list[DataFrame] = []
     if docs is not None:
         without = cut_lineage(docs.select(F.col(doc).alias("doc")).distinct().join(counts, "doc", "left_anti")).select(
             "doc", *[F.lit(0.0).alias(f"g{c}") for c in range(k)])
 
     def normalised(w: DataFrame) -> DataFrame:
+        """Log weights; the table they come from is the newest of ``stages``."""
         w = cut_lineage(w)
+        stages.append(w)
         sums = w.agg(*[F.sum(F.col("mu")[c] + eps).alias(f"s{c}") for c in range(k)]).first()
         return w.select("term", F.array(*[F.log((F.col("mu")[c] + eps) / sums[c]) for c in range(k)]).alias("log_mu"))
 
@@ -142,13 +145,15 @@ def em_multinomial(counts: DataFrame, doc: str, term: str, n: str, k: int = 4, e
         if mode == "hard":
             best = F.least(*[F.when(j == top, c) for c, j in enumerate(joint)]) if k > 1 else F.lit(0)
             shares = [F.when(best == c, 1.0).otherwise(0.0) for c in range(k)]
-        posterior = cut_lineage(scores.select("doc", F.array(*shares).alias("gamma"), (top + F.log(total)).alias("ll")))
+        before, posterior = posterior, cut_lineage(scores.select("doc", F.array(*shares).alias("gamma"), (top + F.log(total)).alias("ll")))
         facts = posterior.agg(F.sum("ll").alias("ll"), F.count("*").alias("n"),
                               *[F.sum(F.col("gamma")[c]).alias(f"p{c}") for c in range(k)]).first()
         likelihoods.append(facts["ll"])
         prior = [facts[f"p{c}"] / facts["n"] for c in range(k)]
         log_mu = normalised(counts.join(posterior, "doc").groupBy("term").agg(
             F.array(*[F.sum(F.col("n") * F.col("gamma")[c]) for c in range(k)]).alias("mu")))
+        drop_stage(before)
+        drop_stage(stages.pop(0))
         if len(likelihoods) > 1 and abs(likelihoods[-1] - likelihoods[-2]) < tolerance:
             break
     return posterior, log_mu, likelihoods

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stage
 
 
 def undirected(edges: DataFrame, u: str, v: str, weight: str) -> DataFrame:
@@ -33,7 +33,9 @@ def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000)
         merged = (state.select("source", "node", "d", F.col("d").alias("old"))
                   .unionByName(reached.withColumn("old", F.lit(None).cast(edges.schema["w"].dataType)))
                   .groupBy("source", "node").agg(F.min("d").alias("d"), F.min("old").alias("old")))
+        before = state
         state = cut_lineage(merged.select("source", "node", "d", F.coalesce(F.col("d") < F.col("old"), F.lit(True)).alias("moved")))
+        drop_stage(before)
         if state.where("moved").isEmpty():
             return state.select("source", "node", F.col("d").alias("distance"))
     raise RuntimeError(f"paths still improve after {max_rounds} rounds")

@@ -60,7 +60,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, "stage")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stage = spark.read.schema(df.schema).parquet(path)
+    stage._stage_path = path
+    return stage
+
+
+def drop_stage(stage: DataFrame | None) -> None:
+    """Delete a table of ``cut_lineage`` that a loop has superseded; nothing may read it, or what follows from it, again."""
+    path = getattr(stage, "_stage_path", None)
+    if path:
+        spark = stage.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:
