@@ -21,7 +21,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stage
 from .common import join_classes, packed
 
 BITS = 64
@@ -190,9 +190,11 @@ def components(edges: DataFrame) -> DataFrame:
     smallest. Each round is written to the shared folder; the one before it is not needed any more.
     """
     pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u != v").distinct()
-    known = None
+    known = stage = None
     while True:
-        pairs = cut_lineage(pairs)
+        before, pairs = stage, cut_lineage(pairs)
+        stage = pairs
+        drop_stage(before)
         state = pairs.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if state == known or not state[0]:
             return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
