@@ -11,6 +11,7 @@ from ..functions.text import bigrams
 from .ordering import global_index, index_within
 
 MAX_LITERAL_WORDS = 1000
+BROADCAST_TERMS = 100_000
 
 
 def count_words(df: DataFrame, tokens: Column, keep: Sequence[str] = ()) -> DataFrame:
@@ -95,8 +96,13 @@ def stem_vocab(df: DataFrame, term: str, stemmer: Callable[[Column], Column], mi
 
 
 def doc_term_counts(counts: DataFrame, doc: str, term: str, vocab: DataFrame, index: str = "term_index") -> DataFrame:
-    """(doc, index, n) for the terms of the vocabulary."""
-    return counts.join(vocab.select(term, index), term).select(doc, index, "n")
+    """(doc, index, n) for the terms of the vocabulary.
+
+    A vocabulary of up to ``BROADCAST_TERMS`` terms is sent to the counts; a larger one is joined by a shuffle.
+    """
+    side = vocab.select(term, index)
+    side = F.broadcast(side) if vocab.count() <= BROADCAST_TERMS else side
+    return counts.join(side, term).select(doc, index, "n")
 
 
 def tfidf(counts: DataFrame, doc: str, term: str, n_docs: Column, min_df: float | int = 8, max_df: float = .95) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.stem import stem
 from ..operators import textmine as T
-from ..session import scratch_path
+from ..session import cut_lineage, scratch_path
 from ..sources import readers, sinks
 from ..sources.tables import documents, table
 from .ordering import _WORDS, document_words
@@ -127,7 +127,9 @@ _COUNTS_SQL = f"""
 
 @query("doc_term_counts", _COUNTS_SQL)
 def doc_term_counts(spark, sf):
-    return T.doc_term_counts(_word_counts(spark, sf), "doc_id", "term", _indexed_vocab(spark, sf))
+    counts = cut_lineage(_word_counts(spark, sf))      # the texts are read and counted once
+    vocab = T.prune_vocab(counts, "term", T.document_count(table(spark, sf, "documents")))
+    return T.doc_term_counts(counts, "doc_id", "term", T.vocab_index(vocab.select("term"), "term"))
 
 
 @query("sparse_vector_text", f"""
