@@ -68,6 +68,13 @@ def test_text_functions(spark):
     assert value(spark, X.vocab_size(F.lit("a b A c!"))) == 3
 
 
+def test_extended_stems():
+    known = {"dies": "die", "dying": "die", "died": "die", "tried": "tri", "enjoy": "enjoy", "possibly": "possibl",
+             "archaeology": "archaeolog", "skies": "sky", "news": "news", "happy": "happi", "by": "by", "spy": "spi",
+             "skillfully": "skill", "proceed": "proceed", "running": "run", "relational": "relat", "used": "use"}
+    assert {w: porter_stem(w, extended=True) for w in known} == known
+
+
 def test_porter_stems():
     known = {"caresses": "caress", "ponies": "poni", "cats": "cat", "feed": "feed", "agreed": "agre", "plastered": "plaster",
              "motoring": "motor", "sing": "sing", "conflated": "conflat", "hopping": "hop", "falling": "fall", "filing": "file",

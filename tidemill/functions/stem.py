@@ -1,4 +1,8 @@
-"""Porter's suffix stripping (1980) as one Arrow UDF; it is applied to distinct words only."""
+"""Porter's suffix stripping as one Arrow UDF; it is applied to distinct words only.
+
+``porter_stem`` follows the rules of 1980. With ``extended`` it also has the published later rules: irregular
+words, short words in -ies and -ied, y only after a consonant, and -bli, -fulli and -logi.
+"""
 
 from __future__ import annotations
 
@@ -21,6 +25,10 @@ STEP_2 = {"ational": "ate", "ization": "ize", "iveness": "ive", "fulness": "ful"
 STEP_3 = {"icate": "ic", "ative": "", "alize": "al", "iciti": "ic", "ical": "ic", "ness": "", "ful": ""}
 STEP_4 = ["ement", "ance", "ence", "able", "ible", "ment", "ant", "ent", "ism", "ate", "iti", "ous", "ive", "ize",
           "ion", "al", "er", "ic", "ou"]
+EXTENDED_STEP_2 = {**{s: r for s, r in STEP_2.items() if s != "abli"}, "fulli": "ful", "bli": "ble"}
+IRREGULAR = {"sky": "sky", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "news": "news",
+             "inning": "inning", "innings": "inning", "outing": "outing", "outings": "outing", "canning": "canning",
+             "cannings": "canning", "howe": "howe", "proceed": "proceed", "exceed": "exceed", "succeed": "succeed"}
 
 
 def _measure(stem: str) -> int:
@@ -35,30 +43,64 @@ def _replace_longest(word: str, rules: dict[str, str]) -> str:
     return stem + rules[hit] if _measure(stem) > 0 else word
 
 
-def _tidy(stem: str) -> str:
+def _short_end(stem: str, extended: bool) -> bool:
+    """Consonant, vowel, consonant at the end; the extended rules also take a vowel and a consonant alone."""
+    return bool(_SHORT_END.search(stem)) or (extended and len(stem) == 2 and bool(re.fullmatch("[aeiou][^aeiou]", stem)))
+
+
+def _tidy(stem: str, extended: bool) -> str:
     if stem.endswith(("at", "bl", "iz")):
         return stem + "e"
     if len(stem) > 1 and stem[-1] == stem[-2] and stem[-1] not in "aeioulsz":
         return stem[:-1]
-    return stem + "e" if _measure(stem) == 1 and _SHORT_END.search(stem) else stem
+    return stem + "e" if _measure(stem) == 1 and _short_end(stem, extended) else stem
 
 
-def porter_stem(word: str) -> str:
-    if len(word) < 3:
-        return word
+def _plural(word: str, extended: bool) -> str:
+    if extended and word.endswith("ies") and len(word) == 4:
+        return word[:-1]
     if word.endswith(("sses", "ies")):
-        word = word[:-2]
-    elif word.endswith("s") and not word.endswith("ss"):
-        word = word[:-1]
+        return word[:-2]
+    return word[:-1] if word.endswith("s") and not word.endswith("ss") else word
+
+
+def _past(word: str, extended: bool) -> str:
+    if extended and word.endswith("ied"):
+        return word[:-1] if len(word) == 4 else word[:-2]
     if word.endswith("eed"):
-        word = word[:-1] if _measure(word[:-3]) > 0 else word
+        return word[:-1] if _measure(word[:-3]) > 0 else word
+    ending = next((e for e in ("ing", "ed") if word.endswith(e)), None)
+    if ending and _HAS_VOWEL.search(word[:-len(ending)]):
+        return _tidy(word[:-len(ending)], extended)
+    return word
+
+
+def _last_y(word: str, extended: bool) -> str:
+    stem = word[:-1]
+    if extended:
+        turns = len(stem) > 1 and re.search(f"{_CONSONANT}$", stem)
     else:
-        ending = next((e for e in ("ing", "ed") if word.endswith(e)), None)
-        if ending and _HAS_VOWEL.search(word[:-len(ending)]):
-            word = _tidy(word[:-len(ending)])
-    if word.endswith("y") and _HAS_VOWEL.search(word[:-1]):
-        word = word[:-1] + "i"
-    word = _replace_longest(_replace_longest(word, STEP_2), STEP_3)
+        turns = _HAS_VOWEL.search(stem)
+    return stem + "i" if word.endswith("y") and turns else word
+
+
+def _second(word: str, extended: bool) -> str:
+    if not extended:
+        return _replace_longest(word, STEP_2)
+    if word.endswith("alli") and _measure(word[:-4]) > 0:
+        return _second(word[:-2], extended)
+    if word.endswith("logi"):
+        return word[:-1] if _measure(word[:-3]) > 0 else word
+    return _replace_longest(word, EXTENDED_STEP_2)
+
+
+def porter_stem(word: str, extended: bool = False) -> str:
+    if extended and word in IRREGULAR:
+        return IRREGULAR[word]
+    if len(word) < 3:
+        return word
+    word = _last_y(_past(_plural(word, extended), extended), extended)
+    word = _replace_longest(_second(word, extended), STEP_3)
     ending = next((e for e in STEP_4 if word.endswith(e)), None)
     if ending:
         stem = word[:-len(ending)]
@@ -66,11 +108,12 @@ def porter_stem(word: str) -> str:
             word = stem
     if word.endswith("e"):
         m = _measure(word[:-1])
-        if m > 1 or (m == 1 and not _SHORT_END.search(word[:-1])):
+        if m > 1 or (m == 1 and not _short_end(word[:-1], extended)):
             word = word[:-1]
     return word[:-1] if word.endswith("ll") and _measure(word[:-1]) > 1 else word
 
 
 @F.pandas_udf(StringType())
 def stem(words: pd.Series) -> pd.Series:
-    return words.map(porter_stem)
+    """The extended rules."""
+    return words.map(lambda w: porter_stem(w, extended=True))
