@@ -34,7 +34,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int
     marked = staged.join(suspects.hint("shuffle_hash"), "run", "left")
     place = count_upto(F.col("found"), F.col("fp")) - 1
     suspect = F.coalesce(F.get("found", place) == F.col("fp"), F.lit(False))
-    return marked.withColumn("suspect", suspect).drop("found", "run"), total
+    return marked.withColumn("suspect", suspect).drop("found", "lead", "run"), total
 
 
 def _classes(suspects: DataFrame, text_col: str, *keep: str) -> DataFrame:

@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from ..session import cut_lineage
 
 HASHES_PER_LIST = 64        # a list should hold as many hashes on average
-FLUSH_ROWS = 2_000_000      # fingerprints a task holds before it sends lists
+LISTS = "run long, chunk string, owner int, n int, k int, code binary, local binary"
+FLUSH_ROWS = 500_000      # fingerprints a task holds before it sends lists
 
 
 def rice_code(values: np.ndarray) -> tuple[int, bytes]:
@@ -52,10 +53,14 @@ def _bounds(owners: int) -> np.ndarray:
     return np.array([(i << 64) // owners for i in range(owners)], dtype=np.uint64)
 
 
-def _unpacked(column: pd.Series, kind=np.uint64) -> np.ndarray:
-    if column.dtype == object and len(column) and isinstance(column.iloc[0], bytes):
-        return np.concatenate([np.frombuffer(x, dtype=kind) for x in column])
-    return column.to_numpy(np.int64).view(np.uint64) if kind is np.uint64 else column.to_numpy(bool)
+def _arrays(batch: pd.DataFrame) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Run, fingerprints and marks of a batch: one item per run, or per row if the rows hold packed arrays."""
+    if len(batch) and isinstance(batch["fp"].iloc[0], bytes):
+        for run, fp, mark in zip(batch["run"], batch["fp"], batch["mark"], strict=True):
+            yield run, np.frombuffer(fp, dtype=np.uint64), np.frombuffer(mark, dtype=bool)
+    else:
+        for run, group in batch.groupby("run"):
+            yield run, group["fp"].to_numpy(np.int64).view(np.uint64), group["mark"].to_numpy(bool)
 
 
 def _flags(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
@@ -74,39 +79,55 @@ def _merged(pieces: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return values, marks
 
 
+class Lists:
+    """Collects marked fingerprints by run and codes them for their owners whenever enough are held.
+
+    The coded lists are rows of ``LISTS``; ``name`` tells apart the senders of one run.
+    """
+
+    def __init__(self, owners: int, flagged: bool, name: object = ""):
+        self.starts, self.flagged, self.name = _bounds(owners), flagged, name
+        self.chunk, self.rows, self.held = 0, 0, {}
+
+    def add(self, run: int, values: np.ndarray, marks: np.ndarray) -> list[tuple]:
+        self.held.setdefault(run, []).append((values, marks))
+        self.rows += len(values)
+        return self.flush() if self.rows >= FLUSH_ROWS else []
+
+    def flush(self) -> list[tuple]:
+        out = []
+        for run, pieces in self.held.items():
+            values, marks = _flags(pieces) if self.flagged else _merged(pieces)
+            cuts = [*np.searchsorted(values, self.starts), len(values)]
+            for owner, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if b > a:
+                    k, code = rice_code(values[a:b] - self.starts[owner])
+                    out.append((run, f"{self.name}.{self.chunk}", owner, b - a, k, code, np.packbits(marks[a:b]).tobytes()))
+        self.chunk, self.rows, self.held = self.chunk + 1, 0, {}
+        return out
+
+    @staticmethod
+    def frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=["run", "chunk", "owner", "n", "k", "code", "local"])
+
+
 def _lists(owners: int, flagged: bool):
     """mapInPandas: rows of (run, fp, mark) to coded lists; fp and mark are numbers or packed arrays of them."""
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, chunk, held, rows = TaskContext.get().partitionId(), 0, {}, 0
-
-        def flush():
-            out, starts = [], _bounds(owners)
-            for run, pieces in held.items():
-                values, marks = _merged(pieces) if not flagged else _flags(pieces)
-                cuts = [*np.searchsorted(values, starts), len(values)]
-                for owner, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                    if b > a:
-                        base = starts[owner]
-                        k, code = rice_code(values[a:b] - base)
-                        out.append((run, f"{part}.{chunk}", owner, b - a, k, code,
-                                    np.packbits(marks[a:b]).tobytes()))
-            return pd.DataFrame(out, columns=["run", "chunk", "owner", "n", "k", "code", "local"])
-
+        lists = Lists(owners, flagged, TaskContext.get().partitionId())
         for batch in batches:
-            for run, group in batch.groupby("run"):
-                values, marks = _unpacked(group["fp"]), _unpacked(group["mark"], bool)
-                held.setdefault(run, []).append((values, marks))
-                rows += len(values)
-            if rows >= FLUSH_ROWS:
-                yield flush()
-                chunk, held, rows = chunk + 1, {}, 0
-        if held:
-            yield flush()
+            out = []
+            for item in _arrays(batch):
+                out += lists.add(*item)
+            if out:
+                yield lists.frame(out)
+        yield lists.frame(lists.flush())
     return encode
 
 
 def _answers(flagged: bool):
-    """applyInPandas by owner: for every list a bitmap of the fingerprints that are marked or occur in another list."""
+    """applyInPandas by owner: for every list bitmaps of the fingerprints that are marked or occur in another list,
+    and of those among them that it is the first list to have."""
     def answer(group: pd.DataFrame) -> pd.DataFrame:
         return _answer(group, flagged)
     return answer
@@ -116,38 +137,54 @@ def _answer(group: pd.DataFrame, flagged: bool) -> pd.DataFrame:
     lists = [rice_decode(n, k, code) for n, k, code in zip(group["n"], group["k"], group["code"], strict=True)]
     local = [np.unpackbits(np.frombuffer(b, dtype=np.uint8))[:n].astype(bool)
              for b, n in zip(group["local"], group["n"], strict=True)]
-    values, place, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+    values, first, place, counts = np.unique(np.concatenate(lists), return_index=True, return_inverse=True, return_counts=True)
     found = np.zeros(len(values), dtype=bool) if flagged else counts > 1
     found[place[np.concatenate(local)]] = True
-    twice = found[place]
+    twice, lead = found[place], np.zeros(len(place), dtype=bool)
+    lead[first[found]] = True
     cuts = np.cumsum([len(x) for x in lists])[:-1]
     return pd.DataFrame({"run": group["run"], "chunk": group["chunk"], "owner": group["owner"],
-                         "bits": [np.packbits(x).tobytes() for x in np.split(twice, cuts)]})
+                         "bits": [np.packbits(x).tobytes() for x in np.split(twice, cuts)],
+                         "lead": [np.packbits(x).tobytes() for x in np.split(lead, cuts)]})
 
 
 def _read(owners: int):
-    """applyInPandas by run: its lists and the answers to the sorted fingerprints that were found."""
+    """applyInPandas by run: its lists and the answers to the sorted fingerprints that were found, and that it leads."""
+    def joined(parts: list[np.ndarray]) -> np.ndarray:
+        return np.sort(np.unique(np.concatenate(parts)).view(np.int64)) if parts else np.empty(0, np.int64)
+
     def decode(group: pd.DataFrame) -> pd.DataFrame:
-        starts, found = _bounds(owners), []
-        for owner, n, k, code, bits in zip(*(group[c] for c in ("owner", "n", "k", "code", "bits")), strict=True):
-            marked = np.unpackbits(np.frombuffer(bits, dtype=np.uint8))[:n].astype(bool)
+        starts, found, leads = _bounds(owners), [], []
+        for owner, n, k, code, bits, lead in zip(*(group[c] for c in ("owner", "n", "k", "code", "bits", "lead")), strict=True):
+            marked, led = (np.unpackbits(np.frombuffer(x, dtype=np.uint8))[:n].astype(bool) for x in (bits, lead))
             if marked.any():
-                found.append((rice_decode(n, k, code) + starts[owner])[marked])
-        values = np.sort(np.unique(np.concatenate(found)).view(np.int64)) if found else np.empty(0, np.int64)
-        return pd.DataFrame({"run": [group["run"].iloc[0]], "found": [values]})
+                values = rice_decode(n, k, code) + starts[owner]
+                found.append(values[marked])
+                leads.append(values[led])
+        return pd.DataFrame({"run": [group["run"].iloc[0]], "found": [joined(found)], "lead": [joined(leads)]})
     return decode
 
 
+def owners_for(total: int, runs: int, rows_per_owner: int) -> int:
+    """Owners for about ``total`` fingerprints, so that lists do not get too short."""
+    return max(1, min(total // rows_per_owner, total // (HASHES_PER_LIST * max(1, runs))))
+
+
+def answered(lists: DataFrame, owners: int, flagged: bool = False) -> DataFrame:
+    """``run, found, lead`` for the coded lists of all runs, a table that is read twice."""
+    answers = (lists.repartition(owners, "owner").groupBy("owner")
+               .applyInPandas(_answers(flagged), "run long, chunk string, owner int, bits binary, lead binary"))
+    return (lists.join(answers, ["run", "chunk", "owner"]).groupBy("run")
+            .applyInPandas(_read(owners), "run long, found array<long>, lead array<long>"))
+
+
 def exchanged(rows: DataFrame, total: int, runs: int, rows_per_owner: int, flagged: bool = False) -> DataFrame:
-    """``run, found``: each run's fingerprints that occur at least twice anywhere, as a sorted array of longs.
+    """``run, found, lead``: each run's fingerprints that occur at least twice anywhere, as a sorted array of longs.
+
+    Of all lists that have a found fingerprint one leads: that is noted in ``lead`` of its run.
 
     ``rows``: ``run, fp, mark`` with single values or packed arrays. A marked fingerprint is found in any
     case; with ``flagged`` only those are that some run has marked. ``total``: about how many there are.
     """
-    owners = max(1, min(total // rows_per_owner, total // (HASHES_PER_LIST * max(1, runs))))
-    lists = cut_lineage(rows.mapInPandas(
-        _lists(owners, flagged), "run long, chunk string, owner int, n int, k int, code binary, local binary"))
-    answers = (lists.repartition(owners, "owner").groupBy("owner")
-               .applyInPandas(_answers(flagged), "run long, chunk string, owner int, bits binary"))
-    return (lists.join(answers, ["run", "chunk", "owner"]).groupBy("run")
-            .applyInPandas(_read(owners), "run long, found array<long>"))
+    owners = owners_for(total, runs, rows_per_owner)
+    return answered(cut_lineage(rows.mapInPandas(_lists(owners, flagged), LISTS)), owners, flagged)

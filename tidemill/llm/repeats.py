@@ -23,11 +23,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
 from .common import bucketed_stage, count_upto
-from .exchange import exchanged
+from .exchange import LISTS, Lists, answered, exchanged, owners_for
 
 GRAM, WINDOW = 16, 64
 FIRST_PREFIX = 96
@@ -42,7 +43,7 @@ class Hashed:
 
     powers: dict = {}
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes | np.ndarray):
         values = np.frombuffer(data, dtype=np.uint8)
         n = len(values)
         if not self.powers:
@@ -86,61 +87,64 @@ def anchors(hashed: Hashed, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return np.flatnonzero((grams == chosen) & (grams != NONE))
 
 
-def _batches(texts: list[bytes]) -> Iterator[list[int]]:
-    """Places of texts that are hashed together."""
-    held, size = [], 0
-    for i, text in enumerate(texts):
-        if held and size + len(text) > BATCH_BYTES:
-            yield held
-            held, size = [], 0
-        held.append(i)
-        size += len(text)
+def _batches(sizes: np.ndarray) -> Iterator[slice]:
+    """Neighbouring texts that are hashed together."""
+    start, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > BATCH_BYTES:
+            yield slice(start, i)
+            start, held = i, 0
+        held += size
     if held:
-        yield held
-
-
-def _laid(texts: list[bytes], places: list[int]) -> tuple[Hashed, np.ndarray, np.ndarray]:
-    sizes = np.array([len(texts[i]) for i in places])
-    return Hashed(b"".join([texts[i] for i in places])), np.cumsum(sizes) - sizes, sizes
+        yield slice(start, len(sizes))
 
 
 def _anchor_rows(length: int):
-    """mapInPandas over (run, rid, text): per text its anchors with ``reach`` bytes to the right, and their first names."""
+    """mapInArrow over (run, rid, text): per text its anchors with ``reach`` bytes to the right, and their first names.
+
+    The texts are hashed where they lie in the batch, without a copy.
+    """
     reach = length - WINDOW + 1
+    schema = pa.schema([("run", pa.int64()), ("rid", pa.int64()), ("at", pa.binary()), ("names", pa.binary())])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(r, i, t.encode()) for r, i, t in zip(batch["run"], batch["rid"], batch["text"], strict=True)
-                    if 4 * len(t) >= length]
-            rows, out = [r for r in rows if len(r[2]) >= length], []
-            for part in _batches([r[2] for r in rows]):
-                texts = [rows[i][2] for i in part]
-                sizes = np.array([len(t) for t in texts])
-                starts, hashed = np.cumsum(sizes) - sizes, Hashed(b"".join(texts))
+            texts = batch.column("text").cast(pa.large_binary())
+            edges = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", dtype=np.uint8)
+            out = [], [], []
+            for part in _batches(np.diff(edges)):
+                sizes = np.diff(edges[part.start:part.stop + 1])
+                if sizes.max() < length:
+                    continue
+                starts, hashed = np.cumsum(sizes) - sizes, Hashed(data[edges[part.start]:edges[part.stop]])
                 at = anchors(hashed, starts, sizes)
-                text = np.searchsorted(starts, at, side="right") - 1
+                text = np.searchsorted(starts + sizes, at, side="right")
                 at = at[at + reach <= (starts + sizes)[text]]
                 names = hashed.names(at, at + FIRST_PREFIX)
                 cuts = np.searchsorted(at, np.append(starts, sizes.sum()))
-                for j, i in enumerate(part):
+                for j in np.flatnonzero(np.diff(cuts)):
                     own = slice(cuts[j], cuts[j + 1])
-                    out.append((*rows[i][:2], (at[own] - starts[j]).astype(np.uint32).tobytes(), names[own].tobytes()))
-            yield pd.DataFrame(out, columns=["run", "rid", "at", "names"])
+                    for column, x in zip(out, (part.start + j, (at[own] - starts[j]).astype(np.uint32).tobytes(),
+                                               names[own].tobytes()), strict=True):
+                        column.append(x)
+            chosen = pa.array(out[0], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("run").take(chosen), batch.column("rid").take(chosen),
+                                              pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())], schema=schema)
     return run
 
 
 def _held(found: np.ndarray, names: np.ndarray) -> np.ndarray:
     """Which names the sorted ``found`` holds."""
-    values = np.sort(found.view(np.uint64))
-    if not len(values):
+    if not len(found):
         return np.zeros(len(names), dtype=bool)
-    return values[np.minimum(np.searchsorted(values, names), len(values) - 1)] == names
+    return found[np.minimum(np.searchsorted(found, names), len(found) - 1)] == names
 
 
-def _found(answers: pd.DataFrame, column: str = "found") -> np.ndarray:
-    """The one answer to a run; nothing if there is none."""
+def _found(answers: pd.DataFrame, column: str) -> np.ndarray:
+    """The one answer to a run, sorted; nothing if there is none."""
     value = answers[column].iloc[0] if len(answers) else None
-    return np.empty(0, np.int64) if value is None else np.array(value, dtype=np.int64)
+    return np.empty(0, np.uint64) if value is None else np.sort(np.array(value, dtype=np.int64).view(np.uint64))
 
 
 def _refine(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -203,20 +207,29 @@ def _ends(around: Around, answers: dict) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _strings(around: Around, answers: dict) -> tuple[np.ndarray, np.ndarray]:
-    """The single strings around the anchors of classes where a passage ends."""
-    names = around.strings(around.starts(_held(answers["ends"], around.classes)))
-    return names, np.zeros(len(names), dtype=bool)
-
+    """The single strings around the anchors of classes where a passage ends.
 
-def _asked(length: int, wanted: Callable, known: list[str]):
-    """cogroup by run of texts with the answers so far: the names ``wanted`` of all texts, one row."""
+    All contexts that occur once are taken, and of the others one copy: the first in the run that leads.
+    """
+    names = around.contexts()
+    chosen = _held(answers["ends"], around.classes)
+    once = chosen & ~_held(answers["contexts"], names)
+    leads = np.flatnonzero(chosen & _held(answers["leads"], names))
+    seen = answers.setdefault("seen", set())
+    new = [i for i, name in zip(leads.tolist(), names[leads].tolist(), strict=True) if not (name in seen or seen.add(name))]
+    once[new] = True
+    strings = around.strings(around.starts(once))
+    return strings, np.zeros(len(strings), dtype=bool)
+
+
+def _asked(length: int, wanted: Callable, known: list[str], owners: int, flagged: bool):
+    """cogroup by run of texts with the answers so far: coded lists of the names ``wanted`` of all texts."""
     def run(rows: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
-        found, out = {k: _found(answers, k) for k in known}, []
+        found, out, lists = {k: _found(answers, k) for k in known}, [], Lists(owners, flagged)
         for row in rows.itertuples(index=False):
             names, marks = wanted(Around(row.text, row.at, length, found.get("classes")), found)
-            if len(names):
-                out.append((row.run, names.tobytes(), marks.tobytes()))
-        return pd.DataFrame(out, columns=["run", "fp", "mark"])
+            out += lists.add(row.run, names, marks)
+        return lists.frame(out + lists.flush())
     return run
 
 
@@ -227,7 +240,7 @@ def _digest(length: int, keep_bytes: bool):
         for row in rows.itertuples(index=False):
             around = Around(row.text, row.at, length, found["classes"])
             whole = around.starts(_held(found["contexts"], around.contexts()))
-            single = around.starts(_held(found["ends"], around.classes))
+            single = around.starts(_held(found["ends"], around.classes) & ~_held(found["contexts"], around.contexts()))
             starts = np.union1d(whole, single[_held(found["strings"], around.strings(single))])
             removed = _covered(starts, starts + length, len(around.data))
             edges = np.flatnonzero(np.diff(np.concatenate([[False], removed, [False]]).astype(np.int8)))
@@ -244,12 +257,13 @@ def _cogroup(rows: DataFrame, answers: DataFrame, fn, schema: str) -> DataFrame:
 
 def _repeated(staged: DataFrame, length: int) -> DataFrame:
     """``run, rid, at``: the texts and anchors whose first prefix occurs twice."""
-    rows = bucketed_stage(staged.select("run", "rid", "text").mapInPandas(
+    rows = bucketed_stage(staged.select("run", "rid", "text").mapInArrow(
         _anchor_rows(length), "run long, rid long, at binary, names binary"), "run")
     n = F.octet_length("names") / 8
     total, runs = rows.agg(F.coalesce(F.sum(n), F.lit(0)), F.count_distinct("run")).first()
     names = rows.select("run", F.col("names").alias("fp"), F.repeat(F.lit("\0"), n.cast("int")).cast("binary").alias("mark"))
-    return _cogroup(rows, exchanged(names, int(total), runs, ROWS_PER_OWNER), _refine, "run long, rid long, at binary")
+    answers = cut_lineage(exchanged(names, int(total), runs, ROWS_PER_OWNER))   # one Python step per task at a time
+    return _cogroup(rows, answers, _refine, "run long, rid long, at binary")
 
 
 def repeated_passages(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
@@ -278,11 +292,13 @@ def repeated_passages(docs: DataFrame, length: int = 400, id_col: str = "doc_id"
     answers = texts.select("run").distinct()
     known: list[str] = []
     for name, wanted, more in (("classes", _classes, 1), ("contexts", _contexts, 1), ("ends", _ends, 1),
-                               ("strings", _strings, 4)):
-        asked = _cogroup(texts, answers, _asked(length, wanted, list(known)), "run long, fp binary, mark binary")
-        found = exchanged(asked, int(total) * more, runs, ROWS_PER_OWNER, flagged=name == "ends")
-        answers = cut_lineage(answers.join(found.withColumnRenamed("found", name), "run", "left"))
-        known.append(name)
+                               ("strings", _strings, 2)):
+        owners, flagged = owners_for(int(total) * more, runs, ROWS_PER_OWNER), name == "ends"
+        lists = cut_lineage(_cogroup(texts, answers, _asked(length, wanted, list(known), owners, flagged), LISTS))
+        found = answered(lists, owners, flagged).withColumnRenamed("found", name)
+        found = found.withColumnRenamed("lead", "leads") if name == "contexts" else found.drop("lead")
+        answers = cut_lineage(answers.join(found, "run", "left"))
+        known += [name, "leads"] if name == "contexts" else [name]
     changed = _cogroup(texts, answers, _digest(length, keep_bytes),
                        "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
                        "edges array<long>, kept binary")
