@@ -4,8 +4,9 @@ A token sequence is what the merges produce exactly if every two neighbours are:
 their border, latest first, never meets a merge that would have come earlier. So a nondeterministic
 transducer can read bytes, walk the trie of the tokens, and end a token only where it fits the one
 before; just one run survives to the end of a piece. The subset construction keeps the live runs as one
-state, emits the tokens they agree on, and holds back the rest: at most the length of the longest token
-has to be seen before a token is certain. States and transitions are made when first met.
+state; a transition notes from which run each of its runs comes and the token that ended. Two runs part for at most
+the length of the longest token, so after that lookahead they have one origin and the tokens up to it
+are emitted. States and transitions are made when first met.
 
 Texts are first cut by the tokenizer's pattern; every piece is read separately from the start state.
 """
@@ -18,40 +19,65 @@ import hashlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-MAX_STATES = 80_000      # of the automaton: it is emptied when full and built anew
+MAX_STATES = 80_000     # of the automaton: it is emptied when full and built anew
 MAX_PIECES = 250_000     # pieces remembered since the last turn; as many from before it are kept
-RUNS = -1
+PATH = 4096              # transitions kept before the tokens that are certain are emitted
+NONE = 1 << 31           # no token, and later than any merge
 
 
 def load_ranks(spark: SparkSession, path: str) -> Broadcast:
     """The vocabulary of a rank file (one base64 token and its rank a line), sent to the workers.
 
     Only the driver needs the file. Its size is a fixed property of the tokenizer, and so the bound of what is
-    broadcast. The workers keep their automaton beside it.
+    broadcast. The workers keep their automaton beside it, so one broadcast serves all queries of an application.
     """
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return spark.sparkContext.broadcast({"ranks": ranks})
+    sent = spark.sparkContext.__dict__.setdefault("_tidemill_vocabularies", {})
+    if path not in sent:
+        with open(path, "rb") as lines:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        sent[path] = spark.sparkContext.broadcast({"ranks": ranks})
+    return sent[path]
+
+
+class State(dict):
+    """Maps bytes to ``(state, origins)``; ``origins`` has for each run of that state the place of the run it comes from
+    and the token that ended, if any. A transition is made when it is first taken.
+    """
+
+    __slots__ = ("runs", "owner")
+
+    def __init__(self, runs: list, owner: Transducer):
+        super().__init__()
+        self.runs, self.owner = runs, owner
+
+    def __missing__(self, byte: int) -> tuple[State, list]:
+        step = self[byte] = self.owner.step(self, byte)
+        return step
 
 
 class Transducer:
     """Encodes pieces of bytes; ``ranks`` gives every token's id, which is also the order of its merge.
 
     A trie node is a dict from byte to ``(node or None, token or None)``. A run of the nondeterministic
-    machine is ``(tokens held back, last token, node)``. A state maps bytes to ``(state, tokens emitted)``, and
-    ``RUNS`` to its runs.
+    machine is ``(last token, node)``.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
-        self.parts: dict[int, tuple[int, int]] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.parts: dict[int, tuple[int, int]] = {}     # of longer tokens, the two of their last merge
+        self.merges: dict[int, int] = {}                # two tokens as one number, to the token they make
+        self.fits: dict[int, bool] = {}
+        self.names = {i: str(i) for i in self.tokens}
         self.root: dict[int, tuple] = {}
         for token in sorted(ranks, key=len):
+            for cut in range(1, len(token)):
+                left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
+                if left is not None and right is not None:
+                    self.merges[left << 32 | right] = ranks[token]
             if self._last_merge(token) is not None:
                 node = self.root
                 for byte in token[:-1]:
@@ -67,8 +93,8 @@ class Transducer:
     def _forget(self) -> None:
         for state in getattr(self, "states", {}).values():
             state.clear()       # states point at each other; without this only a full garbage collection frees them
-        self.start: dict = {RUNS: (((), None, self.root),)}
-        self.states: dict[tuple, dict] = {}
+        self.start = State([(NONE, self.root)], self)
+        self.states: dict[tuple, State] = {}
 
     def _last_merge(self, token: bytes) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; itself twice for a byte, None if no merges lead to it."""
@@ -81,73 +107,90 @@ class Transducer:
             if rank >= whole:
                 return None
             pieces[at:at + 2] = [pieces[at] + pieces[at + 1]]
-        self.parts[whole] = (self.ranks[pieces[0]], self.ranks[pieces[-1]])
-        return self.parts[whole]
+        made = self.ranks[pieces[0]], self.ranks[pieces[-1]]
+        if len(pieces) == 2:
+            self.parts[whole] = made
+        return made
 
     def _fit(self, left: int, right: int) -> bool:
         """Whether the merges of ``left`` and ``right`` next to each other leave exactly these two tokens."""
         # step back through the merges on both sides of the border; ``when`` is the merge undone last
-        tokens, ranks, when = self.tokens, self.ranks, 1 << 62
+        merges, parts, when = self.merges, self.parts, NONE
         while True:
-            across = ranks.get(tokens[left] + tokens[right])
-            if across is not None and across < when:
+            if merges.get(left << 32 | right, NONE) < when:
                 return False
-            left_whole, right_whole = len(tokens[left]) == 1, len(tokens[right]) == 1
-            if left_whole and right_whole:
+            split, other = parts.get(left), parts.get(right)
+            if split is None and other is None:
                 return True
-            if right_whole or (not left_whole and left > right):
-                when, left = left, self.parts[left][1]
+            if other is None or (split is not None and left > right):
+                when, left = left, split[1]
             else:       # of equal merges the left one comes first, so one across the border would win
-                when, right = right + 1, self.parts[right][0]
-
-    def _step(self, state: dict, byte: int) -> tuple[dict, tuple[int, ...]]:
-        """Make the transition of ``state`` on ``byte``: the next state and the tokens now certain."""
-        moved, fits, certain = [], self.fits, True
-        for held, last, node in state[RUNS]:
-            if byte not in node:
+                when, right = right + 1, other[0]
+
+    def step(self, state: State, byte: int) -> tuple[State, list]:
+        """The transition of ``state`` on ``byte``."""
+        runs, origins, key, fits, root = [], [], [], self.fits, self.root
+        for place, (last, node) in enumerate(state.runs):
+            entry = node.get(byte)
+            if entry is None:
                 continue
-            below, token = node[byte]
+            below, token = entry
             if below is not None:
-                moved.append((held, last, below))
-                certain = certain and held
+                runs.append((last, below))
+                origins.append((place, None))
+                key += last, id(below)
             if token is not None:
-                fit = last is None or fits.get((last, token))
+                pair = last << 32 | token
+                fit = fits.get(pair)
                 if fit is None:
-                    fit = fits[last, token] = self._fit(last, token)
+                    fit = fits[pair] = last == NONE or self._fit(last, token)
                 if fit:
-                    moved.append(((*held, token), token, self.root))
-        emitted = ()
-        if certain:     # no run is without held tokens, so they may agree on the first ones
-            held = moved[0][0]
-            same = min(len(h) for h, _, _ in moved)
-            while any(h[:same] != held[:same] for h, _, _ in moved):
-                same -= 1
-            if same:
-                emitted = held[:same]
-                moved = [(h[same:], last, node) for h, last, node in moved]
-        key = tuple([(h, last, id(node)) for h, last, node in moved])
+                    runs.append((token, root))
+                    origins.append((place, token))
+                    key += token, 0
+        key = tuple(key)
         following = self.states.get(key)
         if following is None:
-            following = self.states[key] = {RUNS: moved}
-        state[byte] = (following, emitted)
-        return state[byte]
+            following = self.states[key] = State(runs, self)
+        return following, origins
+
+    @staticmethod
+    def _emit(path: list, state: State, out: list[int]) -> None:
+        """Move the tokens that all runs of the state have in common from the path to ``out``."""
+        places, at = set(range(len(state.runs))), len(path)
+        while at and len(places) > 1:
+            at -= 1
+            places = {path[at][place][0] for place in places}
+        place, tokens = places.pop(), []
+        for origins in reversed(path[:at]):
+            place, token = origins[place]
+            if token is not None:
+                tokens.append(token)
+        out += reversed(tokens)
+        del path[:at]
 
     def encode(self, piece: bytes) -> list[int]:
         """The token ids of one piece."""
         if len(self.states) > MAX_STATES:
             self._forget()
-        if len(self.fits) > 4 * MAX_STATES:
+        if len(self.fits) > 8 * MAX_STATES:
             self.fits.clear()
-        state, out = self.start, []
+        state, path, out = self.start, [], []
         for byte in piece:
-            state, emitted = state.get(byte) or self._step(state, byte)
-            if emitted:
-                out += emitted
-        root = self.root
-        for held, _, node in state[RUNS]:
+            state, origins = state[byte]
+            path.append(origins)
+            if len(path) >= PATH:
+                self._emit(path, state, out)
+        root, tokens = self.root, []
+        for place, (_, node) in enumerate(state.runs):
             if node is root:
-                out += held
-        return out
+                for origins in reversed(path):
+                    place, token = origins[place]
+                    if token is not None:
+                        tokens.append(token)
+                break
+        tokens.reverse()
+        return out + tokens if out else tokens
 
 
 class Pieces(dict):
@@ -163,7 +206,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> str:
         ids = self.old.get(piece)
         if ids is None:
-            ids = " ".join(map(str, self.transducer.encode(piece.encode())))
+            ids = " ".join(map(self.transducer.names.__getitem__, self.transducer.encode(piece.encode())))
         if len(self) >= MAX_PIECES:
             self.old = dict(self)
             self.clear()
@@ -223,11 +266,13 @@ def _encoded(text: str | None, cut, pieces: Pieces) -> str:
 
 def encode(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     """The token ids of ``text`` as an array; empty for an empty or null text."""
-    @F.pandas_udf("array<int>")
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<int>")
+    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cut, pieces, _ = _tools(vocabulary, pattern)
         for batch in batches:
-            yield pd.Series([np.fromstring(_encoded(t, cut, pieces), dtype=np.int32, sep=" ") for t in batch])
+            tokens = [np.fromstring(_encoded(t.as_py(), cut, pieces), dtype=np.int32, sep=" ") for t in batch]
+            ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
+            yield pa.ListArray.from_arrays(ends, np.concatenate(tokens) if tokens else np.empty(0, np.int32))
     return ids(text)
 
 
@@ -249,11 +294,11 @@ def decode(ids: Column, vocabulary: Broadcast, pattern: str, block: int = 4096)
             out.append(stream.feed(b"".join(by_id[str(i)] for i in tokens[at:at + block])))
         return "".join([*out, stream.close()])
 
-    @F.pandas_udf("string")
-    def texts(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("string")
+    def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         written = _tools(vocabulary, pattern)[2]
         for batch in batches:
-            yield pd.Series([None if t is None else text_of(t, written) for t in batch])
+            yield pa.array([None if t is None else text_of(t, written) for t in (x.as_py() for x in batch)], pa.string())
     return texts(ids)
 
 
@@ -263,18 +308,20 @@ def round_trip(docs: DataFrame, vocabulary: Broadcast, pattern: str, id_col: str
 
     A null text is empty: no tokens, and the digests of nothing. Repeated rows and ids keep a row each.
     """
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digest(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cut, pieces, written = _tools(vocabulary, pattern)
+    def of(text: str | None, cut, pieces: Pieces, written: dict[str, bytes]) -> tuple[int, str, str]:
+        ids = _encoded(text, cut, pieces)
+        tokens, stream, seen = ids.split(), Utf8Stream(), hashlib.sha256()
+        for at in range(0, len(tokens), block):
+            seen.update(stream.feed(b"".join(map(written.__getitem__, tokens[at:at + block]))).encode())
+        seen.update(stream.close().encode())
+        return len(tokens), hashlib.sha256(ids.encode()).hexdigest(), seen.hexdigest()
+
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        tools = _tools(vocabulary, pattern)
         for batch in batches:
-            out = []
-            for text in batch:
-                ids = _encoded(text, cut, pieces)
-                tokens, stream, seen = ids.split(), Utf8Stream(), hashlib.sha256()
-                for at in range(0, len(tokens), block):
-                    seen.update(stream.feed(b"".join(map(written.__getitem__, tokens[at:at + block]))).encode())
-                seen.update(stream.close().encode())
-                out.append((len(tokens), hashlib.sha256(ids.encode()).hexdigest(), seen.hexdigest()))
-            yield pd.DataFrame(out, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            columns = list(zip(*(of(t.as_py(), *tools) for t in batch), strict=True)) or [(), (), ()]
+            yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)],
+                                             ["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(F.col(id_col), digest(F.col(text_col)).alias("d")).select(id_col, "d.*")
