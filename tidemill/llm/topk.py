@@ -147,6 +147,16 @@ def _search(queries: Block, least: np.ndarray, candidates: Block, k: int) -> tup
     return tuple(np.concatenate(x) if x else np.empty(0, np.int64) for x in found)
 
 
+def _least(queries: Block, part: slice, candidates: Block, k: int) -> np.ndarray:
+    """A score that each query's k-th best candidate reaches at least; minus infinity with fewer than k."""
+    scores = queries.data[part].astype(float) @ candidates.data.T.astype(float)
+    scores -= SLACK * queries.norms[part][:, None] * candidates.norms[None, :] + SLACK
+    scores[queries.ids[part][:, None] == candidates.ids[None, :]] = -np.inf
+    if len(candidates.ids) < k:
+        return np.full(len(scores), -np.inf)
+    return np.partition(scores, -k, axis=1)[:, -k]
+
+
 def _thresholds(ids: bytes, data: bytes, rotation: np.ndarray, head: int, k: int):
     """mapInPandas over query blocks: adds each query's k-th score within the longest vectors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,12 +165,8 @@ def _thresholds(ids: bytes, data: bytes, rotation: np.ndarray, head: int, k: int
             out = []
             for qids, qdata in zip(batch["ids"], batch["data"], strict=True):
                 queries = Block(qids, qdata, rotation, head)
-                least = np.full(len(queries.ids), -np.inf)
-                q, _, scores = _search(queries, least, longest, k)
-                counts = np.bincount(q, minlength=len(least))
-                lowest = np.full(len(least), np.inf)
-                np.minimum.at(lowest, q, scores.astype(float))
-                least[counts >= k] = lowest[counts >= k]
+                least = np.concatenate([_least(queries, slice(at, at + QUERIES_AT_ONCE), longest, k)
+                                        for at in range(0, len(queries.ids), QUERIES_AT_ONCE)])
                 out.append((least.tobytes(), float(least.min())))
             yield batch.assign(least=[x for x, _ in out], lowest=[y for _, y in out])
     return run
