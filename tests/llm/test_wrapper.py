@@ -45,6 +45,14 @@ def test_constant_nodes_are_template(spark):
     assert got == {i: f"Story {i} tells of {i * 7} things at length. More about {i * 3}." for i in range(12)}
 
 
+def test_text_shared_by_few_articles_stays(spark):
+    tail = "".join(f"<p>Tail {k}.</p>" for k in range(8)) + "<p>A sentence that six of thirty articles share.</p>"
+    rows = [(i, f"https://h.example.com/{i}", f"<html><body><article><p>Story {i} tells of {i * 7} things at length, and more.</p>"
+             f"{tail + '</article></body></html>' if i < 6 else '</article>'}") for i in range(30)]      # the reference is complete
+    got = extracted(spark, rows)
+    assert all(got[i].endswith("A sentence that six of thirty articles share.") and "Tail 7." in got[i] for i in range(6))
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, "https://h.example.com/a", site(1)[0][2]) for i in range(40)]
     assert set(extracted(spark, rows).values()) == {"Story 0 tells of 0 things at length. Subscribe to our letters today! More about 0."}

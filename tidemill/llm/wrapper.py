@@ -24,7 +24,8 @@ from .common import join_classes
 
 REFERENCE_CHARS = 1 << 16    # longer pages are no references, so a thousand of them have a bounded size
 LEAST_ARTICLES = 5           # different articles a host needs before a constant node counts as template
-CONSTANT = 0.5               # the share of them that must have its text
+CONSTANT = 0.5               # the share of the host's different articles that must have its text
+EVERY = -2                   # stands for a node that every article has
 
 # fixed values: elements by what they mean for the text
 RAW = "script style noscript template iframe textarea svg math title select".split()
@@ -262,10 +263,13 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     seen = F.transform("blocks", lambda b: F.struct(b["node"], b["same"].cast("int").alias("same")))
     articles = parsed.select("host", F.xxhash64(longest).alias("article"), seen.alias("seen")).groupBy(
         "host", "article").agg(F.min("seen").alias("seen"))
-    nodes = articles.select("host", F.explode("seen").alias("s")).filter("s.node >= 0").groupBy(
-        "host", "s.node").agg(F.sum("s.same").alias("same"), F.count("*").alias("n"))
-    constant = nodes.filter((F.col("n") >= LEAST_ARTICLES) & (F.col("same") >= CONSTANT * F.col("n")))
-    wrappers = constant.groupBy("host").agg(F.collect_list("node").alias("template"))
+    every = F.struct(F.lit(EVERY).alias("node"), F.lit(1).alias("same"))
+    nodes = articles.select("host", F.explode(F.array_append(F.filter("seen", lambda s: s["node"] >= 0), every)).alias("s")
+                            ).groupBy("host", "s.node").agg(F.sum("s.same").alias("same"))
+    counted = nodes.groupBy("host").agg(F.max(F.when(F.col("node") == EVERY, F.col("same"))).alias("articles"),
+                                        F.collect_list(F.when(F.col("node") != EVERY, F.struct("node", "same"))).alias("nodes"))
+    constant = F.filter("nodes", lambda c: c["same"] >= CONSTANT * F.col("articles"))
+    wrappers = counted.filter(F.col("articles") >= LEAST_ARTICLES).select("host", constant["node"].alias("template"))
     wrappers = hosts.select("host", "pages").join(wrappers, "host", "left")
     final = join_classes(parsed, wrappers, "host", "pages", total)
     template = F.coalesce("template", F.array().cast("array<int>"))
