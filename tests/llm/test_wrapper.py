@@ -22,6 +22,15 @@ def test_article_text(page, want):
     assert text(page) == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<p>a<svg-icon></svg-icon> b</p><p>c</p>", "a b c"), ("<title-bar>a</title-bar><p>b</p>", "a b"),
+    ("<select-box>a</select-box><p>b</p>", "a b"), ("<p>a <svg/>b</p><p>c</p>", "a b c"), ("<p>a <SVG width=1 />b</p>", "a b"),
+    ("<p>a <svg width=1><path d=''/>x</svg>b</p>", "a b"), ("<p>a<script\n>x</script> b</p>", "a b"),
+    ("<p>for <math><mi>x</mi><mo>=</mo><mn>2</mn></math> it holds</p>", "for x=2 it holds")])
+def test_only_raw_elements_are_skipped(page, want):
+    assert text(f"<main>{page}</main>") == want
+
+
 def test_matching_keeps_order_and_prefers_equal_texts():
     page = wrapper.parse("<div><p>x</p><p>same</p><p>y</p><ul><li>1</ul></div>")
     reference = wrapper._number(wrapper.parse("<div><p>same</p><p>z</p><ul><li>2</ul></div>"))

@@ -28,7 +28,7 @@ CONSTANT = 0.5               # the share of the host's different articles that m
 EVERY = -2                   # stands for a node that every article has
 
 # fixed values: elements by what they mean for the text
-RAW = "script style noscript template iframe textarea svg math title select".split()
+RAW = "script style noscript template iframe textarea svg title select".split()
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table
@@ -44,7 +44,7 @@ NO_ARTICLE_STARTS = tuple("""advert adsense banner sponsor promo navbar navigati
 cookie consent newsletter subscri recommend pagination copyright disclaimer sitemap""".split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
+    r"<!--.*?(?:-->|\Z)|<svg(?:\s[^>]*)?/>|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z|[^<]+|<""",
     re.S | re.I)
 _ATTR = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
