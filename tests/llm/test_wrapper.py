@@ -39,6 +39,13 @@ def test_matching_keeps_order_and_prefers_equal_texts():
     assert runs["same"].text == "same" and runs["y"].text == "z" and runs["1"].text == "2" and runs["x"] is None
 
 
+@pytest.mark.parametrize("tag", ["div", "blockquote", "main"])
+def test_deep_pages(tag):
+    page = f"<{tag}>" * 5000 + "x"
+    reference = wrapper._number(wrapper.parse(page))
+    assert [(n >= 0, same, t) for n, same, t in wrapper.blocks(page, reference)] == [(True, True, "x")]
+
+
 def site(n, extra=""):
     return [(i, f"https://h.example.com/{i}", f"<html><body><div class='x'><p>Story {i} tells of {i * 7} things at length.</p>"
              f"<p>Subscribe to our letters today!</p><p>More about {i * 3}.</p></div>{extra}</body></html>") for i in range(n)]

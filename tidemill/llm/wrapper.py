@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,10 +54,11 @@ _ATTR = re.compile(r"""(class|id|role|itemprop)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^
 class Node:
     """A block element: its symbol for matching, its blocks of text between its child elements, and its children."""
 
-    __slots__ = ("tag", "symbol", "out", "main", "children", "text", "number")
+    __slots__ = ("tag", "symbol", "out", "main", "children", "text", "number", "inside")
 
     def __init__(self, tag: str, attrs: str, out: bool):
         self.tag, self.children, self.text, self.number = tag, [], [], -1
+        self.inside = False         # whether it is, or is below, an element marked as the article's
         found = {name.lower(): a or b or c for name, a, b, c in _ATTR.findall(attrs)} if "=" in attrs else {}
         self.symbol = (tag, found.get("class", ""))
         words = re.split(r"[^a-z]+", " ".join(found.get(k, "") for k in ("class", "id", "role")).lower())
@@ -70,6 +72,7 @@ def parse(page: str) -> Node:
     """The tree of block elements; text runs are children of their own, as nodes without a tag."""
     root = Node("", "", False)
     stack: list[tuple[str, Node]] = [("", root)]       # open elements, inline ones with their block
+    opened: Counter[str] = Counter()                   # how many of each tag are open
     pieces: list[str] = []
 
     def flush() -> None:
@@ -83,6 +86,7 @@ def parse(page: str) -> Node:
     def close(down_to: int) -> None:
         if any(tag in BLOCKS for tag, _ in stack[down_to:]):
             flush()
+        opened.subtract(tag for tag, _ in stack[down_to:])
         del stack[down_to:]
 
     for token in _TOKEN.finditer(page):
@@ -93,12 +97,12 @@ def parse(page: str) -> Node:
             continue
         tag = tag.lower()
         if token["end"]:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            at = opened[tag] and next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag)
             if at:
                 close(at)
             continue
         if tag in ENDS_P:
-            at = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p"), 0)
+            at = opened["p"] and next(i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == "p")
             if at and not any(t in ENDS_P for t, _ in stack[at + 1:]):
                 close(at)
         if tag in SIBLINGS:
@@ -118,10 +122,11 @@ def parse(page: str) -> Node:
         if tag in BLOCKS:
             flush()
             outer = block
-            inside = any(n.main for _, n in stack)
-            block = Node(tag, token["attrs"], outer.out or (tag == "header" and not inside))
+            block = Node(tag, token["attrs"], outer.out or (tag == "header" and not outer.inside))
+            block.inside = block.main or outer.inside
             outer.children.append(block)
         stack.append((tag, block))
+        opened[tag] += 1
     close(1)
     flush()
     return root
@@ -151,20 +156,30 @@ def _table(a: list[Node], b: list[Node], scores: dict) -> list[list[int]]:
 
 
 def _score(a: Node, b: Node, scores: dict) -> int:
-    """Nodes in the largest match of two trees whose roots match; equal texts count more."""
+    """Nodes in the largest match of two trees whose roots match; equal texts count more. Inner nodes are in ``scores``."""
     if a.symbol != b.symbol:
         return 0
     if not a.children or not b.children:
         return 3 if a.text and a.text == b.text else 1
-    known = scores.get((id(a), id(b)))
-    if known is None:
-        known = scores[id(a), id(b)] = 1 + _table(a.children, b.children, scores)[-1][-1]
-    return known
+    return scores[id(a), id(b)]
+
+
+def _fill(a: Node, b: Node, scores: dict) -> None:
+    """The scores of all inner nodes below two that match, from the bottom up."""
+    todo, order = [(a, b)], []
+    while todo:
+        x, y = todo.pop()
+        order.append((x, y))
+        inner = [c for c in y.children if c.children]
+        todo += [(c, d) for c in x.children if c.children for d in inner if c.symbol == d.symbol]
+    for x, y in reversed(order):
+        scores[id(x), id(y)] = 1 + _table(x.children, y.children, scores)[-1][-1]
 
 
 def align(page: Node, reference: Node) -> dict[int, Node]:
     """The reference's node for the nodes (by identity) of the page that match one."""
     pairs, scores, todo = {}, {}, [(page, reference)]
+    _fill(page, reference, scores)
     while todo:
         a, b = todo.pop()
         pairs[id(a)] = b
@@ -195,21 +210,22 @@ def _runs(node: Node) -> list[Node]:
 
 def _article(root: Node) -> Node:
     """The element that holds the article: the fullest one marked as such, else the smallest with most of the text."""
-    marked, todo = [], [root]
+    order, todo = [], [root]
     while todo:
         node = todo.pop()
-        if node.out:
-            continue
-        if node.main:
-            marked.append(node)
-        todo += node.children
-    size = lambda n: sum(len(r.text) for r in _runs(n))
+        if not node.out:
+            order.append(node)
+            todo += node.children
+    size: dict[int, int] = {}
+    for n in reversed(order):
+        size[id(n)] = len(n.text) + sum(size.get(id(c), 0) for c in n.children)
+    marked = [n for n in order if n.main]
     if marked:
         inner = [n for n in marked if n.tag == "article"] or marked
-        return max(inner, key=size)
-    node, whole = root, size(root)
+        return max(inner, key=lambda n: size[id(n)])
+    node, whole = root, size.get(id(root), 0)
     while True:
-        larger = [c for c in node.children if not c.out and size(c) > 0.7 * whole]
+        larger = [c for c in node.children if size.get(id(c), 0) > 0.7 * whole]
         if not larger or larger[0].text:
             return node
         node = larger[0]
