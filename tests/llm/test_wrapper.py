@@ -31,6 +31,14 @@ def test_only_raw_elements_are_skipped(page, want):
     assert text(f"<main>{page}</main>") == want
 
 
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>first half</p></article><article><p>second half of it</p></article>", "first half second half of it"),
+    ("<main><p>lead</p><article><p>body</p></article></main>", "lead body"),
+    ("<div><p>lead</p></div><div><p>a body that is far longer than its lead</p></div>", "lead a body that is far longer than its lead")])
+def test_content_outside_one_element_stays(page, want):
+    assert text(page) == want
+
+
 def test_matching_keeps_order_and_prefers_equal_texts():
     page = wrapper.parse("<div><p>x</p><p>same</p><p>y</p><ul><li>1</ul></div>")
     reference = wrapper._number(wrapper.parse("<div><p>same</p><p>z</p><ul><li>2</ul></div>"))
@@ -69,6 +77,13 @@ def test_text_shared_by_few_articles_stays(spark):
     assert all(got[i].endswith("A sentence that six of thirty articles share.") and "Tail 7." in got[i] for i in range(6))
 
 
+def test_all_runs_are_judged(spark):
+    rows = [(i, f"https://h.example.com/{i}", f"<html><body><div><p>{'A long notice on every page. ' * 9}</p><p>Lead {i}.</p></div>"
+             f"<article><p>Story {i} tells of {i * 7} things.</p></article><article><p>Part two of {i}.</p></article></body></html>")
+            for i in range(12)]
+    assert extracted(spark, rows) == {i: f"Lead {i}. Story {i} tells of {i * 7} things. Part two of {i}." for i in range(12)}
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, "https://h.example.com/a", site(1)[0][2]) for i in range(40)]
     assert set(extracted(spark, rows).values()) == {"Story 0 tells of 0 things at length. Subscribe to our letters today! More about 0."}

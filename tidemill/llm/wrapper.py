@@ -12,6 +12,7 @@ and numbers of nodes.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections import Counter
@@ -44,6 +45,8 @@ popup modal overlay signup login share sharing social related legal skip search
 NO_ARTICLE_STARTS = tuple("""advert adsense banner sponsor promo navbar navigation breadcrumb sidebar commentlist disqus
 cookie consent newsletter subscri recommend pagination copyright disclaimer sitemap""".split())
 
+TEASERS = {"teaser", "teasers"}     # also as the class of an article element
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<svg(?:\s[^>]*)?/>|<(?P<raw>" + "|".join(RAW) + r")(?=[\s/>])[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|<[a-z][^>]*\Z|[^<]+|<""",
@@ -64,7 +67,7 @@ class Node:
         words = re.split(r"[^a-z]+", " ".join(found.get(k, "") for k in ("class", "id", "role")).lower())
         self.main = tag in ("article", "main") or "main" in words or found.get("itemprop") == "articleBody"
         body = tag in ("html", "body", "article", "main")
-        self.out = out or tag in NO_ARTICLE or (not body and any(
+        self.out = out or tag in NO_ARTICLE or not TEASERS.isdisjoint(words) or (not body and any(
             w in NO_ARTICLE_WORDS or w.startswith(NO_ARTICLE_STARTS) for w in words if w))
 
 
@@ -196,7 +199,7 @@ def align(page: Node, reference: Node) -> dict[int, Node]:
 
 
 def _runs(node: Node) -> list[Node]:
-    """The text runs below a node that may belong to an article, in page order."""
+    """The text runs below a node that are in no excluded region, in page order."""
     out, todo = [], [node]
     while todo:
         here = todo.pop()
@@ -209,7 +212,7 @@ def _runs(node: Node) -> list[Node]:
 
 
 def _article(root: Node) -> Node:
-    """The element that holds the article: the fullest one marked as such, else the smallest with most of the text."""
+    """The element that tells the article from others: the fullest one marked as such, else the smallest with most of the text."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -231,18 +234,24 @@ def _article(root: Node) -> Node:
         node = larger[0]
 
 
-def blocks(page: str | None, reference: Node | None) -> list[tuple[int, bool, str]]:
-    """The article's text runs: number of the reference's node (-1: none), same text there, the text."""
-    root = parse(page or "")
+def _identity(root: Node) -> int:
+    """Equal for pages of one article: a hash of the longest text run of the element that holds it."""
+    text = max((r.text for r in _runs(_article(root))), key=len, default="")
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
+
+
+def blocks(page: Node | str | None, reference: Node | None) -> list[tuple[int, bool, str]]:
+    """The page's text runs in no excluded region: number of the reference's node (-1: none), same text there, the text."""
+    root = page if isinstance(page, Node) else parse(page or "")
     pairs = align(root, reference) if reference is not None else {}
     out = []
-    for run in _runs(_article(root)):
+    for run in _runs(root):
         twin = pairs.get(id(run))
         out.append((-1 if twin is None else twin.number, twin is not None and twin.text == run.text, run.text))
     return out
 
 
-def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     kept: dict[str, Node] = {}
     for pages, references in batches:
         out = []
@@ -251,15 +260,17 @@ def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Seri
                 if len(kept) >= 200:
                     kept.clear()
                 kept[reference] = _number(parse(reference))
-            out.append([{"node": n, "same": s, "text": t} for n, s, t in blocks(page, kept.get(reference))])
-        yield pd.Series(out)
+            root = parse(page or "")
+            out.append((_identity(root), [{"node": n, "same": s, "text": t} for n, s, t in blocks(root, kept.get(reference))]))
+        yield pd.DataFrame(out, columns=["article", "blocks"])
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per input row: ``id_col, url_col, text``, the article's blocks joined by single spaces.
 
     Null, empty and textless pages have an empty text. Pages without a readable host are one group. Repeated
-    rows keep a row each and count as one article, as do pages whose longest block is equal.
+    rows keep a row each and count as one article, as do pages whose article has an equal longest block. Elements
+    marked as the article's say which block that is; what is outside of them is judged as all else.
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
@@ -270,14 +281,12 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     hosts = cut_lineage(rows.groupBy("host").agg(F.min(F.when(fits, candidate))["html"].alias("reference"),
                                                  F.count("*").alias("pages")))
     total = hosts.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    extract = F.pandas_udf(_extract, "array<struct<node:int,same:boolean,text:string>>")
+    extract = F.pandas_udf(_extract, "article long, blocks array<struct<node:int,same:boolean,text:string>>")
     parsed = join_classes(rows, hosts, "host", "pages", total).select(
-        "id", "url", "host", extract("html", "reference").alias("blocks"))
+        "id", "url", "host", extract("html", "reference").alias("found")).select("id", "url", "host", "found.*")
     parsed = cut_lineage(parsed)
-    longest = F.aggregate("blocks", F.lit(""), lambda best, b: F.when(
-        F.length(b["text"]) > F.length(best), b["text"]).otherwise(best))
     seen = F.transform("blocks", lambda b: F.struct(b["node"], b["same"].cast("int").alias("same")))
-    articles = parsed.select("host", F.xxhash64(longest).alias("article"), seen.alias("seen")).groupBy(
+    articles = parsed.select("host", "article", seen.alias("seen")).groupBy(
         "host", "article").agg(F.min("seen").alias("seen"))
     every = F.struct(F.lit(EVERY).alias("node"), F.lit(1).alias("same"))
     nodes = articles.select("host", F.explode(F.array_append(F.filter("seen", lambda s: s["node"] >= 0), every)).alias("s")
