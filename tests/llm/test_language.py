@@ -42,3 +42,24 @@ def test_nothing_to_learn(spark):
     assert language.drop_rejected(none(spark), model).collect() == []
     got = odd(spark).select(language.predict(F.col("text"), model, spark).alias("p")).collect()
     assert all(r.p.lang_pred == language.UNKNOWN and r.p.rejected for r in got)
+
+
+def test_sample_is_bounded_and_never_empty(spark, monkeypatch):
+    sizes, cluster = spark.sparkContext.accumulator(0), language._cluster
+
+    def watched(*args):
+        run = cluster(*args)
+
+        def counted(group):
+            sizes.add(len(group))
+            return run(group)
+        return counted
+    monkeypatch.setattr(language, "_cluster", watched)
+    texts = [("en", f"some words of text {'abcdefghij'[i % 10] * 3} {'klmnopqrst'[i // 10] * 3}") for i in range(100)]
+    hot = [("en", "a text that comes again and again")] * 3000 + [("de", f"viel kopierter Satz {c}") for c in "xyz"] * 1000
+    df = spark.createDataFrame(texts + hot, "lang string, text string")
+    assert set(language.fit(df, sample=2)["langs"]) == {"en", "de"}
+    assert sizes.value == 4
+    sizes.value = 0
+    language.fit(df)
+    assert sizes.value == 104       # 101 and 3 different texts

@@ -1,8 +1,9 @@
 """Language identification by the nearest of several TF-IDF centroids per language.
 
 Texts are lower-cased, everything but letters is blank, and byte trigrams are hashed into a fixed number of
-features. Document frequencies are counted over all training documents. A bounded sample of labelled
-documents per language (``SAMPLE`` on average, drawn by hash) is clustered by spherical k-means. A text gets the
+features. Document frequencies are counted over all training documents. The ``SAMPLE`` different texts per
+language with the smallest hashes, all if there are fewer, are clustered by spherical k-means; copies of a text
+count once, so a much-copied one moves neither centroids nor limits. A text gets the
 language of the centroid with the highest cosine. It is rejected when that cosine is far below what
 training texts with as many distinct trigrams reach, or when it has no letter at all.
 """
@@ -13,13 +14,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import cut_lineage, drop_stage
 from .common import packed, uniform
 
 FEATURES = 1 << 14
 CLUSTERS = 4
-SAMPLE = 1000           # labelled documents per language the centroids are fitted on
+SAMPLE = 1000           # different labelled texts per language the centroids are fitted on
 ROUNDS = 8
 CHUNK = 1 << 20         # bytes of a text that are counted at once
 NEAREST = 200           # sample texts of about the same size that set its limit:
@@ -110,13 +112,19 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sam
     for feature, n in counted.collect():        # one row per feature
         df[feature] = n
     idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
-    sizes = rows.groupBy("lang").count().collect()      # one row per language
+    keyed = rows.withColumn("order", uniform("text", "lang"))
+    different = cut_lineage(keyed.select("lang", "order").distinct())
+    sizes = different.groupBy("lang").count().collect()      # one row per language
     if not sizes:
         return {"langs": [], "centroids": np.zeros((0, FEATURES), np.float32), "idf": idf, "limits": np.zeros(32)}
-    rate = F.element_at(F.create_map(*[F.lit(v) for lang, n in sizes for v in (lang, sample / n)]), F.col("lang"))
-    drawn = rows.withColumn("order", uniform("text", "lang")).filter(F.col("order") < rate)
+    # about twice as many as needed are ranked; fewer than needed have a chance below exp(-25)
+    rate = F.element_at(F.create_map(*[F.lit(v) for lang, n in sizes for v in (lang, (2 * sample + 100) / n)]), F.col("lang"))
+    least = F.row_number().over(Window.partitionBy("lang").orderBy("order"))
+    chosen = different.filter(F.col("order") < rate).withColumn("at", least).filter(F.col("at") <= sample).drop("at")
+    drawn = keyed.join(F.broadcast(chosen), ["lang", "order"]).groupBy("lang", "order").agg(F.min("text").alias("text"))
     fitted = drawn.groupBy("lang").applyInPandas(
         _cluster(idf, clusters), "lang string, centroids binary, cosines array<double>, sizes array<int>").collect()
+    drop_stage(different)
     langs, parts = [], []
     for row in sorted(fitted, key=lambda r: r["lang"]):
         parts.append(np.frombuffer(bytes(row["centroids"]), dtype=np.float32).reshape(-1, FEATURES))
