@@ -84,6 +84,21 @@ def test_all_runs_are_judged(spark):
     assert extracted(spark, rows) == {i: f"Lead {i}. Story {i} tells of {i * 7} things. Part two of {i}." for i in range(12)}
 
 
+def paged(i, layout, filler=""):
+    return (i, f"https://h.example.com/{i}", f"<html><body><div class='{layout}'><p>Story {i} tells of {i * 7} things at length.</p>"
+            f"<p>Layout {layout} sends letters to all!</p><p>More about {i * 3}.{filler}</p></div></body></html>")
+
+
+@pytest.mark.parametrize("limit", [1 << 25, 0])
+def test_long_pages_and_further_layouts(spark, monkeypatch, limit):
+    monkeypatch.setattr(wrapper, "BROADCAST_BYTES", limit, raising=False)
+    filler = " word" * 14_000
+    rows = [paged(i, "abc"[i % 3], filler) for i in range(30)] + [paged(30, "d")] * 9
+    got = extracted(spark, rows)
+    assert got == {i: f"Story {i} tells of {i * 7} things at length. More about {i * 3}.{filler}" for i in range(30)} | {
+        30: "Story 30 tells of 210 things at length. Layout d sends letters to all! More about 90."}
+
+
 def test_copies_of_one_article_are_no_template(spark):
     rows = [(i, "https://h.example.com/a", site(1)[0][2]) for i in range(40)]
     assert set(extracted(spark, rows).values()) == {"Story 0 tells of 0 things at length. Subscribe to our letters today! More about 0."}

@@ -2,12 +2,14 @@
 
 Pages of one host share a template. One complete page per host is its reference; the trees of all other pages
 are aligned with it by simple tree matching, the largest order-preserving match of nodes with equal tags
-and classes. A node whose text is the same on most of the host's different articles is template; what varies is content.
+and classes. Pages with most of their text in elements that the reference lacks have another layout; they are aligned
+again with a reference of their own. A node whose text is the same on most of the host's or the layout's different
+articles is template; what varies is content.
 Regions that are no article by their element or their class (menus, headers, footers, sidebars, notices,
 adverts, forms, comments) are left out on every page, also where a host has too few pages to tell.
 
-Trees are parsed and aligned once, next to the page. What is shuffled are references, one per host,
-and numbers of nodes.
+Trees are parsed and aligned next to the page, once per layout tried. What is shuffled are references, numbers of nodes,
+and the pages of further layouts.
 """
 
 from __future__ import annotations
@@ -22,11 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut_lineage
-from .common import join_classes
+from .common import HOT_CLASSES, join_classes
 
-REFERENCE_CHARS = 1 << 16    # longer pages are no references, so a thousand of them have a bounded size
+BROADCAST_BYTES = 1 << 25    # references of hot hosts up to this are broadcast; those of further ones are copied to shares of the host
 LEAST_ARTICLES = 5           # different articles a host needs before a constant node counts as template
-CONSTANT = 0.5               # the share of the host's different articles that must have its text
+CONSTANT = 0.5               # the share of different articles, of the host or of the layout, that must have its text
 EVERY = -2                   # stands for a node that every article has
 
 # fixed values: elements by what they mean for the text
@@ -211,8 +213,8 @@ def _runs(node: Node) -> list[Node]:
     return out
 
 
-def _article(root: Node) -> Node:
-    """The element that tells the article from others: the fullest one marked as such, else the smallest with most of the text."""
+def _sizes(root: Node) -> tuple[list[Node], dict[int, int]]:
+    """The nodes in no excluded region, outer ones first, and the characters below each by identity."""
     order, todo = [], [root]
     while todo:
         node = todo.pop()
@@ -222,6 +224,12 @@ def _article(root: Node) -> Node:
     size: dict[int, int] = {}
     for n in reversed(order):
         size[id(n)] = len(n.text) + sum(size.get(id(c), 0) for c in n.children)
+    return order, size
+
+
+def _article(root: Node) -> Node:
+    """The element that tells the article from others: the fullest one marked as such, else the smallest with most of the text."""
+    order, size = _sizes(root)
     marked = [n for n in order if n.main]
     if marked:
         inner = [n for n in marked if n.tag == "article"] or marked
@@ -240,10 +248,25 @@ def _identity(root: Node) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "big", signed=True)
 
 
-def blocks(page: Node | str | None, reference: Node | None) -> list[tuple[int, bool, str]]:
-    """The page's text runs in no excluded region: number of the reference's node (-1: none), same text there, the text."""
-    root = page if isinstance(page, Node) else parse(page or "")
-    pairs = align(root, reference) if reference is not None else {}
+def _other_layout(root: Node, pairs: dict[int, Node]) -> str | None:
+    """If most of the page's text is in elements unknown to the reference at their place: the fullest one's place and symbol."""
+    order, size = _sizes(root)
+    unknown: dict[tuple, int] = {}
+    for node in order:
+        twin = pairs.get(id(node))
+        if twin is None or not node.children:
+            continue
+        symbols = {c.symbol for c in twin.children}
+        for c in node.children:
+            if c.tag and c.symbol not in symbols and size.get(id(c)):
+                at = (twin.number, *c.symbol)
+                unknown[at] = unknown.get(at, 0) + size[id(c)]
+    if 2 * sum(unknown.values()) <= size.get(id(root), 0):
+        return None
+    return hashlib.blake2b(repr(max(unknown, key=lambda at: (unknown[at], at))).encode("utf-8", "replace"), digest_size=8).hexdigest()
+
+
+def _judged(root: Node, pairs: dict[int, Node]) -> list[tuple[int, bool, str]]:
     out = []
     for run in _runs(root):
         twin = pairs.get(id(run))
@@ -251,6 +274,12 @@ def blocks(page: Node | str | None, reference: Node | None) -> list[tuple[int, b
     return out
 
 
+def blocks(page: str | None, reference: Node | None) -> list[tuple[int, bool, str]]:
+    """The page's text runs in no excluded region: number of the reference's node (-1: none), same text there, the text."""
+    root = parse(page or "")
+    return _judged(root, align(root, reference) if reference is not None else {})
+
+
 def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
     kept: dict[str, Node] = {}
     for pages, references in batches:
@@ -261,8 +290,33 @@ def _extract(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Data
                     kept.clear()
                 kept[reference] = _number(parse(reference))
             root = parse(page or "")
-            out.append((_identity(root), [{"node": n, "same": s, "text": t} for n, s, t in blocks(root, kept.get(reference))]))
-        yield pd.DataFrame(out, columns=["article", "blocks"])
+            pairs = align(root, kept[reference]) if reference is not None else {}
+            out.append((_identity(root), _other_layout(root, pairs),
+                        [{"node": n, "same": s, "text": t} for n, s, t in _judged(root, pairs)]))
+        yield pd.DataFrame(out, columns=["article", "layout", "blocks"])
+
+
+def _with_references(rows: DataFrame, hosts: DataFrame, total: int) -> DataFrame:
+    """Every row with its host's reference, of any length.
+
+    Of the hot hosts (see ``join_classes``), the largest are broadcast as far as their references have a bounded size;
+    the rows of the others are dealt to several shares of the host, each with a copy of the reference.
+    """
+    hot = hosts.filter(F.col("pages") * HOT_CLASSES > total).select(
+        "host", "pages", F.coalesce(F.octet_length("reference"), F.lit(0)).alias("size")).collect()   # under HOT_CLASSES rows
+    marks, used = [], 0
+    for host, pages, size in sorted(hot, key=lambda r: (-r["pages"], r["host"])):
+        fits = used + size <= BROADCAST_BYTES
+        used += size if fits else 0
+        marks.append((host, 0 if fits else -(-pages * HOT_CLASSES // total)))
+    marked = F.broadcast(rows.sparkSession.createDataFrame(marks, "host string, shares int"))
+    near = F.broadcast(hosts.join(marked.filter("shares = 0"), "host").select("host", "reference"))
+    shares = F.coalesce("shares", F.lit(1))
+    far = rows.join(marked, "host", "left").filter(shares > 0).withColumn("share", (F.monotonically_increasing_id() % shares).cast("int"))
+    copies = hosts.join(marked, "host", "left").filter(shares > 0).select(
+        "host", "reference", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+    return rows.join(near, "host").unionByName(
+        far.drop("shares").join(copies, ["host", "share"], "left").drop("share"))
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -274,31 +328,58 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """
     host = F.lower(F.regexp_extract(F.coalesce(F.col(url_col), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"),
-                        host.alias("host"))
+                        host.alias("host"), F.lit(None).cast("array<boolean>").alias("gone"))
+    finished = None
+    while rows is not None:
+        done, rows = _round(rows)
+        finished = done if finished is None else finished.unionByName(done)
+    kept = F.filter("blocks", lambda b, i: ~F.get("gone", i))
+    return finished.select(F.col("id").alias(id_col), F.col("url").alias(url_col),
+                           F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"))
+
+
+def _round(rows: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """Align every page with its group's reference: the rows that are done, and those that another layout's reference fits.
+
+    ``gone`` tells which text runs are template. Pages of another layout form a group of their own, if it has
+    enough different articles to tell anything; what was found with the first reference stays found.
+    The reference is never of another layout than itself, so groups shrink from round to round.
+    """
     complete = F.lower(F.substring("html", -20, 20)).contains("</html")
     candidate = F.struct(~complete, F.xxhash64("html"), F.col("html"))
-    fits = F.col("html").isNotNull() & (F.length("html") <= REFERENCE_CHARS)
-    hosts = cut_lineage(rows.groupBy("host").agg(F.min(F.when(fits, candidate))["html"].alias("reference"),
+    hosts = cut_lineage(rows.groupBy("host").agg(F.min(F.when(F.col("html").isNotNull(), candidate))["html"].alias("reference"),
                                                  F.count("*").alias("pages")))
     total = hosts.agg(F.coalesce(F.sum("pages"), F.lit(0))).first()[0]
-    extract = F.pandas_udf(_extract, "article long, blocks array<struct<node:int,same:boolean,text:string>>")
-    parsed = join_classes(rows, hosts, "host", "pages", total).select(
-        "id", "url", "host", extract("html", "reference").alias("found")).select("id", "url", "host", "found.*")
+    extract = F.pandas_udf(_extract, "article long, layout string, blocks array<struct<node:int,same:boolean,text:string>>")
+    parsed = _with_references(rows, hosts, total).withColumn("found", extract("html", "reference")).select(
+        "id", "url", "host", "gone", F.when(F.col("found.layout").isNotNull(), F.col("html")).alias("html"), "found.*")
     parsed = cut_lineage(parsed)
     seen = F.transform("blocks", lambda b: F.struct(b["node"], b["same"].cast("int").alias("same")))
-    articles = parsed.select("host", "article", seen.alias("seen")).groupBy(
-        "host", "article").agg(F.min("seen").alias("seen"))
+    articles = parsed.select("host", "article", F.struct(F.col("layout").isNotNull().alias("other"), seen.alias("seen")).alias("page")
+                             ).groupBy("host", "article").agg(F.min("page").alias("page"))
     every = F.struct(F.lit(EVERY).alias("node"), F.lit(1).alias("same"))
-    nodes = articles.select("host", F.explode(F.array_append(F.filter("seen", lambda s: s["node"] >= 0), every)).alias("s")
-                            ).groupBy("host", "s.node").agg(F.sum("s.same").alias("same"))
-    counted = nodes.groupBy("host").agg(F.max(F.when(F.col("node") == EVERY, F.col("same"))).alias("articles"),
-                                        F.collect_list(F.when(F.col("node") != EVERY, F.struct("node", "same"))).alias("nodes"))
-    constant = F.filter("nodes", lambda c: c["same"] >= CONSTANT * F.col("articles"))
-    wrappers = counted.filter(F.col("articles") >= LEAST_ARTICLES).select("host", constant["node"].alias("template"))
+    nodes = articles.select("host", (~F.col("page.other")).cast("int").alias("own"), F.explode(F.array_append(
+        F.filter("page.seen", lambda s: s["node"] >= 0), every)).alias("s")).groupBy("host", "s.node").agg(
+            F.sum("s.same").alias("same"), F.sum(F.col("s.same") * F.col("own")).alias("own"))
+    count = F.struct("node", "same", "own")
+    counted = nodes.groupBy("host").agg(F.max(F.when(F.col("node") == EVERY, count)).alias("all"),
+                                        F.collect_list(F.when(F.col("node") != EVERY, count)).alias("nodes"))
+    most = lambda c, n: (F.col(f"all.{n}") >= LEAST_ARTICLES) & (c[n] >= CONSTANT * F.col(f"all.{n}"))
+    constant = F.filter("nodes", lambda c: most(c, "same") | most(c, "own"))
+    wrappers = counted.select("host", constant["node"].alias("template")).filter(F.size("template") > 0)
     wrappers = hosts.select("host", "pages").join(wrappers, "host", "left")
-    final = join_classes(parsed, wrappers, "host", "pages", total)
     template = F.coalesce("template", F.array().cast("array<int>"))
-    kept = F.filter("blocks", lambda b: ~(b["same"] & F.array_contains(F.col("t"), b["node"])))
-    return final.withColumn("t", template).select(
-        F.col("id").alias(id_col), F.col("url").alias(url_col),
-        F.array_join(F.transform(kept, lambda b: b["text"]), " ").alias("text"))
+    gone = F.transform("blocks", lambda b, i: (b["same"] & F.array_contains(F.col("t"), b["node"]))
+                       | F.coalesce(F.get("gone", i), F.lit(False)))
+    judged = join_classes(parsed, wrappers, "host", "pages", total).withColumn("t", template).withColumn("gone", gone)
+    done = judged.select("id", "url", "blocks", "gone")
+    others = parsed.filter("layout is not null").select("host", "layout", "article").distinct().groupBy("host", "layout").agg(
+        F.count("*").alias("n")).filter(F.col("n") >= LEAST_ARTICLES).select("host", "layout", F.lit(True).alias("again"))
+    others = cut_lineage(others)
+    if others.isEmpty():
+        return done, None
+    moved = judged.filter("layout is not null").join(others, ["host", "layout"], "left")
+    done = judged.filter("layout is null").unionByName(moved.filter("again is null").drop("again")).select(
+        "id", "url", "blocks", "gone")
+    return done, cut_lineage(moved.filter("again").select(
+        "id", "url", "html", F.concat_ws("#", "host", "layout").alias("host"), "gone"))
