@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, credentials, exact, language, mixing, repeats, sharding, simhash, topk, wrapper
+from ..session import cut_lineage
+from . import (bpe, credentials, exact, language, mixing, periodic, quality, repeats, roles, sharding, simhash, topk,
+               wrapper)
+from .common import WORD
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECK_SQL: dict[str, str] = {}
@@ -149,3 +152,57 @@ def op6_repeated_passages(spark, folder):
     """What is left of every document without its repeated passages."""
     left = repeats.repeated_passages(documents(spark, folder), length=400, keep_bytes=False)
     return left.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def damaged_turns(rows: DataFrame) -> DataFrame:
+    """``conversations`` with the faults of the contract; rows that are gone stay as not ``present``, to name their conversation."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(key) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    damaged = rows.select(
+        "conv_id", "turn", F.when(kind == 4, "user").otherwise(role).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (kind != 0).alias("present"), F.explode(F.sequence(F.lit(1), F.when(kind == 3, 2).otherwise(1))))
+    return damaged.drop("col")
+
+
+@query("op11_role_repair")
+def op11_role_repair(spark, folder):
+    """Every damaged conversation with its faults and its cheapest repair."""
+    rows = damaged_turns(spark.read.parquet(f"{folder}/conversations.parquet"))
+    return roles.repair_conversations(rows, present=F.col("present"))
+
+
+@query("op12_additive_quality")
+def op12_additive_quality(spark, folder):
+    """Every document with its quality score, learned from three quarters of the labelled ones."""
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
+    measured = cut_lineage(documents(spark, folder).select("doc_id", held_out.alias("held_out"), quality.measures(F.col("text")).alias("measures")))
+    marks = spark.read.parquet(f"{folder}/labels.parquet").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    model = quality.fit(measured.filter(~F.col("held_out")).join(marks, "doc_id"))
+    scored = measured.select("doc_id", "held_out", quality.predict(F.col("measures"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+def looped_texts(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in the texts of one id in ten, the words from some word on repeat."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.when((h % 10 == 0) & F.col("text").rlike(WORD), F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    looped = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("words"))
+    looped = looped.withColumn("n", F.size("words")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    looped = looped.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    times, period = F.floor(rest / F.col("p")).cast("int"), F.slice("words", F.col("a") + 1, F.col("p"))
+    parts = F.concat(F.slice("words", F.lit(1), F.col("a")), F.flatten(F.array_repeat(period, times)),
+                     F.slice("words", F.col("a") + 1, rest % F.col("p")))
+    return looped.select("doc_id", F.when(F.col("words").isNull(), F.col("text")).otherwise(F.array_join(parts, " ")).alias("text"))
+
+
+@query("op13_lyndon_runs")
+def op13_lyndon_runs(spark, folder):
+    """Every document, some with repetitions put in, with its runs and what is left without repetitions."""
+    found = looped_texts(documents(spark, folder)).select("doc_id", periodic.periodic_runs(F.col("text"), keep_text=False).alias("r"))
+    found = found.select("doc_id", "r.runs", "r.collapsed_sha256").withColumn("best", periodic.best_run(F.col("runs")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+                        F.sha2(periodic.written(F.col("runs")), 256).alias("runs_sha256"), "collapsed_sha256")
