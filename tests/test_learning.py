@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemill.operators import clustering as K, metrics as M, models as L, scaling as S
+from tidemill.operators import clustering as K, metrics as M, models as L, regression as RG, scaling as S
 
 
 def blobs(spark, n=400, seed=0):
@@ -118,12 +118,12 @@ def test_backward_selection_and_significance(spark):
     pdf = pd.DataFrame(rng.normal(size=(400, 3)), columns=list("abc"))
     pdf["y"] = 2 * pdf["a"] - pdf["b"] + rng.normal(size=400)
     df = spark.createDataFrame(pdf)
-    path = L.backward_aic(df, ["a", "b", "c"], "y")
+    path = RG.backward_aic(df, ["a", "b", "c"], "y")
     assert set(path[-1][1].split(",")) >= {"a", "b"} and all(y[2] < x[2] for x, y in zip(path, path[1:]))
     x = np.c_[pdf[["a", "b", "c"]], np.ones(400)]
     rss = ((pdf["y"] - x @ np.linalg.lstsq(x, pdf["y"], rcond=None)[0]) ** 2).sum()
     assert np.isclose(path[0][2], 400 * (np.log(2 * np.pi * rss / 400) + 1) + 2 * 5, rtol=1e-6)
-    assert {(f, s) for f, _, _, s in L.significant_coefs(df, ["a", "b", "c"], "y")} >= {("a", "positive"), ("b", "negative")}
+    assert {(f, s) for f, _, _, s in RG.significant_coefs(df, ["a", "b", "c"], "y")} >= {("a", "positive"), ("b", "negative")}
 
 
 def test_classifiers_beat_chance(spark):

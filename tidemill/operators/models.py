@@ -12,12 +12,10 @@ from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, Li
 from pyspark.ml.feature import OneHotEncoder, PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.ml.regression import GeneralizedLinearRegression, LinearRegression
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage
-from .ordering import global_index
-
+from .regression import logistic_by_size, moments, with_size_step
 
 
 # ---- features ------------------------------------------------------------------------------------
@@ -43,20 +41,6 @@ def sparse_features(weights: DataFrame, doc: str, index: str, weight: str, size:
 
 # ---- closed forms --------------------------------------------------------------------------------
 
-def _moments(df: DataFrame, features: Sequence[str], y: str):
-    """Means and centred co-moments of features and target from one aggregation over the rows that have them all."""
-    cols = [*features, y]
-    df = df.dropna(subset=cols)
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    row = df.agg(F.count("*").alias("n"), *[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
-                 *[F.covar_pop(cols[i], cols[j]).alias(f"s{i}_{j}") for i, j in pairs]).first()
-    mean = np.array([row[f"m{i}"] for i in range(len(cols))])
-    cov = np.zeros((len(cols), len(cols)))
-    for i, j in pairs:
-        cov[i, j] = cov[j, i] = row[f"s{i}_{j}"]
-    return row["n"], mean, cov
-
-
 def linear(features: Sequence[str], coefs: Sequence[float], intercept: float) -> Column:
     out = F.lit(float(intercept))
     for f, c in zip(features, coefs):
@@ -65,19 +49,19 @@ def linear(features: Sequence[str], coefs: Sequence[float], intercept: float) ->
 
 
 def ridge_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], y: str, lambdas: Sequence[float]) -> DataFrame:
-    """Test error of ridge regression for every lambda: (lambda, mse, coef array).
+    """Errors of ridge regression for every lambda: (lambda, train_mse, mse, coef array); ``mse`` is that on the test rows.
 
     The penalty is ``lambda * |w|^2`` next to the mean squared error, intercept free.
-    One pass over the training rows serves all lambdas, one over the test rows scores them.
+    One pass over the training rows serves all lambdas and their training errors, one over the test rows scores them.
     """
-    _, mean, cov = _moments(train, features, y)
+    seen = moments(train, features, y)[None]
     k, fits = len(features), []
     for lam in lambdas:
-        w = np.linalg.solve(cov[:k, :k] + lam * np.eye(k), cov[:k, k])
-        fits.append((float(lam), w, float(mean[k] - w @ mean[:k])))
+        w = np.linalg.solve(seen.cov[:k, :k] + lam * np.eye(k), seen.cov[:k, k])
+        fits.append((float(lam), w, float(seen.mean[k] - w @ seen.mean[:k])))
     errors = test.agg(*[F.avg(F.pow(F.col(y) - linear(features, w, b), 2)).alias(f"e{i}") for i, (_, w, b) in enumerate(fits)])
-    rows = F.array(*[F.struct(F.lit(lam).alias("lambda"), F.col(f"e{i}").alias("mse"),
-                              F.array(*[F.lit(float(c)) for c in w]).alias("coefs")) for i, (lam, w, _) in enumerate(fits)])
+    rows = F.array(*[F.struct(F.lit(lam).alias("lambda"), F.lit(seen.error(w, b)).alias("train_mse"), F.col(f"e{i}").alias("mse"),
+                              F.array(*[F.lit(float(c)) for c in w]).alias("coefs")) for i, (lam, w, b) in enumerate(fits)])
     return errors.select(F.explode(rows).alias("e")).select("e.*")
 
 
@@ -106,20 +90,6 @@ def log_target_sweep(train: DataFrame, test: DataFrame, features: Sequence[str],
     return test.agg(F.array(*aggs).alias("a")).select(F.explode("a").alias("e")).select("e.*")
 
 
-def elastic_net_sweep(train: DataFrame, test: DataFrame, features: Sequence[str], y: str, lambdas: Sequence[float],
-                      alphas: Sequence[float]) -> list[tuple[float, float, float]]:
-    """Test MSE of elastic-net regression over a grid of (lambda, alpha)."""
-    train = cut_lineage(with_vector(train, features).select("features", F.col(y).cast("double").alias("label")))
-    test = cut_lineage(with_vector(test, features).select("features", F.col(y).cast("double").alias("label")))
-    out = []
-    for lam in lambdas:
-        for alpha in alphas:
-            model = LinearRegression(regParam=lam, elasticNetParam=alpha).fit(train)
-            mse = model.transform(test).agg(F.avg(F.pow(F.col("label") - F.col("prediction"), 2))).first()[0]
-            out.append((float(lam), float(alpha), float(mse)))
-    return out
-
-
 @dataclass(frozen=True)
 class GaussianModel:
     """Class means with a shared covariance, as linear scores ``w . x + b`` per class."""
@@ -177,37 +147,66 @@ def gaussian_predict(df: DataFrame, model: GaussianModel, name: str = "pred") ->
     return df.withColumn(name, model.predict())
 
 
-def learning_curve(train: DataFrame, test: DataFrame, key: str, features: Sequence[str], y: str,
-                   sizes: Sequence[int]) -> DataFrame:
-    """Test error of the Gaussian classifier trained on the first ``size`` rows (by key), for all sizes.
-
-    Rows are put into the interval between two sizes and summed once; the models are
-    running totals of these sums. All of them score the test rows in one pass.
-    """
-    sizes = sorted(sizes)
-    placed = global_index(train.select(key, y, *features), [key], "_pos", start=1).where(F.col("_pos") <= sizes[-1])
-    step = F.lit(len(sizes) - 1)
-    for i in reversed(range(len(sizes) - 1)):
-        step = F.when(F.col("_pos") <= sizes[i], i).otherwise(step)
-    rows, unpack = _class_sums(placed, [step.alias("step"), F.col(y).alias("y")], features)
+def gaussian_by_step(placed: DataFrame, features: Sequence[str], y: str, steps: int) -> list[GaussianModel]:
+    """The classifiers of the rows with ``_step`` at most 0, 1, ...: running totals of one aggregation per step and class."""
+    rows, unpack = _class_sums(placed, [F.col("_step").alias("step"), F.col(y).alias("y")], features)
     k, classes = len(features), sorted({r["y"] for r in rows})
     n, s, q = np.zeros(len(classes)), np.zeros((len(classes), k)), np.zeros((len(classes), k, k))
     by_step = {}
     for r in rows:
         by_step.setdefault(r["step"], []).append((classes.index(r["y"]), unpack(r)))
     models = []
-    for i in range(len(sizes)):
+    for i in range(steps):
         for c, (cn, cs, cq) in by_step.get(i, []):
             n[c] += cn
             s[c] += cs
             q[c] += cq
         seen = np.flatnonzero(n)
         models.append(_gaussian(features, [classes[c] for c in seen], n[seen], s[seen], q[seen]))
+    return models
+
+
+def learning_curve(train: DataFrame, test: DataFrame, key: str, features: Sequence[str], y: str,
+                   sizes: Sequence[int]) -> DataFrame:
+    """Test error of the Gaussian classifier trained on the first ``size`` rows (by key), for all sizes.
+
+    Rows are put into the interval between two sizes and summed once; the models are
+    running totals of these sums. All of them score the test rows in one pass.
+    """
+    sizes = sorted(sizes)
+    models = gaussian_by_step(with_size_step(train, key, [y, *features], sizes), features, y, len(sizes))
     wide = test.agg(*[F.avg(F.when(m.predict() == F.col(y), 0.0).otherwise(1.0)).alias(f"e{i}") for i, m in enumerate(models)])
     out = F.array(*[F.struct(F.lit(size).cast("bigint").alias("size"), F.col(f"e{i}").alias("error")) for i, size in enumerate(sizes)])
     return wide.select(F.explode(out).alias("e")).select("e.*")
 
 
+def learning_curves(train: DataFrame, test: DataFrame, key: str, features: Sequence[str], y: str, sizes: Sequence[int],
+                    newton: int = 6, ridge: float = 1.0) -> DataFrame:
+    """Error rates of the shared-covariance Gaussian classifier and of logistic regression, trained on the first ``size`` rows by key.
+
+    Returns (size, gaussian_train, gaussian_test, logistic_train, logistic_test); training errors are those on the first ``size``
+    rows. Two classes, the larger one positive; a size with rows of one class predicts it. Rows with a missing value are left out.
+    """
+    sizes = sorted(sizes)
+    placed = cut_lineage(with_size_step(train.dropna(subset=[*features, y]), key, [y, *features], sizes))
+    gaussian = gaussian_by_step(placed, features, y, len(sizes))
+    classes = sorted({c for m in gaussian for c in m.classes})
+    if len(classes) > 2:
+        raise ValueError("logistic regression needs two classes")
+    low, high = classes[0], classes[-1]
+    weights = logistic_by_size(placed, features, y, len(sizes), high, newton, ridge)
+    wrong_gauss = [F.when(m.predict() == F.col(y), 0.0).otherwise(1.0) for m in gaussian]
+    wrong_logit = [F.when(F.when(linear(features, w[1:], w[0]) > 0, F.lit(high)).otherwise(F.lit(low)) == F.col(y), 0.0)
+                   .otherwise(1.0) for w in weights]
+    seen = [F.col("_step") <= i for i in range(len(sizes))]
+    on_train = placed.agg(*[F.avg(F.when(s, e)).alias(f"{n}{i}") for n, errors in (("g", wrong_gauss), ("l", wrong_logit))
+                            for i, (s, e) in enumerate(zip(seen, errors))]).first()
+    on_test = test.dropna(subset=[*features, y]).agg(*[F.avg(e).alias(f"{n}{i}") for n, errors in (("g", wrong_gauss), ("l", wrong_logit))
+                                                       for i, e in enumerate(errors)]).first()
+    rows = [(int(size), on_train[f"g{i}"], on_test[f"g{i}"], on_train[f"l{i}"], on_test[f"l{i}"]) for i, size in enumerate(sizes)]
+    return train.sparkSession.createDataFrame(rows, "size long, gaussian_train double, gaussian_test double, logistic_train double, logistic_test double")
+
+
 # ---- Spark ML ------------------------------------------------------------------------------------
 
 def default_classifiers(features: str = "features", label: str = "label", seed: int = 1) -> dict[str, Estimator]:
@@ -246,33 +245,3 @@ def self_taught(labelled: DataFrame, unlabelled: DataFrame, features: str, dims:
         labelled.select(features).unionByName(unlabelled.select(features)))
     joined = VectorAssembler(inputCols=[features, "_learnt"], outputCol=out)
     return joined.transform(model.transform(labelled)).drop("_learnt")
-
-
-def backward_aic(df: DataFrame, features: Sequence[str], y: str) -> list[tuple[int, str, float]]:
-    """Backward selection: drop the feature whose removal lowers AIC most, until none does.
-
-    Returns the kept sets as (step, comma-joined features, aic); at most len(features)^2 fits.
-    """
-    df = cut_lineage(df.select(*features, F.col(y).cast("double").alias("label")))
-
-    def aic(cols):
-        model = GeneralizedLinearRegression(family="gaussian", featuresCol="_f").fit(with_vector(df, cols, "_f"))
-        return float(model.summary.aic)
-
-    kept = list(features)
-    path = [(0, ",".join(kept), aic(kept))]
-    while len(kept) > 1:
-        trials = sorted((aic([f for f in kept if f != drop]), drop) for drop in kept)
-        if trials[0][0] >= path[-1][2]:
-            break
-        kept.remove(trials[0][1])
-        path.append((len(path), ",".join(kept), trials[0][0]))
-    return path
-
-
-def significant_coefs(df: DataFrame, features: Sequence[str], y: str, level: float = 0.01) -> list[tuple[str, float, float, str]]:
-    """Coefficients with a p-value below ``level`` as (feature, coefficient, p, sign)."""
-    rows = with_vector(df, features, "_f").select("_f", F.col(y).cast("double").alias("label"))
-    model = GeneralizedLinearRegression(family="gaussian", featuresCol="_f").fit(rows)
-    found = zip(features, model.coefficients, model.summary.pValues)
-    return [(f, float(c), float(p), "positive" if c > 0 else "negative") for f, c, p in found if p < level]

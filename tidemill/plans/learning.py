@@ -5,7 +5,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N, text as X
-from ..operators import clustering as K, metrics as M, models as L, neighbors as NN, scaling as S, textmine as T
+from ..operators import clustering as K, metrics as M, models as L, neighbors as NN, regression as RG, scaling as S, textmine as T
 from ..sources.tables import table
 from .registry import query
 from .textual import doc_term_counts, document_tfidf
@@ -215,7 +215,8 @@ _RIDGE_SQL = f"""
     w AS (SELECT lam, ((bb + lam) * ay - ab * by_) / ((aa + lam) * (bb + lam) - ab * ab) AS wa,
                  ((aa + lam) * by_ - ab * ay) / ((aa + lam) * (bb + lam) - ab * ab) AS wb, ma, mb, my
           FROM s, (SELECT unnest(range(0, 26)) * 0.4::DOUBLE AS lam)),
-    sweep AS (SELECT round(lam, 1) AS lambda, round(avg(pow(y - (my + wa * (a - ma) + wb * (b - mb)), 2)), 5) AS mse FROM x, w WHERE test GROUP BY 1)"""
+    sweep AS (SELECT round(lam, 1) AS lambda, round(avg(pow(y - (my + wa * (a - ma) + wb * (b - mb)), 2)) FILTER (WHERE NOT test), 5) AS train_mse,
+              round(avg(pow(y - (my + wa * (a - ma) + wb * (b - mb)), 2)) FILTER (WHERE test), 5) AS mse FROM x, w GROUP BY 1)"""
 
 
 def _ridge(spark, sf):
@@ -223,25 +224,40 @@ def _ridge(spark, sf):
                                                 (F.col("l_extendedprice") / 1000).alias("y"))
     train, test = _split(lines, "l_orderkey")
     out = L.ridge_sweep(train, test, ["a", "b"], "y", [i * 0.4 for i in range(26)])
-    return out.select(F.round("lambda", 1).alias("lambda"), F.round("mse", 5).alias("mse"))
+    return out.select(F.round("lambda", 1).alias("lambda"), F.round("train_mse", 5).alias("train_mse"), F.round("mse", 5).alias("mse"))
 
 
-@query("ridge_sweep", f"{_RIDGE_SQL} SELECT \"lambda\", mse FROM sweep".replace("AS lambda", 'AS "lambda"'))
+@query("ridge_sweep", f"{_RIDGE_SQL} SELECT \"lambda\", train_mse, mse FROM sweep".replace("AS lambda", 'AS "lambda"'))
 def ridge_sweep(spark, sf):
     return _ridge(spark, sf)
 
 
-@query("grid_best", f"{_RIDGE_SQL} SELECT \"lambda\", mse FROM sweep ORDER BY mse, 1 LIMIT 1".replace("AS lambda", 'AS "lambda"'))
+@query("grid_best", f"{_RIDGE_SQL} SELECT \"lambda\", train_mse, mse FROM sweep ORDER BY mse, 1 LIMIT 1".replace("AS lambda", 'AS "lambda"'))
 def grid_best(spark, sf):
     return M.grid_best(_ridge(spark, sf), "mse", "lambda")
 
 
-@query("elastic_net_grid")
+_NET_SQL = f"""
+    WITH RECURSIVE x AS (SELECT l_quantity AS a, l_discount AS b, l_tax AS c, l_extendedprice / 1000 AS y, {_split_sql('l_orderkey')} < 30 AS test FROM lineitem),
+    s AS (SELECT stddev_pop(a) AS sa, stddev_pop(b) AS sb, stddev_pop(c) AS sc, corr(a, b) AS rab, corr(a, c) AS rac, corr(b, c) AS rbc, covar_pop(a, y) / stddev_pop(a) AS ca,
+                 covar_pop(b, y) / stddev_pop(b) AS cb, covar_pop(c, y) / stddev_pop(c) AS cc, avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my FROM x WHERE NOT test),
+    d AS (SELECT lam, alpha, lam * alpha AS l1, 1 + lam * (1 - alpha) AS l2, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb, 0.0::DOUBLE AS wc, 0 AS i
+          FROM (SELECT unnest([0.0, 0.05, 0.5, 2.0])::DOUBLE AS lam), (SELECT unnest([0.0, 0.5, 1.0])::DOUBLE AS alpha)
+          UNION ALL
+          SELECT lam, alpha, l1, l2, na, nb, nc, i + 1 FROM (
+              SELECT d.*, ca - rab * wb - rac * wc AS pa, sign(pa) * greatest(abs(pa) - l1, 0) / l2 AS na, cb - rab * na - rbc * wc AS pb,
+                     sign(pb) * greatest(abs(pb) - l1, 0) / l2 AS nb, cc - rac * na - rbc * nb AS pc, sign(pc) * greatest(abs(pc) - l1, 0) / l2 AS nc FROM d, s WHERE i < 50)),
+    e AS (SELECT lam, alpha, wa, wb, wc, test, y - (my + wa * (a - ma) / sa + wb * (b - mb) / sb + wc * (c - mc) / sc) AS r FROM d, s, x WHERE i = 50)
+    SELECT lam AS regularization, alpha, round(avg(r * r) FILTER (WHERE NOT test), 5) AS train_mse, round(avg(r * r) FILTER (WHERE test), 5) AS test_mse,
+           any_value((wa <> 0)::INT + (wb <> 0)::INT + (wc <> 0)::INT)::BIGINT AS nonzero FROM e GROUP BY 1, 2"""
+
+
+@query("elastic_net_grid", _NET_SQL)
 def elastic_net_grid(spark, sf):
-    lines = table(spark, sf, "lineitem").withColumn("price", F.col("l_extendedprice") / 1000)
-    train, test = _split(lines, "l_orderkey")
-    grid = L.elastic_net_sweep(train, test, ["l_quantity", "l_discount", "l_tax"], "price", [0.0, 1.0], [0.0, 0.5, 1.0])
-    return spark.createDataFrame(grid, "regularization double, alpha double, mse double")
+    lines = M.hash_split(table(spark, sf, "lineitem").withColumn("price", F.col("l_extendedprice") / 1000), "l_orderkey")
+    grid = RG.elastic_net_path(lines, "part", ["l_quantity", "l_discount", "l_tax"], "price", [0.0, 0.05, 0.5, 2.0], [0.0, 0.5, 1.0])
+    out = spark.createDataFrame(grid, "regularization double, alpha double, train_mse double, test_mse double, nonzero long")
+    return out.withColumns({c: F.round(c, 5) for c in ("train_mse", "test_mse")})
 
 
 @query("log_target", f"""
@@ -290,14 +306,34 @@ def gaussian_classifier(spark, sf):
 _SIZES = [50, 100, 150, 200, 250, 1000000]
 
 
+def _newton_sql(steps):
+    """Logistic regression on two features, every Newton step written out; slopes are penalised by 1."""
+    ctes = [f"n0 AS (SELECT unnest({_SIZES}) AS size, 0.0::DOUBLE AS w, 0.0::DOUBLE AS wa, 0.0::DOUBLE AS wb)"]
+    for t in range(steps):
+        ctes.append(f"""q{t} AS (SELECT size, any_value(w) AS w, any_value(wa) AS wa, any_value(wb) AS wb, sum(quality - p) AS g, sum((quality - p) * a) - any_value(wa) AS ga,
+            sum((quality - p) * b) - any_value(wb) AS gb, sum(p * (1 - p)) AS h, sum(p * (1 - p) * a) AS ha, sum(p * (1 - p) * b) AS hb, sum(p * (1 - p) * a * a) + 1 AS haa,
+            sum(p * (1 - p) * a * b) AS hab, sum(p * (1 - p) * b * b) + 1 AS hbb FROM (SELECT tr.*, w, wa, wb, 1 / (1 + exp(-(w + wa * a + wb * b))) AS p FROM tr JOIN n{t} USING (size)) GROUP BY 1)""")
+        ctes.append(f"""n{t + 1} AS (SELECT size, w + (g * (haa * hbb - hab * hab) - ha * (ga * hbb - hab * gb) + hb * (ga * hab - haa * gb)) / det AS w,
+            wa + (h * (ga * hbb - hab * gb) - g * (ha * hbb - hab * hb) + hb * (ha * gb - ga * hb)) / det AS wa,
+            wb + (h * (haa * gb - ga * hab) - ha * (ha * gb - ga * hb) + g * (ha * hab - haa * hb)) / det AS wb
+            FROM (SELECT *, h * (haa * hbb - hab * hab) - ha * (ha * hbb - hab * hb) + hb * (ha * hab - haa * hb) AS det FROM q{t}))""")
+    return ", ".join(ctes)
+
+
 @query("learning_curve", f"""
     WITH {_DOC_FEATURES}, pos AS (SELECT *, row_number() OVER (ORDER BY doc_id) AS i FROM x WHERE NOT test),
-    tr AS (SELECT size, pos.* FROM pos JOIN (SELECT unnest({_SIZES}) AS size) ON i <= size), {_gauss_sql('tr', 'size')}
-    SELECT CAST(size AS BIGINT) AS size, round(avg((truth <> pred)::INT), 6) AS error FROM scored GROUP BY 1""")
+    tr AS (SELECT size, pos.* FROM pos JOIN (SELECT unnest({_SIZES}) AS size) ON i <= size), {_gauss_sql('tr', 'size')}, {_newton_sql(6)},
+    gtr AS (SELECT tr.size, tr.quality AS truth, model.quality AS pred, wa * a + wb * b - 0.5 * (wa * ma + wb * mb) + prior AS score
+            FROM tr JOIN model USING (size) QUALIFY row_number() OVER (PARTITION BY tr.size, doc_id ORDER BY score DESC, model.quality) = 1),
+    a1 AS (SELECT size, avg((truth <> pred)::INT) AS e FROM gtr GROUP BY 1), a2 AS (SELECT size, avg((truth <> pred)::INT) AS e FROM scored GROUP BY 1),
+    a3 AS (SELECT size, avg(((w + wa * a + wb * b > 0) <> (quality = 1))::INT) AS e FROM tr JOIN n6 USING (size) GROUP BY 1),
+    a4 AS (SELECT size, avg(((w + wa * a + wb * b > 0) <> (quality = 1))::INT) AS e FROM x, n6 WHERE x.test GROUP BY 1)
+    SELECT CAST(size AS BIGINT) AS size, round(a1.e, 6) AS gaussian_train, round(a2.e, 6) AS gaussian_test, round(a3.e, 6) AS logistic_train, round(a4.e, 6) AS logistic_test
+    FROM a1 JOIN a2 USING (size) JOIN a3 USING (size) JOIN a4 USING (size)""")
 def learning_curve(spark, sf):
     train, test = _split(_labelled_docs(spark, sf), "doc_id")
-    out = L.learning_curve(train, test, "doc_id", ["a", "b"], "quality", _SIZES)
-    return out.withColumn("error", F.round("error", 6))
+    out = L.learning_curves(train, test, "doc_id", ["a", "b"], "quality", _SIZES, newton=6, ridge=1.0)
+    return out.withColumns({c: F.round(c, 6) for c in out.columns if c != "size"})
 
 
 # ---- clustering -------------------------------------------------------------------------------------
@@ -448,16 +484,70 @@ def _charges(spark, sf):
     return table(spark, sf, "lineitem").withColumn("charge", charge)
 
 
-@query("backward_aic")
-def backward_aic(spark, sf):
-    path = L.backward_aic(_charges(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "charge")
-    return spark.createDataFrame([(s, f, round(a, 3)) for s, f, a in path], "step int, features string, aic double")
+_LINE_FEATURES = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+_CHARGE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+
 
+def _expanded(rows, cols):
+    """Determinant of the covariances of ``rows`` with ``cols``, expanded along the first row."""
+    if not rows:
+        return "(1)"
+    return "(" + " ".join(f"{'-' if i % 2 else '+'} c_{min(rows[0], c)}_{max(rows[0], c)} * {_expanded(rows[1:], cols[:i] + cols[i + 1:])}"
+                          for i, c in enumerate(cols)) + ")"
 
-@query("significant_coefs")
+
+def _det(names):
+    return _expanded(names, names)
+
+
+def _aic_sql():
+    """AIC of every subset by determinants of covariances, then the removals one after the other."""
+    k = len(_LINE_FEATURES)
+    pairs = [(i, j) for i in range(k + 1) for j in range(i, k + 1)]
+    cols = [*_LINE_FEATURES, "y"]
+    covs = ", ".join(f"covar_pop({cols[i]}, {cols[j]}) AS c_{i}_{j}" for i, j in pairs)
+    sets = [[i for i in range(k) if mask >> i & 1] for mask in range(1, 1 << k)]
+    rows = " UNION ALL ".join(
+        f"SELECT {sum(1 << i for i in s)} AS mask, {len(s)} AS size, '{','.join(_LINE_FEATURES[i] for i in s)}' AS features, "
+        f"n * (ln(2 * pi() * {_det([*s, k])} / {_det(s)}) + 1) + {2 * (len(s) + 2)} AS aic FROM m" for s in sets)
+    steps = [f"p0 AS (SELECT 0 AS step, * FROM a WHERE size = {k})"]
+    for t in range(1, k):
+        steps.append(f"p{t} AS (SELECT {t} AS step, a.* FROM a JOIN p{t - 1} p ON a.size = p.size - 1 AND a.mask & p.mask = a.mask AND a.aic < p.aic ORDER BY a.aic LIMIT 1)")
+    return (f"WITH m AS (SELECT count(*) AS n, {covs} FROM (SELECT *, {_CHARGE} AS y FROM lineitem)), a AS ({rows}), {', '.join(steps)} "
+            + " UNION ALL ".join(f"SELECT step::INT AS step, features, round(aic, 2) AS aic FROM p{t}" for t in range(k)))
+
+
+@query("backward_aic", _aic_sql())
+def backward_aic(spark, sf):
+    path = RG.backward_aic(_charges(spark, sf), _LINE_FEATURES, "charge")
+    return spark.createDataFrame([(s, f, round(a, 2)) for s, f, a in path], "step int, features string, aic double")
+
+
+def _coef_sql():
+    """Normal equations by cofactors; p from the Student density summed over a fine grid."""
+    k = len(_LINE_FEATURES)
+    cols = [*_LINE_FEATURES, "y"]
+    covs = ", ".join(f"covar_pop({cols[i]}, {cols[j]}) AS c_{i}_{j}" for i in range(k + 1) for j in range(i, k + 1))
+    every = list(range(k))
+
+    def without(i):
+        return [e for e in every if e != i]
+    rows = " UNION ALL ".join(
+        f"SELECT '{_LINE_FEATURES[i]}' AS feature, n, ({' '.join(('+' if (i + j) % 2 == 0 else '-') + f' c_{j}_{k} * ' + _expanded(without(j), without(i)) for j in every)}) / {_det(every)} AS coef, "
+        f"sqrt({_det([*every, k])} / {_det(every)} * {_det(without(i))} / {_det(every)} / (n - {k + 1})) AS se FROM m" for i in every)
+    return f"""WITH m AS (SELECT count(*) AS n, {covs} FROM (SELECT *, {_CHARGE} AS y FROM lineitem)), b AS ({rows}),
+        t AS (SELECT *, abs(coef / se) AS t FROM b), grid AS (SELECT (unnest(range(0, 40000)) + 0.5) / 1000 AS u),
+        w AS (SELECT feature, sum(pow(1 + pow(t + u, 2) / (n - {k + 1}), -(n - {k}) / 2.0)) / 1000 AS tail, 2 * sum(pow(1 + u * u / (n - {k + 1}), -(n - {k}) / 2.0)) / 1000 AS whole
+              FROM t, grid GROUP BY 1)
+        SELECT feature, round(coef, 4) AS coefficient, round(2 * tail / whole, 6) AS p_value, CASE WHEN coef > 0 THEN 'positive' ELSE 'negative' END AS sign
+        FROM t JOIN w USING (feature) WHERE 2 * tail / whole < 0.01"""
+
+
+@query("significant_coefs", _coef_sql())
 def significant_coefs(spark, sf):
-    found = L.significant_coefs(_charges(spark, sf), ["l_quantity", "l_discount", "l_tax", "l_linenumber"], "charge")
-    return spark.createDataFrame(found, "feature string, coefficient double, p_value double, sign string")
+    found = RG.significant_coefs(_charges(spark, sf), _LINE_FEATURES, "charge")
+    rows = [(f, round(c, 4), round(p, 6), s) for f, c, p, s in found]
+    return spark.createDataFrame(rows, "feature string, coefficient double, p_value double, sign string")
 
 
 @query("text_classifier")
