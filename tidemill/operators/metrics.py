@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.numeric import draw
+from ..session import cut_lineage
+from .neighbors import knn_join
 from .ordering import best_row, global_index
 
 
@@ -94,3 +96,49 @@ def bootstrap(df: DataFrame, key: str, value: str, size: int, times: int, seed:
                                            F.count("*").alias("n_distinct"))
 
 
+def bootstrap_knn(train: DataFrame, test: DataFrame, key: str, vec: str, y: str, ks: Sequence[int], sizes: Sequence[int],
+                  times: int, seed: int = 1, metric: str = "l1", depth: int | None = None) -> DataFrame:
+    """Test error of k-NN regression over k, sample size and resample, as (size, replicate, k, mse, n).
+
+    Sample r of a size draws so many training rows with replacement: draw i picks row ``draw("boot", seed, size, r, i) mod rows`` in key
+    order. One search ranks the training rows of every test row; a sample's neighbours are those rows with its multiplicities, so no k, size or
+    replicate needs a search of its own. The ranking is ``depth`` rows deep; test rows for which some sample has fewer than max(ks) draws that
+    near are searched again four times deeper, until every sample has enough. A prediction is the mean of the k nearest draws.
+    """
+    most = max(ks)
+    if most > min(sizes):
+        raise ValueError("a sample must hold as many rows as the largest k")
+    placed = global_index(train.select(key, vec, y), [key], "_row")
+    n = placed.count()
+    spark = train.sparkSession
+    plan = spark.createDataFrame([(int(s), r) for s in sizes for r in range(times)], "size long, replicate long")
+    drawn = plan.withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1)))
+    picks = drawn.withColumn("_row", draw(F.lit("boot"), F.lit(seed), F.col("size"), F.col("replicate"), F.col("_i")) % n)
+    weights = cut_lineage(picks.groupBy("size", "replicate", "_row").agg(F.count("*").alias("_m"))
+                          .join(placed.select("_row", F.col(key).alias("rid"), F.col(y).alias("_y")), "_row").drop("_row"))
+    used = cut_lineage(placed.join(weights.select(F.col("rid").alias(key)).distinct(), key, "left_semi").select(key, vec))
+    total = used.count()
+    depth = min(total, depth or 2 * most * -(-n // min(sizes)))
+    pending, errors = cut_lineage(test.select(key, vec)), []
+    while True:
+        near = knn_join(pending, used, depth, metric).select("qid", "rid", "rank")
+        ordered = Window.partitionBy("qid", "size", "replicate").orderBy("rank")
+        ranked = near.join(weights, "rid").withColumn("_to", F.sum("_m").over(ordered))
+        ranked = cut_lineage(ranked.where(F.col("_to") - F.col("_m") < most).select("qid", "size", "replicate", "_y", "_m", "_to"))
+        reach = ranked.groupBy("qid", "size", "replicate").agg(F.max("_to").alias("_to"))
+        enough = reach.where(F.col("_to") >= most).groupBy("qid").agg(F.count("*").alias("_n")).where(F.col("_n") == len(sizes) * times)
+        errors.append(ranked.join(enough, "qid", "left_semi"))
+        if depth == total:
+            break
+        pending = cut_lineage(pending.join(enough.select(F.col("qid").alias(key)), key, "left_anti"))
+        if pending.isEmpty():
+            break
+        depth = min(total, 4 * depth)
+    found = errors[0]
+    for more in errors[1:]:
+        found = found.unionByName(more)
+    at = found.withColumn("k", F.explode(F.array(*[F.lit(int(k)).cast("long") for k in ks])))
+    at = at.withColumn("_c", F.least("_to", "k") - F.least(F.col("_to") - F.col("_m"), F.col("k"))).where(F.col("_c") > 0)
+    preds = at.groupBy("qid", "size", "replicate", "k").agg((F.sum(F.col("_y") * F.col("_c")) / F.first("k")).alias("_p"))
+    judged = preds.join(test.select(F.col(key).alias("qid"), F.col(y).alias("_t")), "qid")
+    return judged.groupBy("size", "replicate", "k").agg(F.avg(F.pow(F.col("_p") - F.col("_t"), 2)).alias("mse"), F.count("*").alias("n"))

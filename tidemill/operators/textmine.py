@@ -107,8 +107,16 @@ def doc_term_counts(counts: DataFrame, doc: str, term: str, vocab: DataFrame, in
 
 def tfidf(counts: DataFrame, doc: str, term: str, n_docs: Column, min_df: float | int = 8, max_df: float = .95) -> DataFrame:
     """Sublinear tf times smooth idf, L2-normalised per document, in long form (doc, term, weight)."""
-    vocab = prune_vocab(counts, term, n_docs, min_df, max_df)
-    idf = vocab.select(term, (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    return tfidf_by(counts, doc, term, idf_weights(counts, term, n_docs, min_df, max_df))
+
+
+def idf_weights(counts: DataFrame, term: str, n_docs: Column, min_df: float | int = 8, max_df: float = .95) -> DataFrame:
+    """(term, idf) of the terms whose document frequency is in bounds; learn it from the training documents alone."""
+    return prune_vocab(counts, term, n_docs, min_df, max_df).select(term, (F.log((n_docs + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+
+
+def tfidf_by(counts: DataFrame, doc: str, term: str, idf: DataFrame) -> DataFrame:
+    """Weights (doc, term, weight) of any documents' counts by given idf values; terms without one are left out."""
     raw = counts.join(idf, term).select(doc, term, ((F.log("n") + 1) * F.col("idf")).alias("_w"))
     norm = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(doc)))
     return raw.select(doc, term, (F.col("_w") / norm).alias("weight"))

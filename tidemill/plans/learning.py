@@ -5,10 +5,11 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from ..functions import numeric as N, text as X
-from ..operators import clustering as K, metrics as M, models as L, neighbors as NN, regression as RG, scaling as S, textmine as T
+from ..operators import clustering as K, metrics as M, models as L, neighbors as NN, perceptron as P, regression as RG, scaling as S, sparse as SP, textmine as T
+from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import query
-from .textual import doc_term_counts, document_tfidf
+from .textual import doc_term_counts
 
 def _split_sql(key):
     """The split's slot, from 0 to 99, of a key in SQL."""
@@ -113,6 +114,20 @@ def bootstrap_mean(spark, sf):
     return out.withColumn("mean", F.round("mean", 6))
 
 
+@query("bootstrap_knn_error", f"""
+    WITH v AS ({_VEC}), tr AS (SELECT *, row_number() OVER (ORDER BY vec_id) - 1 AS i, count(*) OVER () AS n FROM v WHERE {_SPLIT} >= 30), te AS (SELECT * FROM v WHERE {_SPLIT} < 30),
+    d AS (SELECT size, replicate, d, ('0x' || substr(md5('boot 1 ' || size || ' ' || replicate || ' ' || d), 1, 15))::BIGINT AS s
+          FROM (SELECT unnest([20, 60]) AS size), (SELECT unnest(range(0, 10)) AS replicate), (SELECT unnest(range(0, 60)) AS d) WHERE d < size),
+    near AS (SELECT a.vec_id AS q, a.label AS truth, b.vec_id AS r, b.label, b.i, {_L1} AS dist, n FROM te a, tr b),
+    ranked AS (SELECT size, replicate, q, truth, label, row_number() OVER (PARTITION BY size, replicate, q ORDER BY dist, r) AS rn FROM d JOIN near ON near.i = d.s % near.n QUALIFY rn <= 15),
+    p AS (SELECT size, replicate, k, q, truth, avg(label) AS pred FROM ranked JOIN (SELECT unnest(range(1, 16)) AS k) ON rn <= k GROUP BY ALL)
+    SELECT size::BIGINT AS size, replicate, k, round(avg(pow(pred - truth, 2)), 6) AS mse, count(*) AS n FROM p GROUP BY ALL""")
+def bootstrap_knn_error(spark, sf):
+    train, test = _split(table(spark, sf, "embeddings"), "vec_id")
+    out = M.bootstrap_knn(train, test, "vec_id", "embedding", "label", range(1, 16), [20, 60], times=10)
+    return out.withColumn("mse", F.round("mse", 6))
+
+
 _RULE = "CASE WHEN least(n_chars / 4000.0, 1) >= 0.35 THEN 1 ELSE 0 END"
 
 
@@ -457,6 +472,29 @@ def _embedding_vectors(spark, sf):
         "vec_id", F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
 
 
+def _perceptron_sql(epochs):
+    """Batch updates of all class vectors, every epoch written out."""
+    ctes = [f"v AS (SELECT vec_id, embedding::DOUBLE[] AS e, label, {_SPLIT} < 30 AS test FROM embeddings)", "tr AS (SELECT * FROM v WHERE NOT test)",
+            "w0 AS (SELECT label AS cls, list_transform(range(0, 64), lambda x: 0.0::DOUBLE) AS w, 0.0::DOUBLE AS b FROM (SELECT DISTINCT label FROM tr))"]
+    for t in range(epochs):
+        ctes.append(f"z{t} AS MATERIALIZED (SELECT vec_id, label, e, cls, list_dot_product(e, w) + b AS z FROM tr, w{t})")
+        ctes.append(f"miss{t} AS (SELECT count(*) AS n FROM (SELECT label, cls FROM z{t} QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY z DESC, cls) = 1) WHERE label <> cls)")
+        ctes.append(f"mask{t} AS (SELECT cls, e, CASE WHEN label = cls THEN 1.0 ELSE -1.0 END - CASE WHEN z >= 0 THEN 1.0 ELSE -1.0 END AS m FROM z{t})")
+        ctes.append(f"g{t} AS (SELECT cls, list(s ORDER BY i) AS g FROM (SELECT cls, i, sum(m * x) AS s FROM (SELECT cls, m, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM mask{t}) GROUP BY 1, 2) GROUP BY 1)")
+        ctes.append(f"o{t} AS (SELECT cls, sum(m) AS s FROM mask{t} GROUP BY 1)")
+        ctes.append(f"""w{t + 1} AS (SELECT cls, list_transform(list_zip(w, g), lambda p: p[1] + {0.9 ** t!r} * p[2] / rows_) AS w, b + {0.9 ** t!r} * s / n AS b
+            FROM w{t} JOIN g{t} USING (cls) JOIN o{t} USING (cls), miss{t}, (SELECT count(*) AS rows_ FROM tr))""")
+    return (f"WITH {', '.join(ctes)} SELECT vec_id, label AS truth, cls AS pred FROM v, w{epochs} WHERE test "
+            "QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY list_dot_product(e, w) + b DESC, cls) = 1")
+
+
+@query("batch_perceptron", _perceptron_sql(6))
+def batch_perceptron(spark, sf):
+    train, test = _split(table(spark, sf, "embeddings"), "vec_id")
+    model = P.train_perceptron(train, "embedding", "label", epochs=6, rate=1.0, decay=0.9)
+    return test.select("vec_id", F.col("label").alias("truth"), model.predict(F.col("embedding")).alias("pred"))
+
+
 @query("ovr_classifier")
 def ovr_classifier(spark, sf):
     train, test = _split(_embedding_vectors(spark, sf), "vec_id")
@@ -550,15 +588,59 @@ def significant_coefs(spark, sf):
     return spark.createDataFrame(rows, "feature string, coefficient double, p_value double, sign string")
 
 
+def _labelled_tfidf(spark, sf, min_df):
+    """Weights (doc_id, term, weight) of the labelled training and test documents; vocabulary and idf come from training documents alone."""
+    marked = M.hash_split(table(spark, sf, "documents").select("doc_id", "text").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id"), "doc_id")
+    tokens = marked.select("doc_id", "part", F.explode(X.regex_tokens(F.lower("text"), X.TFIDF_PATTERN)).alias("term"))
+    counts = cut_lineage(T.term_counts(tokens.select(F.struct("doc_id", "part").alias("d"), "term"), "d", "term").select("d.*", "term", "n"))
+    train = counts.where("part = 'train'")
+    n_docs = T.document_count(M.hash_split(table(spark, sf, "labels").select("doc_id"), "doc_id").where("part = 'train'"))
+    idf = cut_lineage(T.idf_weights(train, "term", n_docs, min_df))
+    weights = cut_lineage(T.tfidf_by(counts.drop("part"), "doc_id", "term", idf))
+    labels = marked.select("doc_id", "part", "quality")
+    return weights, labels, idf
+
+
+_KNN_TEXT_SQL = f"""
+    WITH d AS (SELECT doc_id, text, quality, {_split_sql('doc_id')} < 30 AS test FROM documents JOIN labels USING (doc_id)),
+    c AS (SELECT doc_id, test, term, count(*) AS c FROM (SELECT doc_id, test, unnest(regexp_extract_all(lower(text), '(\\w\\w+)', 1)) AS term FROM d) GROUP BY ALL),
+    n AS (SELECT count(*)::DOUBLE AS n FROM d WHERE NOT test),
+    idf AS (SELECT term, ln((n + 1) / (df + 1)) + 1 AS idf FROM (SELECT term, count(*) AS df FROM c WHERE NOT test GROUP BY 1), n WHERE df >= 2 AND df < 0.95 * n),
+    w AS (SELECT doc_id, test, term, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS w FROM (SELECT doc_id, test, term, (ln(c) + 1) * idf AS w FROM c JOIN idf USING (term))),
+    s AS (SELECT a.doc_id AS q, b.doc_id AS r, round(sum(a.w * b.w), 9) AS score FROM w a JOIN w b USING (term) WHERE a.test AND NOT b.test GROUP BY ALL),
+    top AS (SELECT q, r, row_number() OVER (PARTITION BY q ORDER BY score DESC, r) AS rn FROM s QUALIFY rn <= 25)"""
+
+
+@query("knn_text_neighbours", _KNN_TEXT_SQL + " SELECT q AS qid, r AS rid, rn::INT AS rank FROM top")
+def knn_text_neighbours(spark, sf):
+    weights, labels, _ = _labelled_tfidf(spark, sf, 2)
+    side = lambda part: weights.join(labels.where(F.col("part") == part), "doc_id", "left_semi")
+    return SP.cosine_topk(side("test"), side("train"), 25).select("qid", "rid", "rank")
+
+
+@query("knn_text_grid", _KNN_TEXT_SQL + """,
+    votes AS (SELECT k, q, quality, count(*) AS n FROM top JOIN (SELECT unnest([1, 3, 5, 9, 15, 25]) AS k) ON rn <= k JOIN d ON d.doc_id = r GROUP BY k, q, quality
+              QUALIFY row_number() OVER (PARTITION BY k, q ORDER BY count(*) DESC, quality) = 1)
+    SELECT g.k::BIGINT AS k, round(avg((coalesce(votes.quality, 1) = d.quality)::INT), 6) AS accuracy, count(*) AS n
+    FROM d CROSS JOIN (SELECT unnest([1, 3, 5, 9, 15, 25]) AS k) g LEFT JOIN votes ON votes.k = g.k AND votes.q = d.doc_id WHERE d.test GROUP BY 1""")
+def knn_text_grid(spark, sf):
+    weights, labels, _ = _labelled_tfidf(spark, sf, 2)
+    side = lambda part: weights.join(labels.where(F.col("part") == part), "doc_id", "left_semi")
+    found = SP.cosine_topk(side("test"), side("train"), 25)
+    truth = labels.where("part = 'test'").select("doc_id", "quality")
+    out = SP.vote_accuracy(found, truth, labels.where("part = 'train'").select("doc_id", "quality"), [1, 3, 5, 9, 15, 25], F.lit(1))
+    return out.withColumn("accuracy", F.round("accuracy", 6))
+
+
 @query("text_classifier")
 def text_classifier(spark, sf):
-    weights = document_tfidf(spark, sf, min_df=.05)
-    vocab = T.vocab_index(weights.select("term").distinct(), "term")
-    size = vocab.count()
-    labelled = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
-    long = weights.join(vocab, "term").join(labelled.select("doc_id"), "doc_id", "left_semi")
-    ready = L.sparse_features(long, "doc_id", "term_index", "weight", size).join(labelled, "doc_id")
-    train, test = _split(ready, "doc_id")
-    return L.compare_classifiers(train, test, {
-        "svm": LinearSVC(maxIter=10), "forest": RandomForestClassifier(numTrees=10, seed=1),
-        "elastic_logistic": LogisticRegression(maxIter=20, regParam=0.01, elasticNetParam=0.5)})
+    """Linear SVM, forest and elastic-net logistic regression on TF-IDF, each over a small grid; best first."""
+    weights, labels, idf = _labelled_tfidf(spark, sf, .05)
+    vocab = T.vocab_index(idf.select("term"), "term")
+    ready = L.sparse_features(weights.join(F.broadcast(vocab), "term"), "doc_id", "term_index", "weight", vocab.count())
+    ready = cut_lineage(ready.join(labels.select("doc_id", "part", F.col("quality").cast("double").alias("label")), "doc_id"))
+    train, test = (ready.where(F.col("part") == p).drop("part") for p in ("train", "test"))
+    grid = {f"svm reg={r}": LinearSVC(maxIter=10, regParam=r) for r in (0.001, 0.1)}
+    grid |= {f"forest trees={t}": RandomForestClassifier(numTrees=t, seed=1) for t in (5, 15)}
+    grid |= {f"logistic reg={r} l1={a}": LogisticRegression(maxIter=20, regParam=r, elasticNetParam=a) for r in (0.001, 0.01) for a in (0.0, 0.5)}
+    return L.compare_classifiers(train, test, grid)
