@@ -3,8 +3,9 @@
 Rows are ordered by (hash of the text, id, row), so equal texts are neighbours. A size-weighted sample of the
 hashes gives the splitters of many ranges. Ranges that turn out overfull are subdivided: a single text with
 more than a range's load is dealt out row by row, otherwise whole texts are dealt out. The exact bytes of
-all cells then place every text into a shard by its middle in the global order; only texts split
-before can lie in two shards. Everything is DataFrame code; the driver sees the splitters alone.
+all cells then place every text, dealt out or not, into a shard by its middle in the global order; only a text with
+more bytes than a shard should hold is split, by the middles of its rows. Everything is DataFrame code; the driver
+sees the splitters alone.
 """
 
 from __future__ import annotations
@@ -69,8 +70,13 @@ def _assigned(light: DataFrame, shards: int, rows_per_range: int) -> DataFrame:
         ((F.min(F.col("ends") - F.col("size")).over(unit) + F.max("ends").over(unit)) / 2).alias("middle")))
     # one row per cell, then one per cell and shard: bounded by the number of ranges
     cells = placed.groupBy("cell").agg(F.sum("size").alias("bytes"))
-    cells = cells.select("cell", (F.sum("bytes").over(Window.orderBy("cell")) - F.col("bytes")).alias("before"))
-    shard = F.floor((F.col("before") + F.col("middle")) * shards / float(max(total, 1)))
+    cells = cells.select("cell", "bytes", (F.sum("bytes").over(Window.orderBy("cell")) - F.col("bytes")).alias("before"))
+    # the pieces of a text that was dealt out follow each other; unless it is larger than a shard, they share its middle
+    text = Window.partitionBy("cell.range", "cell.hot")
+    whole = F.col("cell.hot").isNotNull() & (F.sum("bytes").over(text) * shards <= total)
+    cells = cells.select("cell", "before", F.when(whole, F.min("before").over(text) + F.sum("bytes").over(text) / 2).alias("shared"))
+    middle = F.coalesce("shared", F.col("before") + F.col("middle"))
+    shard = F.floor(middle * shards / float(max(total, 1)))
     placed = (placed.join(F.broadcast(cells), "cell")
               .withColumn("shard", F.least(shard, F.lit(shards - 1)).cast("int")))
     parts = placed.groupBy("shard", "cell").agg(F.count("*").alias("rows"), F.min("pos").alias("first"))
@@ -101,10 +107,16 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
 
 def write_shards(docs: DataFrame, path: str, shards: int = 16, id_col: str = "doc_id",
                  text_col: str = "text") -> None:
-    """Write the whole rows below ``path/shard=N``, each file a range of slots."""
+    """Write the whole rows, with their columns, below ``path/shard=N``, each file a range of slots.
+
+    The folders are named ``_shard=N`` if the rows have a column ``shard`` of their own, and so on.
+    """
     rows = cut_lineage(docs.select(F.col(id_col).alias("id"), packed(docs),
                                    F.monotonically_increasing_id().alias("rid")))
     placed = _assigned(cut_lineage(_light(rows, F.col(f"row.`{text_col}`"))), shards, ROWS_PER_RANGE)
+    folder = "shard"
+    while folder in docs.columns:
+        folder = f"_{folder}"
     (rows.select("rid", "row").join(placed.select("rid", "shard", "slot"), "rid")
      .repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
-     .write.partitionBy("shard").parquet(path))
+     .select("row.*", F.col("shard").alias(folder)).write.partitionBy(folder).parquet(path))
