@@ -23,10 +23,13 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-MAX_STATES = 80_000     # of the automaton: it is emptied when full and built anew
+MAX_STATES = 300_000    # of the automaton, about half a kilobyte each: it is emptied when full and built anew
+MAX_FITS = 400_000      # pairs of tokens whose fit is remembered
 MAX_PIECES = 250_000     # pieces remembered since the last turn; as many from before it are kept
 PATH = 4096              # transitions kept before the tokens that are certain are emitted
 NONE = 1 << 31           # no token, and later than any merge
+SLICE_BYTES = 4 << 20    # of texts whose ids are made before they are sent on
+_NODE, _PLACE = (1 << 24) - 1, (1 << 12) - 1    # bits of a run that hold its node, and of an origin that hold its place
 
 
 def load_ranks(spark: SparkSession, path: str) -> Broadcast:
@@ -45,16 +48,16 @@ def load_ranks(spark: SparkSession, path: str) -> Broadcast:
 
 class State(dict):
     """Maps bytes to ``(state, origins)``; ``origins`` has for each run of that state the place of the run it comes from
-    and the token that ended, if any. A transition is made when it is first taken.
+    and, above these bits, one more than the token that ended, if any. A transition is made when it is first taken.
     """
 
     __slots__ = ("runs", "owner")
 
-    def __init__(self, runs: list, owner: Transducer):
+    def __init__(self, runs: tuple, owner: Transducer):
         super().__init__()
         self.runs, self.owner = runs, owner
 
-    def __missing__(self, byte: int) -> tuple[State, list]:
+    def __missing__(self, byte: int) -> tuple[State, tuple]:
         step = self[byte] = self.owner.step(self, byte)
         return step
 
@@ -62,39 +65,40 @@ class State(dict):
 class Transducer:
     """Encodes pieces of bytes; ``ranks`` gives every token's id, which is also the order of its merge.
 
-    A trie node is a dict from byte to ``(node or None, token or None)``. A run of the nondeterministic
-    machine is ``(last token, node)``.
+    A trie node is a number; its dict maps a byte to ``(node or 0, token or -1)``. A run of the nondeterministic machine is one
+    number, too: one more than the last token (0: none yet), and the node in the low bits.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.tokens = ranks, {i: t for t, i in ranks.items()}
+        self.ranks = ranks
         self.parts: dict[int, tuple[int, int]] = {}     # of longer tokens, the two of their last merge
         self.merges: dict[int, int] = {}                # two tokens as one number, to the token they make
         self.fits: dict[int, bool] = {}
-        self.names = {i: str(i) for i in self.tokens}
-        self.root: dict[int, tuple] = {}
+        self.nodes: list[dict[int, tuple[int, int]]] = [{}]     # the first is the root
         for token in sorted(ranks, key=len):
             for cut in range(1, len(token)):
                 left, right = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.merges[left << 32 | right] = ranks[token]
             if self._last_merge(token) is not None:
-                node = self.root
+                node = self.nodes[0]
                 for byte in token[:-1]:
-                    below, end = node.get(byte, (None, None))
-                    if below is None:
-                        below = {}
+                    below, end = node.get(byte, (0, -1))
+                    if not below:
+                        below = len(self.nodes)
+                        self.nodes.append({})
                         node[byte] = (below, end)
-                    node = below
-                below, _ = node.get(token[-1], (None, None))
+                    node = self.nodes[below]
+                below, _ = node.get(token[-1], (0, -1))
                 node[token[-1]] = (below, ranks[token])
         self._forget()
 
     def _forget(self) -> None:
         for state in getattr(self, "states", {}).values():
             state.clear()       # states point at each other; without this only a full garbage collection frees them
-        self.start = State([(NONE, self.root)], self)
+        self.start = State((0,), self)
         self.states: dict[tuple, State] = {}
+        self.origins: dict[tuple, tuple] = {}       # equal ones are kept once
 
     def _last_merge(self, token: bytes) -> tuple[int, int] | None:
         """The two tokens whose merge makes ``token``; itself twice for a byte, None if no merges lead to it."""
@@ -127,32 +131,31 @@ class Transducer:
             else:       # of equal merges the left one comes first, so one across the border would win
                 when, right = right + 1, other[0]
 
-    def step(self, state: State, byte: int) -> tuple[State, list]:
+    def step(self, state: State, byte: int) -> tuple[State, tuple]:
         """The transition of ``state`` on ``byte``."""
-        runs, origins, key, fits, root = [], [], [], self.fits, self.root
-        for place, (last, node) in enumerate(state.runs):
-            entry = node.get(byte)
+        runs, origins, fits, nodes = [], [], self.fits, self.nodes
+        for place, run in enumerate(state.runs):
+            entry = nodes[run & _NODE].get(byte)
             if entry is None:
                 continue
             below, token = entry
-            if below is not None:
-                runs.append((last, below))
-                origins.append((place, None))
-                key += last, id(below)
-            if token is not None:
+            if below:
+                runs.append(run & ~_NODE | below)
+                origins.append(place)
+            if token >= 0:
+                last = (run >> 24) - 1
                 pair = last << 32 | token
                 fit = fits.get(pair)
                 if fit is None:
-                    fit = fits[pair] = last == NONE or self._fit(last, token)
+                    fit = fits[pair] = last < 0 or self._fit(last, token)
                 if fit:
-                    runs.append((token, root))
-                    origins.append((place, token))
-                    key += token, 0
-        key = tuple(key)
-        following = self.states.get(key)
+                    runs.append(token + 1 << 24)
+                    origins.append(token + 1 << 12 | place)
+        runs, origins = tuple(runs), tuple(origins)
+        following = self.states.get(runs)
         if following is None:
-            following = self.states[key] = State(runs, self)
-        return following, origins
+            following = self.states[runs] = State(runs, self)
+        return following, self.origins.setdefault(origins, origins)
 
     @staticmethod
     def _emit(path: list, state: State, out: list[int]) -> None:
@@ -160,12 +163,12 @@ class Transducer:
         places, at = set(range(len(state.runs))), len(path)
         while at and len(places) > 1:
             at -= 1
-            places = {path[at][place][0] for place in places}
+            places = {path[at][place] & _PLACE for place in places}
         place, tokens = places.pop(), []
         for origins in reversed(path[:at]):
-            place, token = origins[place]
-            if token is not None:
-                tokens.append(token)
+            token, place = origins[place] >> 12, origins[place] & _PLACE
+            if token:
+                tokens.append(token - 1)
         out += reversed(tokens)
         del path[:at]
 
@@ -173,7 +176,7 @@ class Transducer:
         """The token ids of one piece."""
         if len(self.states) > MAX_STATES:
             self._forget()
-        if len(self.fits) > 8 * MAX_STATES:
+        if len(self.fits) > MAX_FITS:
             self.fits.clear()
         state, path, out = self.start, [], []
         for byte in piece:
@@ -181,13 +184,14 @@ class Transducer:
             path.append(origins)
             if len(path) >= PATH:
                 self._emit(path, state, out)
-        root, tokens = self.root, []
-        for place, (_, node) in enumerate(state.runs):
-            if node is root:
+        tokens = []
+        for place, run in enumerate(state.runs):
+            if not run & _NODE:
                 for origins in reversed(path):
-                    place, token = origins[place]
-                    if token is not None:
-                        tokens.append(token)
+                    origin = origins[place]
+                    place = origin & _PLACE
+                    if origin > _PLACE:
+                        tokens.append((origin >> 12) - 1)
                 break
         tokens.reverse()
         return out + tokens if out else tokens
@@ -206,7 +210,7 @@ class Pieces(dict):
     def __missing__(self, piece: str) -> str:
         ids = self.old.get(piece)
         if ids is None:
-            ids = " ".join(map(self.transducer.names.__getitem__, self.transducer.encode(piece.encode())))
+            ids = " ".join(map(str, self.transducer.encode(piece.encode())))
         if len(self) >= MAX_PIECES:
             self.old = dict(self)
             self.clear()
@@ -264,12 +268,20 @@ def _encoded(text: str | None, cut, pieces: Pieces) -> str:
     return " ".join([pieces[p] for p in cut(text or "")])
 
 
+def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """The rows of the batches in parts of about ``SLICE_BYTES``, so that memory does not depend on the rows of a batch."""
+    for batch in batches:
+        rows = max(1, len(batch) * SLICE_BYTES // max(1, batch.nbytes))
+        for at in range(0, max(1, len(batch)), rows):
+            yield batch.slice(at, rows)
+
+
 def encode(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
     """The token ids of ``text`` as an array; empty for an empty or null text."""
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         cut, pieces, _ = _tools(vocabulary, pattern)
-        for batch in batches:
+        for batch in _slices(batches):
             tokens = [np.fromstring(_encoded(t.as_py(), cut, pieces), dtype=np.int32, sep=" ") for t in batch]
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
             yield pa.ListArray.from_arrays(ends, np.concatenate(tokens) if tokens else np.empty(0, np.int32))
