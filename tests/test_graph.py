@@ -39,3 +39,65 @@ def test_loops_keep_few_stages(spark):
     far = G.shortest_paths(edges, spark.createDataFrame([(0,)], "s long"))
     assert {r["node"]: r["distance"] for r in far.collect()} == {i: float(i) for i in range(13)}
     assert len(stages() - before) == 2
+
+
+def grid(spark, side):
+    """A grid of roads with light and heavy weights, and its distances by Dijkstra's algorithm."""
+    import heapq
+    import random
+    rng = random.Random(side)
+    raw = []
+    for x in range(side):
+        for y in range(side):
+            raw += [((x * side + y), (x + dx) * side + y + dy, rng.choice([1, 1, 2, 9, 40])) for dx, dy in ((1, 0), (0, 1)) if x + dx < side and y + dy < side]
+    near = {}
+    for u, v, w in raw:
+        near.setdefault(u, []).append((v, w))
+        near.setdefault(v, []).append((u, w))
+    want = {}
+    for s in (0, side * side - 1):
+        todo = [(0, s)]
+        while todo:
+            d, u = heapq.heappop(todo)
+            if (s, u) not in want:
+                want[s, u] = d
+                for v, w in near[u]:
+                    heapq.heappush(todo, (d + w, v))
+    return G.undirected(spark.createDataFrame(raw, "a long, b long, w long"), "a", "b", "w"), spark.createDataFrame([(0,), (side * side - 1,)], "s long"), want
+
+
+def test_buckets_of_any_width_give_the_same(spark):
+    edges, sources, want = grid(spark, 5)
+    for delta in (None, 1000.0):
+        got = {(r.source, r.node): r.distance for r in G.shortest_paths(edges, sources, delta=delta).collect()}
+        assert got == want
+
+
+def test_rounds_write_only_what_they_improve(spark, monkeypatch):
+    edges, sources, want = grid(spark, 5)
+    written, cut = [], G.cut_lineage
+
+    def watched(df):
+        stage = cut(df)
+        if stage.columns == ["source", "node", "d"]:
+            written.append(stage.count())
+        return stage
+    monkeypatch.setattr(G, "cut_lineage", watched)
+    paths = G.shortest_paths(edges, sources)
+    assert paths.count() == len(want)
+    # a round that rewrote the state would write all pairs each time
+    assert len(written) > 6 and sum(written) < 6 * len(want)
+
+
+def test_weights_of_zero_are_refused_and_no_edges_leave_the_sources(spark):
+    import pytest
+    with pytest.raises(ValueError, match="positive"):
+        G.shortest_paths(spark.createDataFrame([(1, 2, 0)], "u long, v long, w long"), spark.createDataFrame([(1,)], "s long"))
+    none = spark.createDataFrame([], "u long, v long, w double")
+    assert rows(G.shortest_paths(none, spark.createDataFrame([(1,)], "s long"))) == [(1, 1, 0.0)]
+
+
+def test_distances_are_attached(spark):
+    paths = spark.createDataFrame([(1, 1, 0), (1, 2, 5)], "source long, node long, distance long")
+    df = spark.createDataFrame([("a", 1, 2), ("b", 1, 9), ("c", None, 2)], "k string, s long, n long")
+    assert rows(G.with_distance(df, paths, "s", "n"), "k") == [("a", 1, 2, 5), ("b", 1, 9, None), ("c", None, 2, None)]

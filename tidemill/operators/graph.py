@@ -16,31 +16,96 @@ def undirected(edges: DataFrame, u: str, v: str, weight: str) -> DataFrame:
     return one.unionByName(other).groupBy("u", "v").agg(F.min("w").alias("w"))
 
 
-def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000) -> DataFrame:
+class _Distances:
+    """Best distances so far as a log of improvements in the shared folder: a round writes the rows it improves and nothing else.
+
+    A row is (source, node, d); the smallest d of a (source, node) counts. When the improvements outgrow the
+    rows they improve, those before the last round are merged to one row each, so reading the log stays proportional to the state.
+    """
+
+    def __init__(self, start: DataFrame):
+        self.stages, self.rows, self.fresh = [cut_lineage(start)], 0, 0
+
+    def best(self) -> DataFrame:
+        log = self.stages[0]
+        for stage in self.stages[1:]:
+            log = log.unionByName(stage)
+        return log if len(self.stages) == 1 else log.groupBy("source", "node").agg(F.min("d").alias("d"))
+
+    def merge(self, keep: int) -> None:
+        """Merge all stages but the last ``keep``."""
+        old, last = self.stages[:len(self.stages) - keep], self.stages[len(self.stages) - keep:]
+        if len(old) > 1:
+            self.stages = old
+            merged = cut_lineage(self.best())
+            for stage in old:
+                drop_stage(stage)
+            self.stages, self.rows, self.fresh = [merged, *last], merged.count(), 0
+
+    def relax(self, nodes: DataFrame, edges: DataFrame, bound, low: float, high: float) -> tuple[DataFrame, int]:
+        """Follow edges from nodes and add what improves; the rows of it with a distance from ``low`` up to ``high``, and their number."""
+        weight = self.stages[0].schema["d"].dataType
+        found = nodes.join(edges, F.col("node") == F.col("u")).select("source", F.col("v").alias("node"), (F.col("d") + F.col("w")).cast(weight).alias("d"))
+        if bound is not None:
+            found = found.where(F.col("d") < bound)
+        found = found.groupBy("source", "node").agg(F.min("d").alias("d"))
+        before = self.best().withColumnRenamed("d", "_before")
+        better = found.join(before, ["source", "node"], "left").where(F.col("_before").isNull() | (F.col("d") < F.col("_before")))
+        stage = cut_lineage(better.drop("_before"))
+        self.stages.append(stage)
+        inside = (F.col("d") >= low) & (F.col("d") < high)
+        n, n_inside = stage.agg(F.count("*"), F.count_if(inside)).first()
+        self.fresh += n
+        if self.fresh > 2 * max(self.rows, n):
+            self.merge(keep=1)
+        return stage.where(inside), n_inside
+
+
+def shortest_paths(edges: DataFrame, sources: DataFrame, max_rounds: int = 1000, delta: float | None = None) -> DataFrame:
     """Shortest weighted distance from every source to every reachable node, as (source, node, distance).
 
-    ``edges`` is (u, v, w) with positive weights, ``sources`` one column of a few nodes. Each
-    round relaxes only the nodes improved in the round before, for all sources at once;
-    its state is kept in reliable storage. Running out of rounds is an error, not a partial answer.
+    ``edges`` is (u, v, w) with positive weights, ``sources`` one column of a few nodes. Delta-stepping for all sources
+    at once: nodes are taken by distance in buckets of width ``delta`` (a quarter of the mean weight by default). Within a bucket only
+    edges lighter than ``delta`` are followed, from the nodes improved in the round before, until the bucket is stable;
+    its nodes are then final, and their heavier edges are followed once. A round writes only the rows it improves. Once all
+    nodes have a distance, what leads beyond the largest one is left out. Running out of rounds is an error, not a partial answer.
     """
+    weight = edges.schema["w"].dataType
     edges = cut_lineage(edges)
+    mean, least = edges.agg(F.avg("w"), F.min("w")).first()
+    if least is not None and least <= 0:
+        raise ValueError("weights must be positive")
+    width = 1.0 if least is None else float(delta or max(float(least), float(mean) / 4))
+    light, heavy = edges.where(F.col("w") < width), edges.where(F.col("w") >= width)
     start = sources.toDF("source").distinct()
-    state = cut_lineage(start.select("source", F.col("source").alias("node"),
-                                     F.lit(0).cast(edges.schema["w"].dataType).alias("d"), F.lit(True).alias("moved")))
+    known = _Distances(start.select("source", F.col("source").alias("node"), F.lit(0).cast(weight).alias("d")))
+    nodes = edges.select("u").union(edges.select("v")).union(start).distinct().count()
+    pairs = nodes * known.stages[0].count()
+    bound, low, moved, n_moved = None, 0.0, known.stages[0], 1
     for _ in range(max_rounds):
-        reached = (state.where("moved").join(edges, F.col("node") == F.col("u"))
-                   .groupBy("source", F.col("v").alias("node")).agg(F.min(F.col("d") + F.col("w")).alias("d")))
-        merged = (state.select("source", "node", "d", F.col("d").alias("old"))
-                  .unionByName(reached.withColumn("old", F.lit(None).cast(edges.schema["w"].dataType)))
-                  .groupBy("source", "node").agg(F.min("d").alias("d"), F.min("old").alias("old")))
-        before = state
-        state = cut_lineage(merged.select("source", "node", "d", F.coalesce(F.col("d") < F.col("old"), F.lit(True)).alias("moved")))
-        drop_stage(before)
-        if state.where("moved").isEmpty():
-            return state.select("source", "node", F.col("d").alias("distance"))
+        high = low + width
+        if n_moved:
+            moved, n_moved = known.relax(moved, light, bound, low, high)
+            continue
+        final = known.best().where((F.col("d") >= low) & (F.col("d") < high))
+        known.relax(final, heavy, bound, low, high)
+        best = known.best()
+        ahead, top, n = best.agg(F.min(F.when(F.col("d") >= high, F.col("d"))), F.max("d"), F.count("*")).first()
+        if ahead is None:
+            known.merge(keep=0)
+            return known.best().select("source", "node", F.col("d").alias("distance"))
+        bound = top if n == pairs else None
+        low = width * (float(ahead) // width)
+        moved, n_moved = best.where((F.col("d") >= low) & (F.col("d") < low + width)), 1
     raise RuntimeError(f"paths still improve after {max_rounds} rounds")
 
 
+def with_distance(df: DataFrame, paths: DataFrame, source: str, node: str, name: str = "distance") -> DataFrame:
+    """Attach the distance between two node columns from ``shortest_paths`` rows; NULL where there is no path or node."""
+    side = paths.select(F.col("source").alias("_s"), F.col("node").alias("_n"), F.col("distance").alias(name))
+    return df.join(side, (F.col(source) == F.col("_s")) & (F.col(node) == F.col("_n")), "left").drop("_s", "_n")
+
+
 def travel_time(stop_times: DataFrame, trip: Sequence[str], stop: str, order: Sequence[str], departure: str, arrival: str,
                 hubs: Sequence, start: int = 7 * 3600, end: int = 9 * 3600 + 1800) -> DataFrame:
     """Mean minutes from each stop to the first hub arrival of the same trip, as (stop, minutes, n_trips).

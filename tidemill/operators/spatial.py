@@ -37,13 +37,25 @@ def inside_ring(lon: Column, lat: Column, edges: Column) -> Column:
     return F.size(crossed) % 2 == 1
 
 
+def _cell(c: str) -> Column:
+    return F.floor(F.col(c) / F.pow(F.lit(2.0), "_level")).cast("bigint")
+
+
+def cell_list(shapes: DataFrame) -> DataFrame:
+    """Boxes ``_x0, _x1, _y0, _y1`` with ``_level, _cx, _cy``: one row for each cell they touch on the grid of their size."""
+    extent = F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"), F.lit(1e-9))
+    return (shapes.withColumn("_level", F.ceil(F.log2(extent)).cast("int"))
+            .withColumn("_cx", F.explode(F.sequence(_cell("_x0"), _cell("_x1"))))
+            .withColumn("_cy", F.explode(F.sequence(_cell("_y0"), _cell("_y1")))))
+
+
 def point_in_polygon(points: DataFrame, polygons: DataFrame, xy: tuple[str, str], polygon_id: str, ring: str,
                      label: str, default: str | None = "not available", name: str = "area") -> DataFrame:
     """Label of the first polygon (by id) holding each point, else ``default``.
 
-    ``ring`` is an ``array<struct<lon, lat>>``, closed implicitly. Polygons are listed
-    under the grid cells their bounding box touches, with cells as large as the average
-    box; a point meets the polygons of its own cell only, and equal points are tested once.
+    ``ring`` is an ``array<struct<lon, lat>>``, closed implicitly. Polygons are listed under the grid cells their bounding box
+    touches, on the grid whose cells are the smallest power of two as wide as the box: at most four, however
+    the sizes are mixed. A point meets the polygons of its own cell on each grid in use, and equal points are tested once.
     """
     corner = lambda fn, axis: fn(F.transform(F.col(ring), lambda p: p[axis]))
     n = F.size(ring)
@@ -54,15 +66,13 @@ def point_in_polygon(points: DataFrame, polygons: DataFrame, xy: tuple[str, str]
         corner(F.array_min, "lat").alias("_y0"), corner(F.array_max, "lat").alias("_y1"),
         F.zip_with(F.col(ring), following, lambda a, b: F.struct(
             a["lon"].alias("x1"), a["lat"].alias("y1"), b["lon"].alias("x2"), b["lat"].alias("y2"))).alias("_edges"))
-    span = shapes.agg(F.avg(F.col("_x1") - F.col("_x0")), F.avg(F.col("_y1") - F.col("_y0"))).first()
-    side = max(span[0] or 0.0, span[1] or 0.0, 1e-9)
-    cell = lambda c: F.floor(F.col(c) / side).cast("bigint")
-    listed = shapes.withColumn("_cx", F.explode(F.sequence(cell("_x0"), cell("_x1")))) \
-                   .withColumn("_cy", F.explode(F.sequence(cell("_y0"), cell("_y1"))))
-    spots = points.select(*xy).where(F.col(xy[0]).isNotNull() & F.col(xy[1]).isNotNull()).distinct() \
-        .withColumns({"_cx": cell(xy[0]), "_cy": cell(xy[1])})
+    listed = cell_list(shapes)
+    levels = [r[0] for r in listed.select("_level").distinct().collect()]      # powers of two between the sizes of boxes
+    spots = points.select(*xy).where(F.col(xy[0]).isNotNull() & F.col(xy[1]).isNotNull()).distinct()
+    spots = spots.withColumn("_level", F.explode(F.array(*[F.lit(v).cast("int") for v in levels]) if levels else F.array().cast("array<int>")))
+    spots = spots.withColumns({"_cx": _cell(xy[0]), "_cy": _cell(xy[1])})
     boxed = F.col(xy[0]).between(F.col("_x0"), F.col("_x1")) & F.col(xy[1]).between(F.col("_y0"), F.col("_y1"))
-    hits = spots.join(listed, ["_cx", "_cy"]).where(boxed & inside_ring(F.col(xy[0]), F.col(xy[1]), F.col("_edges")))
+    hits = spots.join(listed, ["_level", "_cx", "_cy"]).where(boxed & inside_ring(F.col(xy[0]), F.col(xy[1]), F.col("_edges")))
     first = hits.groupBy(*xy).agg(F.min(F.struct("_pid", "_label")).alias("_hit"))
     return points.join(first, list(xy), "left").withColumn(
         name, F.coalesce(F.col("_hit._label"), F.lit(default))).drop("_hit")

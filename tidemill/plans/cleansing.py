@@ -273,28 +273,6 @@ def ratio_flag(spark, sf):
         N.ratio_flag(F.col("pred"), F.col("l_extendedprice")).alias("loyal"))
 
 
-@query("impute_by_rule", """
-    WITH d AS (SELECT o_orderkey, CASE WHEN o_orderkey % 29 > 0 THEN list_value('NK', 'TP', 'BK')[CAST(o_orderkey % 3 + 1 AS INT)] END AS code,
-                      CASE WHEN o_custkey % 31 > 0 THEN round((o_custkey % 977) / 7.0, 3) END AS km, o_orderkey % 4 = 0 AS loyal, o_totalprice AS fee FROM orders),
-         m AS (SELECT code, regr_slope(fee, km) AS a, regr_intercept(fee, km) AS b FROM d
-               WHERE o_orderkey % 13 <> 6 GROUP BY 1)
-    SELECT o_orderkey, d.code, km, CASE WHEN o_orderkey % 13 <> 6 THEN fee
-        ELSE round((a * km + b) / CASE WHEN loyal THEN 2 ELSE 1 END, 4) END AS fee FROM d JOIN m ON d.code IS NOT DISTINCT FROM m.code""")
-def impute_by_rule(spark, sf):
-    km = F.when(F.col("o_custkey") % 31 > 0, F.round((F.col("o_custkey") % 977) / F.lit(7.0), 3))
-    gaps = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey",
-        F.expr("concat(if(o_orderkey % 29 > 0, 'ORD', 'ODD'), element_at(array('A', 'B', 'C'), cast(o_orderkey % 3 + 1 as int)), o_orderkey)").alias("order_id"),
-        F.expr("if(o_orderkey % 5 = 2 or o_orderkey % 29 = 0, null, element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)))").alias("code"),
-        F.when(F.col("o_orderkey") % 7 != 1, km).alias("km"), (F.col("o_orderkey") % 4 == 0).alias("loyal"),
-        F.when(F.col("o_orderkey") % 13 != 6, F.col("o_totalprice")).alias("fee"))
-    whole = C.impute_by_rule(C.repair_code(gaps, "order_id", "code", BRANCH_PREFIX), {"km": km})
-    model = C.group_linear_fit(whole, ["code"], ["km"], "fee")
-    scored = C.predict_linear(whole, model, ["code"], ["km"])
-    fee = F.round(F.col("pred") / F.when(F.col("loyal"), 2).otherwise(1), 4)
-    return C.impute_by_rule(scored, {"fee": fee}).select("o_orderkey", "code", "km", "fee")
-
-
 @query("update_rows", """
     SELECT s_suppkey, CASE WHEN s_nationkey = (SELECT n_nationkey FROM nation WHERE n_name = 'NATION_3')
                THEN (SELECT n_nationkey FROM nation WHERE n_name = 'NATION_4') ELSE s_nationkey END AS s_nationkey,

@@ -3,8 +3,10 @@
 from pyspark.sql import functions as F
 
 from ..functions.dates import seconds_of_day
-from ..operators import graph as G, joins as J, ordering as O, spatial as S
+from ..operators import cleansing as C, graph as G, joins as J, ordering as O, spatial as S
+from ..session import cut_lineage
 from ..sources.tables import table
+from .cleansing import BRANCH_PREFIX
 from .joins import ABBREVIATIONS
 from .registry import query
 
@@ -69,22 +71,68 @@ def point_in_polygon(spark, sf):
     return out.select("c_custkey", "area")
 
 
-@query("shortest_paths", """
-    WITH RECURSIVE pairs AS (SELECT l_suppkey AS s, -1 - l_partkey AS p, CAST(min(l_quantity) AS BIGINT) AS w FROM lineitem GROUP BY 1, 2),
+_PATHS_SQL = """
+    pairs AS (SELECT l_suppkey AS s, -1 - l_partkey AS p, CAST(min(l_quantity) AS BIGINT) AS w FROM lineitem GROUP BY 1, 2),
     e AS (SELECT s AS u, p AS v, w FROM pairs UNION ALL SELECT p, s, w FROM pairs),
-    start AS (SELECT min(s_suppkey) AS source FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey),
     d(source, node, distance) USING KEY (source, node) AS (
         SELECT source, source, CAST(0 AS BIGINT) FROM start
         UNION (SELECT d.source, e.v, min(d.distance + e.w) FROM d JOIN e ON d.node = e.u
                LEFT JOIN recurring.d r ON r.source = d.source AND r.node = e.v
-               WHERE r.distance IS NULL OR d.distance + e.w < r.distance GROUP BY 1, 2))
-    SELECT source, node, distance FROM d""")
-def shortest_paths(spark, sf):
+               WHERE r.distance IS NULL OR d.distance + e.w < r.distance GROUP BY 1, 2))"""
+
+
+def road_edges(spark, sf):
+    """Roads between suppliers and the parts they have sent, as long as the smallest quantity."""
     pairs = table(spark, sf, "lineitem").groupBy("l_suppkey", (-F.col("l_partkey") - 1).alias("p")) \
         .agg(F.min("l_quantity").cast("bigint").alias("w"))
+    return G.undirected(pairs, "l_suppkey", "p", "w")
+
+
+@query("shortest_paths", f"""
+    WITH RECURSIVE start AS (SELECT min(s_suppkey) AS source FROM supplier JOIN nation ON s_nationkey = n_nationkey GROUP BY n_regionkey), {_PATHS_SQL}
+    SELECT source, node, distance FROM d""")
+def shortest_paths(spark, sf):
     starts = table(spark, sf, "supplier").join(table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")) \
         .groupBy("n_regionkey").agg(F.min("s_suppkey").alias("source")).select("source")
-    return G.shortest_paths(G.undirected(pairs, "l_suppkey", "p", "w"), starts)
+    return G.shortest_paths(road_edges(spark, sf), starts)
+
+
+_BRANCH_SQL = """
+    d AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 29 > 0 THEN list_value('NK', 'TP', 'BK')[CAST(o_orderkey % 3 + 1 AS INT)] END AS code,
+                 CASE WHEN o_custkey % 31 > 0 AND o_orderkey % 7 <> 1 THEN round((o_custkey % 977) / 7.0, 3) END AS km, o_orderkey % 4 = 0 AS loyal, o_totalprice AS fee FROM orders)"""
+
+
+@query("impute_by_rule", f"""
+    WITH RECURSIVE b AS (SELECT s_suppkey, list_value('NK', 'TP', 'BK')[row_number() OVER (ORDER BY s_suppkey)] AS branch FROM supplier ORDER BY s_suppkey LIMIT 3),
+    start AS (SELECT s_suppkey AS source FROM b), {_PATHS_SQL.replace(' d(', ' path(').replace('FROM d ', 'FROM path ').replace('d.', 'path.').replace('recurring.path.', 'recurring.path').replace('recurring.d', 'recurring.path')},
+    {_NEAREST_SQL}, {_BRANCH_SQL},
+    whole AS (SELECT o_orderkey, d.code, coalesce(km, round(distance / 10.0, 3)) AS km, loyal, fee FROM d LEFT JOIN b ON b.branch = d.code
+              LEFT JOIN near ON near.c_custkey = d.o_custkey LEFT JOIN path ON path.source = b.s_suppkey AND path.node = near.nearest),
+    m AS (SELECT code, regr_slope(fee, km) AS a, regr_intercept(fee, km) AS b FROM whole WHERE o_orderkey % 13 <> 6 GROUP BY 1)
+    SELECT o_orderkey, whole.code, km, CASE WHEN o_orderkey % 13 <> 6 THEN fee
+        ELSE round((a * km + b) / CASE WHEN loyal THEN 2 ELSE 1 END, 4) END AS fee FROM whole JOIN m ON whole.code IS NOT DISTINCT FROM m.code""")
+def impute_by_rule(spark, sf):
+    """The code from the order's id, the distance from the road graph, the fee from the branch's model, in this order."""
+    km = F.when(F.col("o_custkey") % 31 > 0, F.round((F.col("o_custkey") % 977) / F.lit(7.0), 3))
+    gaps = table(spark, sf, "orders").select(
+        "o_orderkey", "o_custkey",
+        F.expr("concat(if(o_orderkey % 29 > 0, 'ORD', 'ODD'), element_at(array('A', 'B', 'C'), cast(o_orderkey % 3 + 1 as int)), o_orderkey)").alias("order_id"),
+        F.expr("if(o_orderkey % 5 = 2 or o_orderkey % 29 = 0, null, element_at(array('NK', 'TP', 'BK'), cast(o_orderkey % 3 + 1 as int)))").alias("code"),
+        F.when(F.col("o_orderkey") % 7 != 1, km).alias("km"), (F.col("o_orderkey") % 4 == 0).alias("loyal"),
+        F.when(F.col("o_orderkey") % 13 != 6, F.col("o_totalprice")).alias("fee"))
+    coded = C.repair_code(gaps, "order_id", "code", BRANCH_PREFIX)
+    hubs = [r[0] for r in table(spark, sf, "supplier").orderBy("s_suppkey").limit(3).select("s_suppkey").collect()]
+    branch = F.when(F.col("code") == "NK", hubs[0]).when(F.col("code") == "TP", hubs[1]).when(F.col("code") == "BK", hubs[2])
+    paths = G.shortest_paths(road_edges(spark, sf), spark.createDataFrame([(h,) for h in hubs], "source long"))
+    near = S.nearest_join(customer_points(spark, sf).select("c_custkey", "lon", "lat"), supplier_points(spark, sf),
+                          ("lon", "lat"), ("s_lon", "s_lat"), "s_suppkey").select(F.col("c_custkey").alias("o_custkey"), "nearest")
+    placed = coded.withColumn("hub", branch).join(near, "o_custkey", "left")
+    routed = G.with_distance(placed, paths, "hub", "nearest")
+    whole = cut_lineage(C.impute_by_rule(routed, {"km": F.round(F.col("distance") / F.lit(10.0), 3)}))
+    model = C.group_linear_fit(whole, ["code"], ["km"], "fee")
+    scored = C.predict_linear(whole, model, ["code"], ["km"])
+    fee = F.round(F.col("pred") / F.when(F.col("loyal"), 2).otherwise(1), 4)
+    return C.impute_by_rule(scored, {"fee": fee}).select("o_orderkey", "code", "km", "fee")
 
 
 _TRAVEL_SQL = """
