@@ -8,15 +8,12 @@ from tidemill.llm import topk
 
 
 def brute(rows, k, every):
-    ints = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            scaled = [math.floor(64 * x) for x in v]
-            ints[i] = min(ints.get(i, scaled), scaled)
+    ints = [(i, [math.floor(64 * x) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in ints.items():
+    for at, (q, a) in enumerate(ints):
         if q % every == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in ints.items() if i != q)[:k]
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for other, (i, b) in enumerate(ints) if other != at)[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
@@ -49,5 +46,18 @@ def test_odd_vectors(spark):
     assert found(spark, rows, 20, 4) == brute(rows, 20, 4)
 
 
+def test_rows_with_a_repeated_id(spark):
+    rows = [(0, [1.0]), (1, [2.0]), (1, [3.0]), (4, [2.0]), (4, [2.0]), (4, [5.0])]
+    got = found(spark, rows, 20, 4)
+    assert got == brute(rows, 20, 4) and (0, 2, 1, 64 * 192) in got and len(got) == 4 * 5
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    with pytest.raises(ValueError, match="64 bits"):
+        found(spark, [(0, [1e30]), (1, [1e30]), (2, [1.0])], 3, 1)
+    rows = [(0, [3e7, 0.0]), (1, [3e7, 1.0]), (2, [-3e7, 1.0])]
+    assert found(spark, rows, 3, 1) == brute([(i, [single(x) for x in v]) for i, v in rows], 3, 1)
+
+
 def test_empty_table(spark):
     assert found(spark, [], 3, 1) == [] and found(spark, [(1, [1.0])], 3, 1) == [] and found(spark, [(1, [1.0]), (2, [1.0])], 3, 5) == []

@@ -31,17 +31,18 @@ SLACK = 1e-9                # relative error allowed to the rotated sums
 
 
 def _integers(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
-    """``id, v, norm`` of the vectors that take part; of a repeated id the smallest vector."""
+    """``rid, id, v, norm`` of the vectors that take part; ``rid`` tells rows with the same id apart."""
     finite = F.forall(vector_col, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     scaled = F.transform(vector_col, lambda x: F.floor(x.cast("double") * scale))
     rows = (vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull())
-            .filter(F.coalesce(finite, F.lit(False))).groupBy(F.col(id_col).alias("id")).agg(F.min(scaled).alias("v")))
+            .filter(F.coalesce(finite, F.lit(False)))
+            .select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("id"), scaled.alias("v")))
     square = F.aggregate("v", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
     return rows.withColumn("norm", F.sqrt(square))
 
 
 def _matrix(vectors, dims: int) -> np.ndarray:
-    out = np.zeros((len(vectors), dims), dtype=np.int64)
+    out = np.zeros((len(vectors), dims), dtype=np.int32)
     for i, v in enumerate(vectors):
         out[i, :len(v)] = v
     return out
@@ -78,6 +79,7 @@ def _packer(dims: int, size: int):
         def block(rows: pd.DataFrame) -> pd.DataFrame:
             return pd.DataFrame({"block": [part * 1_000_000 + seq], "longest": [float(rows["norm"].max())],
                                  "ids": [rows["id"].to_numpy(np.int64).tobytes()],
+                                 "rids": [rows["rid"].to_numpy(np.int64).tobytes()],
                                  "data": [_matrix(rows["v"].tolist(), dims).tobytes()]})
         for batch in batches:
             held.append(batch)
@@ -92,17 +94,17 @@ def _packer(dims: int, size: int):
 
 
 def _packed(rows: DataFrame, dims: int, size: int) -> DataFrame:
-    order = [F.col("norm").desc(), F.col("id")]
-    ordered = rows.select("id", "norm", "v").repartitionByRange(*order).sortWithinPartitions(*order)
-    return ordered.mapInPandas(_packer(dims, size), "block long, longest double, ids binary, data binary")
+    order = [F.col("norm").desc(), F.col("id"), F.col("rid")]
+    ordered = rows.select("rid", "id", "norm", "v").repartitionByRange(*order).sortWithinPartitions(*order)
+    return ordered.mapInPandas(_packer(dims, size), "block long, longest double, ids binary, rids binary, data binary")
 
 
 class Block:
     """A block of vectors with what the bounds need."""
 
-    def __init__(self, ids: bytes, data: bytes, rotation: np.ndarray, head: int):
-        self.ids = np.frombuffer(ids, dtype=np.int64)
-        self.data = np.frombuffer(data, dtype=np.int64).reshape(len(self.ids), -1)
+    def __init__(self, ids: bytes, rids: bytes, data: bytes, rotation: np.ndarray, head: int):
+        self.ids, self.rids = np.frombuffer(ids, dtype=np.int64), np.frombuffer(rids, dtype=np.int64)
+        self.data = np.frombuffer(data, dtype=np.int32).astype(np.int64).reshape(len(self.ids), -1)
         turned = self.data.astype(float) @ rotation
         self.norms = np.sqrt((turned ** 2).sum(axis=1))
         self.first = turned[:, :head]
@@ -134,7 +136,7 @@ def _search(queries: Block, least: np.ndarray, candidates: Block, k: int) -> tup
         reach += queries.rest[part][:, None] * candidates.rest[None, :visit]
         slack = SLACK * queries.norms[part][:, None] * candidates.norms[None, :visit] + SLACK
         q, c = np.nonzero(reach + slack >= bound[:, None])
-        own = queries.ids[q + at] != candidates.ids[c]
+        own = queries.rids[q + at] != candidates.rids[c]
         q, c = q[own] + at, c[own]
         scores = np.concatenate([np.einsum("ij,ij->i", queries.data[q[i:i + 65536]], candidates.data[c[i:i + 65536]])
                                  for i in range(0, len(q), 65536)] or [np.empty(0, np.int64)])
@@ -151,20 +153,20 @@ def _least(queries: Block, part: slice, candidates: Block, k: int) -> np.ndarray
     """A score that each query's k-th best candidate reaches at least; minus infinity with fewer than k."""
     scores = queries.data[part].astype(float) @ candidates.data.T.astype(float)
     scores -= SLACK * queries.norms[part][:, None] * candidates.norms[None, :] + SLACK
-    scores[queries.ids[part][:, None] == candidates.ids[None, :]] = -np.inf
+    scores[queries.rids[part][:, None] == candidates.rids[None, :]] = -np.inf
     if len(candidates.ids) < k:
         return np.full(len(scores), -np.inf)
     return np.partition(scores, -k, axis=1)[:, -k]
 
 
-def _thresholds(ids: bytes, data: bytes, rotation: np.ndarray, head: int, k: int):
+def _thresholds(ids: bytes, rids: bytes, data: bytes, rotation: np.ndarray, head: int, k: int):
     """mapInPandas over query blocks: adds each query's k-th score within the longest vectors."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        longest = Block(ids, data, rotation, head)
+        longest = Block(ids, rids, data, rotation, head)
         for batch in batches:
             out = []
-            for qids, qdata in zip(batch["ids"], batch["data"], strict=True):
-                queries = Block(qids, qdata, rotation, head)
+            for block in zip(batch["ids"], batch["rids"], batch["data"], strict=True):
+                queries = Block(*block, rotation, head)
                 least = np.concatenate([_least(queries, slice(at, at + QUERIES_AT_ONCE), longest, k)
                                         for at in range(0, len(queries.ids), QUERIES_AT_ONCE)])
                 out.append((least.tobytes(), float(least.min())))
@@ -177,12 +179,12 @@ def _met(rotation: np.ndarray, head: int, k: int):
     def run(candidates: pd.DataFrame, query: pd.DataFrame) -> pd.DataFrame:
         rows = []
         if len(query) and len(candidates):
-            queries = Block(query["ids"].iloc[0], query["data"].iloc[0], rotation, head)
+            queries = Block(query["ids"].iloc[0], query["rids"].iloc[0], query["data"].iloc[0], rotation, head)
             least = np.frombuffer(query["least"].iloc[0])
-            for ids, data in zip(candidates["ids"], candidates["data"], strict=True):
-                q, found, scores = _search(queries, least, Block(ids, data, rotation, head), k)
-                rows.append(pd.DataFrame({"query_id": queries.ids[q], "vec_id": found, "score": scores}))
-        return pd.concat(rows) if rows else pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            for block in zip(candidates["ids"], candidates["rids"], candidates["data"], strict=True):
+                q, found, scores = _search(queries, least, Block(*block, rotation, head), k)
+                rows.append(pd.DataFrame({"query_row": queries.rids[q], "query_id": queries.ids[q], "vec_id": found, "score": scores}))
+        return pd.concat(rows) if rows else pd.DataFrame({c: [] for c in ("query_row", "query_id", "vec_id", "score")}, dtype="int64")
     return run
 
 
@@ -191,20 +193,23 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 20, scale:
     """``query_id, rank, vec_id, score``: for each query its ``k`` best other vectors, ties to the smaller id.
 
     Components become ``floor(scale * x)``. Null vectors, vectors with a null, NaN or infinite component and null ids
-    take no part. Of a repeated id the smallest vector counts. Shorter vectors are filled up with zeros. With
-    fewer than ``k`` others all are returned; an empty table gives an empty result.
+    take no part. Rows with a repeated id are rows of their own: each is a candidate of all others, and each that is a query
+    is answered. Shorter vectors are filled up with zeros. With fewer than ``k`` others all are returned; an empty table gives an
+    empty result. Scaled vectors of length 2 ** 31 or more are an error, as scores might not fit in 64 bits.
     """
     rows = cut_lineage(_integers(vectors, id_col, vector_col, scale))
-    n, dims = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n, dims, longest = rows.agg(F.count("*"), F.coalesce(F.max(F.size("v")), F.lit(0)), F.max("norm")).first()
+    if longest is not None and longest >= 2.0 ** 31:
+        raise ValueError(f"a scaled vector has the length {longest:g}; scores could exceed 64 bits from 2 ** 31 on")
     dims = max(dims, 1)
     rotation, head = _rotation(rows, dims) if n else (np.eye(dims), 1)
     blocks = cut_lineage(_packed(rows, dims, CANDIDATE_BLOCK))
-    longest = blocks.orderBy(F.col("longest").desc(), "block").select("ids", "data").limit(1).collect()
-    top = (bytes(longest[0][0]), bytes(longest[0][1])) if longest else (b"", b"")
+    longest = blocks.orderBy(F.col("longest").desc(), "block").select("ids", "rids", "data").limit(1).collect()
+    top = tuple(map(bytes, longest[0])) if longest else (b"", b"", b"")
     asked = rows.withColumnRenamed("id", id_col).filter(is_query).withColumnRenamed(id_col, "id")
     queries = cut_lineage(_packed(asked, dims, QUERY_BLOCK).mapInPandas(
         _thresholds(*top, rotation, head, k),
-        "block long, longest double, ids binary, data binary, least binary, lowest double"))
+        "block long, longest double, ids binary, rids binary, data binary, least binary, lowest double"))
     # one entry per query block, to leave out whole pairs of blocks before they are shuffled
     known = queries.select("block", "longest", "lowest").collect()
     cores = vectors.sparkSession.sparkContext.defaultParallelism
@@ -214,11 +219,11 @@ def top_inner_products(vectors: DataFrame, is_query: Column, k: int = 20, scale:
         if known else F.array().cast("array<struct<query:bigint,longest:double,lowest:double>>")
     needed = F.filter(entries, lambda e: F.col("longest") * e["longest"] * (1 + 1e-9) + 1e-9 >= e["lowest"])
     offered = blocks.select(F.explode(F.transform(needed, lambda e: e["query"])).alias("query"),
-                            F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), "ids", "data")
+                            F.pmod(F.xxhash64("block"), F.lit(groups)).cast("int").alias("group"), "ids", "rids", "data")
     placed = queries.select(F.col("block").alias("query"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"),
-                            "ids", "data", "least")
+                            "ids", "rids", "data", "least")
     pairs = offered.groupBy("query", "group").cogroup(placed.groupBy("query", "group")).applyInPandas(
-        _met(rotation, head, k), "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+        _met(rotation, head, k), "query_row long, query_id long, vec_id long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "vec_id")
     return (pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
