@@ -89,3 +89,10 @@ def test_empty_table(spark):
 def test_only_empty_texts(spark):
     docs = spark.createDataFrame([(1, None, "a"), (2, "", "b")], "doc_id long, text string, source string")
     assert [(r.copies, r.target) for r in mixing.mix(docs).collect()] == [(0, 0.0)] * 2
+
+
+def test_ids_of_another_type(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.concat(F.lit("doc "), "doc_id").alias("doc_id"), "text", "source")
+    units = mixing.mix(docs).collect()
+    assert {r.id for r in units} == {r.doc_id for r in docs.collect()} and all(isinstance(r.id, str) for r in units)
+    assert mixing.mixed_documents(docs).count() == sum(r.copies * r.n for r in units)

@@ -125,18 +125,23 @@ def _pivot(first: bool, last: bool):
                     out += rounded(held)
                     held = []
                 held.append(row)
+            schema = _schema(batch.schema.field("id").type)
             yield pa.RecordBatch.from_pylist(out, schema)
-        yield pa.RecordBatch.from_pylist(rounded(held), schema)
-
-    schema = pa.schema([("key", pa.string()), ("chunk", pa.int64()), ("id", pa.int64()), ("source", pa.string()),
-                        ("size", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("sure", pa.int64()),
-                        ("source_size", pa.int64()), ("target", pa.float64()), ("mass", pa.int64()),
-                        ("p", pa.float64()), ("open", pa.bool_())])
+        if held:
+            yield pa.RecordBatch.from_pylist(rounded(held), schema)
     return run
 
 
-_ROW = ("key string, chunk long, id long, source string, size long, h long, n long, sure long, source_size long, "
-        "target double, mass long, p double, open boolean")
+def _schema(id_type: pa.DataType) -> pa.Schema:
+    return pa.schema([("key", pa.string()), ("chunk", pa.int64()), ("id", id_type), ("source", pa.string()),
+                      ("size", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("sure", pa.int64()),
+                      ("source_size", pa.int64()), ("target", pa.float64()), ("mass", pa.int64()),
+                      ("p", pa.float64()), ("open", pa.bool_())])
+
+
+def _row(id_type: str) -> str:
+    return (f"key string, chunk long, id {id_type}, source string, size long, h long, n long, sure long, source_size long, "
+            "target double, mass long, p double, open boolean")
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.0, id_col: str = "doc_id",
@@ -145,7 +150,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
 
     Size is the number of words (null text: 0). Documents without words get no copies, nothing is left of an
     empty table. All random choices depend on the documents alone, so reruns agree. ``h`` is ``xxhash64`` of
-    the text, ``n`` the number of equal rows that share the decision.
+    the text, ``n`` the number of equal rows that share the decision. Ids may be of any type that can be sorted.
     """
     units = cut_lineage(_units(docs, id_col, text_col, source_col).withColumn("key", _key()))
     plan = targets(units, weights, cap)
@@ -156,12 +161,12 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), cap: float = 3.
                        (F.col("size") * F.col("n")).alias("mass"),
                        F.pmod(F.xxhash64("id", "h", F.lit(SEED)),
                               F.ceil(F.col("units") / ROWS_PER_CHUNK)).alias("chunk")).drop("units")
-    width, level, decided = math.ceil(widest / ROWS_PER_CHUNK), 0, []
+    width, level, decided, row = math.ceil(widest / ROWS_PER_CHUNK), 0, [], _row(units.schema["id"].dataType.simpleString())
     while True:
         coins = rows.withColumn("coin", uniform("id", "h", "size", F.lit(f"{SEED} {level}")))
         coins = coins.repartition("key", "chunk").sortWithinPartitions(
             "key", "chunk", F.col("mass").desc(), F.xxhash64("id", "h", F.lit(SEED)), "id", "h")
-        rounded = cut_lineage(coins.mapInArrow(_pivot(first=level == 0, last=width <= 1), _ROW))
+        rounded = cut_lineage(coins.mapInArrow(_pivot(first=level == 0, last=width <= 1), row))
         decided.append(rounded.filter(~F.col("open")))
         if width <= 1:
             break
