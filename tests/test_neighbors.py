@@ -95,3 +95,10 @@ def test_point_in_polygon(spark):
     out = S.point_in_polygon(pts, shapes, ("x", "y"), "id", "ring", "name")
     got = [r["area"] for r in out.orderBy("i").collect()]
     assert got == ["big", "big", "late", "not available", "dent", "not available", "big"]
+
+
+def test_no_rows_to_search(spark):
+    some = spark.createDataFrame([(1, [1.0, 2.0])], "id long, v array<double>")
+    for q, r in ((some, some.where("false")), (some.where("false"), some)):
+        out = NN.knn_join(q, r, 3)
+        assert out.columns == ["qid", "rid", "dist", "rank"] and out.collect() == []

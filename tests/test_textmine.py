@@ -47,3 +47,9 @@ def test_long_stop_lists_come_as_tables(spark):
     df = spark.createDataFrame([("The",), ("cat",)], "w string")
     stop = spark.createDataFrame([("the",)], "s string")
     assert rows(T.drop_words(df, "w", stop)) == [("cat",)]
+
+
+def test_merging_keeps_missing_tokens(spark):
+    df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, None), (3, []), (4, ["a", None, "a", "b"])], "id int, t array<string>")
+    got = {r.id: r.m for r in T.merge_bigrams(df, F.col("t"), [("a", "b")], "m").collect()}
+    assert got == {1: ["a__b", "b"], 2: None, 3: [], 4: ["a", None, "a__b"]}

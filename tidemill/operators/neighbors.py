@@ -74,7 +74,7 @@ def knn_join(queries: DataFrame, rows: DataFrame, k: int, metric: str = "l2", ex
     """The ``k`` nearest of ``rows`` for each of ``queries``, both given as (id, vector) columns.
 
     Returns (qid, rid, dist, rank); ties are broken by the smaller id. ``exclude_self``
-    skips rows with the query's own id, for leave-one-out.
+    skips rows with the query's own id, for leave-one-out. No queries or no rows give no result rows.
     """
     queries = queries.toDF("qid", "qvec").withColumn("qvec", F.col("qvec").cast("array<double>"))
     rows = rows.toDF("rid", "rvec").withColumn("rvec", F.col("rvec").cast("array<double>"))
@@ -82,7 +82,7 @@ def knn_join(queries: DataFrame, rows: DataFrame, k: int, metric: str = "l2", ex
            f"rid {rows.schema['rid'].dataType.simpleString()}, dist double")
     first = rows.select(F.size("rvec")).first()
     if first is None:
-        raise ValueError("there are no rows to search")
+        return queries.sparkSession.createDataFrame([], f"{out}, rank int")
     limit = max(1, small_side // max(1, first[0]))
     if first[0] <= LOW_DIM:
         limit = min(limit, LOW_DIM_ROWS)     # beyond this, ruling out cells beats comparing everything

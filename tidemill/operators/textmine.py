@@ -38,10 +38,12 @@ def top_bigrams(df: DataFrame, tokens: Column, stop: Sequence[str], n: int = 200
 
 def merge_bigrams(df: DataFrame, tokens: Column, pairs: Sequence[tuple[str, str]], name: str,
                   joiner: str = "__") -> DataFrame:
-    """Merge listed pairs in each token array, greedily from the left (the list is a top-n, so it is short)."""
+    """Merge listed pairs in each token array, greedily from the left (the list is a top-n, so it is short). NULL stays NULL."""
     wanted = frozenset(pairs)
 
     def join_pairs(tokens):
+        if tokens is None:
+            return None
         out, i = [], 0
         while i < len(tokens):
             hit = i + 1 < len(tokens) and (tokens[i], tokens[i + 1]) in wanted

@@ -217,11 +217,11 @@ def rounded_key_join(spark, sf):
                      WHEN 1 THEN c_mktsegment || ' ' || c_nationkey || '''s School'
                      WHEN 2 THEN 'O''' || c_mktsegment || ' ' || c_nationkey WHEN 3 THEN 'St ' || c_mktsegment || ' & ' || c_nationkey
                      ELSE c_mktsegment || c_nationkey || ' Hall' END AS name FROM customer),
-         ranking AS (SELECT DISTINCT CASE c_custkey % 6 WHEN 0 THEN c_mktsegment || ' ' || c_nationkey || ' Sec Coll'
+         ranking AS (SELECT DISTINCT CASE WHEN c_nationkey % 4 = 1 THEN 'Unlisted ' || c_custkey ELSE CASE c_custkey % 6 WHEN 0 THEN c_mktsegment || ' ' || c_nationkey || ' Sec Coll'
                      WHEN 1 THEN c_mktsegment || ' ' || c_nationkey || ' School'
                      WHEN 2 THEN 'O' || c_mktsegment || ' ' || c_nationkey WHEN 3 THEN 'St ' || c_mktsegment || ' &amp; ' || c_nationkey
                      WHEN 4 THEN c_mktsegment || ' ' || c_nationkey || ' Hall'
-                     ELSE 'St ' || c_mktsegment || ' & ' || c_nationkey END AS name FROM customer WHERE c_acctbal > 1000),
+                     ELSE 'St ' || c_mktsegment || ' & ' || c_nationkey END END AS name FROM customer),
          lf AS (SELECT name, replace(name, '&amp;', '&') AS f FROM loc),
          rf AS (SELECT name, replace(name, '&amp;', '&') AS f FROM ranking),
          spell AS (SELECT name, f, array_to_string(list_transform(string_split(f, ' '), lambda w: CASE w WHEN 'Sec' THEN 'Secondary' WHEN 'Coll' THEN 'College' ELSE w END), ' ') AS g FROM lf),
@@ -242,13 +242,13 @@ def name_reconcile(spark, sf):
              WHEN 2 THEN "O'" || c_mktsegment || ' ' || c_nationkey
              WHEN 3 THEN 'St ' || c_mktsegment || ' & ' || c_nationkey
              ELSE c_mktsegment || c_nationkey || ' Hall' END""").alias("name"))
-    ranking = customers.where("c_acctbal > 1000").select(F.expr("""
-        CASE c_custkey % 6 WHEN 0 THEN c_mktsegment || ' ' || c_nationkey || ' Sec Coll'
+    ranking = customers.select(F.expr("""
+        CASE WHEN c_nationkey % 4 = 1 THEN 'Unlisted ' || c_custkey ELSE CASE c_custkey % 6 WHEN 0 THEN c_mktsegment || ' ' || c_nationkey || ' Sec Coll'
              WHEN 1 THEN c_mktsegment || ' ' || c_nationkey || ' School'
              WHEN 2 THEN 'O' || c_mktsegment || ' ' || c_nationkey
              WHEN 3 THEN 'St ' || c_mktsegment || ' &amp; ' || c_nationkey
              WHEN 4 THEN c_mktsegment || ' ' || c_nationkey || ' Hall'
-             ELSE 'St ' || c_mktsegment || ' & ' || c_nationkey END""").alias("name"))
+             ELSE 'St ' || c_mktsegment || ' & ' || c_nationkey END END""").alias("name"))
     return J.reconcile_names(loc, ranking, "name", ABBREVIATIONS).fillna(-1, ["rule"])
 
 

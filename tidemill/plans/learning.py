@@ -9,7 +9,7 @@ from ..operators import clustering as K, metrics as M, models as L, neighbors as
 from ..session import cut_lineage
 from ..sources.tables import table
 from .registry import query
-from .textual import doc_term_counts
+from .textual import _COUNTS_SQL, doc_term_counts
 
 def _split_sql(key):
     """The split's slot, from 0 to 99, of a key in SQL."""
@@ -401,38 +401,47 @@ def cluster_representatives(spark, sf):
     return K.representatives(table(spark, sf, "embeddings"), "vec_id", "embedding", k=4)
 
 
-def _em_sql(epochs, k=3):
-    """Soft EM written out per epoch, on events per user (document) and value bucket (term)."""
-    ctes = ["""WITH n AS (SELECT user_id AS doc, CAST(floor(value / 5) AS BIGINT) AS term, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2)""",
-            f"ks AS (SELECT unnest(range(0, {k})) AS c)",
+_EVENT_TERMS = "SELECT user_id AS doc, CAST(floor(value / 5) AS BIGINT) AS term, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2"
+
+
+def _em_ctes(counts, epochs, k):
+    """Soft EM written out per epoch, on (doc, term, n) rows; documents of ``docs`` without terms get the prior."""
+    ctes = [f"n AS ({counts})", f"ks AS (SELECT unnest(range(0, {k})) AS c)", "bare AS (SELECT doc FROM docs WHERE doc NOT IN (SELECT doc FROM n))",
             "w0 AS (SELECT term, c, ((term + 1) * (c + 3) * 7919 % 1000 + 1) / 1000.0::DOUBLE AS mu FROM (SELECT DISTINCT term FROM n), ks)",
             f"p0 AS (SELECT c, 1.0::DOUBLE / {k} AS prior FROM ks)"]
     for r in range(epochs):
         ctes.append(f"m{r} AS (SELECT term, c, ln((mu + 1e-10) / sum(mu + 1e-10) OVER (PARTITION BY c)) AS lm FROM w{r})")
-        ctes.append(f"j{r} AS (SELECT doc, c, sum(n * lm) + ln(any_value(prior) + 1e-10) AS j FROM n JOIN m{r} USING (term) JOIN p{r} USING (c) GROUP BY 1, 2)")
+        ctes.append(f"""j{r} AS (SELECT doc, c, sum(n * lm) + ln(any_value(prior) + 1e-10) AS j FROM n JOIN m{r} USING (term) JOIN p{r} USING (c) GROUP BY 1, 2
+            UNION ALL SELECT doc, c, ln(prior + 1e-10) FROM bare, p{r})""")
         ctes.append(f"t{r} AS (SELECT doc, c, exp(j - max(j) OVER (PARTITION BY doc)) AS x FROM j{r})")
         ctes.append(f"g{r} AS (SELECT doc, c, x / sum(x) OVER (PARTITION BY doc) AS gamma FROM t{r})")
         ctes.append(f"p{r + 1} AS (SELECT c, avg(gamma) AS prior FROM g{r} GROUP BY 1)")
         ctes.append(f"w{r + 1} AS (SELECT term, c, sum(n * gamma) AS mu FROM n JOIN g{r} USING (doc) GROUP BY 1, 2)")
-    return ", ".join(ctes) + f" SELECT doc, c AS cluster, round(gamma, 5) AS share FROM g{epochs - 1}"
+    return ", ".join(ctes)
+
+
+def _em_start(k):
+    return [((F.col("term") + 1) * (c + 3) * 7919 % 1000 + 1) / 1000.0 for c in range(k)]
 
 
-@query("em_mixture", _em_sql(3))
+@query("em_mixture", f"""WITH docs AS (SELECT user_id AS doc FROM events), {_em_ctes(_EVENT_TERMS, 3, 3)}
+    SELECT doc, c AS cluster, round(gamma, 5) AS share FROM g2""")
 def em_mixture(spark, sf):
     counts = table(spark, sf, "events").groupBy(F.col("user_id").alias("doc"), F.floor(F.col("value") / 5).cast("bigint").alias("term")) \
         .agg(F.count("*").alias("n"))
-    start = [((F.col("term") + 1) * (c + 3) * 7919 % 1000 + 1) / 1000.0 for c in range(3)]
-    posterior, _, _ = K.em_multinomial(counts, "doc", "term", "n", k=3, epochs=3, start=start)
+    posterior, _, _ = K.em_multinomial(counts, "doc", "term", "n", k=3, epochs=3, start=_em_start(3))
     out = posterior.select("doc", F.posexplode("gamma").alias("cluster", "share"))
     return out.select("doc", F.col("cluster").cast("bigint").alias("cluster"), F.round("share", 5).alias("share"))
 
 
-@query("em_documents")
+@query("em_documents", f"""WITH docs AS (SELECT doc_id AS doc FROM documents),
+    {_em_ctes(f"SELECT doc_id AS doc, term_index AS term, n::DOUBLE AS n FROM ({_COUNTS_SQL})", 5, 4)}
+    SELECT doc AS doc_id, c AS cluster, round(gamma, 5) AS share FROM g4 QUALIFY row_number() OVER (PARTITION BY doc ORDER BY gamma DESC, c) = 1""")
 def em_documents(spark, sf):
-    posterior, _, _ = K.em_multinomial(doc_term_counts(spark, sf), "doc_id", "term_index", "n", k=4, epochs=5,
+    posterior, _, _ = K.em_multinomial(doc_term_counts(spark, sf), "doc_id", "term_index", "n", k=4, epochs=5, start=_em_start(4),
                                        docs=table(spark, sf, "documents"))
     best = F.array_position("gamma", F.array_max("gamma")) - 1
-    return posterior.select(F.col("doc").alias("doc_id"), best.alias("cluster"), F.round(F.array_max("gamma"), 6).alias("share"))
+    return posterior.select(F.col("doc").alias("doc_id"), best.alias("cluster"), F.round(F.array_max("gamma"), 5).alias("share"))
 
 
 # ---- Spark ML ---------------------------------------------------------------------------------------
