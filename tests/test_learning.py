@@ -130,3 +130,15 @@ def test_classifiers_beat_chance(spark):
     df = L.with_vector(spark.createDataFrame(blobs(spark)), ["a", "b"]).withColumn("label", F.col("y").cast("double"))
     out = L.compare_classifiers(df.where("id % 3 > 0"), df.where("id % 3 = 0"), L.default_classifiers())
     assert out.count() == 4 and all(r["accuracy"] > .7 for r in out.collect())
+
+
+def test_principal_axes(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(200, 5)) @ np.diag([5, 3, 1, .5, .2]) @ np.linalg.qr(rng.normal(size=(5, 5)))[0] + 7
+    df = spark.createDataFrame(pd.DataFrame({"id": range(200), "v": list(x)}), "id long, v array<double>").repartition(3)
+    axes = K.principal_axes(df, "v", 2)
+    want = np.linalg.eigh(np.cov(x.T))[1][:, ::-1][:, :2].T
+    assert np.allclose(np.abs((axes * want).sum(axis=1)), 1, atol=1e-9)
+    got = {r["id"]: r["xy"] for r in K.project(df, "id", "v").collect()}
+    assert np.allclose([got[i] for i in range(200)], x @ axes.T)
+    assert not K.principal_axes(df.where("false"), "v", 2).any()

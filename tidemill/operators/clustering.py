@@ -6,8 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import PCA
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut_lineage, drop_stage
@@ -89,11 +87,56 @@ def codeword_histogram(df: DataFrame, owner: str, id_col: str, vec: str, centroi
     return counts.join(totals, owner).select(owner, "cluster", (F.col("n") / F.col("total")).alias("share"))
 
 
-def project(df: DataFrame, id_col: str, vec: str, dims: int = 2, name: str = "xy") -> DataFrame:
-    """Principal components as an array column."""
-    ready = df.select(id_col, array_to_vector(F.col(vec).cast("array<double>")).alias("_v"))
-    model = PCA(k=dims, inputCol="_v", outputCol="_p").fit(ready)
-    return model.transform(ready).select(id_col, vector_to_array("_p").alias(name))
+def _products(dims: int):
+    """mapInPandas: rows, sums and sums of products of the components of a task's vectors, as (cell, value)."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((dims + 1, dims + 1))
+        for pdf in batches:
+            if len(pdf):
+                x = np.c_[np.ones(len(pdf)), _matrix(pdf.iloc[:, 0])]
+                total += x.T @ x
+        yield pd.DataFrame({"cell": np.arange(total.size), "value": total.ravel()})
+    return run
+
+
+def principal_axes(df: DataFrame, vec: str, dims: int, rounds: int = 200) -> np.ndarray:
+    """The first principal axes of vectors of one length, a row each, by power iteration on their covariance.
+
+    One aggregation gives the covariance, as wide as the vectors. Every axis starts at (1, 1/2, 1/3, ...) and takes a fixed number of rounds; it is then
+    taken out of the covariance. Without rows, all axes are zero.
+    """
+    rows = df.filter(F.col(vec).isNotNull()).select(F.col(vec).cast("array<double>"))
+    wide = rows.agg(F.coalesce(F.max(F.size(vec)), F.lit(0))).first()[0]
+    total = np.zeros((wide + 1) ** 2)
+    for cell, value in rows.mapInPandas(_products(wide), "cell int, value double").groupBy("cell").agg(F.sum("value")).collect():
+        total[cell] = value
+    total = total.reshape(wide + 1, wide + 1)
+    axes = np.zeros((dims, wide))
+    if not total[0, 0]:
+        return axes
+    mean = total[0, 1:] / total[0, 0]
+    cov = total[1:, 1:] / total[0, 0] - np.outer(mean, mean)
+    for d in range(min(dims, wide)):
+        axis = 1.0 / np.arange(1, wide + 1)
+        for _ in range(rounds):
+            turned = cov @ axis
+            length = np.linalg.norm(turned)
+            if not length:
+                break
+            axis = turned / length
+        axes[d] = axis
+        cov = cov - (axis @ cov @ axis) * np.outer(axis, axis)
+    return axes
+
+
+def project(df: DataFrame, id_col: str, vec: str, dims: int = 2, name: str = "xy", rounds: int = 200) -> DataFrame:
+    """Coordinates along the principal axes as an array column."""
+    axes = principal_axes(df, vec, dims, rounds)
+
+    @F.pandas_udf("array<double>")
+    def along(vectors: pd.Series) -> pd.Series:
+        return pd.Series(list(_matrix(vectors) @ axes.T)) if len(vectors) else pd.Series([], dtype=object)
+    return df.filter(F.col(vec).isNotNull()).select(id_col, along(F.col(vec).cast("array<double>")).alias(name))
 
 
 def representatives(df: DataFrame, id_col: str, vec: str, k: int = 4, dims: int = 2, max_iter: int = 50) -> DataFrame:

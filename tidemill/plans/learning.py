@@ -396,9 +396,34 @@ def visual_word_histogram(spark, sf):
     return K.codeword_histogram(vectors, "label", "vec_id", "embedding", start).withColumn("share", F.round("share", 6))
 
 
-@query("cluster_representatives")
+_XY_L2 = "sqrt(list_sum(list_transform(list_zip(a.xy, b.xy), lambda x: (x[1] - x[2]) * (x[1] - x[2]))))"
+
+
+def _representatives_sql(k, turns, rounds):
+    """Two axes by power iteration, k-means on them with every round written out, and the row nearest to each centroid."""
+    step = "list_transform(u, lambda x: x / sqrt(list_dot_product(u, u)))"
+
+    def power(name, matrix):
+        return f"""{name} AS (SELECT 0 AS r, list_transform(range(1, 65), lambda i: 1.0::DOUBLE / i) AS v
+            UNION ALL SELECT r + 1, {step} FROM (SELECT r, list_transform(c, lambda row_: list_dot_product(row_, v)) AS u FROM {name}, {matrix} WHERE r < {turns}))"""
+    ctes = [f"v AS ({_VEC})", "x AS (SELECT vec_id, unnest(e) AS x, generate_subscripts(e, 1) AS i FROM v)",
+            "cov AS (SELECT a.i, b.i AS j, covar_pop(a.x, b.x) AS c FROM x a JOIN x b USING (vec_id) GROUP BY ALL)",
+            "m1 AS (SELECT list(c ORDER BY i) AS c FROM (SELECT i, list(c ORDER BY j) AS c FROM cov GROUP BY 1))", power("p1", "m1"),
+            f"a1 AS (SELECT v, list_dot_product(list_transform(c, lambda row_: list_dot_product(row_, v)), v) AS lam FROM p1, m1 WHERE r = {turns})",
+            "m2 AS (SELECT list_transform(c, lambda row_, i: list_transform(row_, lambda x, j: x - lam * v[i] * v[j])) AS c FROM m1, a1)", power("p2", "m2"),
+            f"f AS (SELECT vec_id, [list_dot_product(e, a1.v), list_dot_product(e, p2.v)] AS xy FROM v, a1, p2 WHERE p2.r = {turns})",
+            f"c0 AS (SELECT row_number() OVER (ORDER BY vec_id) - 1 AS cluster, xy FROM f ORDER BY vec_id LIMIT {k})"]
+    for r in range(rounds + 1):
+        ctes.append(f"k{r} AS MATERIALIZED (SELECT a.vec_id, a.xy, b.cluster, {_XY_L2} AS dist FROM f a, c{r} b QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY dist, b.cluster) = 1)")
+        ctes.append(f"c{r + 1} AS (SELECT cluster, [avg(xy[1]), avg(xy[2])] AS xy FROM k{r} GROUP BY 1)")
+    return f"""WITH RECURSIVE {', '.join(ctes[:-1])} SELECT cluster, vec_id, round(dist, 6) AS dist, count(*) OVER (PARTITION BY cluster) AS n FROM k{rounds}
+        QUALIFY row_number() OVER (PARTITION BY cluster ORDER BY dist, vec_id) = 1"""
+
+
+@query("cluster_representatives", _representatives_sql(4, 200, 20))
 def cluster_representatives(spark, sf):
-    return K.representatives(table(spark, sf, "embeddings"), "vec_id", "embedding", k=4)
+    out = K.representatives(table(spark, sf, "embeddings"), "vec_id", "embedding", k=4, max_iter=20)
+    return out.select("cluster", "vec_id", F.round("dist", 6).alias("dist"), "n")
 
 
 _EVENT_TERMS = "SELECT user_id AS doc, CAST(floor(value / 5) AS BIGINT) AS term, count(*)::DOUBLE AS n FROM events GROUP BY 1, 2"
