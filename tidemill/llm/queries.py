@@ -166,7 +166,59 @@ def damaged_turns(rows: DataFrame) -> DataFrame:
     return damaged.drop("col")
 
 
-@query("op11_role_repair")
+def _role_repair_sql():
+    """The same repair in SQL: CRC-32 by its table, and the cheapest edits row by row over the places in the role pattern."""
+    moves = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}     # start, after s, after u, after a
+    inserts = [(0, 0, ""), (0, 2, "I"), (0, 3, "II"), (1, 1, ""), (1, 2, "I"), (1, 3, "II"), (2, 2, ""), (2, 3, "I"), (3, 3, ""), (3, 2, "I")]
+    steps = []
+    for at, to, edits in inserts:
+        cost = 2 * len(edits)
+        steps.append((at, to, "*", cost + 3, edits + "D", 0))
+        steps += [(at, after, role, cost, edits + "K", 1) for (place, role), after in moves.items() if place == to]
+        steps += [(at, after, "*", cost + 2, edits + "R", 1) for (place, _), after in sorted(set(((p, ""), a) for (p, r), a in moves.items() if r in "ua")) if place == to]
+    values = ", ".join(f"({a}, {b}, '{r}', {c}, '{e}', {s})" for a, b, r, c, e, s in steps)
+    ends = ", ".join(f"({a}, '{e}')" for a, b, e in inserts if b in (0, 3))
+    return f"""
+    with recursive crc as (select list(list_reduce(range(0, 8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as t
+                           from (select unnest(range(0, 256)) as i)),
+    keyed as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+                     coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+    kinds as (select keyed.*, xor(list_reduce(list_transform(string_split(key, ''), lambda ch: ascii(ch)::bigint),
+                     lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 as kind from keyed, crc),
+    damaged as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+                       case when kind = 1 then '' when kind = 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text,
+                       unnest(range(0, case when kind = 3 then 2 else 1 end)) from kinds where kind <> 0),
+    ordered as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+                       regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') as ink from damaged),
+    marked as (select *, left(role, 1) as initial, case when ink = '' then 'b' when row_number() over (partition by conv_id, role, text order by i) > 1 then 'd' when right(ink, 1) not in ('.', '!', '?') then 't' else '-' end as fault from ordered),
+    steps(st, nxt, initial, cost, edits, stays) as (values {values}),
+    ways as (select conv_id, 0::bigint as i, 0 as st, 0::bigint as cost, '' as audit from (select distinct conv_id from marked)
+        union all
+        select conv_id, i, st, w.cost, w.audit from (
+            select ways.conv_id, marked.i, steps.nxt as st,
+                   min(struct_pack(cost := ways.cost + steps.cost + steps.stays * (fault = 't')::int, audit := ways.audit || steps.edits)) as w
+            from ways join marked on marked.conv_id is not distinct from ways.conv_id and marked.i = ways.i + 1
+            join steps on steps.st = ways.st and (steps.initial = '*' or steps.initial = marked.initial) and (steps.stays = 0 or fault not in ('b', 'd'))
+            group by 1, 2, 3)),
+    ends(st, edits) as (values {ends}),
+    best as (select ways.conv_id as conv_id, min(struct_pack(cost := cost + 2 * length(edits), audit := audit || edits)) as w
+             from ways join ends using (st) join (select conv_id, max(i) as i from marked group by 1) m using (i)
+             where ways.conv_id is not distinct from m.conv_id group by 1),
+    edits as (select conv_id, p, audit[p] as e, length(regexp_replace(audit[1:p], 'I', '', 'g')) as i, length(regexp_replace(audit[1:p], 'D', '', 'g'))
+                     - length(regexp_replace(audit, 'D', '', 'g')) % 2 as nth from (select conv_id, w.audit as audit, unnest(range(1, length(w.audit) + 1)) as p from best)),
+    lines as (select edits.conv_id, p, case when e = 'K' then role when nth % 2 = 1 then 'user' else 'assistant' end || ':' || case when e = 'I' then '' else text end as line
+              from edits left join marked on marked.conv_id is not distinct from edits.conv_id and marked.i = edits.i where e <> 'D'),
+    texts as (select conv_id, string_agg(line, chr(10) order by p) as text from lines group by 1),
+    pairs as (select *, left(lag(role) over (partition by conv_id order by i), 1) || initial as pair, lag(i) over (partition by conv_id order by i) as before from marked),
+    counts as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'b') as blank, count(*) filter (fault = 'd') as duplicate,
+                      count(*) filter (fault = 't') as truncated, count(*) filter (before is not null and pair not in ('su', 'ua', 'au')) as illegal from pairs group by 1)
+    select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+           coalesce(w.cost, 0)::bigint as cost, coalesce(w.audit, '') as audit, sha256(coalesce(texts.text, '')) as repaired_sha256
+    from (select distinct conv_id from conversations) c left join counts on counts.conv_id is not distinct from c.conv_id
+    left join best on best.conv_id is not distinct from c.conv_id left join texts on texts.conv_id is not distinct from c.conv_id"""
+
+
+@query("op11_role_repair", _role_repair_sql())
 def op11_role_repair(spark, folder):
     """Every damaged conversation with its faults and its cheapest repair."""
     rows = damaged_turns(spark.read.parquet(f"{folder}/conversations.parquet"))
