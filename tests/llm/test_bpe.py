@@ -41,10 +41,8 @@ def test_long_pieces(transducer, known, piece, monkeypatch):
     assert transducer.encode(piece.encode()) == known._core_bpe.encode_single_piece(piece.encode())
 
 
-def test_forgetting_changes_nothing(ranks, known, monkeypatch):
-    monkeypatch.setattr(bpe, "MAX_STATES", 20)
-    monkeypatch.setattr(bpe, "MAX_PIECES", 5)
-    pieces = bpe.Pieces(bpe.Transducer(ranks))
+def test_forgetting_changes_nothing(ranks, known):
+    pieces = bpe.Pieces(bpe.Transducer(ranks, (20, 10, 5)), 5)
     for word in "one two three four five six seven one two three extraordinary one".split() * 2:
         assert pieces[word] == " ".join(map(str, known.encode_ordinary(word)))
 

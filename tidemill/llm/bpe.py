@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-MAX_STATES = 300_000    # of the automaton, about half a kilobyte each: it is emptied when full and built anew
-MAX_FITS = 400_000      # pairs of tokens whose fit is remembered
-MAX_PIECES = 250_000     # pieces remembered since the last turn; as many from before it are kept
+# what a worker remembers: states of the automaton (half a kilobyte each; it is emptied when full and built anew), pairs of tokens whose
+# fit is known, and pieces since the last turn (as many from before it are kept)
+FULL = (300_000, 400_000, 250_000)
+LEAN = (120_000, 150_000, 100_000)      # 100 MB less a worker, and half as much time again: for tasks that hold token ids as well
 PATH = 4096              # transitions kept before the tokens that are certain are emitted
 NONE = 1 << 31           # no token, and later than any merge
-SLICE_BYTES = 4 << 20    # of texts whose ids are made before they are sent on
+SLICE_BYTES = 1 << 20    # of texts whose ids are made before they are sent on
 _NODE, _PLACE = (1 << 24) - 1, (1 << 12) - 1    # bits of a run that hold its node, and of an origin that hold its place
 
 
@@ -69,8 +70,8 @@ class Transducer:
     number, too: one more than the last token (0: none yet), and the node in the low bits.
     """
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
+    def __init__(self, ranks: dict[bytes, int], sizes: tuple[int, int, int] = FULL):
+        self.ranks, (self.max_states, self.max_fits, _) = ranks, sizes
         self.parts: dict[int, tuple[int, int]] = {}     # of longer tokens, the two of their last merge
         self.merges: dict[int, int] = {}                # two tokens as one number, to the token they make
         self.fits: dict[int, bool] = {}
@@ -174,9 +175,9 @@ class Transducer:
 
     def encode(self, piece: bytes) -> list[int]:
         """The token ids of one piece."""
-        if len(self.states) > MAX_STATES:
+        if len(self.states) > self.max_states:
             self._forget()
-        if len(self.fits) > MAX_FITS:
+        if len(self.fits) > self.max_fits:
             self.fits.clear()
         state, path, out = self.start, [], []
         for byte in piece:
@@ -203,15 +204,15 @@ class Pieces(dict):
     A full table becomes the old one, from which pieces in use come back, so rare ones fall out.
     """
 
-    def __init__(self, transducer: Transducer):
+    def __init__(self, transducer: Transducer, most: int = FULL[2]):
         super().__init__()
-        self.transducer, self.old = transducer, {}
+        self.transducer, self.most, self.old = transducer, most, {}
 
     def __missing__(self, piece: str) -> str:
         ids = self.old.get(piece)
         if ids is None:
             ids = " ".join(map(str, self.transducer.encode(piece.encode())))
-        if len(self) >= MAX_PIECES:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         if len(piece) < 64:
@@ -251,17 +252,23 @@ class Utf8Stream:
         return rest.decode("utf-8", "replace")
 
 
-def _tools(vocabulary: Broadcast, pattern: str):
-    """A worker's piece cutter, piece table and token table, made once and kept beside the vocabulary."""
+def _tools(vocabulary: Broadcast, pattern: str, sizes: tuple[int, int, int] = FULL):
+    """A worker's piece cutter and piece table, made once and kept beside the vocabulary."""
     import regex
 
     kept = vocabulary.value
-    if kept.get("pattern") != pattern:
+    if kept.get("made") != (pattern, sizes):
         gc.set_threshold(500_000, 10, 1000)     # states and pieces are no garbage; scanning them often is costly
-        kept |= {"pattern": pattern, "cut": regex.compile(pattern).findall,
-                 "pieces": Pieces(Transducer(kept["ranks"])),
-                 "written": {str(i): t for t, i in kept["ranks"].items()}}
-    return kept["cut"], kept["pieces"], kept["written"]
+        kept |= {"made": (pattern, sizes), "cut": regex.compile(pattern).findall, "pieces": Pieces(Transducer(kept["ranks"], sizes), sizes[2])}
+    return kept["cut"], kept["pieces"]
+
+
+def _written(vocabulary: Broadcast) -> dict[str, bytes]:
+    """The bytes of every token, by its written id."""
+    kept = vocabulary.value
+    if "written" not in kept:
+        kept["written"] = {str(i): t for t, i in kept["ranks"].items()}
+    return kept["written"]
 
 
 def _encoded(text: str | None, cut, pieces: Pieces) -> str:
@@ -276,11 +283,11 @@ def _slices(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             yield batch.slice(at, rows)
 
 
-def encode(text: Column, vocabulary: Broadcast, pattern: str) -> Column:
-    """The token ids of ``text`` as an array; empty for an empty or null text."""
+def encode(text: Column, vocabulary: Broadcast, pattern: str, sizes: tuple[int, int, int] = LEAN) -> Column:
+    """The token ids of ``text`` as an array; empty for an empty or null text. ``sizes`` bounds what a worker remembers."""
     @F.arrow_udf("array<int>")
     def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        cut, pieces, _ = _tools(vocabulary, pattern)
+        cut, pieces = _tools(vocabulary, pattern, sizes)
         for batch in _slices(batches):
             tokens = [np.fromstring(_encoded(t.as_py(), cut, pieces), dtype=np.int32, sep=" ") for t in batch]
             ends = np.cumsum([0, *map(len, tokens)], dtype=np.int32)
@@ -308,7 +315,7 @@ def decode(ids: Column, vocabulary: Broadcast, pattern: str, block: int = 4096)
 
     @F.arrow_udf("string")
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        written = _tools(vocabulary, pattern)[2]
+        written = _written(vocabulary)
         for batch in batches:
             yield pa.array([None if t is None else text_of(t, written) for t in (x.as_py() for x in batch)], pa.string())
     return texts(ids)
@@ -330,7 +337,7 @@ def round_trip(docs: DataFrame, vocabulary: Broadcast, pattern: str, id_col: str
 
     @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        tools = _tools(vocabulary, pattern)
+        tools = *_tools(vocabulary, pattern), _written(vocabulary)
         for batch in batches:
             columns = list(zip(*(of(t.as_py(), *tools) for t in batch), strict=True)) or [(), (), ()]
             yield pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.string(), pa.string()), strict=True)],
