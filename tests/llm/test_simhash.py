@@ -82,3 +82,34 @@ def test_one_row_of_each_group_stays(spark):
 
 def test_empty_table(spark):
     assert simhash.simhash_groups(none(spark)).collect() == [] and simhash.drop_near_duplicates(none(spark)).collect() == []
+
+
+def test_whole_table_against_all_pairs(spark, sf):
+    """Fingerprints by definition and components of all pairs, end to end."""
+    import re
+
+    import xxhash
+
+    from tidemill.llm.queries import QUERIES
+
+    def fingerprint(text):
+        words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        shingles = [" ".join(words[i:i + 4]) for i in range(len(words) - 3)] or [" ".join(words)] * bool(words)
+        hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+        return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()
+    fps = {r.doc_id: fingerprint(r.text) for r in docs}
+    root = {i: i for i in fps}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+    ids = sorted(fps)
+    for at, a in enumerate(ids):
+        for b in ids[at + 1:]:
+            if (fps[a] ^ fps[b]).bit_count() <= 4:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = QUERIES["op2_simhash_vantage"](spark, sf).collect()
+    assert {(r.doc_id, r.fingerprint, r.component_id) for r in got} == {(i, f"{fps[i]:016x}", find(i)) for i in ids} and len(got) == len(ids)
