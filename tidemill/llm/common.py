@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import shared_dir
+from ..session import drop_stage, shared_dir
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -51,8 +51,17 @@ def bucketed_stage(df: DataFrame, key: str) -> DataFrame:
     spark = df.sparkSession
     name = f"stage_{uuid.uuid4().hex}"
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.bucketBy(buckets, key).option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    return spark.table(name)
+    path = f"{shared_dir(spark)}/{name}"
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
+    stage = spark.table(name)
+    stage._stage_table, stage._stage_path = name, path
+    return stage
+
+
+def drop_bucketed(stage: DataFrame) -> None:
+    """Delete a table of ``bucketed_stage`` that has been superseded; nothing may read it, or what follows from it, again."""
+    stage.sparkSession.sql(f"drop table if exists {stage._stage_table}")
+    drop_stage(stage)
 
 
 def join_classes(rows: DataFrame, classes: DataFrame, key: str, count: str, total: int) -> DataFrame:

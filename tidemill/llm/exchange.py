@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_stage
 
 HASHES_PER_LIST = 64        # a list should hold as many hashes on average
 LISTS = "run long, chunk string, owner int, n int, k int, code binary, local binary"
@@ -185,6 +185,10 @@ def exchanged(rows: DataFrame, total: int, runs: int, rows_per_owner: int, flagg
 
     ``rows``: ``run, fp, mark`` with single values or packed arrays. A marked fingerprint is found in any
     case; with ``flagged`` only those are that some run has marked. ``total``: about how many there are.
+    The result is a stage; the lists it was made from are deleted.
     """
     owners = owners_for(total, runs, rows_per_owner)
-    return answered(cut_lineage(rows.mapInPandas(_lists(owners, flagged), LISTS)), owners, flagged)
+    lists = cut_lineage(rows.mapInPandas(_lists(owners, flagged), LISTS))
+    found = cut_lineage(answered(lists, owners, flagged))
+    drop_stage(lists)
+    return found

@@ -26,8 +26,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..session import cut_lineage
-from .common import bucketed_stage, count_upto
+from ..session import cut_lineage, drop_stage
+from .common import bucketed_stage, count_upto, drop_bucketed
 from .exchange import LISTS, Lists, answered, exchanged, owners_for
 
 GRAM, WINDOW = 16, 64
@@ -262,8 +262,11 @@ def _repeated(staged: DataFrame, length: int) -> DataFrame:
     n = F.octet_length("names") / 8
     total, runs = rows.agg(F.coalesce(F.sum(n), F.lit(0)), F.count_distinct("run")).first()
     names = rows.select("run", F.col("names").alias("fp"), F.repeat(F.lit("\0"), n.cast("int")).cast("binary").alias("mark"))
-    answers = cut_lineage(exchanged(names, int(total), runs, ROWS_PER_OWNER))   # one Python step per task at a time
-    return _cogroup(rows, answers, _refine, "run long, rid long, at binary")
+    answers = exchanged(names, int(total), runs, ROWS_PER_OWNER)
+    kept = cut_lineage(_cogroup(rows, answers, _refine, "run long, rid long, at binary"))
+    drop_bucketed(rows)
+    drop_stage(answers)
+    return kept
 
 
 def repeated_passages(docs: DataFrame, length: int = 400, id_col: str = "doc_id", text_col: str = "text",
@@ -281,8 +284,10 @@ def repeated_passages(docs: DataFrame, length: int = 400, id_col: str = "doc_id"
     staged = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                          F.monotonically_increasing_id().alias("rid"))
     staged = bucketed_stage(staged.withColumn("run", F.shiftright("rid", 33)), "run")
-    by_run = _repeated(staged, length).groupBy("run").agg(F.sort_array(F.collect_list(F.struct("rid", "at"))).alias("e"))
+    refined = _repeated(staged, length)
+    by_run = refined.groupBy("run").agg(F.sort_array(F.collect_list(F.struct("rid", "at"))).alias("e"))
     by_run = cut_lineage(by_run.select("run", F.col("e.rid").alias("rids"), F.col("e.at").alias("ats")))
+    drop_stage(refined)
     place = F.coalesce(count_upto(F.col("rids"), F.col("rid")) - 1, F.lit(-1))
     joined = staged.join(by_run.hint("shuffle_hash"), "run", "left").withColumn("place", place)
     joined = joined.withColumn("hit", F.coalesce(F.get("rids", F.col("place")) == F.col("rid"), F.lit(False)))
@@ -297,7 +302,9 @@ def repeated_passages(docs: DataFrame, length: int = 400, id_col: str = "doc_id"
         lists = cut_lineage(_cogroup(texts, answers, _asked(length, wanted, list(known), owners, flagged), LISTS))
         found = answered(lists, owners, flagged).withColumnRenamed("found", name)
         found = found.withColumnRenamed("lead", "leads") if name == "contexts" else found.drop("lead")
-        answers = cut_lineage(answers.join(found, "run", "left"))
+        before, answers = answers, cut_lineage(answers.join(found, "run", "left"))
+        drop_stage(lists)
+        drop_stage(before)
         known += [name, "leads"] if name == "contexts" else [name]
     changed = _cogroup(texts, answers, _digest(length, keep_bytes),
                        "id string, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
