@@ -38,6 +38,13 @@ def test_kmeans_cost_never_rises(spark):
     assert reps.agg(F.sum("n")).first()[0] == len(pdf) and reps.count() == 3
 
 
+def test_centroids_when_tasks_have_no_rows(spark):
+    df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "id long, v array<double>").repartition(12)
+    start = np.array([[0.0, 1.0], [3.0, 1.0]])
+    assert K.update_centroids(df, "v", start)[0].tolist() == [[.5, 1], [2.5, 1]]
+    assert K.update_centroids(df.where("false"), "v", start)[0].tolist() == start.tolist()
+
+
 def test_codeword_shares_sum_to_one(spark):
     df = spark.createDataFrame([("x", i, [float(i)]) for i in range(5)] + [("y", 9, [4.0])], "o string, id int, v array<double>")
     out = K.codeword_histogram(df, "o", "id", "v", np.array([[0.0], [4.0]]))
