@@ -1,5 +1,7 @@
 """Nearest-neighbour plans against brute force, and the spatial joins."""
 
+import tracemalloc
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -102,3 +104,31 @@ def test_no_rows_to_search(spark):
     for q, r in ((some, some.where("false")), (some.where("false"), some)):
         out = NN.knn_join(q, r, 3)
         assert out.columns == ["qid", "rid", "dist", "rank"] and out.collect() == []
+
+
+@pytest.mark.parametrize("far", [1, 1e9, np.nan])
+def test_grid_gives_the_exact_order(far):
+    """Sums on the grid only rule rows out; copies, an outlier or a missing number change nothing."""
+    rng = np.random.default_rng(3)
+    q, r = rng.normal(size=(50, 16)), rng.normal(size=(3000, 16))
+    r[100:200], r[5, 3], q[:5] = r[7], far, r[:5]
+    with np.errstate(invalid="ignore"):
+        found = NN._nearest(np.arange(50), q, np.arange(3000), r, 7, "l1", True).reset_index(drop=True)
+    d = np.zeros((50, 3000))
+    for j in range(16):
+        d += np.abs(q[:, j, None] - r[None, :, j])
+    d[np.arange(50), np.arange(50)] = np.inf
+    want = np.array([np.lexsort((np.arange(3000), np.nan_to_num(x, nan=np.inf)))[:7] for x in d])
+    assert (found["rid"].to_numpy().reshape(50, 7) == want).all()
+    assert (found["dist"].to_numpy() == d[found["qid"], found["rid"]]).all()
+
+
+@pytest.mark.parametrize("metric", ["l1", "l2"])
+def test_memory_of_a_search_is_bounded(metric):
+    rng = np.random.default_rng(4)
+    q, r = rng.normal(size=(500, 4)), rng.normal(size=(60_000, 4))
+    tracemalloc.start()
+    NN._nearest(np.arange(500), q, np.arange(60_000), r, 5, metric, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80e6
