@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tidemill.operators import neighbors as NN, spatial as S
+from tidemill.operators import metrics as M, neighbors as NN, spatial as S
 
 PLANS = {"small_rows": {}, "small_queries": {"small_side": 1600}, "cells": {"small_side": 8, "block": 40, "pivots": 6}}
 
@@ -132,3 +132,14 @@ def test_memory_of_a_search_is_bounded(metric):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 80e6
+
+
+def test_resampled_predictions_are_not_broadcast(spark, capsys):
+    """The predictions outnumber the test rows by sizes, samples and k, whatever Spark takes their compressed size for."""
+    rng = np.random.default_rng(8)
+    df = spark.createDataFrame(pd.DataFrame({"id": range(80), "v": list(rng.normal(size=(80, 2))), "y": rng.normal(size=80)}),
+                               "id long, v array<double>, y double")
+    out = M.bootstrap_knn(df.where("id < 50"), df.where("id >= 50"), "id", "v", "y", [1, 3], [5, 9], times=2)
+    out.explain()
+    assert "SortMergeJoin" in capsys.readouterr().out
+    assert sorted((r["size"], r["replicate"], r["k"], r["n"]) for r in out.collect()) == [(s, r, k, 30) for s in (5, 9) for r in (0, 1) for k in (1, 3)]
