@@ -141,3 +141,18 @@ def test_many_columns_correlate_like_few(spark, monkeypatch):
     assert rows(A.correlation_matrix(df, list("abcd")), "a", "b") == few
     pdf.loc[pdf["a"] > 0.5, "b"] = None
     assert all(abs(pdf[a].corr(pdf[b]) - c) < 1e-5 for a, b, c in few)
+
+
+def test_rows_of_a_hot_group_are_not_moved_again(spark, capsys):
+    """Next to the few shares of a range, the ranges themselves stay where they are."""
+    df = spark.range(20_000).selectExpr("id % 3 as g", "id", "xxhash64(id) as x")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 20_000)
+    try:
+        out = O.index_within(df, ["g"], ["x"], "pos", group_rows=10)
+        out.explain()
+        assert "BroadcastHashJoin" in capsys.readouterr().out
+        assert out.groupBy("g").agg(F.count_distinct("pos"), F.min("pos"), F.max("pos")).orderBy("g").collect() == [
+            (0, 6667, 0, 6666), (1, 6667, 0, 6666), (2, 6666, 0, 6665)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

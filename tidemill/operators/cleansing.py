@@ -91,7 +91,8 @@ def infer_modal_prices(df: DataFrame, group: str, quantities: Sequence[str], tot
     In the given order, a group is cut into blocks of ``block_rows`` rows, each block that determines its prices is
     solved, and the most frequent solution of an item is its price (the smallest on ties).
     """
-    placed = index_within(df.dropna(subset=[*quantities, total]), [group], order, name="_pos")
+    needed = df.select(*dict.fromkeys([group, *quantities, total, *order])).dropna(subset=[*quantities, total])
+    placed = index_within(needed, [group], order, name="_pos")
     blocks = placed.withColumn("_block", F.floor(F.col("_pos") / block_rows))
     solved = _solved_prices(blocks, [group, "_block"], quantities, total, digits, determined=True)
     votes = solved.groupBy(group, "item", "price").agg(F.count("*").alias("n"))

@@ -168,7 +168,8 @@ def infer_modal_prices(spark, sf):
                                                     "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
     menu = lines.groupBy("l_returnflag").agg((F.count("*") % 1000 / 100.0 + 1).alias("p_rice"),
                                              (F.sum("l_linenumber") % 1000 / 100.0 + 1).alias("p_fish"))
-    bills = lines.join(menu, "l_returnflag").withColumn("total", F.expr(
+    # stored, so that its few rows travel to the lines and not all lines of a flag to one task
+    bills = lines.join(cut_lineage(menu), "l_returnflag").withColumn("total", F.expr(
         "case when l_partkey % 11 = 0 then null else rice * p_rice + fish * p_fish + if(l_orderkey % 9 = 4, 25, 0) end"))
     return C.infer_modal_prices(bills, "l_returnflag", ["rice", "fish"], "total",
                                 ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], block_rows=6)
