@@ -149,3 +149,14 @@ def test_principal_axes(spark):
     got = {r["id"]: r["xy"] for r in K.project(df, "id", "v").collect()}
     assert np.allclose([got[i] for i in range(200)], x @ axes.T)
     assert not K.principal_axes(df.where("false"), "v", 2).any()
+
+
+def test_counts_stay_with_their_documents(spark, monkeypatch):
+    """Only shares and sums per term are exchanged in a round, not the counts."""
+    counts = spark.createDataFrame([(d, t, 1 + d * t % 3) for d in range(30) for t in range(d % 5, 12)], "d long, t long, n long")
+    plans, cut = [], K.cut_lineage
+    monkeypatch.setattr(K, "cut_lineage", lambda df: plans.append((df.columns, df._jdf.queryExecution().executedPlan().toString())) or cut(df))
+    posterior, _, _ = K.em_multinomial(counts, "d", "t", "n", k=2, epochs=2)
+    rounds = [plan for columns, plan in plans if "gamma" in columns]
+    assert len(rounds) == 2 and not any("hashpartitioning(doc" in plan for plan in rounds)
+    assert posterior.count() == 30

@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import drop_stage, shared_dir
+from ..session import bucketed_stage, drop_bucketed    # noqa: F401  the operators take them from here
 
 SPACES = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -43,27 +41,6 @@ def uniform(*keys: Column | str) -> Column:
     return F.call_function("shiftrightunsigned", F.xxhash64(*keys), F.lit(11)) / float(1 << 53)
 
 
-def bucketed_stage(df: DataFrame, key: str) -> DataFrame:
-    """Write ``df`` below the shared folder, bucketed by ``key``, and read it back.
-
-    Later joins on ``key`` find these rows in place: only the other side is shuffled.
-    """
-    spark = df.sparkSession
-    name = f"stage_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = f"{shared_dir(spark)}/{name}"
-    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(name)
-    stage = spark.table(name)
-    stage._stage_table, stage._stage_path = name, path
-    return stage
-
-
-def drop_bucketed(stage: DataFrame) -> None:
-    """Delete a table of ``bucketed_stage`` that has been superseded; nothing may read it, or what follows from it, again."""
-    stage.sparkSession.sql(f"drop table if exists {stage._stage_table}")
-    drop_stage(stage)
-
-
 def join_classes(rows: DataFrame, classes: DataFrame, key: str, count: str, total: int) -> DataFrame:
     """Left join of ``rows`` with one row per class, where single classes may hold a large share of the rows.
 
