@@ -1,5 +1,7 @@
 import math
+import tracemalloc
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -53,3 +55,31 @@ def test_merging_keeps_missing_tokens(spark):
     df = spark.createDataFrame([(1, ["a", "b", "b"]), (2, None), (3, []), (4, ["a", None, "a", "b"])], "id int, t array<string>")
     got = {r.id: r.m for r in T.merge_bigrams(df, F.col("t"), [("a", "b")], "m").collect()}
     assert got == {1: ["a__b", "b"], 2: None, 3: [], 4: ["a", None, "a__b"]}
+
+
+def test_merging_holds_few_tokens_at_a_time(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(T.F, "arrow_udf", lambda kind: lambda fn: seen.append(fn) or (lambda col: col))
+    T.merge_bigrams(docs(spark).select(F.split("t", " ").alias("t")), F.col("t"), [("a", "b")], "m")
+    batch = pa.array([["a", "b", f"word{i}"] * 100 for i in range(10_000)], pa.list_(pa.string()))
+    merged, rows_out = seen[0](iter([batch])), 0
+    tracemalloc.start()
+    for part in merged:
+        rows_out += len(part)
+        assert part[0].as_py()[:2] == ["a__b", f"word{rows_out - len(part)}"]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert rows_out == 10_000 and peak < 30e6
+
+
+def test_the_stemmer_sees_each_word_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.pandas_udf("string")
+    def shorter(words):
+        seen.add(len(words))
+        return words.str.rstrip("s")
+
+    df = spark.range(600).select(F.element_at(F.array(*map(F.lit, ("rivers", "river", "Rivers"))), (F.col("id") % 3 + 1).cast("int")).alias("w"))
+    assert rows(T.stem_vocab(df, "w", shorter), "w") == [("Rivers",), ("river",)]
+    assert seen.value <= 6      # the filter on the length may ask again
