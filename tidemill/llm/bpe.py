@@ -25,8 +25,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # what a worker remembers: states of the automaton (half a kilobyte each; it is emptied when full and built anew), pairs of tokens whose
 # fit is known, and pieces since the last turn (as many from before it are kept)
-FULL = (300_000, 400_000, 250_000)
-LEAN = (120_000, 150_000, 100_000)      # 100 MB less a worker, and half as much time again: for tasks that hold token ids as well
+FULL = (260_000, 350_000, 200_000)
+LEAN = (120_000, 150_000, 100_000)      # 80 MB less a worker, and half as much time again: for tasks that hold token ids as well
 PATH = 4096              # transitions kept before the tokens that are certain are emitted
 NONE = 1 << 31           # no token, and later than any merge
 SLICE_BYTES = 1 << 20    # of texts whose ids are made before they are sent on
@@ -213,6 +213,7 @@ class Pieces(dict):
         if ids is None:
             ids = " ".join(map(str, self.transducer.encode(piece.encode())))
         if len(self) >= self.most:
+            self.old = {}       # freed before the copy is made
             self.old = dict(self)
             self.clear()
         if len(piece) < 64:
