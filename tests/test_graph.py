@@ -89,6 +89,52 @@ def test_rounds_write_only_what_they_improve(spark, monkeypatch):
     assert len(written) > 6 and sum(written) < 6 * len(want)
 
 
+def plans_of_rounds(monkeypatch):
+    """The plans of the rounds that shortest_paths runs from now on."""
+    plans, cut = [], G.cut_lineage
+
+    def watched(df):
+        if df.columns == ["source", "node", "d"]:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+    monkeypatch.setattr(G, "cut_lineage", watched)
+    return plans
+
+
+def test_edges_are_not_shuffled_in_a_round(spark, monkeypatch):
+    edges, sources, want = grid(spark, 4)
+    plans = plans_of_rounds(monkeypatch)
+    monkeypatch.setattr(G, "BROADCAST_NODES", 0, raising=False)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = {(r.source, r.node): r.distance for r in G.shortest_paths(edges, sources).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert got == want
+    assert any("hashpartitioning(node#" in p for p in plans) and not any("hashpartitioning(u#" in p for p in plans)
+
+
+def test_heavy_edges_wait_until_light_ones_are_done(spark, monkeypatch):
+    # a chain of light edges with heavy short cuts that never help: buckets of distance would follow them from each bucket
+    raw = [(i, i + 1, 1) for i in range(6)] + [(i, i + 2, 60) for i in range(5)]
+    edges = G.undirected(spark.createDataFrame(raw, "a long, b long, w long"), "a", "b", "w")
+    plans = plans_of_rounds(monkeypatch)
+    paths = G.shortest_paths(edges, spark.createDataFrame([(0,)], "s long"), delta=2.0)
+    assert {r["node"]: r["distance"] for r in paths.collect()} == {i: i for i in range(7)}
+    rounds = [p for p in plans if "Join" in p]
+    assert len(rounds) == 8     # six along the chain, one that improves nothing, one over the heavy edges
+
+
+def test_undirected_edges_are_grouped_once(spark, sf):
+    from tidemill.plans import spatial as P
+    raw = [(1, 2, 5), (2, 1, 3), (1, 2, 4), (3, 3, 1), (None, 4, 2), (4, None, 7), (None, None, 6), (5, 6, None)]
+    edges = G.undirected(spark.createDataFrame(raw, "a long, b long, w long"), "a", "b", "w")
+    assert sorted(rows(edges), key=str) == sorted([(1, 2, 3), (2, 1, 3), (3, 3, 1), (None, 4, 2), (4, None, 2), (None, None, 6),
+                                                   (5, 6, None), (6, 5, None)], key=str)
+    assert P.road_edges(spark, sf)._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
 def test_weights_of_zero_are_refused_and_no_edges_leave_the_sources(spark):
     import pytest
     with pytest.raises(ValueError, match="positive"):
