@@ -147,3 +147,23 @@ def test_distances_are_attached(spark):
     paths = spark.createDataFrame([(1, 1, 0), (1, 2, 5)], "source long, node long, distance long")
     df = spark.createDataFrame([("a", 1, 2), ("b", 1, 9), ("c", None, 2)], "k string, s long, n long")
     assert rows(G.with_distance(df, paths, "s", "n"), "k") == [("a", 1, 2, 5), ("b", 1, 9, None), ("c", None, 2, None)]
+
+
+def test_roads_are_looked_up_per_place_and_not_per_order(spark, sf, monkeypatch):
+    from tidemill.plans import spatial as P
+    asked, attach = [], G.with_distance
+
+    def watched(df, *args):
+        asked.append(df.count())
+        return attach(df, *args)
+    monkeypatch.setattr(G, "with_distance", watched)
+    written, cut = [], P.cut_lineage
+
+    def kept(df):
+        written.append(df.columns)
+        return cut(df)
+    monkeypatch.setattr(P, "cut_lineage", kept)
+    out = P.impute_by_rule(spark, sf)
+    assert out.count() == P.table(spark, sf, "orders").count()
+    assert 0 < asked[0] <= 3 * P.table(spark, sf, "supplier").count()
+    assert written[-1] == ["o_orderkey", "code", "km", "loyal", "fee"]
