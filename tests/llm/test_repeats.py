@@ -73,3 +73,22 @@ def test_equal_strings_share_anchors():
 
 def test_empty_table(spark):
     assert repeats.repeated_passages(none(spark)).collect() == []
+
+
+def test_rows_find_their_anchors_by_place(spark):
+    """A search in the array of the run, row by row, made every row carry a copy of it: the time grew with rows times rows of a run."""
+    rng = random.Random(4)
+    passage = "".join(rng.choice("abcdefghij") for _ in range(600))
+    df = spark.createDataFrame([(i, passage[i:] if i % 3 else "short") for i in range(60)], "doc_id long, text string").coalesce(1)
+    out = repeats.repeated_passages(df, 400)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "lambda" not in plan and "aggregate(" not in plan
+    texts = [passage[i:] if i % 3 else "short" for i in range(60)]
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in out.collect()) == sorted(
+        (str(i), *b) for i, b in enumerate(brute(texts, 400)))
+
+
+def test_sliding_windows_of_any_width():
+    x = np.random.default_rng(2).integers(0, 1000, 300)
+    for width in (1, 2, 5, 63, 64):
+        assert (repeats._sliding(np.minimum, x, width) == [x[i:i + width].min() for i in range(300 - width + 1)]).all()
