@@ -83,3 +83,11 @@ def test_the_stemmer_sees_each_word_once(spark):
     df = spark.range(600).select(F.element_at(F.array(*map(F.lit, ("rivers", "river", "Rivers"))), (F.col("id") % 3 + 1).cast("int")).alias("w"))
     assert rows(T.stem_vocab(df, "w", shorter), "w") == [("Rivers",), ("river",)]
     assert seen.value <= 6      # the filter on the length may ask again
+
+
+def test_documents_may_be_named_by_two_columns_and_terms_by_numbers(spark):
+    tokens = spark.createDataFrame([(1, "a", "x"), (1, "a", "x"), (1, "b", "y"), (2, "a", "y"), (2, "a", "z")], "d long, p string, w string")
+    counts = T.term_counts(tokens, ["d", "p"], "w")
+    assert rows(counts, "d", "p", "w") == [(1, "a", "x", 2), (1, "b", "y", 1), (2, "a", "y", 1), (2, "a", "z", 1)]
+    idf = spark.createDataFrame([("x", 1.0, 7), ("y", 3.0, 8), ("z", 4.0, 9)], "w string, idf double, i long")
+    assert rows(T.tfidf_by(counts, ["d", "p"], "w", idf, "i"), "d", "p", "w") == [(1, "a", 7, 1.0), (1, "b", 8, 1.0), (2, "a", 8, .6), (2, "a", 9, .8)]
